@@ -19,7 +19,8 @@ def cohort_default_rates(
     cohort = gold.where(F.col("observation_date") == day(observation_date)).select(
         "user_id", "target_default_30d"
     )
-    months = users.select("user_id", F.substring(F.col("created_at").cast("string"), 1, 7).alias("reg_month"))
+    month = F.substring(F.col("created_at").cast("string"), 1, 7)
+    months = users.select("user_id", month.alias("reg_month"))
     return (
         cohort.join(months, "user_id")
         .groupBy("reg_month")
@@ -43,7 +44,7 @@ def cohort_report(rates: DataFrame, observation_date: str | dt.date) -> DataFram
     line = F.format_string(
         "- **Registration Month**: %s | **Default Rate**: %.2f%% | **Cohort Size**: %d users\n",
         F.coalesce("reg_month", F.lit("None")),
-        F.col("default_rate") * 100,
+        F.bround(F.col("default_rate") * 100, 2),
         F.col("cohort_size"),
     )
     header = (

@@ -113,7 +113,8 @@ DRIFT_METRICS = _struct(
 )
 
 RUN_METRICS = _struct(
-    "run_id string!, logged_at timestamp, kind string!, name string!, value string"
+    "run_id string!, logged_at timestamp, kind string!, name string!, value string, "
+    "number double"
 )
 
 REQUESTS = _struct(

@@ -9,6 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlark.functions.features import uniform
+from ledgerlark.plans.dialogue import dialogue_pairs, score_dialogues
+from ledgerlark.plans.scoring import decide
+from ledgerlark.plans.training import with_income
+from ledgerlark.sources.logs import dialogue_rows, prediction_rows
+
 OBSERVATION_DATE = "2000-07-01"
 AS_OF_DATE = "2001-12-31"
 SESSION_SHIFT_DAYS = 8603
@@ -18,6 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by key when the file has fewer splits than the cluster has cores.
+
+    A small file with a single row group is otherwise parsed by one task. Large tables
+    already have enough splits and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def _plus_days(ts: Column, days: Column) -> Column:
     return F.timestamp_add("DAY", days.cast("int"), ts)
 
@@ -76,7 +92,7 @@ def bronze_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id")
     text = _iso(_plus_days(F.col("ts"), F.lit(-SESSION_SHIFT_DAYS)))
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         _null_if(e % 101 == 0, e.cast("string")).alias("session_id"),
         _null_if(e % 103 == 0, F.col("user_id").cast("string")).alias("user_id"),
         F.when(e % 107 == 0, "invalid-date")
@@ -92,7 +108,7 @@ def bronze_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = F.when(k % 12 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     stamp = _iso(_plus_days(F.col("o_orderdate"), F.col("version")))
     return (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"), "o_orderkey")
         .withColumn("version", F.explode(versions))
         .select(
             _null_if(k % 199 == 0, k.cast("string")).alias("loan_id"),
@@ -118,14 +134,14 @@ def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     paid = (price * (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)"))).cast(
         "decimal(18,2)"
     )
-    due = _plus_days(F.col("o_orderdate"), line * 30)
-    paid_on = _plus_days(due, (h + line) % 40 - 8)
+    due = F.date_add(F.to_date("o_orderdate"), (line * 30).cast("int"))
+    paid_on = F.date_add(due, ((h + line) % 40 - 8).cast("int"))
 
-    def day(ts: Column) -> Column:
-        return F.substring(_iso(ts), 1, 10)
+    def day(d: Column) -> Column:
+        return d.cast("string")
 
     return (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             _null_if(
@@ -156,3 +172,106 @@ BRONZE_BUILDERS = {
 
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in BRONZE_BUILDERS.items()}
+
+
+# --- stand-ins for the logs -----------------------------------------------------------
+BASELINE_UNTIL = "2024-01-15"
+STABLE_WEEK = "2024-01-22"
+DRIFTED_WEEK = "2024-01-29"
+DRIFT_FACTOR = 2.2
+
+# A lexicon and patterns that do occur in the test conversations.
+CUSTOM_WORDS = ("hate", "that", "keit", "eaux")
+CUSTOM_INJECTION = ("the and", "en ", "ou.", "^in ")
+CUSTOM_FAILURES = ("thth", "un[g]", "la ")
+
+
+def scored_requests(spark: SparkSession, sf_dir: str, drifted: bool = False) -> DataFrame:
+    """One request per event, with a hash-based probability that is sometimes missing."""
+    e = F.col("event_id")
+    factor = F.lit(1.0)
+    if drifted:
+        late = F.col("ts") > F.lit(f"{STABLE_WEEK} 23:59:59").cast("timestamp_ntz")
+        factor = F.when(late, F.lit(DRIFT_FACTOR)).otherwise(F.lit(1.0))
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("p"), e.cast("string")).alias("prediction_id"),
+        F.col("ts").alias("timestamp"),
+        _null_if(e % 103 == 0, F.col("user_id").cast("string")).alias("user_id"),
+        _null_if(e % 59 == 0, F.col("value") * 40.0 * factor).alias("monthly_volume"),
+        (e * 7 % 31).cast("int").alias("session_regularity"),
+        (F.col("value") * 100.0 * factor + 15000.0).alias("income"),
+        _null_if(e % 61 == 0, uniform(e.cast("string"), 7) * 0.2).alias("probability_of_default"),
+        F.col("value").alias("latency_ms"),
+        F.col("event_type").alias("service"),
+    )
+
+
+def prediction_logs(spark: SparkSession, sf_dir: str, drifted: bool = False) -> DataFrame:
+    return prediction_rows(decide(scored_requests(spark, sf_dir, drifted)))
+
+
+def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User turns with their answers, spread over fifteen days."""
+    conv, turn = F.col("conv_id"), F.col("turn")
+    start = F.lit("2024-01-15 06:00:00").cast("timestamp_ntz")
+    at = F.timestamp_add("HOUR", turn.cast("int"), _plus_days(start, conv % 15))
+    return dialogue_pairs(table(spark, sf_dir, "conversations")).select(
+        F.concat_ws("-", conv, turn).alias("dialogue_id"),
+        at.alias("timestamp"),
+        _null_if(conv % 97 == 0, conv.cast("string")).alias("user_id"),
+        "user_query",
+        "bot_response",
+    )
+
+
+def dialogue_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue_rows(
+        score_dialogues(dialogues(spark, sf_dir), CUSTOM_WORDS, CUSTOM_INJECTION, CUSTOM_FAILURES)
+    )
+
+
+def untidy_requests(gold: DataFrame) -> DataFrame:
+    """Gold users as scoring requests, some of them broken in each possible way."""
+    u = F.col("user_id").cast("bigint")
+    return with_income(gold).select(
+        F.when(u % 29 == 0, "").otherwise(F.col("user_id")).alias("user_id"),
+        F.when(u % 31 == 0, F.lit(-10.0)).otherwise(F.col("monthly_volume")).alias("monthly_volume"),
+        F.when(u % 37 == 0, 35)
+        .when(u % 41 == 0, -1)
+        .otherwise(F.col("session_regularity"))
+        .alias("session_regularity"),
+        F.when(u % 43 == 0, F.lit(-5000.0))
+        .when(u % 47 == 0, F.lit(float("nan")))
+        .when(u % 53 != 0, F.col("income"))
+        .alias("income"),
+    )
+
+
+def untidy_features(gold: DataFrame) -> DataFrame:
+    """Gold users with values out of bounds, missing, infinite or not a number."""
+    u = F.col("user_id").cast("bigint")
+    return with_income(gold).select(
+        "user_id",
+        F.when(u % 11 == 0, -F.col("monthly_volume") - 1.0)
+        .when(u % 13 == 0, F.lit(float("inf")))
+        .otherwise(F.col("monthly_volume") + u.cast("double"))
+        .alias("monthly_volume"),
+        (u % 45 - 5).cast("int").alias("session_regularity"),
+        F.when(u % 17 == 0, F.lit(float("inf")))
+        .when(u % 19 == 0, -F.col("income"))
+        .when(u % 23 == 0, F.lit(float("nan")))
+        .when(u % 7 != 0, F.round("income", 2))
+        .alias("income"),
+        "target_default_30d",
+    )
+
+
+def scored_targets(gold: DataFrame) -> DataFrame:
+    """Gold users with a score that leans on the target and has many ties."""
+    u = uniform(F.col("user_id"), 11)
+    blend = u * 0.6 + F.col("target_default_30d") * 0.4
+    return gold.select(
+        "user_id",
+        F.col("target_default_30d").alias("label"),
+        (F.floor(blend * 100.0) / 100.0).alias("probability"),
+    )

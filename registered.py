@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.plans import cohorts, gold
+from ledgerlark.functions import policy
+from ledgerlark.functions.features import uniform
+from ledgerlark.operators.audit import audit_warnings, audit_wide
+from ledgerlark.operators.psi import bin_counts, bin_edges, long_form
+from ledgerlark.operators.ranking import class_curves, model_metrics
+from ledgerlark.plans import cohorts, drift, gold, scoring, telemetry, training
+from ledgerlark.plans.dialogue import safety_summary
+from ledgerlark.plans.medallion import build_gold, refresh_silver
 from ledgerlark.plans.silver import all_silver, to_silver
+from ledgerlark.plans.tracking import drift_rows
+from ledgerlark.schemas import FEATURES
+from ledgerlark.session import scratch_path, written
 from ledgerlark.sources import demo
+from ledgerlark.sources.lake import Lake
+from ledgerlark.sources.logs import in_week, log_dialogues, log_predictions
+from ledgerlark.sources.raw import load_bronze
+from ledgerlark.streaming.layers import stream_to_bronze, stream_to_silver
+from ledgerlark.streaming.monitoring import (
+    latency_windows,
+    stream_predictions,
+    weekly_bin_counts,
+    weekly_psi,
+)
 
 OBS = demo.OBSERVATION_DATE
 AS_OF = demo.AS_OF_DATE
@@ -87,3 +109,367 @@ def cohort_alerts(spark, sf_dir):
     return cohorts.cohort_alerts(_rates(spark, sf_dir)).withColumn(
         "default_rate", F.round("default_rate", 6)
     )
+
+
+def _r6(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+def lake_at(spark: SparkSession, label: str) -> Lake:
+    """A fresh lake in the shared scratch folder."""
+    lake = Lake(spark, scratch_path(spark, label), buckets=4)
+    lake.create()
+    return lake
+
+
+# --- Bronze and Silver ------------------------------------------------------------------
+@query
+def csv_ingest(spark, sf_dir):
+    lake, folder = lake_at(spark, "csv"), scratch_path(spark, "csv-files")
+    demo.bronze_sessions(spark, sf_dir).write.option("header", True).csv(f"{folder}/user_sessions.csv")
+    load_bronze(lake, folder)
+    return lake.read("bronze", "user_sessions")
+
+
+@query
+def json_ingest(spark, sf_dir):
+    lake, folder = lake_at(spark, "json"), scratch_path(spark, "json-files")
+    demo.bronze_loans(spark, sf_dir).write.json(f"{folder}/loans.json")
+    load_bronze(lake, folder)
+    return lake.read("bronze", "loans")
+
+
+@query
+def audit_counts(spark, sf_dir):
+    return audit_wide(demo.bronze(spark, sf_dir))
+
+
+@query
+def audit_warning_lines(spark, sf_dir):
+    return audit_warnings(demo.bronze(spark, sf_dir))
+
+
+@query
+def layer_counts(spark, sf_dir):
+    bronze = demo.bronze(spark, sf_dir)
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "rows"
+        )
+        for layer, frames in (("bronze", bronze), ("silver", all_silver(bronze)))
+        for name, df in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def silver_upsert(spark, sf_dir):
+    """Two overlapping loads of loans, one after the other."""
+    loads = demo.bronze_loans(spark, sf_dir)
+    lake = lake_at(spark, "upsert")
+    for part in ("updated_at < '1999-01-01'", "updated_at >= '1998-01-01'"):
+        lake.upsert_silver({"loans": to_silver(loads.where(part), "loans")})
+    return lake.read("silver", "loans")
+
+
+# --- Gold -------------------------------------------------------------------------------
+@query
+def gold_merge_second_run(spark, sf_dir):
+    """Two observation dates merged into Gold, the second one twice."""
+    layer = {t: written(df, t) for t, df in silver(spark, sf_dir).items()}
+    lake = lake_at(spark, "gold")
+    for date in ("2000-06-01", OBS, OBS):
+        lake.merge_gold(gold.gold_rows(layer, date, AS_OF))
+    return lake.read("gold", "target_construction")
+
+
+@query
+def pipeline_cohorts(spark, sf_dir):
+    """The whole flow through stored layers."""
+    lake = lake_at(spark, "pipeline")
+    load_bronze(lake, demo.bronze(spark, sf_dir))
+    refresh_silver(lake)
+    build_gold(lake, OBS, AS_OF)
+    return _r6(
+        cohorts.cohort_default_rates(
+            lake.read("gold", "target_construction"), lake.read("silver", "users"), OBS
+        ),
+        "default_rate",
+    )
+
+
+@query
+def cohort_report(spark, sf_dir):
+    return cohorts.cohort_report(_rates(spark, sf_dir), OBS)
+
+
+# --- Training ---------------------------------------------------------------------------
+@query
+def synthetic_income(spark, sf_dir):
+    rows = training.training_rows(gold_frame(spark, sf_dir), OBS)
+    return _r6(rows.select("user_id", "income"), "income")
+
+
+def _split(spark, sf_dir):
+    return training.split_rows(demo.untidy_features(gold_frame(spark, sf_dir)))
+
+
+@query
+def stratified_split(spark, sf_dir):
+    return _split(spark, sf_dir).select("user_id", "target_default_30d", "is_test")
+
+
+@query
+def bounded_imputed_features(spark, sf_dir):
+    split = written(_split(spark, sf_dir), "split")
+    return _r6(training.impute(split), *FEATURES)
+
+
+@query
+def class_weight(spark, sf_dir):
+    train = _split(spark, sf_dir).where(~F.col("is_test"))
+    return _r6(training.class_weight(train), "class_weight")
+
+
+def _metrics(spark, sf_dir):
+    metrics = model_metrics(demo.scored_targets(gold_frame(spark, sf_dir)))
+    return _r6(metrics, *metrics.columns)
+
+
+@query
+def roc_auc_gini(spark, sf_dir):
+    return _metrics(spark, sf_dir).select("roc_auc", "gini_index")
+
+
+@query
+def ks_statistic(spark, sf_dir):
+    return _metrics(spark, sf_dir).select("ks_statistic")
+
+
+@query
+def class_cdfs(spark, sf_dir):
+    curves = class_curves(demo.scored_targets(gold_frame(spark, sf_dir)), "label", "probability")
+    return _r6(
+        curves.select("score", "positives_cdf", "negatives_cdf"), "positives_cdf", "negatives_cdf"
+    )
+
+
+@query
+def accuracy_logloss(spark, sf_dir):
+    return _metrics(spark, sf_dir).select("accuracy", "log_loss")
+
+
+@query
+def model_evaluation(spark, sf_dir):
+    return _metrics(spark, sf_dir)
+
+
+@query
+def gbt_scores(spark, sf_dir):
+    """A small model trained on the cohort, answering every user of it."""
+    rows = written(training.training_rows(gold_frame(spark, sf_dir), OBS), "cohort")
+    prepared = written(training.impute(training.split_rows(rows)), "prepared")
+    model = training.fit(prepared.where(~F.col("is_test")), maxIter=5, maxDepth=3)
+    answers = scoring.score(prepared, model)
+    return answers.select(
+        "user_id", "probability_of_default", "credit_limit", "decision", "status"
+    )
+
+
+# --- Scoring ----------------------------------------------------------------------------
+@query
+def credit_decisions(spark, sf_dir):
+    rows = training.with_income(gold_frame(spark, sf_dir)).withColumn(
+        "pd", F.round(uniform(F.col("user_id"), 7) * 0.2, 4)
+    )
+    return rows.select(
+        "user_id",
+        "pd",
+        F.round(policy.credit_limit(F.col("pd"), F.col("income")), 6).alias("credit_limit"),
+        policy.credit_decision(F.col("pd")).alias("decision"),
+    )
+
+
+@query
+def request_validation(spark, sf_dir):
+    checked = scoring.with_reasons(demo.untidy_requests(gold_frame(spark, sf_dir)))
+    reasons = F.concat_ws(",", "rejection_reasons")
+    return checked.groupBy(reasons.alias("reasons")).agg(F.count(F.lit(1)).alias("requests"))
+
+
+@query
+def scoring_fallback(spark, sf_dir):
+    answers = scoring.decide(demo.scored_requests(spark, sf_dir))
+    return _r6(
+        answers.select(
+            "prediction_id", "probability_of_default", "credit_limit", "decision", "status"
+        ),
+        "probability_of_default",
+        "credit_limit",
+    )
+
+
+@query
+def prediction_log_anomalies(spark, sf_dir):
+    """Logged twice, kept once."""
+    lake = lake_at(spark, "predictions")
+    answers = scoring.decide(demo.scored_requests(spark, sf_dir))
+    for _ in range(2):
+        log_predictions(lake, answers)
+    logs = lake.read("gold", "prediction_logs")
+    return _r6(logs, "income", "probability_of_default", "credit_limit", "monthly_volume")
+
+
+# --- Monitoring -------------------------------------------------------------------------
+@query
+def rolling_latency(spark, sf_dir):
+    rows = telemetry.rolling_latency(demo.table(spark, sf_dir, "events"), "event_type", "ts", "value")
+    return _r6(rows, "rolling_mean")
+
+
+@query
+def latency_sla(spark, sf_dir):
+    sla = telemetry.latency_sla(demo.table(spark, sf_dir, "events"), "event_type", "value")
+    return _r6(sla, "compliance")
+
+
+@query
+def telemetry_summary(spark, sf_dir):
+    days = telemetry.daily_summary(demo.prediction_logs(spark, sf_dir))
+    return _r6(days, "mean_latency_ms", "mean_pd", "fallback_rate", "anomaly_rate")
+
+
+def _before(df: DataFrame) -> DataFrame:
+    return df.where(F.col("timestamp") < F.lit(demo.BASELINE_UNTIL).cast("timestamp_ntz"))
+
+
+@query
+def decile_edges(spark, sf_dir):
+    base = long_form(_before(demo.prediction_logs(spark, sf_dir)), drift.PREDICTION_VARIABLES)
+    edges = bin_edges(base).select("variable", F.posexplode("edges").alias("position", "edge"))
+    return _r6(edges, "edge")
+
+
+@query
+def psi_by_variable(spark, sf_dir):
+    logs = demo.prediction_logs(spark, sf_dir, drifted=True)
+    psi = drift.prediction_drift(in_week(logs, demo.DRIFTED_WEEK), _before(logs))
+    return _r6(
+        psi.select("variable_name", "psi_value", "drift_status", "alert_triggered"), "psi_value"
+    )
+
+
+def _week(spark, sf_dir, date):
+    logs = demo.prediction_logs(spark, sf_dir, drifted=True)
+    return drift.weekly_metrics(logs, demo.dialogue_logs(spark, sf_dir), _before(logs), date)
+
+
+@query
+def weekly_drift_metrics(spark, sf_dir):
+    """Stored twice for the same day, kept once."""
+    lake = lake_at(spark, "drift")
+    metrics = written(_week(spark, sf_dir, demo.STABLE_WEEK), "week")
+    for _ in range(2):
+        lake.replace_drift_metrics(metrics)
+    return _r6(lake.read("gold", "drift_metrics"), "psi_value")
+
+
+@query
+def drift_week_comparison(spark, sf_dir):
+    pairs = drift.compare_weeks(
+        _week(spark, sf_dir, demo.STABLE_WEEK), _week(spark, sf_dir, demo.DRIFTED_WEEK)
+    )
+    return _r6(pairs, *[c for c, t in pairs.dtypes if t == "double"])
+
+
+@query
+def drift_overall_alert(spark, sf_dir):
+    return drift.overall_alert(_week(spark, sf_dir, demo.DRIFTED_WEEK))
+
+
+@query
+def drift_run_metrics(spark, sf_dir):
+    rows = drift_rows(_week(spark, sf_dir, demo.DRIFTED_WEEK), "drifted-week")
+    return _r6(rows, "number")
+
+
+@query
+def dialogue_scores(spark, sf_dir):
+    lake = lake_at(spark, "dialogues")
+    log_dialogues(lake, demo.dialogue_logs(spark, sf_dir))
+    return _r6(lake.read("gold", "dialogue_logs"), "toxicity_score")
+
+
+@query
+def dialogue_safety_summary(spark, sf_dir):
+    return _r6(safety_summary(demo.dialogue_logs(spark, sf_dir)), "avg_value", "rate_value")
+
+
+# --- Streams ----------------------------------------------------------------------------
+@query
+def stream_silver_users(spark, sf_dir):
+    """CSV files to Bronze to Silver, both as streams, in two rounds of files."""
+    lake, folder = lake_at(spark, "stream"), scratch_path(spark, "stream-files")
+    users = demo.bronze_users(spark, sf_dir)
+    late = F.coalesce(F.col("country") > "NATION_2", F.lit(False))
+    for part in (late, ~late):
+        users.where(part).write.mode("append").option("header", True).csv(folder)
+        stream_to_bronze(lake, "users", folder, f"{lake.root}/checkpoints/bronze").awaitTermination()
+        stream_to_silver(lake, "users", f"{lake.root}/checkpoints/silver").awaitTermination()
+    return lake.read("silver", "users")
+
+
+def _event_stream(spark, sf_dir):
+    events = demo.table(spark, sf_dir, "events")
+    return spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+@query
+def stream_prediction_log(spark, sf_dir):
+    """Every valid request of the stream answered by the fallback and logged once."""
+    e = F.col("event_id")
+    requests = _event_stream(spark, sf_dir).select(
+        F.concat(F.lit("p"), e.cast("string")).alias("prediction_id"),
+        F.col("ts").alias("timestamp"),
+        F.col("user_id").cast("string").alias("user_id"),
+        (F.col("value") * 40.0).alias("monthly_volume"),
+        (e * 7 % 33).cast("int").alias("session_regularity"),
+        (F.col("value") * 100.0).alias("income"),
+        F.col("value").alias("latency_ms"),
+    )
+    lake = lake_at(spark, "stream-predictions")
+    stream_predictions(lake, requests, None, f"{lake.root}/checkpoints/log").awaitTermination()
+    return _r6(lake.read("gold", "prediction_logs"), "monthly_volume", "income")
+
+
+def _drained(spark, result: DataFrame, label: str) -> DataFrame:
+    """All rows a stream appends until its source is used up."""
+    path = scratch_path(spark, label)
+    (
+        result.writeStream.format("parquet")
+        .option("path", f"{path}/rows")
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.schema(result.schema).parquet(f"{path}/rows")
+
+
+@query
+def stream_latency_windows(spark, sf_dir):
+    windows = latency_windows(_event_stream(spark, sf_dir), "event_type", "ts", "value")
+    return _r6(_drained(spark, windows, "latency"), "mean_latency")
+
+
+@query
+def stream_weekly_psi(spark, sf_dir):
+    """Finished weeks of the event stream against the first two weeks' deciles."""
+    events = demo.table(spark, sf_dir, "events")
+    until = F.lit(demo.BASELINE_UNTIL).cast("timestamp_ntz")
+    baseline = long_form(events.where(F.col("ts") < until), ["value"])
+    edges = written(bin_edges(baseline), "edges")
+    counts = weekly_bin_counts(_event_stream(spark, sf_dir), edges, ["value"], "ts")
+    actual = _drained(spark, counts, "bins")
+    expected = bin_counts(edges, expected=baseline)
+    return _r6(weekly_psi(actual, expected), "psi")
