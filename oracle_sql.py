@@ -203,6 +203,274 @@ GROUP BY 1
 """
 
 
+# --- features and scores ------------------------------------------------------------
+def uniform(key: str, seed: int, part: int = 0) -> str:
+    digits = f"substr(md5({key} || '|{seed}'), {1 + 8 * part}, 8)"
+    return f"(CAST(('0x' || {digits}) AS BIGINT) / 4294967296.0)"
+
+
+CTES["incomes"] = f"""
+SELECT user_id, observation_date, monthly_volume, session_regularity, target_default_30d,
+       greatest(15000.0, 1.5 * monthly_volume + exp(9.5 + 0.5 *
+         sqrt(-2.0 * ln({uniform('user_id', 42, 0)} + 1.0 / 4294967296.0))
+         * cos(2 * pi() * {uniform('user_id', 42, 1)}))) AS income
+FROM gold
+"""
+CTES["untidy"] = """
+SELECT user_id, target_default_30d,
+       CASE WHEN u % 11 = 0 THEN -monthly_volume - 1.0
+            WHEN u % 13 = 0 THEN CAST('inf' AS DOUBLE)
+            ELSE monthly_volume + u END AS monthly_volume,
+       u % 45 - 5 AS session_regularity,
+       CASE WHEN u % 17 = 0 THEN CAST('inf' AS DOUBLE)
+            WHEN u % 19 = 0 THEN -income
+            WHEN u % 23 = 0 THEN CAST('nan' AS DOUBLE)
+            WHEN u % 7 <> 0 THEN round(income, 2) END AS income
+FROM (SELECT *, CAST(user_id AS BIGINT) AS u FROM incomes)
+"""
+CTES["bounded_rows"] = """
+SELECT user_id, target_default_30d,
+       CASE WHEN monthly_volume < 0 THEN 0.0
+            WHEN isinf(monthly_volume) THEN NULL ELSE monthly_volume END AS monthly_volume,
+       CAST(least(greatest(session_regularity, 0), 30) AS DOUBLE) AS session_regularity,
+       CASE WHEN isnan(income) OR isinf(income) OR income < 0 THEN NULL ELSE income END AS income
+FROM untidy
+"""
+CTES["class_sizes"] = """
+SELECT target_default_30d AS cls, COUNT(*) AS n, SUM(COUNT(*)) OVER () AS total
+FROM untidy GROUP BY 1
+"""
+CTES["class_quotas"] = """
+SELECT cls, ceil(round(total * 0.3, 9)) AS wanted, floor(round(ceil(round(total * 0.3, 9)) * n / total, 9)) AS base,
+       round(ceil(round(total * 0.3, 9)) * n / total, 9) AS quota FROM class_sizes
+"""
+CTES["class_tests"] = """
+SELECT cls, base + CASE WHEN row_number() OVER (ORDER BY quota - base DESC, cls DESC)
+                             <= wanted - SUM(base) OVER () THEN 1 ELSE 0 END AS n_test
+FROM class_quotas
+"""
+CTES["parts"] = """
+SELECT b.*, row_number() OVER (PARTITION BY target_default_30d
+              ORDER BY md5('42|' || user_id) || '|' || user_id) <= n_test AS is_test
+FROM bounded_rows b JOIN class_tests ON cls = target_default_30d
+"""
+CTES["medians"] = """
+SELECT coalesce(median(monthly_volume), 0.0) AS mv, coalesce(median(session_regularity), 0.0) AS sr,
+       coalesce(median(income), 0.0) AS inc
+FROM parts WHERE NOT is_test
+"""
+CTES["scored"] = f"""
+SELECT user_id, target_default_30d AS label,
+       floor(({uniform('user_id', 11)} * 0.6 + target_default_30d * 0.4) * 100.0) / 100.0 AS p
+FROM gold
+"""
+CTES["score_ranks"] = """
+SELECT label, p, rank() OVER (ORDER BY p) + (COUNT(*) OVER (PARTITION BY p) - 1) / 2.0 AS r
+FROM scored
+"""
+CTES["auc"] = """
+SELECT (SUM(r) FILTER (WHERE label = 1) - n1 * (n1 + 1) / 2.0) / (n1 * n0) AS roc_auc
+FROM score_ranks, (SELECT CAST(SUM(label) AS DOUBLE) AS n1,
+                          CAST(COUNT(*) - SUM(label) AS DOUBLE) AS n0 FROM scored)
+GROUP BY n1, n0
+"""
+CTES["cdfs"] = """
+SELECT t.p AS score,
+       CAST(COUNT(*) FILTER (WHERE s.label = 1 AND s.p <= t.p) AS DOUBLE)
+         / COUNT(*) FILTER (WHERE s.label = 1) AS positives_cdf,
+       CAST(COUNT(*) FILTER (WHERE s.label = 0 AND s.p <= t.p) AS DOUBLE)
+         / COUNT(*) FILTER (WHERE s.label = 0) AS negatives_cdf
+FROM (SELECT DISTINCT p FROM scored) t, scored s GROUP BY t.p
+"""
+CTES["evaluation"] = """
+SELECT (SELECT roc_auc FROM auc) AS roc_auc,
+       2.0 * (SELECT roc_auc FROM auc) - 1.0 AS gini_index,
+       (SELECT MAX(abs(negatives_cdf - positives_cdf)) FROM cdfs) AS ks_statistic,
+       AVG(CASE WHEN (p > 0.5) = (label = 1) THEN 1.0 ELSE 0.0 END) AS accuracy,
+       AVG(-CASE WHEN label = 1 THEN ln(greatest(least(p, 1.0 - 2.220446049250313e-16), 2.220446049250313e-16))
+             ELSE ln(1.0 - greatest(least(p, 1.0 - 2.220446049250313e-16), 2.220446049250313e-16)) END) AS log_loss
+FROM scored
+"""
+CTES["requests"] = """
+SELECT CASE WHEN u % 29 = 0 THEN '' ELSE user_id END AS user_id,
+       CASE WHEN u % 31 = 0 THEN -10.0 ELSE monthly_volume END AS monthly_volume,
+       CASE WHEN u % 37 = 0 THEN 35 WHEN u % 41 = 0 THEN -1 ELSE session_regularity END
+         AS session_regularity,
+       CASE WHEN u % 43 = 0 THEN -5000.0 WHEN u % 47 = 0 THEN CAST('nan' AS DOUBLE)
+            WHEN u % 53 <> 0 THEN income END AS income
+FROM (SELECT *, CAST(user_id AS BIGINT) AS u FROM incomes)
+"""
+
+# --- logs ---------------------------------------------------------------------------
+def limit_of(pd: str, income: str) -> str:
+    return (
+        f"CASE WHEN {pd} > 0.10 THEN 0.0 "
+        f"WHEN {pd} > 0.04 THEN least(greatest(0.10 * {income}, 2000.0), 25000.0) "
+        f"ELSE least(greatest(0.25 * {income}, 5000.0), 100000.0) END"
+    )
+
+
+def decision_of(pd: str) -> str:
+    return (
+        f"CASE WHEN {pd} > 0.10 THEN 'REJECT' WHEN {pd} > 0.04 THEN 'APPROVE_MEDIUM_RISK' "
+        "ELSE 'APPROVE_LOW_RISK' END"
+    )
+
+
+def answered(factor: str) -> str:
+    return f"""
+SELECT prediction_id, timestamp, user_id, monthly_volume, session_regularity, income,
+       coalesce(pd, 0.08) AS probability_of_default,
+       CASE WHEN pd IS NULL THEN 2000.0 ELSE {limit_of('pd', 'income')} END AS credit_limit,
+       CASE WHEN pd IS NULL THEN 'FALLBACK_APPROVE' ELSE {decision_of('pd')} END AS decision,
+       latency_ms, CASE WHEN pd IS NULL THEN 'FALLBACK' ELSE 'SUCCESS' END AS status
+FROM (SELECT 'p' || event_id AS prediction_id, ts AS timestamp,
+             CASE WHEN event_id % 103 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
+             CASE WHEN event_id % 59 <> 0 THEN value * 40.0 * {factor} END AS monthly_volume,
+             CAST(event_id * 7 % 31 AS INTEGER) AS session_regularity,
+             value * 100.0 * {factor} + 15000.0 AS income,
+             CASE WHEN event_id % 61 <> 0
+                  THEN {uniform('CAST(event_id AS VARCHAR)', 7)} * 0.2 END AS pd,
+             value AS latency_ms FROM events)
+"""
+
+
+CTES["answers"] = answered("1.0")
+CTES["answers_drifted"] = answered(
+    "CASE WHEN ts > TIMESTAMP '2024-01-22 23:59:59' THEN CAST(2.2 AS DOUBLE) ELSE 1.0 END"
+)
+LOG_ROW = """
+SELECT prediction_id, timestamp, coalesce(user_id, 'UNKNOWN') AS user_id, monthly_volume,
+       session_regularity, income, probability_of_default, credit_limit, decision, latency_ms,
+       status, (user_id IS NULL OR monthly_volume IS NULL) AS is_anomaly
+FROM {source}
+"""
+CTES["prediction_logs"] = LOG_ROW.format(source="answers")
+CTES["drifted_logs"] = LOG_ROW.format(source="answers_drifted")
+CTES["dialogues"] = """
+SELECT u.conv_id || '-' || u.turn AS dialogue_id,
+       TIMESTAMP '2024-01-15 06:00:00' + to_days(CAST(u.conv_id % 15 AS INTEGER))
+         + to_hours(u.turn) AS timestamp,
+       CASE WHEN u.conv_id % 97 = 0 THEN 'UNKNOWN' ELSE CAST(u.conv_id AS VARCHAR) END AS user_id,
+       u.text AS user_query, a.text AS bot_response
+FROM conversations u JOIN conversations a
+  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+WHERE u.role = 'user'
+"""
+
+
+def hits(text: str, tests: list[str], how: str) -> str:
+    return " + ".join(f"CAST({how}(lower({text}), '{t}') AS INTEGER)" for t in tests)
+
+
+CTES["dialogue_logs"] = f"""
+SELECT *,
+       CASE WHEN coalesce(user_query, '') = '' THEN 0.0 ELSE
+         least(({hits('user_query', ['hate', 'that', 'keit', 'eaux'], 'contains')}) / 3.0, 1.0) END
+         AS toxicity_score,
+       CASE WHEN coalesce(user_query, '') = '' THEN 0.0 ELSE
+         least(({hits('user_query', ['the and', 'en ', 'ou.', '^in '], 'regexp_matches')}) / 2.0, 1.0)
+         END AS prompt_injection_score,
+       CASE WHEN coalesce(bot_response, '') = '' THEN 0.0 ELSE greatest(1.0 - 0.5 *
+         ({hits('bot_response', ['thth', 'un[g]', 'la '], 'regexp_matches')}), 0.0) END AS fidelity_score
+FROM dialogues
+"""
+
+
+# --- drift --------------------------------------------------------------------------
+def long_of(source: str, where: str) -> str:
+    variables = ("monthly_volume", "session_regularity", "income", "probability_of_default")
+    return " UNION ALL ".join(
+        f"SELECT '{v}' AS variable, CAST({v} AS DOUBLE) AS x FROM {source} "
+        f"WHERE {v} IS NOT NULL AND {where}"
+        for v in variables
+    )
+
+
+STEPS = "[" + ", ".join(str(i / 10) for i in range(11)) + "]"
+
+
+def edge_rows(source: str) -> str:
+    return f"""
+SELECT variable, edge, row_number() OVER (PARTITION BY variable ORDER BY edge) - 1 AS position,
+       COUNT(*) OVER (PARTITION BY variable) AS edges
+FROM (SELECT DISTINCT variable, unnest(q) AS edge
+      FROM (SELECT variable, quantile_cont(x, {STEPS}) AS q FROM {source} GROUP BY variable))
+"""
+
+
+def psi_rows(edges: str, expected: str, actual: str) -> str:
+    def binned(sample: str) -> str:
+        return f"""
+SELECT s.variable, COUNT(e.edge) AS bin FROM
+  (SELECT variable, x, row_number() OVER () AS id FROM {sample}) s
+  LEFT JOIN (SELECT * FROM {edges} WHERE position > 0 AND position < edges - 1) e
+    ON e.variable = s.variable AND e.edge <= s.x
+GROUP BY s.variable, s.id"""
+
+    return f"""
+SELECT variable, CASE WHEN SUM(a0) = 0 OR SUM(e0) = 0 THEN 0.0
+                      ELSE SUM((a / ta - e / te) * ln((a / ta) / (e / te))) END AS psi
+FROM (SELECT *, SUM(a) OVER (PARTITION BY variable) AS ta, SUM(e) OVER (PARTITION BY variable) AS te
+      FROM (SELECT g.variable, g.bin, coalesce(x.n, 0) AS e0, coalesce(y.n, 0) AS a0,
+                   greatest(coalesce(x.n, 0), 0.0001::DOUBLE) AS e,
+                   greatest(coalesce(y.n, 0), 0.0001::DOUBLE) AS a
+            FROM (SELECT DISTINCT variable, greatest(position - 1, 0) AS bin FROM {edges}
+                  WHERE position < edges) g
+            LEFT JOIN (SELECT variable, bin, COUNT(*) AS n FROM ({binned(expected)}) GROUP BY 1, 2) x
+              ON x.variable = g.variable AND x.bin = g.bin
+            LEFT JOIN (SELECT variable, bin, COUNT(*) AS n FROM ({binned(actual)}) GROUP BY 1, 2) y
+              ON y.variable = g.variable AND y.bin = g.bin))
+GROUP BY variable
+"""
+
+
+def between_days(start: str, end: str) -> str:
+    return f"timestamp >= TIMESTAMP '{start} 00:00:00' AND timestamp <= TIMESTAMP '{end} 23:59:59'"
+
+
+WEEKS = {"stable": ("2024-01-15", "2024-01-22"), "drifted": ("2024-01-22", "2024-01-29")}
+BEFORE = "timestamp < TIMESTAMP '2024-01-15 00:00:00'"
+CTES["base_long"] = long_of("prediction_logs", BEFORE)
+CTES["base_edges"] = edge_rows("base_long")
+for _week, (_start, _end) in WEEKS.items():
+    CTES[f"{_week}_long"] = long_of("drifted_logs", between_days(_start, _end))
+    CTES[f"{_week}_psi"] = psi_rows("base_edges", "base_long", f"{_week}_long")
+    CTES[f"{_week}_safety"] = f"""
+SELECT coalesce(AVG(toxicity_score), 0.0) AS tox, coalesce(AVG(prompt_injection_score), 0.0) AS inj,
+       coalesce(AVG(fidelity_score), 1.0) AS fid,
+       coalesce(AVG(CASE WHEN prompt_injection_score > 0 THEN 1.0 ELSE 0.0 END), 0.0) AS rate
+FROM dialogue_logs WHERE {between_days(_start, _end)}
+"""
+    CTES[f"{_week}_week"] = f"""
+SELECT variable AS variable_name, psi AS psi_value, CAST(NULL AS DOUBLE) AS avg_value,
+       CAST(NULL AS DOUBLE) AS rate_value,
+       CASE WHEN psi >= 0.25 THEN 'DRIFT' WHEN psi >= 0.1 THEN 'MODERATE' ELSE 'STABLE' END
+         AS drift_status, psi >= 0.25 AS alert_triggered FROM {_week}_psi
+UNION ALL SELECT 'toxicity_score', 0.0, tox, 0.0, 'STABLE', tox > 0.20 FROM {_week}_safety
+UNION ALL SELECT 'prompt_injection_score', 0.0, inj, rate, 'STABLE', rate > 0.05 FROM {_week}_safety
+UNION ALL SELECT 'fidelity_score', 0.0, fid, 0.0, 'STABLE', FALSE FROM {_week}_safety
+"""
+
+# --- streams ------------------------------------------------------------------------
+CTES["event_base"] = (
+    "SELECT 'value' AS variable, value AS x FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'"
+)
+CTES["event_edges"] = edge_rows("event_base")
+CTES["event_weeks"] = """
+SELECT CAST(time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01 00:00:00') AS VARCHAR) AS variable,
+       value AS x FROM events
+"""
+CTES["event_week_edges"] = """
+SELECT DISTINCT w.variable, e.edge, e.position, e.edges FROM event_edges e,
+  (SELECT DISTINCT variable FROM event_weeks) w
+"""
+CTES["event_week_base"] = """
+SELECT w.variable, b.x FROM event_base b, (SELECT DISTINCT variable FROM event_weeks) w
+"""
+CTES["event_week_psi"] = psi_rows("event_week_edges", "event_week_base", "event_weeks")
+
+
 def with_ctes(body: str) -> str:
     """Prefix ``body`` with the CTEs it names, directly or through others, in order."""
     needed: set[str] = set()
@@ -235,5 +503,237 @@ QUERIES["cohort_alerts"] = (
 )
 
 
+QUERIES["csv_ingest"] = "SELECT * FROM bronze_sessions"
+QUERIES["json_ingest"] = "SELECT * FROM bronze_loans"
+DUPLICATES = (
+    "(SELECT CAST(coalesce(SUM(n - 1), 0) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM {t} "
+    "WHERE {k} IS NOT NULL GROUP BY {k} HAVING COUNT(*) > 1))"
+)
+AUDIT = {
+    "users_null_pk": "(SELECT COUNT(*) FROM bronze_users WHERE user_id IS NULL)",
+    "users_duplicate_pk": DUPLICATES.format(t="bronze_users", k="user_id"),
+    "users_invalid_timestamps": "(SELECT COUNT(*) FROM bronze_users WHERE user_id IS NOT NULL AND ("
+    + " OR ".join(
+        f"{ts_iso(c)} IS NULL" for c in ("created_at", "updated_at", "ingestion_timestamp")
+    )
+    + "))",
+    "sessions_null_pk": "(SELECT COUNT(*) FROM bronze_sessions "
+    "WHERE session_id IS NULL OR user_id IS NULL)",
+    "sessions_invalid_timestamp": "(SELECT COUNT(*) FROM bronze_sessions "
+    f"WHERE session_id IS NOT NULL AND {ts_iso('session_timestamp')} IS NULL)",
+    "loans_null_pk": "(SELECT COUNT(*) FROM bronze_loans WHERE loan_id IS NULL OR user_id IS NULL)",
+    "loans_duplicate_pk": DUPLICATES.format(t="bronze_loans", k="loan_id"),
+    "loans_invalid_disbursement_date": "(SELECT COUNT(*) FROM bronze_loans "
+    f"WHERE loan_id IS NOT NULL AND {date('disbursement_date')} IS NULL)",
+    "loans_invalid_amount": "(SELECT COUNT(*) FROM bronze_loans "
+    "WHERE loan_id IS NOT NULL AND TRY_CAST(amount AS DOUBLE) IS NULL)",
+    "payments_null_pk": "(SELECT COUNT(*) FROM bronze_payments "
+    "WHERE payment_id IS NULL OR loan_id IS NULL)",
+    "payments_duplicate_pk": DUPLICATES.format(t="bronze_payments", k="payment_id"),
+    "payments_invalid_due_date": "(SELECT COUNT(*) FROM bronze_payments "
+    f"WHERE payment_id IS NOT NULL AND {date('due_date')} IS NULL)",
+    "payments_invalid_payment_date": "(SELECT COUNT(*) FROM bronze_payments "
+    "WHERE payment_id IS NOT NULL AND payment_date IS NOT NULL "
+    f"AND {date('payment_date')} IS NULL)",
+    "payments_invalid_amounts": "(SELECT COUNT(*) FROM bronze_payments WHERE payment_id IS NOT NULL "
+    "AND (TRY_CAST(amount_due AS DOUBLE) IS NULL OR TRY_CAST(amount_paid AS DOUBLE) IS NULL))",
+}
+QUERIES["audit_counts"] = "SELECT " + ", ".join(f"{q} AS {n}" for n, q in AUDIT.items())
+QUERIES["audit_warning_lines"] = (
+    "SELECT \"check\", anomalies, 'Data Quality Anomaly: ' || \"check\" || ' = ' || anomalies || "
+    "' invalid/duplicate records detected.' AS warning FROM ("
+    + " UNION ALL ".join(f"SELECT '{n}' AS \"check\", {q} AS anomalies" for n, q in AUDIT.items())
+    + ") WHERE anomalies > 0"
+)
+QUERIES["layer_counts"] = " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, COUNT(*) AS rows FROM {layer}_{short}"
+    for layer in ("bronze", "silver")
+    for name, short in (
+        ("users", "users"),
+        ("user_sessions", "sessions"),
+        ("loans", "loans"),
+        ("loan_payments", "payments"),
+    )
+)
+for _n, _part in ((1, "updated_at < '1999-01-01'"), (2, "updated_at >= '1998-01-01'")):
+    CTES[f"silver_loans_{_n}"] = CTES["silver_loans"].replace(
+        "FROM bronze_loans WHERE", f"FROM bronze_loans WHERE {_part} AND"
+    )
+QUERIES["silver_upsert"] = """
+SELECT * FROM silver_loans_2 UNION ALL
+SELECT * FROM silver_loans_1 WHERE loan_id NOT IN (SELECT loan_id FROM silver_loans_2)
+"""
+for _name in ("volume", "regularity", "targets", "gold"):
+    _earlier = CTES[_name].replace(OBS, "DATE '2000-06-01'")
+    for _inner in ("volume", "regularity", "targets"):
+        if _name == "gold":
+            _earlier = re.sub(rf"\b{_inner} (?=[a-z])", f"{_inner}_earlier ", _earlier)
+    CTES[f"{_name}_earlier"] = _earlier
+QUERIES["gold_merge_second_run"] = "SELECT * FROM gold UNION ALL SELECT * FROM gold_earlier"
+QUERIES["pipeline_cohorts"] = QUERIES["cohort_default_rate"]
+QUERIES["cohort_report"] = """
+SELECT COUNT(*) AS alerting_cohorts, CASE WHEN COUNT(*) > 0 THEN
+  '# Diagnostic Drift Report — Cohort 2000-07-01' || chr(10) || chr(10) ||
+  'Generated for observation cohort date: 2000-07-01' || chr(10) ||
+  'Status: WARNING — High Default Rate Alert Triggered' || chr(10) || chr(10) ||
+  'Potential shift in credit profile or adverse selection detected in the following cohorts:'
+  || chr(10) || string_agg(
+    '- **Registration Month**: ' || coalesce(reg_month, 'None') || ' | **Default Rate**: ' ||
+    format('{:.2f}', default_rate * 100) || '% | **Cohort Size**: ' || cohort_size || ' users'
+    || chr(10), '' ORDER BY reg_month NULLS FIRST) END AS drift_report
+FROM cohorts WHERE default_rate > 0.15
+"""
+QUERIES["synthetic_income"] = "SELECT user_id, round(income, 6) AS income FROM incomes"
+QUERIES["stratified_split"] = "SELECT user_id, target_default_30d, is_test FROM parts"
+QUERIES["bounded_imputed_features"] = """
+SELECT user_id, target_default_30d, is_test,
+       round(coalesce(monthly_volume, mv), 6) AS monthly_volume,
+       round(coalesce(session_regularity, sr), 6) AS session_regularity,
+       round(coalesce(income, inc), 6) AS income
+FROM parts, medians
+"""
+QUERIES["class_weight"] = """
+SELECT round(CASE WHEN SUM(target_default_30d) > 0
+  THEN CAST(COUNT(*) - SUM(target_default_30d) AS DOUBLE) / SUM(target_default_30d)
+  ELSE 1.0 END, 6) AS class_weight FROM parts WHERE NOT is_test
+"""
+QUERIES["roc_auc_gini"] = (
+    "SELECT round(roc_auc, 6) AS roc_auc, round(2.0 * roc_auc - 1.0, 6) AS gini_index FROM auc"
+)
+QUERIES["ks_statistic"] = (
+    "SELECT round(MAX(abs(negatives_cdf - positives_cdf)), 6) AS ks_statistic FROM cdfs"
+)
+QUERIES["class_cdfs"] = (
+    "SELECT score, round(positives_cdf, 6) AS positives_cdf, "
+    "round(negatives_cdf, 6) AS negatives_cdf FROM cdfs"
+)
+QUERIES["accuracy_logloss"] = (
+    "SELECT round(accuracy, 6) AS accuracy, round(log_loss, 6) AS log_loss FROM evaluation"
+)
+QUERIES["model_evaluation"] = "SELECT " + ", ".join(
+    f"round({m}, 6) AS {m}"
+    for m in ("roc_auc", "gini_index", "ks_statistic", "accuracy", "log_loss")
+) + " FROM evaluation"
+QUERIES["credit_decisions"] = f"""
+SELECT user_id, pd, round({limit_of('pd', 'income')}, 6) AS credit_limit,
+       {decision_of('pd')} AS decision
+FROM (SELECT user_id, income, round({uniform('user_id', 7)} * 0.2, 4) AS pd FROM incomes)
+"""
+QUERIES["request_validation"] = """
+SELECT concat_ws(',', CASE WHEN user_id = '' THEN 'user_id' END,
+                 CASE WHEN monthly_volume < 0 THEN 'monthly_volume' END,
+                 CASE WHEN session_regularity NOT BETWEEN 0 AND 30 THEN 'session_regularity' END,
+                 CASE WHEN income IS NULL OR isnan(income) OR income < 0 THEN 'income' END) AS reasons,
+       COUNT(*) AS requests
+FROM requests GROUP BY 1
+"""
+QUERIES["scoring_fallback"] = """
+SELECT prediction_id, round(probability_of_default, 6) AS probability_of_default,
+       round(credit_limit, 6) AS credit_limit, decision, status FROM answers
+"""
+QUERIES["prediction_log_anomalies"] = """
+SELECT * REPLACE (round(income, 6) AS income, round(credit_limit, 6) AS credit_limit,
+                  round(probability_of_default, 6) AS probability_of_default,
+                  round(monthly_volume, 6) AS monthly_volume) FROM prediction_logs
+"""
+QUERIES["rolling_latency"] = """
+SELECT DISTINCT event_type, ts, COUNT(*) OVER w AS window_requests,
+       round(AVG(value) OVER w, 6) AS rolling_mean, AVG(value) OVER w > 100 AS sla_warning
+FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY ts
+             RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW)
+"""
+QUERIES["latency_sla"] = """
+SELECT event_type, COUNT(*) AS requests, COUNT(*) FILTER (WHERE value > 100) AS over_sla,
+       round(AVG(CASE WHEN value <= 100 THEN 1.0 ELSE 0.0 END), 6) AS compliance,
+       bool_and(value <= 100) AS all_within_sla
+FROM events GROUP BY event_type
+"""
+QUERIES["telemetry_summary"] = """
+SELECT CAST(timestamp AS DATE) AS log_date, COUNT(*) AS requests,
+       round(AVG(latency_ms), 6) AS mean_latency_ms,
+       round(AVG(probability_of_default), 6) AS mean_pd,
+       round(AVG(CASE WHEN status = 'FALLBACK' THEN 1.0 ELSE 0.0 END), 6) AS fallback_rate,
+       round(AVG(CASE WHEN is_anomaly THEN 1.0 ELSE 0.0 END), 6) AS anomaly_rate
+FROM prediction_logs GROUP BY 1
+"""
+QUERIES["decile_edges"] = (
+    "SELECT variable, CAST(position AS INTEGER) AS position, round(edge, 6) AS edge FROM base_edges"
+)
+QUERIES["psi_by_variable"] = """
+SELECT variable_name, round(psi_value, 6) AS psi_value, drift_status, alert_triggered
+FROM drifted_week WHERE avg_value IS NULL
+"""
+QUERIES["weekly_drift_metrics"] = """
+SELECT sha256('2024-01-22|' || variable_name) AS metric_id,
+       TIMESTAMP '2024-01-22 00:00:00' AS timestamp, variable_name,
+       round(psi_value, 6) AS psi_value, drift_status, alert_triggered,
+       DATE '2024-01-22' AS metric_date
+FROM stable_week
+"""
+QUERIES["drift_week_comparison"] = (
+    "SELECT variable_name, "
+    + ", ".join(
+        f"{w}.{c} AS {p}_{c}" if c in ("drift_status", "alert_triggered")
+        else f"round({w}.{c}, 6) AS {p}_{c}"
+        for w, p in (("a", "first"), ("b", "second"))
+        for c in ("psi_value", "avg_value", "rate_value", "drift_status", "alert_triggered")
+    )
+    + " FROM stable_week a JOIN drifted_week b USING (variable_name)"
+)
+QUERIES["drift_overall_alert"] = """
+SELECT bool_or(alert_triggered) AS alerts_triggered,
+       COUNT(*) FILTER (WHERE alert_triggered) AS alerting_metrics
+FROM drifted_week
+"""
+QUERIES["drift_run_metrics"] = """
+SELECT 'drifted-week' AS run_id, 'metric' AS kind, name, CAST(NULL AS VARCHAR) AS value,
+       round(number, 6) AS number FROM (
+  SELECT 'psi_' || variable_name AS name, psi_value AS number FROM drifted_week
+  UNION ALL SELECT 'alert_' || variable_name, CAST(alert_triggered AS INTEGER) FROM drifted_week
+  UNION ALL SELECT 'drift_alert_probability_of_default', CAST(psi_value >= 0.25 AS INTEGER)
+    FROM drifted_week WHERE variable_name = 'probability_of_default'
+  UNION ALL SELECT 'avg_' || variable_name, avg_value FROM drifted_week WHERE avg_value IS NOT NULL
+  UNION ALL SELECT 'rate_prompt_injection', rate_value
+    FROM drifted_week WHERE variable_name = 'prompt_injection_score')
+"""
+QUERIES["dialogue_scores"] = (
+    "SELECT * REPLACE (round(toxicity_score, 6) AS toxicity_score) FROM dialogue_logs"
+)
+QUERIES["dialogue_safety_summary"] = """
+SELECT variable_name, 0.0 AS psi_value, round(v, 6) AS avg_value, round(r, 6) AS rate_value,
+       'STABLE' AS drift_status, alert AS alert_triggered FROM (
+  SELECT 'toxicity_score' AS variable_name, AVG(toxicity_score) AS v, 0.0::DOUBLE AS r,
+         AVG(toxicity_score) > 0.20 AS alert FROM dialogue_logs
+  UNION ALL SELECT 'prompt_injection_score', AVG(prompt_injection_score),
+         AVG(CASE WHEN prompt_injection_score > 0 THEN 1.0 ELSE 0.0 END),
+         AVG(CASE WHEN prompt_injection_score > 0 THEN 1.0 ELSE 0.0 END) > 0.05 FROM dialogue_logs
+  UNION ALL SELECT 'fidelity_score', AVG(fidelity_score), 0.0, FALSE FROM dialogue_logs)
+"""
+QUERIES["stream_silver_users"] = "SELECT * FROM silver_users"
+QUERIES["stream_prediction_log"] = """
+SELECT 'p' || event_id AS prediction_id, ts AS timestamp, CAST(user_id AS VARCHAR) AS user_id,
+       round(value * 40.0, 6) AS monthly_volume,
+       CAST(event_id * 7 % 33 AS INTEGER) AS session_regularity, round(value * 100.0, 6) AS income,
+       0.08 AS probability_of_default, 2000.0 AS credit_limit, 'FALLBACK_APPROVE' AS decision,
+       value AS latency_ms, 'FALLBACK' AS status, FALSE AS is_anomaly
+FROM events WHERE event_id * 7 % 33 <= 30
+"""
+QUERIES["stream_latency_windows"] = """
+SELECT event_type, start AS window_start, start + INTERVAL 60 SECONDS AS window_end,
+       COUNT(*) AS requests, round(AVG(value), 6) AS mean_latency, AVG(value) > 100 AS sla_warning
+FROM (SELECT event_type, value, time_bucket(INTERVAL 10 SECONDS, ts)
+               - to_seconds(10 * CAST(unnest(range(6)) AS INTEGER)) AS start FROM events)
+GROUP BY event_type, start
+HAVING start + INTERVAL 60 SECONDS <= (SELECT MAX(ts) FROM events) - INTERVAL 2 MINUTES
+"""
+QUERIES["stream_weekly_psi"] = """
+SELECT CAST(variable AS TIMESTAMP) AS week, 'value' AS variable, round(psi, 6) AS psi
+FROM event_week_psi
+WHERE CAST(variable AS TIMESTAMP) + INTERVAL 7 DAY
+      <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in QUERIES.items()}
