@@ -15,14 +15,27 @@ MAX_SLICES = 2048
 
 
 def _slice_number(value: str, by: str | None, edges: dict[object, list[float]]) -> Column:
-    """How many edges of the row's group lie below its value."""
-    arrays = {g: F.array(*[F.lit(float(e)) for e in cuts]) for g, cuts in edges.items()}
-    if by is None:
-        cuts = arrays[None]
-    else:
+    """How many edges of the row's group lie below its value.
+
+    Searched in two steps, first among the last edges of each block, then in one block.
+    """
+    block = math.isqrt(max(map(len, edges.values()))) + 1
+
+    def constant(pick) -> Column:
+        arrays = {
+            g: F.array(*[F.lit(float(e)) for e in pick(cuts)]).cast("array<double>")
+            for g, cuts in edges.items()
+        }
+        if by is None:
+            return arrays[None]
         pairs = [part for g, a in arrays.items() for part in (F.lit(g), a)]
-        cuts = F.element_at(F.create_map(*pairs), F.col(by))
-    return F.size(F.filter(cuts, lambda edge: edge < F.col(value)))
+        return F.element_at(F.create_map(*pairs), F.col(by))
+
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda edge: edge < F.col(value)))
+
+    passed = below(constant(lambda cuts: cuts[block - 1 :: block])) * block
+    return passed + below(F.slice(constant(lambda cuts: cuts), passed + 1, F.lit(block)))
 
 
 def running_totals(

@@ -182,7 +182,7 @@ def train_pipeline(
         training_rows(lake.read("gold", "target_construction"), observation_date, seed), "cohort"
     )
     check_trainable(rows)
-    prepared = written(impute(split_rows(rows, TEST_SHARE, seed)), "prepared")
+    prepared = impute(written(split_rows(rows, TEST_SHARE, seed), "split"))
     model = fit(prepared.where(~F.col("is_test")), seed, **params)
     scored = predict(model, prepared.where("is_test"))
     metrics = model_metrics(scored, LABEL, "probability_of_default").first().asDict()

@@ -17,6 +17,7 @@ def local_session(app: str, cpus: int | None = None, **conf: str) -> SparkSessio
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
@@ -53,9 +54,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/ledgerlark/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage ends there."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition) if partition else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -18,17 +18,19 @@ from ledgerlark import schemas
 from ledgerlark.operators.newest import newest_per_key, upsert
 from ledgerlark.session import written
 
-PLAIN = {
-    ("gold", "prediction_logs"): schemas.PREDICTION_LOGS,
-    ("gold", "dialogue_logs"): schemas.DIALOGUE_LOGS,
-    ("gold", "run_metrics"): schemas.RUN_METRICS,
-}
+PLAIN = {("gold", "run_metrics"): schemas.RUN_METRICS}
+
+
+def _dated(schema: T.StructType, column: str) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(column, T.DateType())])
+
+
+# Tables partitioned by a date: schema and partition column.
 DATED = {
     ("gold", "target_construction"): (schemas.GOLD_TARGET, "observation_date"),
-    ("gold", "drift_metrics"): (
-        T.StructType([*schemas.DRIFT_METRICS.fields, T.StructField("metric_date", T.DateType())]),
-        "metric_date",
-    ),
+    ("gold", "prediction_logs"): (_dated(schemas.PREDICTION_LOGS, "log_date"), "log_date"),
+    ("gold", "dialogue_logs"): (_dated(schemas.DIALOGUE_LOGS, "log_date"), "log_date"),
+    ("gold", "drift_metrics"): (_dated(schemas.DRIFT_METRICS, "metric_date"), "metric_date"),
 }
 
 
@@ -88,15 +90,14 @@ class Lake:
         return [*raw, *DATED, *PLAIN]
 
     def create(self) -> None:
-        """Create every missing table, empty; existing ones stay as they are."""
+        """Create every missing table, empty; existing ones stay as they are.
+
+        Schemas are fixed in code, so an empty folder is an empty table.
+        """
         for layer, table in self.tables():
             self._refuse_other_bucketing(layer, table)
-            if not path_exists(self.spark, self.path(layer, table)):
-                empty = self.spark.createDataFrame([], self.schema(layer, table))
-                writer = empty.write.mode("ignore")
-                if partition := self.partition(layer, table):
-                    writer = writer.partitionBy(partition)
-                writer.parquet(self.path(layer, table))
+            files, folder = _located(self.spark, self.path(layer, table))
+            files.mkdirs(folder)
 
     def _refuse_other_bucketing(self, layer: str, table: str) -> None:
         folder = f"{self.root}/{layer}/{table}"
@@ -140,7 +141,10 @@ class Lake:
 
     def append(self, layer: str, table: str, df: DataFrame) -> None:
         columns = self.schema(layer, table).fieldNames()
-        df.select(*columns).write.mode("append").parquet(self.path(layer, table))
+        writer = df.select(*columns).write.mode("append")
+        if partition := self.partition(layer, table):
+            writer = writer.partitionBy(partition)
+        writer.parquet(self.path(layer, table))
 
     def _swap(self, layer: str, table: str, df: DataFrame, partition: str) -> None:
         (
@@ -165,20 +169,28 @@ class Lake:
         the bucket stay. With ``keep_newer`` a stored row that is newer than the incoming
         one stays too: needed when ``incoming`` is not the whole of Bronze.
         """
-        batch = written(self._bucketed(table, incoming), f"incoming-{table}")
+        batch = written(
+            self._bucketed(table, incoming).hint("rebalance", "bucket"),
+            f"incoming-{table}",
+            "bucket",
+        )
         touched = [r.bucket for r in batch.select("bucket").distinct().collect()]
         stored = self._stored("silver", table).where(F.col("bucket").isin(touched))
         rule = schemas.SILVER_RULES[table]
+        if stored.isEmpty():
+            return batch
         if keep_newer:
             merged = newest_per_key(
                 stored.select(*batch.columns).unionByName(batch), rule.key, rule.newest
             )
         else:
             merged = upsert(stored, batch, ["bucket", rule.key])
-        return written(merged.hint("rebalance", "bucket"), f"silver-{table}")
+        return written(merged.hint("rebalance", "bucket"), f"silver-{table}", "bucket")
 
     def publish_silver(self, table: str, staged: DataFrame) -> None:
-        self._swap("silver", table, staged.hint("rebalance", "bucket"), "bucket")
+        """Swap staged buckets in. Staged files hold one bucket each, so this is a plain
+        copy without a shuffle."""
+        self._swap("silver", table, staged, "bucket")
 
     def upsert_silver(
         self, batches: dict[str, DataFrame], keep_newer: bool = False
@@ -208,12 +220,11 @@ class Lake:
         stored = self._stored(layer, table).where(
             F.col("observation_date").isin([r["observation_date"] for r in per_date])
         )
-        merged = written(upsert(stored, batch, ["user_id", "observation_date"]), "gold")
-        clustered = merged.repartitionByRange("observation_date", "user_id")
-        self._swap(
-            layer, table, clustered.sortWithinPartitions("observation_date", "user_id"),
-            "observation_date",
-        )
+        merged = upsert(stored, batch, ["user_id", "observation_date"])
+        clustered = merged.repartitionByRange(
+            "observation_date", "user_id"
+        ).sortWithinPartitions("observation_date", "user_id")
+        self._swap(layer, table, written(clustered, "gold"), "observation_date")
         return sum(r["count"] for r in per_date)
 
     def replace_drift_metrics(self, metrics: DataFrame) -> None:

@@ -50,7 +50,8 @@ def _append_new(lake: Lake, table: str, key: str, rows: DataFrame) -> None:
     batch = written(newest_per_key(rows, key, ["timestamp"]), f"batch-{table}")
     stored = lake.read("gold", table).select(key)
     known = stored.join(batch.select(key), key, "left_semi")
-    lake.append("gold", table, batch.join(known, key, "left_anti"))
+    fresh = batch.join(known, key, "left_anti")
+    lake.append("gold", table, fresh.withColumn("log_date", F.to_date("timestamp")))
 
 
 def log_predictions(lake: Lake, df: DataFrame) -> None:
@@ -72,6 +73,11 @@ def week_bounds(
 def in_week(
     logs: DataFrame, reference_date: str | dt.date, ts: str = "timestamp"
 ) -> DataFrame:
-    """Rows of the week ending at the reference date; the bounds reach the scan."""
+    """Rows of the week ending at the reference date.
+
+    The bounds reach the scan; stored logs are also pruned by their date partitions.
+    """
     start, end = (F.lit(b).cast("timestamp_ntz") for b in week_bounds(reference_date))
+    if "log_date" in logs.columns:
+        logs = logs.where(F.col("log_date").between(start.cast("date"), end.cast("date")))
     return logs.where((F.col(ts) >= start) & (F.col(ts) <= end))

@@ -371,7 +371,7 @@ SELECT *,
        CASE WHEN coalesce(user_query, '') = '' THEN 0.0 ELSE
          least(({hits('user_query', ['the and', 'en ', 'ou.', '^in '], 'regexp_matches')}) / 2.0, 1.0)
          END AS prompt_injection_score,
-       CASE WHEN coalesce(bot_response, '') = '' THEN 0.0 ELSE greatest(1.0 - 0.5 *
+       CASE WHEN coalesce(bot_response, '') = '' THEN 0.0 ELSE greatest(CAST(1.0 AS DOUBLE) - 0.5 *
          ({hits('bot_response', ['thth', 'un[g]', 'la '], 'regexp_matches')}), 0.0) END AS fidelity_score
 FROM dialogues
 """
@@ -701,7 +701,7 @@ QUERIES["dialogue_scores"] = (
     "SELECT * REPLACE (round(toxicity_score, 6) AS toxicity_score) FROM dialogue_logs"
 )
 QUERIES["dialogue_safety_summary"] = """
-SELECT variable_name, 0.0 AS psi_value, round(v, 6) AS avg_value, round(r, 6) AS rate_value,
+SELECT variable_name, CAST(0 AS DOUBLE) AS psi_value, round(v, 6) AS avg_value, round(r, 6) AS rate_value,
        'STABLE' AS drift_status, alert AS alert_triggered FROM (
   SELECT 'toxicity_score' AS variable_name, AVG(toxicity_score) AS v, 0.0::DOUBLE AS r,
          AVG(toxicity_score) > 0.20 AS alert FROM dialogue_logs
@@ -715,7 +715,7 @@ QUERIES["stream_prediction_log"] = """
 SELECT 'p' || event_id AS prediction_id, ts AS timestamp, CAST(user_id AS VARCHAR) AS user_id,
        round(value * 40.0, 6) AS monthly_volume,
        CAST(event_id * 7 % 33 AS INTEGER) AS session_regularity, round(value * 100.0, 6) AS income,
-       0.08 AS probability_of_default, 2000.0 AS credit_limit, 'FALLBACK_APPROVE' AS decision,
+       CAST(0.08 AS DOUBLE) AS probability_of_default, CAST(2000 AS DOUBLE) AS credit_limit, 'FALLBACK_APPROVE' AS decision,
        value AS latency_ms, 'FALLBACK' AS status, FALSE AS is_anomaly
 FROM events WHERE event_id * 7 % 33 <= 30
 """

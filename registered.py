@@ -211,7 +211,8 @@ def synthetic_income(spark, sf_dir):
 
 
 def _split(spark, sf_dir):
-    return training.split_rows(demo.untidy_features(gold_frame(spark, sf_dir)))
+    rows = written(demo.untidy_features(gold_frame(spark, sf_dir)), "untidy")
+    return training.split_rows(rows)
 
 
 @query
@@ -268,7 +269,7 @@ def model_evaluation(spark, sf_dir):
 def gbt_scores(spark, sf_dir):
     """A small model trained on the cohort, answering every user of it."""
     rows = written(training.training_rows(gold_frame(spark, sf_dir), OBS), "cohort")
-    prepared = written(training.impute(training.split_rows(rows)), "prepared")
+    prepared = training.impute(written(training.split_rows(rows), "split"))
     model = training.fit(prepared.where(~F.col("is_test")), maxIter=5, maxDepth=3)
     answers = scoring.score(prepared, model)
     return answers.select(
@@ -316,7 +317,7 @@ def prediction_log_anomalies(spark, sf_dir):
     answers = scoring.decide(demo.scored_requests(spark, sf_dir))
     for _ in range(2):
         log_predictions(lake, answers)
-    logs = lake.read("gold", "prediction_logs")
+    logs = lake.read("gold", "prediction_logs").drop("log_date")
     return _r6(logs, "income", "probability_of_default", "credit_limit", "monthly_volume")
 
 
@@ -397,7 +398,7 @@ def drift_run_metrics(spark, sf_dir):
 def dialogue_scores(spark, sf_dir):
     lake = lake_at(spark, "dialogues")
     log_dialogues(lake, demo.dialogue_logs(spark, sf_dir))
-    return _r6(lake.read("gold", "dialogue_logs"), "toxicity_score")
+    return _r6(lake.read("gold", "dialogue_logs").drop("log_date"), "toxicity_score")
 
 
 @query
@@ -439,7 +440,8 @@ def stream_prediction_log(spark, sf_dir):
     )
     lake = lake_at(spark, "stream-predictions")
     stream_predictions(lake, requests, None, f"{lake.root}/checkpoints/log").awaitTermination()
-    return _r6(lake.read("gold", "prediction_logs"), "monthly_volume", "income")
+    logs = lake.read("gold", "prediction_logs").drop("log_date")
+    return _r6(logs, "monthly_volume", "income")
 
 
 def _drained(spark, result: DataFrame, label: str) -> DataFrame:
