@@ -12,12 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-YEAR_FIRST = (
-    r"^\d{4}-\d{1,2}-\d{1,2}"
-    r"([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
-)
-DAY_FIRST = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
-DAY_FIRST_TIME = r"^(\d{1,2})-(\d{1,2})-(\d{4}) (\d{1,2}:\d{1,2}:\d{1,2})$"
+CLOCK = r"[ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?\s*"
+YEAR_FIRST = rf"^\d{{4,6}}-\d{{1,2}}-\d{{1,2}}({CLOCK})?$"
+SHORT_YEAR_FIRST = rf"^\d{{1,3}}-\d{{1,2}}-\d{{1,2}}({CLOCK})?$"
+DAY_FIRST = r"^\s*(\d{1,2})-(\d{1,2})-(\d{4})\s*$"
+DAY_FIRST_TIME = r"^\s*(\d{1,2})-(\d{1,2})-(\d{4})\s+(\d{1,2}:\d{1,2}:\d{1,2})\s*$"
 NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
@@ -26,30 +25,30 @@ def dashed(c: Column) -> Column:
     return F.replace(c, F.lit("/"), F.lit("-"))
 
 
+def _year_first(text: Column) -> Column:
+    """The text if it is year first. A year of one to three digits is taken as it stands."""
+    return F.when(text.rlike(YEAR_FIRST), text).when(
+        text.rlike(SHORT_YEAR_FIRST), F.concat(F.lit("000"), text)
+    )
+
+
 def iso_timestamp(c: Column) -> Column:
     """Year-first text to a timestamp."""
-    text = dashed(c)
-    return F.when(text.rlike(YEAR_FIRST), text).try_cast("timestamp_ntz")
+    return _year_first(dashed(c)).try_cast("timestamp_ntz")
 
 
 def parse_timestamp(c: Column) -> Column:
     """Year-first or day-first text (the latter with a time) to a timestamp."""
-    text = dashed(c)
-    return (
-        F.when(text.rlike(YEAR_FIRST), text)
-        .when(c.rlike(DAY_FIRST_TIME), F.regexp_replace(c, DAY_FIRST_TIME, "$3-$2-$1 $4"))
-        .try_cast("timestamp_ntz")
-    )
+    swapped = F.regexp_replace(c, DAY_FIRST_TIME, "$3-$2-$1 $4")
+    return _year_first(dashed(c)).when(c.rlike(DAY_FIRST_TIME), swapped).try_cast("timestamp_ntz")
 
 
 def parse_date(c: Column) -> Column:
     """Year-first text, with or without a time, or day-first text without one, to a date."""
-    text = dashed(c)
+    swapped = F.regexp_replace(c, DAY_FIRST, "$3-$2-$1")
+    text = F.trim(dashed(c))
     return (
-        F.when(text.rlike(YEAR_FIRST), text)
-        .when(c.rlike(DAY_FIRST), F.regexp_replace(c, DAY_FIRST, "$3-$2-$1"))
-        .try_cast("timestamp_ntz")
-        .cast("date")
+        _year_first(text).when(c.rlike(DAY_FIRST), swapped).try_cast("timestamp_ntz").cast("date")
     )
 
 

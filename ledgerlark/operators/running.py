@@ -51,10 +51,11 @@ def running_totals(
     ``df`` must hold each (by, value) once, so callers group first and a value shared by
     a third of all rows is one row here. ``by`` must have few groups (monitored variables).
 
-    A large group is cut into value slices at approximate quantiles. Slice totals give
-    each slice its starting sum, then slices run side by side. Any edges give right sums
-    as long as both steps see the same ones: the input is written once and the edges,
-    a bounded list, become constants of the plan.
+    Up to ``rows_per_slice`` rows a group is one window. A larger group is cut into value
+    slices at approximate quantiles. Slice totals give each slice its starting sum, then
+    slices run side by side. Any edges give right sums as long as both steps see the same
+    ones: the input is written once and the edges, a bounded list, become constants of the
+    plan.
     """
     df = written(df, "running-totals")
     keys = [by] if by else []
@@ -63,19 +64,19 @@ def running_totals(
         for r in df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()
     }
     slices = min(MAX_SLICES, math.ceil(max(sizes.values(), default=0) / rows_per_slice))
+    whole = Window.partitionBy(*keys)
     if slices <= 1:
-        df = df.withColumn("_slice", F.lit(0))
-    else:
-        steps = [i / slices for i in range(1, slices)]
-        cuts = df.groupBy(*keys).agg(
-            F.percentile_approx(value, steps, 20 * slices).alias("cuts")
+        up_to = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select(
+            "*",
+            *[F.sum(s).over(up_to).alias(f"{s}_cum") for s in sums],
+            *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
         )
-        edges = {
-            (r[by] if by else None): sorted(set(r["cuts"] or [])) for r in cuts.collect()
-        }
-        df = df.withColumn("_slice", _slice_number(value, by, edges))
 
-    whole = Window.partitionBy(*keys)
+    steps = [i / slices for i in range(1, slices)]
+    cuts = df.groupBy(*keys).agg(F.percentile_approx(value, steps, 20 * slices).alias("cuts"))
+    edges = {(r[by] if by else None): sorted(set(r["cuts"] or [])) for r in cuts.collect()}
+    df = df.withColumn("_slice", _slice_number(value, by, edges))
     earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         df.groupBy(*keys, "_slice")
