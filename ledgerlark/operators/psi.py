@@ -110,9 +110,11 @@ def psi_of_counts(counts: DataFrame, keys: Sequence[str] = ("variable",)) -> Dat
 def population_stability(
     expected: DataFrame,
     actual: DataFrame,
+    edges: DataFrame | None = None,
     bins: int = BINS,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """(variable, psi) of two long-form samples, on quantile bins of ``expected``."""
-    edges = bin_edges(expected, bins, rows_per_slice)
+    if edges is None:
+        edges = bin_edges(expected, bins, rows_per_slice)
     return psi_of_counts(bin_counts(edges, expected=expected, actual=actual))

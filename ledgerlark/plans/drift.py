@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.policy import drift_alert, drift_status
-from ledgerlark.operators.psi import long_form, population_stability
+from ledgerlark.operators.psi import bin_edges, long_form, population_stability
 from ledgerlark.plans.dialogue import safety_summary
 from ledgerlark.plans.tracking import drift_rows, run_rows, track
-from ledgerlark.session import written
+from ledgerlark.session import scratch_scope, written
 from ledgerlark.sources.lake import Lake
 from ledgerlark.sources.logs import in_week, week_bounds
 
@@ -30,10 +30,19 @@ def classified(psi: DataFrame) -> DataFrame:
     )
 
 
-def prediction_drift(predictions: DataFrame, baseline: DataFrame) -> DataFrame:
+def baseline_edges(baseline: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Bin edges of the four variables: compute once per baseline, keep, and pass along."""
+    return bin_edges(long_form(baseline, PREDICTION_VARIABLES), accuracy=accuracy)
+
+
+def prediction_drift(
+    predictions: DataFrame, baseline: DataFrame, edges: DataFrame | None = None
+) -> DataFrame:
     """PSI rows of the four monitored variables; one without values is STABLE at 0.0."""
     psi = population_stability(
-        long_form(baseline, PREDICTION_VARIABLES), long_form(predictions, PREDICTION_VARIABLES)
+        long_form(baseline, PREDICTION_VARIABLES),
+        long_form(predictions, PREDICTION_VARIABLES),
+        baseline_edges(baseline) if edges is None else edges,
     )
     # One row per monitored variable, from a count that is there even for an empty week.
     names = predictions.agg(*[F.count(v).alias(v) for v in PREDICTION_VARIABLES]).unpivot(
@@ -56,9 +65,11 @@ def weekly_metrics(
     dialogues: DataFrame,
     baseline: DataFrame,
     reference_date: str | dt.date,
+    edges: DataFrame | None = None,
 ) -> DataFrame:
     """Seven rows: four prediction variables and three safety scores."""
-    rows = prediction_drift(in_week(predictions, reference_date), baseline).unionByName(
+    week = in_week(predictions, reference_date)
+    rows = prediction_drift(week, baseline, edges).unionByName(
         safety_summary(in_week(dialogues, reference_date))
     )
     stamp = F.lit(str(reference_date)).cast("timestamp_ntz")
@@ -80,13 +91,21 @@ def overall_alert(metrics: DataFrame) -> DataFrame:
 
 
 def run_weekly_drift(
-    lake: Lake, reference_date: str | dt.date, baseline: DataFrame
+    lake: Lake,
+    reference_date: str | dt.date,
+    baseline: DataFrame,
+    edges: DataFrame | None = None,
 ) -> dict[str, object]:
     """Compute, store (replacing the same day) and track one week's metrics."""
+    with scratch_scope(lake.spark):
+        return _run_week(lake, reference_date, baseline, edges)
+
+
+def _run_week(lake, reference_date, baseline, edges) -> dict[str, object]:
     predictions = lake.read("gold", "prediction_logs")
     dialogues = lake.read("gold", "dialogue_logs")
     metrics = written(
-        weekly_metrics(predictions, dialogues, baseline, reference_date), "drift-metrics"
+        weekly_metrics(predictions, dialogues, baseline, reference_date, edges), "drift-metrics"
     )
     lake.replace_drift_metrics(metrics)
     start, end = week_bounds(reference_date)

@@ -20,7 +20,7 @@ from ledgerlark.operators.split import stratified_split
 from ledgerlark.plans.gold import day
 from ledgerlark.plans.tracking import run_rows, track
 from ledgerlark.schemas import FEATURES
-from ledgerlark.session import scratch_root, written
+from ledgerlark.session import scratch_root, scratch_scope, written
 from ledgerlark.sources.lake import Lake
 
 LABEL = "target_default_30d"
@@ -178,6 +178,11 @@ def train_pipeline(
     **params,
 ) -> dict[str, float]:
     """Train on one cohort; save and track the model only if it passes the gate."""
+    with scratch_scope(lake.spark):
+        return _train(lake, observation_date, model_path, seed, run_id, params)
+
+
+def _train(lake, observation_date, model_path, seed, run_id, params) -> dict[str, float]:
     rows = written(
         training_rows(lake.read("gold", "target_construction"), observation_date, seed), "cohort"
     )

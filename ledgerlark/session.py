@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +21,7 @@ def local_session(app: str, cpus: int | None = None, **conf: str) -> SparkSessio
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
@@ -54,10 +57,37 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/ledgerlark/{label}-{uuid.uuid4().hex}"
 
 
+def located(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables written inside, once the work inside is done.
+
+    No frame that reads them may be used afterwards.
+    """
+    stack = _scopes.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            files, target = located(spark, path)
+            files.delete(target, True)
+
+
 def written(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage ends there."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if stack := getattr(_scopes, "stack", None):
+        stack[-1].append(path)
     writer = df.write.partitionBy(partition) if partition else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ledgerlark import schemas
 from ledgerlark.operators.newest import newest_per_key, upsert
-from ledgerlark.session import written
+from ledgerlark.session import located, scratch_scope, written
 
 PLAIN = {("gold", "run_metrics"): schemas.RUN_METRICS}
 
@@ -34,18 +34,13 @@ DATED = {
 }
 
 
-def _located(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, target = _located(spark, path)
+    files, target = located(spark, path)
     return files.exists(target)
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
-    files, target = _located(spark, path)
+    files, target = located(spark, path)
     return files.getFileStatus(target).isDirectory()
 
 
@@ -96,7 +91,7 @@ class Lake:
         """
         for layer, table in self.tables():
             self._refuse_other_bucketing(layer, table)
-            files, folder = _located(self.spark, self.path(layer, table))
+            files, folder = located(self.spark, self.path(layer, table))
             files.mkdirs(folder)
 
     def _refuse_other_bucketing(self, layer: str, table: str) -> None:
@@ -200,9 +195,10 @@ class Lake:
         All of them are computed and written to scratch before the first one is swapped in,
         so a failure in any computation leaves every table as it was.
         """
-        staged = {t: self.stage_silver(t, df, keep_newer) for t, df in batches.items()}
-        for table, df in staged.items():
-            self.publish_silver(table, df)
+        with scratch_scope(self.spark):
+            staged = {t: self.stage_silver(t, df, keep_newer) for t, df in batches.items()}
+            for table, df in staged.items():
+                self.publish_silver(table, df)
 
     def merge_gold(self, incoming: DataFrame) -> int:
         """Replace-by-key into the Gold target table; returns the number of incoming rows.
@@ -210,6 +206,10 @@ class Lake:
         Only the observation dates of ``incoming`` (one per pipeline run) are rewritten,
         clustered by user.
         """
+        with scratch_scope(self.spark):
+            return self._merge_gold(incoming)
+
+    def _merge_gold(self, incoming: DataFrame) -> int:
         layer, table = "gold", "target_construction"
         fields = schemas.GOLD_TARGET.fields
         batch = written(

@@ -11,7 +11,7 @@ from ledgerlark.functions.clock import utc_now
 from ledgerlark.functions.requests import incomplete
 from ledgerlark.operators.newest import newest_per_key
 from ledgerlark.schemas import DIALOGUE_LOGS, PREDICTION_LOGS
-from ledgerlark.session import written
+from ledgerlark.session import scratch_scope, written
 from ledgerlark.sources.lake import Lake
 
 UNKNOWN_USER = "UNKNOWN"
@@ -47,11 +47,12 @@ def _append_new(lake: Lake, table: str, key: str, rows: DataFrame) -> None:
     The stored log is only read for ids that occur in the batch, and only its id column; a
     small batch is broadcast to that scan and the log itself is not shuffled.
     """
-    batch = written(newest_per_key(rows, key, ["timestamp"]), f"batch-{table}")
-    stored = lake.read("gold", table).select(key)
-    known = stored.join(batch.select(key), key, "left_semi")
-    fresh = batch.join(known, key, "left_anti")
-    lake.append("gold", table, fresh.withColumn("log_date", F.to_date("timestamp")))
+    with scratch_scope(lake.spark):
+        batch = written(newest_per_key(rows, key, ["timestamp"]), f"batch-{table}")
+        stored = lake.read("gold", table).select(key)
+        known = stored.join(batch.select(key), key, "left_semi")
+        fresh = batch.join(known, key, "left_anti")
+        lake.append("gold", table, fresh.withColumn("log_date", F.to_date("timestamp")))
 
 
 def log_predictions(lake: Lake, df: DataFrame) -> None:

@@ -360,9 +360,10 @@ def psi_by_variable(spark, sf_dir):
     )
 
 
-def _week(spark, sf_dir, date):
+def _week(spark, sf_dir, date, edges=None):
     logs = demo.prediction_logs(spark, sf_dir, drifted=True)
-    return drift.weekly_metrics(logs, demo.dialogue_logs(spark, sf_dir), _before(logs), date)
+    talks = demo.dialogue_logs(spark, sf_dir)
+    return drift.weekly_metrics(logs, talks, _before(logs), date, edges)
 
 
 @query
@@ -377,8 +378,11 @@ def weekly_drift_metrics(spark, sf_dir):
 
 @query
 def drift_week_comparison(spark, sf_dir):
+    base = _before(demo.prediction_logs(spark, sf_dir, drifted=True))
+    edges = written(drift.baseline_edges(base), "edges")
     pairs = drift.compare_weeks(
-        _week(spark, sf_dir, demo.STABLE_WEEK), _week(spark, sf_dir, demo.DRIFTED_WEEK)
+        _week(spark, sf_dir, demo.STABLE_WEEK, edges),
+        _week(spark, sf_dir, demo.DRIFTED_WEEK, edges),
     )
     return _r6(pairs, *[c for c, t in pairs.dtypes if t == "double"])
 
