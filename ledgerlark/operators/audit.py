@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.parsing import iso_timestamp, parse_date, parse_double
 
+# Fixed value: the wording of a warning. The names of the checks below are fixed too.
+WARNING = "Data Quality Anomaly: %s = %d invalid/duplicate records detected."
+
 
 def _surplus(key: str) -> Column:
     """Rows beyond the first of each key."""
@@ -92,9 +95,5 @@ def audit_warnings(bronze: dict[str, DataFrame]) -> DataFrame:
     """(check, anomalies, warning) for each check that found something."""
     return audit_long(bronze).where("anomalies > 0").withColumn(
         "warning",
-        F.format_string(
-            "Data Quality Anomaly: %s = %d invalid/duplicate records detected.",
-            F.col("check"),
-            F.col("anomalies"),
-        ),
+        F.format_string(WARNING, F.col("check"), F.col("anomalies")),
     )

@@ -9,7 +9,18 @@ from pyspark.sql import functions as F
 
 from ledgerlark.plans.gold import day
 
+# The alert threshold and the wording of the report.
 ALERT_RATE = 0.15
+REPORT_HEADER = (
+    "# Diagnostic Drift Report — Cohort {date}\n\n"
+    "Generated for observation cohort date: {date}\n"
+    "Status: WARNING — High Default Rate Alert Triggered\n\n"
+    "Potential shift in credit profile or adverse selection detected in the "
+    "following cohorts:\n"
+)
+REPORT_LINE = (
+    "- **Registration Month**: %s | **Default Rate**: %.2f%% | **Cohort Size**: %d users\n"
+)
 
 
 def cohort_default_rates(
@@ -42,18 +53,12 @@ def cohort_report(rates: DataFrame, observation_date: str | dt.date) -> DataFram
     whatever the number of users.
     """
     line = F.format_string(
-        "- **Registration Month**: %s | **Default Rate**: %.2f%% | **Cohort Size**: %d users\n",
+        REPORT_LINE,
         F.coalesce("reg_month", F.lit("None")),
         F.bround(F.col("default_rate") * 100, 2),
         F.col("cohort_size"),
     )
-    header = (
-        f"# Diagnostic Drift Report — Cohort {observation_date}\n\n"
-        f"Generated for observation cohort date: {observation_date}\n"
-        "Status: WARNING — High Default Rate Alert Triggered\n\n"
-        "Potential shift in credit profile or adverse selection detected in the "
-        "following cohorts:\n"
-    )
+    header = REPORT_HEADER.format(date=observation_date)
     lines = F.sort_array(F.collect_list(F.struct("reg_month", line.alias("line"))))
     body = F.array_join(F.transform(lines, lambda r: r["line"]), "")
     return cohort_alerts(rates).agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators.sums import steady_sum
 
+# Fixed values of the feature window and the target.
 FEATURE_WINDOW_DAYS = 30
 PERFORMANCE_WINDOW_MONTHS = 12
 DEFAULT_DAYS_PAST_DUE = 30

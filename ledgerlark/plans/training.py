@@ -24,6 +24,7 @@ from ledgerlark.session import scratch_root, scratch_scope, written
 from ledgerlark.sources.lake import Lake
 
 LABEL = "target_default_30d"
+# Fixed values of the training set.
 TEST_SHARE = 0.3
 MIN_ROWS = 10
 
@@ -156,8 +157,7 @@ def gate(metrics: dict[str, float]) -> None:
     gini, ks = metrics["gini_index"], metrics["ks_statistic"]
     if gini is None or gini < MIN_GINI or ks < MIN_KS:
         raise ModelRejected(
-            f"Performance validation gate failed. Required: Gini >= {MIN_GINI}, "
-            f"KS >= {MIN_KS}. Got: Gini = {gini}, KS = {ks}."
+            f"Gini {gini} and KS {ks} are below the gate of {MIN_GINI} and {MIN_KS}"
         )
 
 

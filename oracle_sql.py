@@ -116,44 +116,51 @@ FROM installments
 """
 
 # --- Silver -----------------------------------------------------------------------
-CTES["silver_users"] = f"""
-SELECT user_id, created_at, country, updated_at, ingestion_timestamp FROM (
-  SELECT user_id, {ts('created_at')} AS created_at, country, {ts('updated_at')} AS updated_at,
-         {ts('ingestion_timestamp')} AS ingestion_timestamp,
-         row_number() OVER (PARTITION BY user_id ORDER BY {ts('updated_at')} DESC NULLS LAST,
-           {ts('ingestion_timestamp')} DESC NULLS LAST) AS rn
-  FROM bronze_users WHERE user_id IS NOT NULL) WHERE rn = 1
-"""
-CTES["silver_sessions"] = f"""
-SELECT session_id, user_id, session_timestamp FROM (
-  SELECT session_id, user_id, {ts('session_timestamp')} AS session_timestamp,
-         row_number() OVER (PARTITION BY session_id
-           ORDER BY {ts('session_timestamp')} DESC NULLS LAST) AS rn
-  FROM bronze_sessions WHERE session_id IS NOT NULL AND user_id IS NOT NULL) WHERE rn = 1
-"""
-CTES["silver_loans"] = f"""
-SELECT loan_id, user_id, disbursement_date, amount, term_months, updated_at,
-       ingestion_timestamp FROM (
-  SELECT loan_id, user_id, {date('disbursement_date')} AS disbursement_date,
-         TRY_CAST(amount AS DOUBLE) AS amount, TRY_CAST(term_months AS INTEGER) AS term_months,
-         {ts('updated_at')} AS updated_at, {ts('ingestion_timestamp')} AS ingestion_timestamp,
-         row_number() OVER (PARTITION BY loan_id ORDER BY {ts('updated_at')} DESC NULLS LAST,
-           {ts('ingestion_timestamp')} DESC NULLS LAST) AS rn
-  FROM bronze_loans WHERE loan_id IS NOT NULL AND user_id IS NOT NULL)
-WHERE rn = 1 AND disbursement_date IS NOT NULL AND amount IS NOT NULL
-"""
-CTES["silver_payments"] = f"""
-SELECT payment_id, loan_id, due_date, payment_date, amount_due, amount_paid, updated_at,
-       ingestion_timestamp FROM (
-  SELECT payment_id, loan_id, {date('due_date')} AS due_date,
-         {date('payment_date')} AS payment_date, TRY_CAST(amount_due AS DOUBLE) AS amount_due,
-         TRY_CAST(amount_paid AS DOUBLE) AS amount_paid, {ts('updated_at')} AS updated_at,
-         {ts('ingestion_timestamp')} AS ingestion_timestamp,
-         row_number() OVER (PARTITION BY payment_id ORDER BY {ts('updated_at')} DESC NULLS LAST,
-           {ts('ingestion_timestamp')} DESC NULLS LAST) AS rn
-  FROM bronze_payments WHERE payment_id IS NOT NULL AND loan_id IS NOT NULL)
-WHERE rn = 1 AND due_date IS NOT NULL
-"""
+def typed(table: str, **columns: str) -> str:
+    picks = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
+    return f"SELECT {picks} FROM {table}"
+
+
+def newest(table: str, key: str, keep: str, order: str, valid: str = "TRUE") -> str:
+    """Newest version per key among rows with keys, then only valid ones."""
+    ordered = ", ".join(f"{c} DESC NULLS LAST" for c in order.split())
+    return (
+        f"SELECT * FROM (SELECT * FROM {table} WHERE {keep} QUALIFY row_number() OVER "
+        f"(PARTITION BY {key} ORDER BY {ordered}) = 1) WHERE {valid}"
+    )
+
+
+VERSION = "updated_at ingestion_timestamp"
+STAMPS = {c: ts(c) for c in VERSION.split()}
+CTES["typed_users"] = typed(
+    "bronze_users", user_id="user_id", created_at=ts("created_at"), country="country", **STAMPS
+)
+CTES["typed_sessions"] = typed(
+    "bronze_sessions", session_id="session_id", user_id="user_id",
+    session_timestamp=ts("session_timestamp"),
+)
+CTES["typed_loans"] = typed(
+    "bronze_loans", loan_id="loan_id", user_id="user_id",
+    disbursement_date=date("disbursement_date"), amount="TRY_CAST(amount AS DOUBLE)",
+    term_months="TRY_CAST(term_months AS INTEGER)", **STAMPS,
+)
+CTES["typed_payments"] = typed(
+    "bronze_payments", payment_id="payment_id", loan_id="loan_id", due_date=date("due_date"),
+    payment_date=date("payment_date"), amount_due="TRY_CAST(amount_due AS DOUBLE)",
+    amount_paid="TRY_CAST(amount_paid AS DOUBLE)", **STAMPS,
+)
+CTES["silver_users"] = newest("typed_users", "user_id", "user_id IS NOT NULL", VERSION)
+CTES["silver_sessions"] = newest(
+    "typed_sessions", "session_id", "session_id IS NOT NULL AND user_id IS NOT NULL",
+    "session_timestamp",
+)
+LOAN_KEYS = "loan_id IS NOT NULL AND user_id IS NOT NULL"
+LOAN_VALID = "disbursement_date IS NOT NULL AND amount IS NOT NULL"
+CTES["silver_loans"] = newest("typed_loans", "loan_id", LOAN_KEYS, VERSION, LOAN_VALID)
+CTES["silver_payments"] = newest(
+    "typed_payments", "payment_id", "payment_id IS NOT NULL AND loan_id IS NOT NULL", VERSION,
+    "due_date IS NOT NULL",
+)
 
 # --- Gold -------------------------------------------------------------------------
 CTES["volume"] = f"""
@@ -170,19 +177,18 @@ WHERE CAST(session_timestamp AS DATE) >= {OBS} - INTERVAL 30 DAY
   AND CAST(session_timestamp AS DATE) <= {OBS}
 GROUP BY user_id
 """
+CTES["late_payers"] = f"""
+SELECT l.user_id, bool_or(
+         (CASE WHEN p.payment_date IS NULL THEN {AS_OF} ELSE p.payment_date END) - p.due_date > 30
+       ) AS late
+FROM silver_payments p JOIN silver_loans l USING (loan_id)
+WHERE p.due_date > {OBS} AND p.due_date <= {OBS} + INTERVAL 12 MONTH
+GROUP BY l.user_id
+"""
 CTES["targets"] = f"""
 SELECT u.user_id, {OBS} AS observation_date,
-       CAST(COALESCE(d.flag, 0) AS INTEGER) AS target_default_30d
-FROM silver_users u LEFT JOIN (
-  SELECT l.user_id, MAX(CASE
-      WHEN p.payment_date IS NOT NULL
-        THEN CASE WHEN date_diff('day', p.due_date, p.payment_date) > 30 THEN 1 ELSE 0 END
-      WHEN {AS_OF} > p.due_date
-        THEN CASE WHEN date_diff('day', p.due_date, {AS_OF}) > 30 THEN 1 ELSE 0 END
-      ELSE 0 END) AS flag
-  FROM silver_payments p JOIN silver_loans l ON p.loan_id = l.loan_id
-  WHERE p.due_date > {OBS} AND p.due_date <= {OBS} + INTERVAL 12 MONTH
-  GROUP BY l.user_id) d ON u.user_id = d.user_id
+       CAST(COALESCE(d.late, FALSE) AS INTEGER) AS target_default_30d
+FROM silver_users u LEFT JOIN late_payers d USING (user_id)
 """
 CTES["gold"] = f"""
 SELECT u.user_id, {OBS} AS observation_date,
@@ -505,44 +511,71 @@ QUERIES["cohort_alerts"] = (
 
 QUERIES["csv_ingest"] = "SELECT * FROM bronze_sessions"
 QUERIES["json_ingest"] = "SELECT * FROM bronze_loans"
-DUPLICATES = (
-    "(SELECT CAST(coalesce(SUM(n - 1), 0) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM {t} "
-    "WHERE {k} IS NOT NULL GROUP BY {k} HAVING COUNT(*) > 1))"
-)
+def failing(*conditions: str) -> str:
+    return f"COUNT(*) FILTER (WHERE {' AND '.join(conditions)})"
+
+
+def surplus(key: str) -> str:
+    return f"COUNT({key}) - COUNT(DISTINCT {key})"
+
+
 AUDIT = {
-    "users_null_pk": "(SELECT COUNT(*) FROM bronze_users WHERE user_id IS NULL)",
-    "users_duplicate_pk": DUPLICATES.format(t="bronze_users", k="user_id"),
-    "users_invalid_timestamps": "(SELECT COUNT(*) FROM bronze_users WHERE user_id IS NOT NULL AND ("
-    + " OR ".join(
-        f"{ts_iso(c)} IS NULL" for c in ("created_at", "updated_at", "ingestion_timestamp")
-    )
-    + "))",
-    "sessions_null_pk": "(SELECT COUNT(*) FROM bronze_sessions "
-    "WHERE session_id IS NULL OR user_id IS NULL)",
-    "sessions_invalid_timestamp": "(SELECT COUNT(*) FROM bronze_sessions "
-    f"WHERE session_id IS NOT NULL AND {ts_iso('session_timestamp')} IS NULL)",
-    "loans_null_pk": "(SELECT COUNT(*) FROM bronze_loans WHERE loan_id IS NULL OR user_id IS NULL)",
-    "loans_duplicate_pk": DUPLICATES.format(t="bronze_loans", k="loan_id"),
-    "loans_invalid_disbursement_date": "(SELECT COUNT(*) FROM bronze_loans "
-    f"WHERE loan_id IS NOT NULL AND {date('disbursement_date')} IS NULL)",
-    "loans_invalid_amount": "(SELECT COUNT(*) FROM bronze_loans "
-    "WHERE loan_id IS NOT NULL AND TRY_CAST(amount AS DOUBLE) IS NULL)",
-    "payments_null_pk": "(SELECT COUNT(*) FROM bronze_payments "
-    "WHERE payment_id IS NULL OR loan_id IS NULL)",
-    "payments_duplicate_pk": DUPLICATES.format(t="bronze_payments", k="payment_id"),
-    "payments_invalid_due_date": "(SELECT COUNT(*) FROM bronze_payments "
-    f"WHERE payment_id IS NOT NULL AND {date('due_date')} IS NULL)",
-    "payments_invalid_payment_date": "(SELECT COUNT(*) FROM bronze_payments "
-    "WHERE payment_id IS NOT NULL AND payment_date IS NOT NULL "
-    f"AND {date('payment_date')} IS NULL)",
-    "payments_invalid_amounts": "(SELECT COUNT(*) FROM bronze_payments WHERE payment_id IS NOT NULL "
-    "AND (TRY_CAST(amount_due AS DOUBLE) IS NULL OR TRY_CAST(amount_paid AS DOUBLE) IS NULL))",
+    "users": {
+        "users_null_pk": failing("user_id IS NULL"),
+        "users_duplicate_pk": surplus("user_id"),
+        "users_invalid_timestamps": failing(
+            "user_id IS NOT NULL",
+            "("
+            + " OR ".join(
+                f"{ts_iso(c)} IS NULL" for c in ("created_at", "updated_at", "ingestion_timestamp")
+            )
+            + ")",
+        ),
+    },
+    "sessions": {
+        "sessions_null_pk": failing("(session_id IS NULL OR user_id IS NULL)"),
+        "sessions_invalid_timestamp": failing(
+            "session_id IS NOT NULL", f"{ts_iso('session_timestamp')} IS NULL"
+        ),
+    },
+    "loans": {
+        "loans_null_pk": failing("(loan_id IS NULL OR user_id IS NULL)"),
+        "loans_duplicate_pk": surplus("loan_id"),
+        "loans_invalid_disbursement_date": failing(
+            "loan_id IS NOT NULL", f"{date('disbursement_date')} IS NULL"
+        ),
+        "loans_invalid_amount": failing(
+            "loan_id IS NOT NULL", "TRY_CAST(amount AS DOUBLE) IS NULL"
+        ),
+    },
+    "payments": {
+        "payments_null_pk": failing("(payment_id IS NULL OR loan_id IS NULL)"),
+        "payments_duplicate_pk": surplus("payment_id"),
+        "payments_invalid_due_date": failing(
+            "payment_id IS NOT NULL", f"{date('due_date')} IS NULL"
+        ),
+        "payments_invalid_payment_date": failing(
+            "payment_id IS NOT NULL", "payment_date IS NOT NULL", f"{date('payment_date')} IS NULL"
+        ),
+        "payments_invalid_amounts": failing(
+            "payment_id IS NOT NULL",
+            "TRY_CAST(amount_due AS DOUBLE) + TRY_CAST(amount_paid AS DOUBLE) IS NULL",
+        ),
+    },
 }
-QUERIES["audit_counts"] = "SELECT " + ", ".join(f"{q} AS {n}" for n, q in AUDIT.items())
+for _table, _checks in AUDIT.items():
+    CTES[f"audit_{_table}"] = (
+        "SELECT " + ", ".join(f"{q} AS {n}" for n, q in _checks.items()) + f" FROM bronze_{_table}"
+    )
+QUERIES["audit_counts"] = "SELECT * FROM " + ", ".join(f"audit_{t}" for t in AUDIT)
 QUERIES["audit_warning_lines"] = (
     "SELECT \"check\", anomalies, 'Data Quality Anomaly: ' || \"check\" || ' = ' || anomalies || "
     "' invalid/duplicate records detected.' AS warning FROM ("
-    + " UNION ALL ".join(f"SELECT '{n}' AS \"check\", {q} AS anomalies" for n, q in AUDIT.items())
+    + " UNION ALL ".join(
+        f"SELECT '{n}' AS \"check\", {n} AS anomalies FROM audit_{t}"
+        for t, checks in AUDIT.items()
+        for n in checks
+    )
     + ") WHERE anomalies > 0"
 )
 QUERIES["layer_counts"] = " UNION ALL ".join(
@@ -556,18 +589,18 @@ QUERIES["layer_counts"] = " UNION ALL ".join(
     )
 )
 for _n, _part in ((1, "updated_at < '1999-01-01'"), (2, "updated_at >= '1998-01-01'")):
-    CTES[f"silver_loans_{_n}"] = CTES["silver_loans"].replace(
-        "FROM bronze_loans WHERE", f"FROM bronze_loans WHERE {_part} AND"
+    CTES[f"silver_loans_{_n}"] = newest(
+        "typed_loans", "loan_id", f"{LOAN_KEYS} AND {_part}", VERSION, LOAN_VALID
     )
 QUERIES["silver_upsert"] = """
 SELECT * FROM silver_loans_2 UNION ALL
 SELECT * FROM silver_loans_1 WHERE loan_id NOT IN (SELECT loan_id FROM silver_loans_2)
 """
-for _name in ("volume", "regularity", "targets", "gold"):
+DATED = ("volume", "regularity", "late_payers", "targets", "gold")
+for _name in DATED:
     _earlier = CTES[_name].replace(OBS, "DATE '2000-06-01'")
-    for _inner in ("volume", "regularity", "targets"):
-        if _name == "gold":
-            _earlier = re.sub(rf"\b{_inner} (?=[a-z])", f"{_inner}_earlier ", _earlier)
+    for _inner in DATED:
+        _earlier = re.sub(rf"(FROM|JOIN) {_inner}\b", rf"\1 {_inner}_earlier", _earlier)
     CTES[f"{_name}_earlier"] = _earlier
 QUERIES["gold_merge_second_run"] = "SELECT * FROM gold UNION ALL SELECT * FROM gold_earlier"
 QUERIES["pipeline_cohorts"] = QUERIES["cohort_default_rate"]
