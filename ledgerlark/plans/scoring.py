@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ledgerlark.functions import policy
 from ledgerlark.functions.requests import rejection_reasons
 from ledgerlark.plans.training import predict
+from ledgerlark.sources.lake import Lake
+from ledgerlark.sources.logs import log_predictions
 
 
 def with_reasons(requests: DataFrame) -> DataFrame:
@@ -44,6 +46,23 @@ def decide(scored: DataFrame) -> DataFrame:
     )
 
 
+def with_prediction_id(requests: DataFrame) -> DataFrame:
+    """Add a ``prediction_id`` hashed from the request where there is none.
+
+    A random id would change when a lost task is run again.
+    """
+    if "prediction_id" in requests.columns:
+        return requests
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in requests.columns]
+    return requests.withColumn("prediction_id", F.sha2(F.concat_ws("|", *parts), 256))
+
+
+def score_batch(lake: Lake, requests: DataFrame, model: PipelineModel | None) -> DataFrame:
+    """Answer and log the valid requests; returns the rejected ones with their reasons."""
+    log_predictions(lake, score(with_prediction_id(valid_requests(requests)), model))
+    return rejected_requests(requests)
+
+
 def score(requests: DataFrame, model: PipelineModel | None) -> DataFrame:
     """Answer valid requests, in batch or on a stream; without a model all fall back."""
     if model is None:

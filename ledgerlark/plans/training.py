@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.features import bounded, synthetic_income, uniform
@@ -21,7 +22,9 @@ from ledgerlark.plans.gold import day
 from ledgerlark.plans.tracking import run_rows, track
 from ledgerlark.schemas import FEATURES
 from ledgerlark.session import scratch_root, scratch_scope, written
-from ledgerlark.sources.lake import Lake
+from ledgerlark.sources.lake import Lake, path_exists
+
+log = logging.getLogger(__name__)
 
 LABEL = "target_default_30d"
 # Fixed values of the training set.
@@ -169,6 +172,14 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_model_if_any(spark: SparkSession, path: str) -> PipelineModel | None:
+    """The model, or None where there is none: scoring then answers with the fallback."""
+    if path_exists(spark, path):
+        return load_model(path)
+    log.warning("no model at %s, scoring will fall back", path)
+    return None
+
+
 def train_pipeline(
     lake: Lake,
     observation_date: str | dt.date,

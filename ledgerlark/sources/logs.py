@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlark.functions.clock import utc_now
 from ledgerlark.functions.requests import incomplete
@@ -18,27 +19,34 @@ UNKNOWN_USER = "UNKNOWN"
 WEEK_DAYS = 7
 
 
-def _column(df: DataFrame, name: str, kind) -> Column:
-    return (F.col(name) if name in df.columns else F.lit(None)).cast(kind)
+def _all_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns, NULL where ``df`` has none of that name."""
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
-def _shaped(df: DataFrame, schema) -> DataFrame:
-    """The schema's columns; a missing timestamp is now, a missing user is UNKNOWN."""
-    columns = {f.name: _column(df, f.name, f.dataType) for f in schema.fields}
-    columns["timestamp"] = F.coalesce(columns["timestamp"], utc_now())
-    columns["user_id"] = F.coalesce(columns["user_id"], F.lit(UNKNOWN_USER))
-    return df.select(*[c.alias(n) for n, c in columns.items()])
+def _filled(df: DataFrame) -> DataFrame:
+    """A missing timestamp is now, a missing user is UNKNOWN."""
+    return df.withColumns(
+        {
+            "timestamp": F.coalesce("timestamp", utc_now()),
+            "user_id": F.coalesce("user_id", F.lit(UNKNOWN_USER)),
+        }
+    )
 
 
 def prediction_rows(df: DataFrame) -> DataFrame:
     """Log rows; a row missing a mandatory field is an anomaly unless flagged by the caller."""
-    given = _column(df, "is_anomaly", "boolean")
-    flagged = df.withColumn("is_anomaly", F.coalesce(given, incomplete()))
-    return _shaped(flagged, PREDICTION_LOGS)
+    rows = _all_columns(df, PREDICTION_LOGS)
+    return _filled(rows.withColumn("is_anomaly", F.coalesce("is_anomaly", incomplete())))
 
 
 def dialogue_rows(df: DataFrame) -> DataFrame:
-    return _shaped(df, DIALOGUE_LOGS)
+    return _filled(_all_columns(df, DIALOGUE_LOGS))
 
 
 def _append_new(lake: Lake, table: str, key: str, rows: DataFrame) -> None:

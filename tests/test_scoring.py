@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlark.plans import scoring
+from ledgerlark.plans import scoring, training
 from ledgerlark.schemas import REQUESTS
 from ledgerlark.sources.logs import log_predictions, prediction_rows
 
@@ -76,3 +76,16 @@ def test_log_is_idempotent(spark, lake):
     log_predictions(lake, batch.unionByName(spark.createDataFrame([("p3", *ROW[1:])], LOG)))
     ids = [r.prediction_id for r in lake.read("gold", "prediction_logs").collect()]
     assert sorted(ids) == ["p1", "p2", "p3"]
+
+
+def test_score_batch_logs_valid_and_returns_rejected(spark, lake):
+    rows = [("ok", 1.0, 2, 3.0), ("ok", 1.0, 2, 4.0), ("bad", -1.0, 2, 3.0)]
+    rejected = scoring.score_batch(lake, spark.createDataFrame(rows, REQUESTS), None)
+    assert [(r.user_id, r.rejection_reasons) for r in rejected.collect()] == [("bad", ["monthly_volume"])]
+    logged = lake.read("gold", "prediction_logs").collect()
+    assert len(logged) == 2 and {r.decision for r in logged} == {"FALLBACK_APPROVE"}
+    assert all(r.is_anomaly for r in logged)  # no latency was given
+
+
+def test_missing_model_is_none(spark, tmp_path):
+    assert training.load_model_if_any(spark, str(tmp_path / "none")) is None

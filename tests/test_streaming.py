@@ -1,10 +1,17 @@
+import os
+
 from loans_fixture import RAW
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.clock import utc_instant, utc_wall
+from ledgerlark.plans import training
+from ledgerlark.plans.scoring import score, valid_requests
+from ledgerlark.plans.silver import to_silver
 from ledgerlark.schemas import BRONZE
+from ledgerlark.session import scratch_root
 from ledgerlark.sources.raw import from_records
 from ledgerlark.streaming.layers import stream_to_bronze, stream_to_silver
+from ledgerlark.streaming.monitoring import stream_predictions
 
 
 def rows_of(lake, layer, table):
@@ -49,3 +56,37 @@ def test_utc_times_do_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert row.t == row.back and row.us == 1678588200123456
+
+
+def test_scored_stream_logs_each_request_once(spark, lake, tmp_path):
+    users = spark.range(40).select(
+        F.concat(F.lit("u"), F.col("id")).alias("user_id"),
+        (F.col("id") * 500.0).alias("monthly_volume"),
+        (F.col("id") % 40).cast("int").alias("session_regularity"),
+        (F.col("id") * 1000.0).alias("income"),
+        (F.col("id") < 10).cast("int").alias("label"),
+    )
+    model = training.fit(users, label="label", maxIter=3, maxDepth=2)
+    requests = users.select(
+        F.concat(F.lit("p"), F.substring("user_id", 2, 9)).alias("prediction_id"),
+        F.lit("2023-08-10 12:00:00").cast("timestamp_ntz").alias("timestamp"),
+        "user_id", "monthly_volume", "session_regularity", "income", F.lit(9.0).alias("latency_ms"),
+    )
+    folder = str(tmp_path / "requests")
+    for _ in range(2):  # the second round repeats every request
+        requests.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(requests.schema).parquet(folder)
+        stream_predictions(lake, stream, model, str(tmp_path / "c")).awaitTermination()
+    logged = {r.prediction_id: r for r in lake.read("gold", "prediction_logs").collect()}
+    assert len(logged) == 31 == lake.read("gold", "prediction_logs").count()  # 30 days at most
+    batch = {r.prediction_id: r for r in score(valid_requests(requests), model).collect()}
+    for key, row in logged.items():
+        assert row.probability_of_default == batch[key].probability_of_default
+        assert (row.decision, row.status, row.is_anomaly) == (batch[key].decision, "SUCCESS", False)
+
+
+def test_flows_leave_no_scratch_behind(spark, lake):
+    root = scratch_root(spark) + "/ledgerlark"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    lake.upsert_silver({"users": to_silver(from_records(spark, RAW["users"], "users"), "users")})
+    assert set(os.listdir(root)) == before
