@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerlark.session import written
 
-ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 2048
+ROWS_PER_SLICE = 250_000
+MAX_SLICES = 4096
 
 
 def _slice_number(value: str, by: str | None, edges: dict[object, list[float]]) -> Column:
