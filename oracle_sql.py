@@ -405,28 +405,32 @@ FROM (SELECT DISTINCT variable, unnest(q) AS edge
 """
 
 
-def psi_rows(edges: str, expected: str, actual: str) -> str:
+def bin_rows(edges: str, expected: str, actual: str) -> str:
     def binned(sample: str) -> str:
         return f"""
-SELECT s.variable, COUNT(e.edge) AS bin FROM
-  (SELECT variable, x, row_number() OVER () AS id FROM {sample}) s
-  LEFT JOIN (SELECT * FROM {edges} WHERE position > 0 AND position < edges - 1) e
-    ON e.variable = s.variable AND e.edge <= s.x
-GROUP BY s.variable, s.id"""
+SELECT variable, bin, COUNT(*) AS n FROM (
+  SELECT s.variable, COUNT(e.edge) AS bin FROM
+    (SELECT variable, x, row_number() OVER () AS id FROM {sample}) s
+    LEFT JOIN (SELECT * FROM {edges} WHERE position > 0 AND position < edges - 1) e
+      ON e.variable = s.variable AND e.edge <= s.x
+  GROUP BY s.variable, s.id) GROUP BY 1, 2"""
 
+    return f"""
+SELECT g.variable, g.bin, coalesce(x.n, 0) AS e0, coalesce(y.n, 0) AS a0
+FROM (SELECT DISTINCT variable, greatest(position - 1, 0) AS bin FROM {edges}
+      WHERE position < edges) g
+LEFT JOIN ({binned(expected)}) x ON x.variable = g.variable AND x.bin = g.bin
+LEFT JOIN ({binned(actual)}) y ON y.variable = g.variable AND y.bin = g.bin
+"""
+
+
+def psi_rows(bins: str) -> str:
     return f"""
 SELECT variable, CASE WHEN SUM(a0) = 0 OR SUM(e0) = 0 THEN 0.0
                       ELSE SUM((a / ta - e / te) * ln((a / ta) / (e / te))) END AS psi
 FROM (SELECT *, SUM(a) OVER (PARTITION BY variable) AS ta, SUM(e) OVER (PARTITION BY variable) AS te
-      FROM (SELECT g.variable, g.bin, coalesce(x.n, 0) AS e0, coalesce(y.n, 0) AS a0,
-                   greatest(coalesce(x.n, 0), 0.0001::DOUBLE) AS e,
-                   greatest(coalesce(y.n, 0), 0.0001::DOUBLE) AS a
-            FROM (SELECT DISTINCT variable, greatest(position - 1, 0) AS bin FROM {edges}
-                  WHERE position < edges) g
-            LEFT JOIN (SELECT variable, bin, COUNT(*) AS n FROM ({binned(expected)}) GROUP BY 1, 2) x
-              ON x.variable = g.variable AND x.bin = g.bin
-            LEFT JOIN (SELECT variable, bin, COUNT(*) AS n FROM ({binned(actual)}) GROUP BY 1, 2) y
-              ON y.variable = g.variable AND y.bin = g.bin))
+      FROM (SELECT *, greatest(e0, 0.0001::DOUBLE) AS e, greatest(a0, 0.0001::DOUBLE) AS a
+            FROM {bins}))
 GROUP BY variable
 """
 
@@ -441,7 +445,8 @@ CTES["base_long"] = long_of("prediction_logs", BEFORE)
 CTES["base_edges"] = edge_rows("base_long")
 for _week, (_start, _end) in WEEKS.items():
     CTES[f"{_week}_long"] = long_of("drifted_logs", between_days(_start, _end))
-    CTES[f"{_week}_psi"] = psi_rows("base_edges", "base_long", f"{_week}_long")
+    CTES[f"{_week}_bins"] = bin_rows("base_edges", "base_long", f"{_week}_long")
+    CTES[f"{_week}_psi"] = psi_rows(f"{_week}_bins")
     CTES[f"{_week}_safety"] = f"""
 SELECT coalesce(AVG(toxicity_score), 0.0) AS tox, coalesce(AVG(prompt_injection_score), 0.0) AS inj,
        coalesce(AVG(fidelity_score), 1.0) AS fid,
@@ -474,7 +479,8 @@ SELECT DISTINCT w.variable, e.edge, e.position, e.edges FROM event_edges e,
 CTES["event_week_base"] = """
 SELECT w.variable, b.x FROM event_base b, (SELECT DISTINCT variable FROM event_weeks) w
 """
-CTES["event_week_psi"] = psi_rows("event_week_edges", "event_week_base", "event_weeks")
+CTES["event_week_bins"] = bin_rows("event_week_edges", "event_week_base", "event_weeks")
+CTES["event_week_psi"] = psi_rows("event_week_bins")
 
 
 def with_ctes(body: str) -> str:
@@ -697,6 +703,21 @@ QUERIES["psi_by_variable"] = """
 SELECT variable_name, round(psi_value, 6) AS psi_value, drift_status, alert_triggered
 FROM drifted_week WHERE avg_value IS NULL
 """
+QUERIES["psi_bin_counts"] = (
+    "SELECT variable, CAST(bin AS INTEGER) AS bin, e0 AS expected, a0 AS actual FROM drifted_bins"
+)
+QUERIES["week_logs"] = f"""
+SELECT prediction_id, timestamp, CAST(timestamp AS DATE) AS log_date, is_anomaly
+FROM prediction_logs WHERE {between_days(*WEEKS['stable'])}
+"""
+QUERIES["training_cohort"] = (
+    "SELECT user_id, monthly_volume, session_regularity, target_default_30d FROM gold"
+)
+QUERIES["payments_past_due"] = f"""
+SELECT payment_id, CAST(d AS INTEGER) AS days_past_due, d > 30 AS is_default
+FROM (SELECT payment_id, date_diff('day', due_date, coalesce(payment_date, {AS_OF})) AS d
+      FROM silver_payments)
+"""
 QUERIES["weekly_drift_metrics"] = """
 SELECT sha256('2024-01-22|' || variable_name) AS metric_id,
        TIMESTAMP '2024-01-22 00:00:00' AS timestamp, variable_name,

@@ -87,6 +87,17 @@ def default_target(spark, sf_dir):
     )
 
 
+@query
+def payments_past_due(spark, sf_dir):
+    """Days late, or overdue as of the fixed day, of every valid payment."""
+    late = gold.days_past_due(AS_OF)
+    return silver_payments(spark, sf_dir).select(
+        "payment_id",
+        late.alias("days_past_due"),
+        (late > gold.DEFAULT_DAYS_PAST_DUE).alias("is_default"),
+    )
+
+
 @query
 def gold_features(spark, sf_dir):
     return gold_frame(spark, sf_dir)
@@ -204,6 +215,17 @@ def cohort_report(spark, sf_dir):
 
 
 # --- Training ---------------------------------------------------------------------------
+@query
+def training_cohort(spark, sf_dir):
+    """One cohort read back from a Gold table that holds two."""
+    layer = {t: written(df, t) for t, df in silver(spark, sf_dir).items()}
+    lake = lake_at(spark, "cohorts")
+    for date in ("2000-06-01", OBS):
+        lake.merge_gold(gold.gold_rows(layer, date, AS_OF))
+    rows = training.training_rows(lake.read("gold", "target_construction"), OBS)
+    return rows.drop("income")
+
+
 @query
 def synthetic_income(spark, sf_dir):
     rows = training.training_rows(gold_frame(spark, sf_dir), OBS)
@@ -351,6 +373,24 @@ def decile_edges(spark, sf_dir):
     return _r6(edges, "edge")
 
 
+@query
+def week_logs(spark, sf_dir):
+    """One week read back from the stored prediction log."""
+    lake = lake_at(spark, "week-logs")
+    log_predictions(lake, demo.prediction_logs(spark, sf_dir))
+    week = in_week(lake.read("gold", "prediction_logs"), demo.STABLE_WEEK)
+    return week.select("prediction_id", "timestamp", "log_date", "is_anomaly")
+
+
+@query
+def psi_bin_counts(spark, sf_dir):
+    """Baseline and production rows in each bin, empty bins included."""
+    logs = demo.prediction_logs(spark, sf_dir, drifted=True)
+    base = long_form(_before(logs), drift.PREDICTION_VARIABLES)
+    week = long_form(in_week(logs, demo.DRIFTED_WEEK), drift.PREDICTION_VARIABLES)
+    return bin_counts(bin_edges(base), expected=base, actual=week)
+
+
 @query
 def psi_by_variable(spark, sf_dir):
     logs = demo.prediction_logs(spark, sf_dir, drifted=True)
