@@ -91,3 +91,15 @@ def written(df: DataFrame, label: str, partition: str | None = None) -> DataFram
     writer = df.write.partitionBy(partition) if partition else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def show_package(spark: SparkSession) -> None:
+    """Let local Python workers import this package, whatever folder the driver was started in.
+
+    On a cluster the package is installed on the executors or sent with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        paths = os.pathsep.join([root, *filter(None, known)])
+        spark.sparkContext.environment["PYTHONPATH"] = paths
