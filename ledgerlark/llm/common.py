@@ -12,6 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import types as T
 
 BLOCK_BYTES = 4 << 20
 ROOT = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -115,3 +116,8 @@ def list_column(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa
     ends = np.zeros(len(counts) + 1, np.int64)
     np.cumsum(counts, out=ends[1:])
     return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(values, kind)).cast(pa.list_(kind))
+
+
+def with_longs(schema: T.StructType, *names: str) -> T.StructType:
+    """A copy of the schema with more long columns."""
+    return T.StructType([*schema.fields, *[T.StructField(n, T.LongType()) for n in names]])

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, packing, sharding, warc
-from ledgerlark.session import scratch_path
+from ledgerlark.llm import bpe, fingerprints, jaccard, lines, neighbours, packing, quality, sharding, substrings, warc
+from ledgerlark.session import scratch_path, show_package
 
 SHARDS = 16
 PACKING_VOCABULARY = "word_bpe_49k.json"
@@ -18,8 +20,13 @@ SQL: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        show_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +38,52 @@ def op1_sharding(spark, sf_dir):
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"), digest_only=True)
+
+
+SQL["op2_substring_dedup"] = rf"""
+WITH d AS (
+       SELECT row_number() OVER () AS rid, doc_id,
+              regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+       FROM documents),
+     w AS (SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+     r AS (
+       SELECT rid, pos, word, count(*) OVER f AS n, string_agg(word, ' ') OVER f AS run
+       FROM w
+       WINDOW f AS (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND {substrings.WINDOW - 1} FOLLOWING)),
+     twice AS (SELECT run FROM r WHERE n = {substrings.WINDOW} GROUP BY run HAVING count(*) > 1),
+     m AS (
+       SELECT rid, pos, word, n = {substrings.WINDOW} AND run IN (SELECT run FROM twice) AS again FROM r),
+     c AS (
+       SELECT rid, pos, word, bool_or(again) OVER (
+           PARTITION BY rid ORDER BY pos ROWS BETWEEN {substrings.WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone
+       FROM m),
+     k AS (
+       SELECT rid, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept
+       FROM c GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)
+"""
+
+
+@query
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard.linked_documents(table(spark, sf_dir, "documents"), k=3, percent=90).drop("key")
+
+
+@query
+def op4_quality(spark, sf_dir):
+    return quality.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_line_dedup(spark, sf_dir):
+    return lines.dedup_lines(table(spark, sf_dir, "documents"), digest_only=True)
+
+
 @query
 def op6_packing(spark, sf_dir):
     return packing.pack_documents(
@@ -60,6 +113,16 @@ def op8_warc(spark, sf_dir):
     )
 
 
+@query
+def op9_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), every=20, count=20)
+
+
+@query
+def op10_fingerprints(spark, sf_dir):
+    return fingerprints.compare_edits(table(spark, sf_dir, "documents"))
+
+
 SQL["op8_warc"] = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
      n AS (SELECT html, max(page_id) AS newest FROM p GROUP BY html),
