@@ -37,7 +37,7 @@ def build_gold(
 ) -> dict[str, int]:
     run_audit(lake)
     rows = gold_rows(lake.layer("silver"), observation_date, as_of_date)
-    return {"inserted_count": lake.merge_gold(rows)}
+    return {"inserted_count": lake.merge_gold(rows, observation_date)}
 
 
 def cohort_check(lake: Lake, observation_date: str | dt.date) -> tuple[DataFrame, str | None]:
@@ -61,10 +61,12 @@ def run_pipeline(
     observation_date: str | dt.date,
     source,
     as_of_date: str | dt.date | None = None,
+    multi_line: bool = False,
+    json_form: str = "array",
 ) -> dict[str, object]:
     """Load, clean, build Gold for one date and check its cohorts; the five summaries."""
     lake.create()
-    ingested = load_bronze(lake, source)
+    ingested = load_bronze(lake, source, multi_line, json_form)
     silver = refresh_silver(lake)
     gold = build_gold(lake, observation_date, as_of_date)
     rates, report = cohort_check(lake, observation_date)

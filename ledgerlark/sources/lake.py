@@ -8,9 +8,10 @@ job reads what it overwrites, and a run that dies half-way is repeated without h
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +19,8 @@ from ledgerlark import schemas
 from ledgerlark.operators.newest import newest_per_key, upsert
 from ledgerlark.session import located, scratch_scope, written
 
-PLAIN = {("gold", "run_metrics"): schemas.RUN_METRICS}
+# Tables with a folder per run, so a repeated run replaces itself.
+BY_RUN = {("gold", "run_metrics"): schemas.RUN_METRICS}
 
 
 def _dated(schema: T.StructType, column: str) -> T.StructType:
@@ -39,11 +41,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def is_folder(spark: SparkSession, path: str) -> bool:
-    files, target = located(spark, path)
-    return files.getFileStatus(target).isDirectory()
-
-
 class Lake:
     """Tables under one root folder.
 
@@ -73,16 +70,18 @@ class Lake:
             )
         if (layer, table) in DATED:
             return DATED[(layer, table)][0]
-        return PLAIN[(layer, table)]
+        return BY_RUN[(layer, table)]
 
     def partition(self, layer: str, table: str) -> str | None:
         """The partition column of a table."""
         by_layer = {"bronze": "load", "silver": "bucket"}
+        if (layer, table) in BY_RUN:
+            return "run_id"
         return by_layer.get(layer) or DATED.get((layer, table), (None, None))[1]
 
     def tables(self) -> list[tuple[str, str]]:
         raw = [(layer, t) for layer in ("bronze", "silver") for t in schemas.RAW_TABLES]
-        return [*raw, *DATED, *PLAIN]
+        return [*raw, *DATED, *BY_RUN]
 
     def create(self) -> None:
         """Create every missing table, empty; existing ones stay as they are.
@@ -200,35 +199,44 @@ class Lake:
             for table, df in staged.items():
                 self.publish_silver(table, df)
 
-    def merge_gold(self, incoming: DataFrame) -> int:
-        """Replace-by-key into the Gold target table; returns the number of incoming rows.
+    def merge_gold(self, incoming: DataFrame, observation_date: str | dt.date) -> int:
+        """Replace-by-key into one date of the Gold target table; returns the incoming rows.
 
-        Only the observation dates of ``incoming`` (one per pipeline run) are rewritten,
-        clustered by user.
+        ``incoming`` holds each user once, for that date. Only that date is rewritten: its
+        merged rows are computed and written once, then swapped in by a copy.
         """
         with scratch_scope(self.spark):
-            return self._merge_gold(incoming)
+            return self._merge_gold(incoming, observation_date)
 
-    def _merge_gold(self, incoming: DataFrame) -> int:
+    def _merge_gold(self, incoming: DataFrame, observation_date: str | dt.date) -> int:
         layer, table = "gold", "target_construction"
         fields = schemas.GOLD_TARGET.fields
-        batch = written(
-            incoming.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]),
-            "incoming-gold",
-        )
-        per_date = batch.groupBy("observation_date").count().collect()
-        stored = self._stored(layer, table).where(
-            F.col("observation_date").isin([r["observation_date"] for r in per_date])
+        date = F.lit(str(observation_date)).cast("date")
+        wrong = F.raise_error(F.lit(f"a row is not of {observation_date}")).cast("date")
+        batch = incoming.withColumn(
+            "observation_date", F.when(F.col("observation_date") == date, date).otherwise(wrong)
+        ).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+        added = Observation()
+        batch = batch.observe(added, F.count(F.lit(1)).alias("rows"))
+        stored = self._stored(layer, table).where(F.col("observation_date") == date)
+        row = F.struct(F.col("_new"), *[F.col(f.name) for f in fields])
+        merged = (
+            batch.withColumn("_new", F.lit(1))
+            .unionByName(stored.withColumn("_new", F.lit(0)))
+            .groupBy(F.col("user_id").alias("_user"))
+            .agg(F.max(row).alias("r"))
+            .select(*[f"r.{f.name}" for f in fields])
         )
-        merged = upsert(stored, batch, ["user_id", "observation_date"])
-        clustered = merged.repartitionByRange(
-            "observation_date", "user_id"
-        ).sortWithinPartitions("observation_date", "user_id")
-        self._swap(layer, table, written(clustered, "gold"), "observation_date")
-        return sum(r["count"] for r in per_date)
+        self._swap(layer, table, written(merged, "gold"), "observation_date")
+        return added.get["rows"]
 
     def replace_drift_metrics(self, metrics: DataFrame) -> None:
         """Replace the stored metrics of the days in ``metrics`` (seven rows per day)."""
         columns = self.schema("gold", "drift_metrics").fieldNames()
         dated = metrics.withColumn("metric_date", F.to_date("timestamp")).select(*columns)
         self._swap("gold", "drift_metrics", dated.coalesce(1), "metric_date")
+
+    def replace_run(self, rows: DataFrame) -> None:
+        """Store the rows of a run (a handful) in place of those under the same id."""
+        columns = self.schema("gold", "run_metrics").fieldNames()
+        self._swap("gold", "run_metrics", rows.select(*columns).coalesce(1), "run_id")

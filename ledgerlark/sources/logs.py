@@ -52,15 +52,22 @@ def dialogue_rows(df: DataFrame) -> DataFrame:
 def _append_new(lake: Lake, table: str, key: str, rows: DataFrame) -> None:
     """Append rows whose id is not logged yet, so repeating a batch changes nothing.
 
-    The stored log is only read for ids that occur in the batch, and only its id column; a
-    small batch is broadcast to that scan and the log itself is not shuffled.
+    An id belongs to one request, which has one event time, so only the days of the batch
+    are looked up in the log, and only their id column.
     """
     with scratch_scope(lake.spark):
-        batch = written(newest_per_key(rows, key, ["timestamp"]), f"batch-{table}")
-        stored = lake.read("gold", table).select(key)
-        known = stored.join(batch.select(key), key, "left_semi")
-        fresh = batch.join(known, key, "left_anti")
-        lake.append("gold", table, fresh.withColumn("log_date", F.to_date("timestamp")))
+        dated = newest_per_key(rows, key, ["timestamp"]).withColumn(
+            "log_date", F.to_date("timestamp")
+        )
+        batch = written(dated, f"batch-{table}")
+        fresh = batch.join(known_ids(lake, table, key, batch), [key, "log_date"], "left_anti")
+        lake.append("gold", table, fresh)
+
+
+def known_ids(lake: Lake, table: str, key: str, batch: DataFrame) -> DataFrame:
+    """(id, day) of the log on the days that ``batch`` has rows of; other days are not read."""
+    days = [r.log_date for r in batch.select("log_date").distinct().collect()]
+    return lake.read("gold", table).where(F.col("log_date").isin(days)).select(key, "log_date")
 
 
 def log_predictions(lake: Lake, df: DataFrame) -> None:

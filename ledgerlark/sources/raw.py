@@ -8,9 +8,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlark.schemas import BRONZE, RAW_TABLES
-from ledgerlark.sources.lake import Lake, is_folder, path_exists
+from ledgerlark.sources.lake import Lake, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -23,6 +24,20 @@ def delimiter_of(header: str, columns: int) -> str:
     return ","
 
 
+def csv_options(spark: SparkSession, path: str, table: str, multi_line: bool) -> dict[str, object]:
+    """How CSV files at ``path`` are read, in batch and on a stream; a row that has too few or
+    too many columns fails the read."""
+    header = spark.read.text(path).head() if path_exists(spark, path) else None
+    return {
+        "header": True,
+        "enforceSchema": True,
+        "sep": delimiter_of(header[0] if header else "", len(BRONZE[table])),
+        "escape": '"',
+        "multiLine": multi_line,
+        "mode": "FAILFAST",
+    }
+
+
 def read_csv(
     spark: SparkSession, path: str, table: str, multi_line: bool = False
 ) -> DataFrame:
@@ -31,26 +46,34 @@ def read_csv(
     Files are split over tasks. Set ``multi_line`` when quoted values may hold line breaks;
     a file is then read by one task.
     """
-    header = spark.read.text(path).head()
-    width = len(BRONZE[table])
-    return (
-        spark.read.schema(BRONZE[table])
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("sep", delimiter_of(header[0] if header else "", width))
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    options = csv_options(spark, path, table, multi_line)
+    return spark.read.schema(BRONZE[table]).options(**options).csv(path)
 
 
-def read_json(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A JSON array of records, or a folder of files with one record per line.
+def json_records(reader, path: str, table: str, form: str) -> DataFrame:
+    """Records of a batch or stream reader; text that is not in the given form fails the read.
 
-    Columns bind by name, missing ones are NULL.
+    ``lines``: one record per line, files are split over tasks. ``array``: each file is one
+    array of records, read by one task.
     """
-    array = not is_folder(spark, path)
-    return spark.read.schema(BRONZE[table]).option("multiLine", array).json(path)
+    schema = BRONZE[table]
+    if form == "lines":
+        return reader.schema(schema).option("mode", "FAILFAST").json(path)
+    if form != "array":
+        raise ValueError(f"unknown JSON form: {form}")
+    files = reader.text(path, wholetext=True)
+    text = F.regexp_replace("value", r"^[\s\uFEFF]+|\s+$", "")
+    whole = F.startswith(text, F.lit("[")) & F.endswith(text, F.lit("]"))
+    checked = F.when(whole, text).otherwise(
+        F.raise_error(F.lit("a JSON file is not an array of records")).cast("string")
+    )
+    records = F.from_json(checked, T.ArrayType(schema), {"mode": "FAILFAST"})
+    return files.select(F.explode(records).alias("r")).select("r.*")
+
+
+def read_json(spark: SparkSession, path: str, table: str, form: str = "array") -> DataFrame:
+    """A JSON file, or a folder of them. Columns bind by name, missing ones are NULL."""
+    return json_records(spark.read, path, table, form)
 
 
 def from_records(
@@ -64,28 +87,34 @@ def from_records(
     return spark.createDataFrame(rows, BRONZE[table])
 
 
-def source_for(spark: SparkSession, folder: str, table: str) -> DataFrame | None:
+def source_for(
+    spark: SparkSession, folder: str, table: str, multi_line: bool = False, json_form: str = "array"
+) -> DataFrame | None:
     """The table's file in a folder: JSON wins over CSV, None without either."""
     if path_exists(spark, f"{folder}/{table}.json"):
-        return read_json(spark, f"{folder}/{table}.json", table)
+        return read_json(spark, f"{folder}/{table}.json", table, json_form)
     if path_exists(spark, f"{folder}/{table}.csv"):
-        return read_csv(spark, f"{folder}/{table}.csv", table)
+        return read_csv(spark, f"{folder}/{table}.csv", table, multi_line)
     log.warning("No source files found for table: %s", table)
     return None
 
 
 def load_bronze(
-    lake: Lake, source: str | Mapping[str, Sequence[Mapping[str, object]] | DataFrame]
+    lake: Lake,
+    source: str | Mapping[str, Sequence[Mapping[str, object]] | DataFrame],
+    multi_line: bool = False,
+    json_form: str = "array",
 ) -> dict[str, int]:
     """Append a folder of files, or a mapping of records or frames, to Bronze.
 
+    ``multi_line`` reads CSV values with line breaks, ``json_form`` is ``array`` or ``lines``.
     Returns the rows added per table, counted while they are written.
     """
     spark = lake.spark
     if isinstance(source, str):
         if not path_exists(spark, source):
             raise ValueError(f"not a folder: {source}")
-        frames = {t: source_for(spark, source, t) for t in RAW_TABLES}
+        frames = {t: source_for(spark, source, t, multi_line, json_form) for t in RAW_TABLES}
     elif isinstance(source, Mapping):
         frames = {}
         for t in RAW_TABLES:

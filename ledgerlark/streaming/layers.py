@@ -2,30 +2,42 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlark.plans.silver import to_silver
 from ledgerlark.schemas import BRONZE
 from ledgerlark.sources.lake import Lake
+from ledgerlark.sources.raw import csv_options, json_records
 
 
 def stream_to_bronze(
-    lake: Lake, table: str, folder: str, checkpoint: str, file_format: str = "csv"
+    lake: Lake,
+    table: str,
+    folder: str,
+    checkpoint: str,
+    file_format: str = "csv",
+    multi_line: bool = False,
+    json_form: str = "lines",
 ) -> StreamingQuery:
     """Load the files that arrive in ``folder``; stops when all present ones are loaded.
 
-    Each micro-batch is its own Bronze load, named by its batch number: repeated after a
-    failure it replaces itself, so no row is loaded twice.
+    Each micro-batch is its own Bronze load, named by the id that the checkpoint keeps for
+    the query and its batch number: repeated after a failure it replaces itself, and no other
+    stream shares its names. The delimiter is read from the files present at the start.
     """
-    reader = lake.spark.readStream.schema(BRONZE[table])
+    reader = lake.spark.readStream
     if file_format == "csv":
-        files = reader.option("header", True).option("escape", '"').csv(folder)
+        options = csv_options(lake.spark, folder, table, multi_line)
+        files = reader.schema(BRONZE[table]).options(**options).csv(folder)
     else:
-        files = reader.option("multiLine", True).json(folder)
+        files = json_records(reader, folder, table, json_form)
 
     def add(batch: DataFrame, number: int) -> None:
-        lake.add_load(table, batch, f"stream-{number}")
+        kept = lake.spark.read.text(f"{checkpoint}/metadata").head()[0]
+        lake.add_load(table, batch, f"stream-{json.loads(kept)['id']}-{number}")
 
     return (
         files.writeStream.foreachBatch(add)

@@ -141,10 +141,12 @@ def test_upsert_leaves_other_rows_and_buckets(spark, lake):
 
 def test_gold_merge_keeps_other_dates_and_users(lake, silver):
     rows = gold.gold_rows(silver, OBSERVED, AS_OF)
-    lake.merge_gold(gold.gold_rows(silver, "2023-06-01", AS_OF))
-    lake.merge_gold(rows)
+    lake.merge_gold(gold.gold_rows(silver, "2023-06-01", AS_OF), "2023-06-01")
+    lake.merge_gold(rows, OBSERVED)
     changed = rows.where("user_id = 'ana'").withColumn("monthly_volume", F.lit(5.0))
-    assert lake.merge_gold(changed) == 1
+    assert lake.merge_gold(changed, OBSERVED) == 1
+    with pytest.raises(Exception, match="is not of"):
+        lake.merge_gold(rows, "2023-06-01")
     table = lake.read("gold", "target_construction")
     assert table.count() == 8
     now = keyed(table.where(F.col("observation_date") == F.lit(OBSERVED).cast("date")), "user_id")
@@ -201,4 +203,35 @@ def test_infinite_amounts_sum_like_doubles(spark):
         "user_id string, d string, amount double",
     ).withColumn("disbursement_date", F.col("d").cast("date"))
     sums = keyed(gold.monthly_volume(loans, OBSERVED), "user_id")
-    assert sums["u"].monthly_volume == float("inf") and sums["v"].monthly_volume == 0.3
+    assert sums["u"].monthly_volume == float("inf") and sums["v"].monthly_volume == pytest.approx(0.3)
+
+
+def test_forms_are_told_apart_and_bad_files_fail(spark, lake, tmp_path):
+    records = RAW["loans"][:5]
+    lines = "\n".join(json.dumps(r) for r in records)
+    for form, good, bad in (("lines", lines, json.dumps(records, indent=2)), ("array", json.dumps(records, indent=2), lines)):
+        for name, text in (("good", good), ("bad", bad)):
+            folder = tmp_path / f"{form}-{name}"
+            folder.mkdir()
+            (folder / "loans.json").write_text(text)
+        assert load_bronze(lake, str(tmp_path / f"{form}-good"), json_form=form)["loans"] == 5
+        with pytest.raises(Exception):
+            load_bronze(lake, str(tmp_path / f"{form}-bad"), json_form=form)
+
+
+def test_quoted_line_breaks(spark, lake, tmp_path):
+    names = ["user_id", "created_at", "country", "updated_at", "ingestion_timestamp"]
+    (tmp_path / "users.csv").write_text(",".join(names) + '\n1,,"a ""b""\nc, d",,\n2,,x,,\n')
+    assert load_bronze(lake, str(tmp_path), multi_line=True)["users"] == 2
+    got = {r.user_id: r.country for r in lake.read("bronze", "users").collect()}
+    assert got == {"1": 'a "b"\nc, d', "2": "x"}
+    (tmp_path / "users.csv").write_text(",".join(names) + "\n1,,x,,,too,many\n")
+    with pytest.raises(Exception):
+        load_bronze(lake, str(tmp_path))
+
+
+def test_tiny_amounts_are_not_cut(spark):
+    loans = spark.createDataFrame([("u", 4e-9), ("u", 4e-9), ("v", 1e25), ("v", 0.5)], "user_id string, amount double")
+    loans = loans.withColumn("disbursement_date", F.lit(OBSERVED).cast("date"))
+    got = {r.user_id: r.monthly_volume for r in gold.monthly_volume(loans, OBSERVED).collect()}
+    assert got == {"u": 8e-9, "v": 1e25}

@@ -1,3 +1,4 @@
+import json
 import os
 
 from loans_fixture import RAW
@@ -38,6 +39,26 @@ def test_files_to_bronze_to_silver(spark, lake, tmp_path):
     assert len(rows_of(lake, "bronze", "loans")) == 3
 
 
+def test_streams_of_one_table_do_not_meet(spark, lake, tmp_path):
+    for n, folder in enumerate(("first", "second")):
+        (tmp_path / folder).mkdir()
+        lines = [json.dumps(r) for r in RAW["loans"][4 * n : 4 * n + 4]]
+        (tmp_path / folder / "loans.json").write_text("\n".join(lines))
+        stream_to_bronze(lake, "loans", str(tmp_path / folder), str(tmp_path / f"check-{folder}"), "json").awaitTermination()
+    assert len(rows_of(lake, "bronze", "loans")) == 8
+    (tmp_path / "array").mkdir()
+    (tmp_path / "array" / "loans.json").write_text(json.dumps(RAW["loans"][8:10], indent=1))
+    stream_to_bronze(lake, "loans", str(tmp_path / "array"), str(tmp_path / "check-array"), "json", json_form="array").awaitTermination()
+    assert len(rows_of(lake, "bronze", "loans")) == 10
+
+
+def test_streamed_csv_with_quotes_and_another_delimiter(spark, lake, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('user_id;created_at;country;updated_at;ingestion_timestamp\n1;;"a\n""b""";;\n')
+    stream_to_bronze(lake, "users", str(tmp_path / "in"), str(tmp_path / "c"), multi_line=True).awaitTermination()
+    assert [(r.user_id, r.country) for r in rows_of(lake, "bronze", "users")] == [("1", 'a\n"b"')]
+
+
 def test_repeated_load_replaces_itself(spark, lake):
     users = from_records(spark, RAW["users"], "users")
     for _ in range(2):
