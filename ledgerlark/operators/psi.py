@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.quantiles import exact_quantiles
-from ledgerlark.operators.running import ROWS_PER_SLICE
 
 BINS = 10
 COUNT_FLOOR = 1e-4
@@ -26,7 +25,6 @@ def long_form(df: DataFrame, variables: list[str]) -> DataFrame:
 def bin_edges(
     baseline: DataFrame,
     bins: int = BINS,
-    rows_per_slice: int = ROWS_PER_SLICE,
     accuracy: int | None = None,
 ) -> DataFrame:
     """(variable, edges): distinct quantile edges of the baseline, in order.
@@ -36,7 +34,7 @@ def bin_edges(
     """
     steps = [i / bins for i in range(bins + 1)]
     if accuracy is None:
-        cuts = exact_quantiles(baseline, "value", steps, "variable", rows_per_slice)
+        cuts = exact_quantiles(baseline, "value", steps, "variable")
     else:
         cuts = baseline.groupBy("variable").agg(
             F.percentile_approx("value", steps, accuracy).alias("quantiles")
@@ -61,10 +59,10 @@ def bin_number(value: Column, inner: Column) -> Column:
 def bin_counts(edges: DataFrame, **samples: DataFrame) -> DataFrame:
     """(variable, bin, <sample>...) with every bin of every variable, empty ones as zero.
 
-    Rows meet their variable's edges (one row per monitored variable, broadcast) and are
-    counted map-side, so only bin counts travel however uneven the variables are.
+    Rows meet their variable's edges, one row per monitored variable, and are counted
+    map-side, so only bin counts travel however uneven the variables are.
     """
-    inner = F.broadcast(edges.select("variable", inner_edges(F.col("edges")).alias("inner")))
+    inner = edges.select("variable", inner_edges(F.col("edges")).alias("inner"))
     tagged = None
     for name, sample in samples.items():
         part = sample.join(inner, "variable").select(
@@ -112,9 +110,8 @@ def population_stability(
     actual: DataFrame,
     edges: DataFrame | None = None,
     bins: int = BINS,
-    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """(variable, psi) of two long-form samples, on quantile bins of ``expected``."""
     if edges is None:
-        edges = bin_edges(expected, bins, rows_per_slice)
+        edges = bin_edges(expected, bins)
     return psi_of_counts(bin_counts(edges, expected=expected, actual=actual))

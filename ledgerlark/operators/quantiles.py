@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.running import ROWS_PER_SLICE, running_totals
+from ledgerlark.operators.running import running_totals
 
 
 def _between(low: Column, high: Column, part: Column) -> Column:
@@ -21,7 +21,6 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     by: str,
-    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """One row per group of ``by``: the quantiles as an array in the order asked for.
 
@@ -34,7 +33,7 @@ def exact_quantiles(
         .groupBy(by, value)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_totals(counts, value, ["n"], by, rows_per_slice)
+    ranked = running_totals(counts, value, ["n"], by)
     size, seen = F.col("n_total"), F.col("n_cum")
     picks = []
     for i, p in enumerate(probabilities):

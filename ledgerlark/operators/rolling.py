@@ -2,63 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.functions.clock import utc_instant
+
+
+def _totals(over=None) -> list[Column]:
+    """Sums of values, of how many there are and of requests, over a window or a group."""
+    sums = [F.sum(c) for c in ("_total", "_n", "_requests")]
+    return [s.over(over) if over is not None else s for s in sums]
+
+
+def _parts(df: DataFrame, service: str, ts: str, over) -> DataFrame:
+    names = ("_total", "_n", "_requests")
+    return df.select(service, ts, "_probe", *[s.alias(c) for s, c in zip(_totals(over), names)])
+
 
 def rolling_mean(
     df: DataFrame, service: str, ts: str, value: str, seconds: int = 60
 ) -> DataFrame:
     """(service, ts, window_requests, rolling_mean): the mean over [ts - seconds, ts].
 
-    One row per service and instant. Two things keep busy services cheap. Time is cut into
-    blocks as long as the range, and each (service, block) is its own group: an instant
-    enters its own block, and the next block as history. Within a block a value enters the
-    running sum at its instant and leaves it ``seconds`` later, so each row is added once
-    instead of once per frame it falls into. Sums are decimal, so leaving is exact.
+    One row per service and instant, instants without any value included. A NULL counts as a
+    request but not in the mean; a NaN makes the means it falls into NaN.
+
+    A range is the end of its first second, the full seconds between, and the beginning of
+    its last second. Running sums inside single seconds give the ends, a window over second
+    totals in blocks of ``seconds`` the middle. Values are only ever added, never taken away
+    again, and no task holds more than one block of a service's second totals or one second
+    of its instants.
     """
-    span = F.expr(f"INTERVAL {seconds} SECONDS")
     instants = (
-        df.where(F.col(value).isNotNull())
+        df.where(F.col(ts).isNotNull())
         .groupBy(service, ts)
         .agg(
-            F.sum(F.col(value).cast("decimal(28,8)")).alias("_total"),
-            F.count(F.lit(1)).alias("_n"),
+            F.coalesce(F.sum(F.col(value).cast("double")), F.lit(0.0)).alias("_total"),
+            F.count(value).alias("_n"),
+            F.count(F.lit(1)).alias("_requests"),
         )
-        .withColumn("_own", F.window(ts, f"{seconds} seconds")["start"])
+        .withColumn("_second", F.unix_seconds(utc_instant(F.col(ts))))
     )
+    span = F.expr(f"INTERVAL {seconds} SECONDS")
+    rows = instants.withColumn("_probe", F.lit(False))
+    # Where each range starts: an empty row at that instant, named by the range's end.
+    probes = rows.withColumns(
+        {
+            "_second": F.col("_second") - seconds, "_probe": F.lit(True), "_total": F.lit(0.0),
+            "_n": F.lit(0).cast("long"), "_requests": F.lit(0).cast("long"),
+        }
+    )
+    at = F.when(F.col("_probe"), F.col(ts) - span).otherwise(F.col(ts))
+    one_second = Window.partitionBy(service, "_second").orderBy("_at", F.desc("_probe"))
+    up_to = one_second.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = one_second.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    both = rows.unionByName(probes).withColumn("_at", at)
+    last = _parts(rows.withColumn("_at", F.col(ts)), service, ts, up_to)
+    first = _parts(both, service, ts, onward).where("_probe")
 
-    def step(block, at, order, sign):
-        return F.struct(
-            block.alias("block"), at.alias("at"), F.lit(order).alias("order"),
-            F.lit(sign).alias("sign"),
-        )
-
-    t, own = F.col(ts), F.col("_own")
-    steps = instants.withColumn(
-        "_s",
-        F.explode(
-            F.array(
-                step(own, t, 0, 1),
-                step(own + span, t, 0, 1),
-                step(own + span, t + span, 1, -1),
-            )
-        ),
+    totals = instants.groupBy(service, "_second").agg(
+        *[s.alias(c) for s, c in zip(_totals(), ("_total", "_n", "_requests"))]
     )
-    so_far = (
-        Window.partitionBy(service, "_s.block")
-        .orderBy("_s.at", "_s.order")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    block = F.floor(F.col("_second") / seconds)
+    blocks = totals.withColumn("_block", F.explode(F.array(block, block + 1)))
+    between = (
+        Window.partitionBy(service, "_block").orderBy("_second").rangeBetween(1 - seconds, -1)
     )
-    sums = steps.withColumns(
-        {
-            "_sum": F.sum(F.col("_total") * F.col("_s.sign")).over(so_far),
-            "window_requests": F.sum(F.col("_n") * F.col("_s.sign")).over(so_far),
-        }
+    middle = blocks.select(
+        service, "_second", "_block",
+        *[
+            F.coalesce(s, F.lit(0)).alias(c)
+            for s, c in zip(_totals(between), ("_total", "_n", "_requests"))
+        ],
+    ).where(F.col("_block") == block)
+    own = instants.select(F.col(service).alias("_service"), ts, F.col("_second").alias("_own"))
+    same = own["_service"].eqNullSafe(middle[service]) & (own["_own"] == middle["_second"])
+    middle = middle.drop("_block").join(own, same)
+    whole = (
+        last.drop("_probe")
+        .unionByName(first.drop("_probe"))
+        .unionByName(middle.drop("_second", "_service", "_own"))
+        .groupBy(service, ts)
+        .agg(*[s.alias(c) for s, c in zip(_totals(), ("_total", "_n", "_requests"))])
     )
-    return sums.where((F.col("_s.block") == own) & (F.col("_s.order") == 0)).select(
+    return whole.select(
         service,
         ts,
-        "window_requests",
-        (F.col("_sum").cast("double") / F.col("window_requests")).alias("rolling_mean"),
+        F.col("_requests").alias("window_requests"),
+        F.when(F.col("_n") > 0, F.col("_total") / F.col("_n")).alias("rolling_mean"),
     )

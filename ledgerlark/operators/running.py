@@ -2,84 +2,34 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.session import written
 
-ROWS_PER_SLICE = 250_000
-MAX_SLICES = 4096
-
-
-def _slice_number(value: str, by: str | None, edges: dict[object, list[float]]) -> Column:
-    """How many edges of the row's group lie below its value.
-
-    Searched in two steps, first among the last edges of each block, then in one block.
-    """
-    block = math.isqrt(max(map(len, edges.values()))) + 1
-
-    def constant(pick) -> Column:
-        arrays = {
-            g: F.array(*[F.lit(float(e)) for e in pick(cuts)]).cast("array<double>")
-            for g, cuts in edges.items()
-        }
-        if by is None:
-            return arrays[None]
-        pairs = [part for g, a in arrays.items() for part in (F.lit(g), a)]
-        return F.element_at(F.create_map(*pairs), F.col(by))
-
-    def below(cuts: Column) -> Column:
-        return F.size(F.filter(cuts, lambda edge: edge < F.col(value)))
-
-    passed = below(constant(lambda cuts: cuts[block - 1 :: block])) * block
-    return passed + below(F.slice(constant(lambda cuts: cuts), passed + 1, F.lit(block)))
-
 
 def running_totals(
-    df: DataFrame,
-    value: str,
-    sums: Sequence[str],
-    by: str | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    df: DataFrame, value: str, sums: Sequence[str], by: str | None = None
 ) -> DataFrame:
     """Add ``<s>_cum`` (total up to and including the row, in order of ``value``) and
     ``<s>_total`` for each ``s`` of ``sums``, within each group of ``by``.
 
     ``df`` must hold each (by, value) once, so callers group first and a value shared by
-    a third of all rows is one row here. ``by`` must have few groups (monitored variables).
-
-    Up to ``rows_per_slice`` rows a group is one window. A larger group is cut into value
-    slices at approximate quantiles. Slice totals give each slice its starting sum, then
-    slices run side by side. Any edges give right sums as long as both steps see the same
-    ones: the input is written once and the edges, a bounded list, become constants of the
-    plan.
+    a third of all rows is one row here. Rows are dealt into the session's shuffle partitions
+    by range and written once with the number of their partition, which then stays the same
+    for both steps: totals of partitions give each its starting sums, and partitions run side
+    by side.
     """
-    df = written(df, "running-totals")
     keys = [by] if by else []
-    sizes = {
-        (r[by] if by else None): r["n"]
-        for r in df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    slices = min(MAX_SLICES, math.ceil(max(sizes.values(), default=0) / rows_per_slice))
+    dealt = df.repartitionByRange(*keys, value).withColumn("_slice", F.spark_partition_id())
+    dealt = written(dealt, "running-totals")
     whole = Window.partitionBy(*keys)
-    if slices <= 1:
-        up_to = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select(
-            "*",
-            *[F.sum(s).over(up_to).alias(f"{s}_cum") for s in sums],
-            *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
-        )
-
-    steps = [i / slices for i in range(1, slices)]
-    cuts = df.groupBy(*keys).agg(F.percentile_approx(value, steps, 20 * slices).alias("cuts"))
-    edges = {(r[by] if by else None): sorted(set(r["cuts"] or [])) for r in cuts.collect()}
-    df = df.withColumn("_slice", _slice_number(value, by, edges))
     earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition and group.
     starts = (
-        df.groupBy(*keys, "_slice")
+        dealt.groupBy(*keys, "_slice")
         .agg(*[F.sum(s).alias(s) for s in sums])
         .select(
             *keys,
@@ -93,8 +43,8 @@ def running_totals(
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return df.join(starts, [*keys, "_slice"]).select(
-        *[c for c in df.columns if c != "_slice"],
+    return dealt.join(starts, [*keys, "_slice"]).select(
+        *df.columns,
         *[(F.col(f"_{s}_start") + F.sum(s).over(inside)).alias(f"{s}_cum") for s in sums],
         *[f"{s}_total" for s in sums],
     )

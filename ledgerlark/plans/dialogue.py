@@ -14,7 +14,7 @@ SAFETY_VARIABLES = ["toxicity_score", "prompt_injection_score", "fidelity_score"
 
 
 def dialogue_pairs(turns: DataFrame) -> DataFrame:
-    """Each user turn with the assistant turn right after it, if it comes.
+    """Each user turn with the assistant turn right after it, NULL if none comes.
 
     An equi-join on conversation and turn number, so a conversation of any length spreads
     over the cluster instead of being walked in one task.
@@ -25,7 +25,7 @@ def dialogue_pairs(turns: DataFrame) -> DataFrame:
     answered = turns.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("bot_response")
     )
-    return asked.join(answered, ["conv_id", "turn"])
+    return asked.join(answered, ["conv_id", "turn"], "left")
 
 
 def score_dialogues(

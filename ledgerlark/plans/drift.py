@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.policy import drift_alert, drift_status
-from ledgerlark.operators.psi import bin_edges, long_form, population_stability
+from ledgerlark.operators.psi import bin_counts, bin_edges, long_form, psi_of_counts
 from ledgerlark.plans.dialogue import safety_summary
 from ledgerlark.plans.tracking import drift_rows, run_rows, track
 from ledgerlark.session import scratch_scope, written
@@ -30,20 +30,26 @@ def classified(psi: DataFrame) -> DataFrame:
     )
 
 
-def baseline_edges(baseline: DataFrame, accuracy: int | None = None) -> DataFrame:
-    """Bin edges of the four variables: compute once per baseline, keep, and pass along."""
-    return bin_edges(long_form(baseline, PREDICTION_VARIABLES), accuracy=accuracy)
+def baseline_profile(baseline: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """(variable, edges, expected): bin edges and rows per bin of the four variables.
 
+    One row per variable, all that a weekly run needs of a baseline: compute it once, store
+    it and pass it along.
+    """
+    values = long_form(baseline, PREDICTION_VARIABLES)
+    edges = written(bin_edges(values, accuracy=accuracy), "baseline-edges")
+    by_bin = F.sort_array(F.collect_list(F.struct("bin", "expected")))["expected"]
+    counts = bin_counts(edges, expected=values).groupBy("variable").agg(by_bin.alias("expected"))
+    return edges.join(counts, "variable")
 
-def prediction_drift(
-    predictions: DataFrame, baseline: DataFrame, edges: DataFrame | None = None
-) -> DataFrame:
+
+def prediction_drift(predictions: DataFrame, profile: DataFrame) -> DataFrame:
     """PSI rows of the four monitored variables; one without values is STABLE at 0.0."""
-    psi = population_stability(
-        long_form(baseline, PREDICTION_VARIABLES),
-        long_form(predictions, PREDICTION_VARIABLES),
-        baseline_edges(baseline) if edges is None else edges,
+    actual = bin_counts(
+        profile.select("variable", "edges"), actual=long_form(predictions, PREDICTION_VARIABLES)
     )
+    expected = profile.select("variable", F.posexplode("expected").alias("bin", "expected"))
+    psi = psi_of_counts(expected.join(actual, ["variable", "bin"]))
     # One row per monitored variable, from a count that is there even for an empty week.
     names = predictions.agg(*[F.count(v).alias(v) for v in PREDICTION_VARIABLES]).unpivot(
         [], PREDICTION_VARIABLES, "variable", "present"
@@ -63,13 +69,12 @@ def prediction_drift(
 def weekly_metrics(
     predictions: DataFrame,
     dialogues: DataFrame,
-    baseline: DataFrame,
+    profile: DataFrame,
     reference_date: str | dt.date,
-    edges: DataFrame | None = None,
 ) -> DataFrame:
     """Seven rows: four prediction variables and three safety scores."""
     week = in_week(predictions, reference_date)
-    rows = prediction_drift(week, baseline, edges).unionByName(
+    rows = prediction_drift(week, profile).unionByName(
         safety_summary(in_week(dialogues, reference_date))
     )
     stamp = F.lit(str(reference_date)).cast("timestamp_ntz")
@@ -91,21 +96,18 @@ def overall_alert(metrics: DataFrame) -> DataFrame:
 
 
 def run_weekly_drift(
-    lake: Lake,
-    reference_date: str | dt.date,
-    baseline: DataFrame,
-    edges: DataFrame | None = None,
+    lake: Lake, reference_date: str | dt.date, profile: DataFrame
 ) -> dict[str, object]:
     """Compute, store (replacing the same day) and track one week's metrics."""
     with scratch_scope(lake.spark):
-        return _run_week(lake, reference_date, baseline, edges)
+        return _run_week(lake, reference_date, profile)
 
 
-def _run_week(lake, reference_date, baseline, edges) -> dict[str, object]:
+def _run_week(lake, reference_date, profile) -> dict[str, object]:
     predictions = lake.read("gold", "prediction_logs")
     dialogues = lake.read("gold", "dialogue_logs")
     metrics = written(
-        weekly_metrics(predictions, dialogues, baseline, reference_date, edges), "drift-metrics"
+        weekly_metrics(predictions, dialogues, profile, reference_date), "drift-metrics"
     )
     lake.replace_drift_metrics(metrics)
     start, end = week_bounds(reference_date)
@@ -117,8 +119,7 @@ def _run_week(lake, reference_date, baseline, edges) -> dict[str, object]:
         "total_dialogues": in_week(dialogues, reference_date).count(),
     }
     run_id = f"drift_analysis_{reference_date}"
-    track(lake, run_rows(lake.spark, run_id, summary))
-    track(lake, drift_rows(metrics, run_id))
+    track(lake, run_id, run_rows(lake.spark, run_id, summary), drift_rows(metrics, run_id))
     rows = [r.asDict() for r in metrics.collect()]
     for r in rows:
         if r["alert_triggered"]:

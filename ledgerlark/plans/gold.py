@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.sums import steady_sum
+from ledgerlark.operators.sums import amount_sum
 
 # Fixed values of the feature window and the target.
 FEATURE_WINDOW_DAYS = 30
@@ -30,7 +30,7 @@ def monthly_volume(loans: DataFrame, observation_date: str | dt.date) -> DataFra
     return (
         loans.where(in_window)
         .groupBy("user_id")
-        .agg(F.coalesce(steady_sum(F.col("amount")), F.lit(0.0)).alias("monthly_volume"))
+        .agg(F.coalesce(amount_sum(F.col("amount")), F.lit(0.0)).alias("monthly_volume"))
     )
 
 

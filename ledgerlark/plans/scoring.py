@@ -46,21 +46,27 @@ def decide(scored: DataFrame) -> DataFrame:
     )
 
 
-def with_prediction_id(requests: DataFrame) -> DataFrame:
-    """Add a ``prediction_id`` hashed from the request where there is none.
-
-    A random id would change when a lost task is run again.
+def score_batch(
+    lake: Lake, requests: DataFrame, model: PipelineModel | None
+) -> tuple[DataFrame, DataFrame]:
+    """Answer and log the valid requests; returns the answers, and the rejected with reasons.
+
+    Every request brings its own ``prediction_id`` and ``latency_ms``: equal requests are
+    different requests, and ids made here would change when a lost task is run again. A
+    request whose id is NULL is rejected.
     """
-    if "prediction_id" in requests.columns:
-        return requests
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in requests.columns]
-    return requests.withColumn("prediction_id", F.sha2(F.concat_ws("|", *parts), 256))
-
-
-def score_batch(lake: Lake, requests: DataFrame, model: PipelineModel | None) -> DataFrame:
-    """Answer and log the valid requests; returns the rejected ones with their reasons."""
-    log_predictions(lake, score(with_prediction_id(valid_requests(requests)), model))
-    return rejected_requests(requests)
+    for needed in ("prediction_id", "latency_ms"):
+        if needed not in requests.columns:
+            raise ValueError(f"requests need a column {needed}")
+    no_id = F.when(F.col("prediction_id").isNull(), F.array(F.lit("prediction_id")))
+    checked = with_reasons(requests).withColumn(
+        "rejection_reasons",
+        F.concat(F.coalesce(no_id, F.array().cast("array<string>")), "rejection_reasons"),
+    )
+    ok = F.size("rejection_reasons") == 0
+    answers = score(checked.where(ok).drop("rejection_reasons"), model)
+    log_predictions(lake, answers)
+    return answers, checked.where(~ok)
 
 
 def score(requests: DataFrame, model: PipelineModel | None) -> DataFrame:

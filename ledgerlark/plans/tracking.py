@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,5 +64,9 @@ def drift_rows(metrics: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def track(lake: Lake, rows: DataFrame) -> None:
-    lake.append("gold", "run_metrics", rows.withColumn("logged_at", utc_now()))
+def track(lake: Lake, run_id: str, *rows: DataFrame) -> None:
+    """Store a run's rows; what is stored under the same id is replaced."""
+    run = reduce(DataFrame.unionByName, rows).withColumns(
+        {"run_id": F.lit(run_id), "logged_at": utc_now()}
+    )
+    lake.replace_run(run)

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.features import bounded, synthetic_income, uniform
+from ledgerlark.functions.features import bounded, synthetic_income
 from ledgerlark.operators.psi import long_form
 from ledgerlark.operators.quantiles import exact_quantiles
 from ledgerlark.operators.ranking import model_metrics
@@ -21,7 +21,7 @@ from ledgerlark.operators.split import stratified_split
 from ledgerlark.plans.gold import day
 from ledgerlark.plans.tracking import run_rows, track
 from ledgerlark.schemas import FEATURES
-from ledgerlark.session import scratch_root, scratch_scope, written
+from ledgerlark.session import scratch_scope, written
 from ledgerlark.sources.lake import Lake, path_exists
 
 log = logging.getLogger(__name__)
@@ -41,7 +41,8 @@ MODEL_PARAMS = {
     "maxDepth": 5,
     "stepSize": 0.05,
     "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.8",
+    # Two of the three features, drawn for each node.
+    "featureSubsetStrategy": "2",
 }
 
 
@@ -120,10 +121,10 @@ def class_weight(train: DataFrame) -> DataFrame:
 
 
 def fit(train: DataFrame, seed: int = 42, label: str = LABEL, **params) -> PipelineModel:
-    """Boosted trees over the features, positives weighted up to balance the classes."""
-    spark = train.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{scratch_root(spark)}/ledgerlark/checkpoints")
+    """Boosted trees over the features, positives weighted up to balance the classes.
+
+    Long lineages are cut every ten trees where the caller's context has a checkpoint folder.
+    """
     weight = class_weight(train.withColumn(LABEL, F.col(label))).scalar()
     weighted = train.withColumn("_w", F.when(F.col(label) == 1, weight).otherwise(F.lit(1.0)))
     trees = GBTClassifier(
@@ -202,50 +203,19 @@ def _train(lake, observation_date, model_path, seed, run_id, params) -> dict[str
     model = fit(prepared.where(~F.col("is_test")), seed, **params)
     scored = predict(model, prepared.where("is_test"))
     metrics = model_metrics(scored, LABEL, "probability_of_default").first().asDict()
+    if unscored := metrics.pop("unscored_rows"):
+        raise ValueError(f"{unscored} test rows have no probability")
     gate(metrics)
     spent = {**MODEL_PARAMS, **params, "seed": seed, "observation_date": observation_date}
-    track(lake, run_rows(lake.spark, run_id or uuid.uuid4().hex, spent, metrics))
+    run_id = run_id or uuid.uuid4().hex
+    track(lake, run_id, run_rows(lake.spark, run_id, spent, metrics))
     save_model(model, model_path)
     return metrics
 
 
-def simulated_baseline(spark, rows: int = 1000, seed: int = 42) -> DataFrame:
-    """Opt-in stand-in for an empty Gold table: exponential volumes, uniform active days."""
-    key = F.concat(F.lit("baseline-"), F.col("id").cast("string"))
-    unit = uniform(key, seed, 0) + F.lit(1.0 / 2**32)
-    return spark.range(rows).select(
-        key.alias("user_id"),
-        (F.lit(-5000.0) * F.ln(unit)).alias("monthly_volume"),
-        F.floor(uniform(key, seed, 1) * 31).cast("int").alias("session_regularity"),
-    )
-
-
-def dummy_model(baseline: DataFrame, seed: int = 42) -> PipelineModel:
-    """Opt-in stand-in for a missing model: a few shallow trees on volume over 5000."""
-    flagged = baseline.withColumn("label", (F.col("monthly_volume") > 5000).cast("int"))
-    return fit(flagged, seed, "label", maxIter=5, maxDepth=2)
-
-
-def baseline_rows(
-    gold: DataFrame,
-    model: PipelineModel | None = None,
-    simulate_if_empty: bool = False,
-    dummy_if_missing: bool = False,
-    seed: int = 42,
-) -> DataFrame:
-    """All Gold rows with income and predicted PD: what weekly logs are compared with.
-
-    An empty Gold table or a missing model is an error unless the matching stand-in is
-    asked for.
-    """
+def baseline_rows(gold: DataFrame, model: PipelineModel, seed: int = 42) -> DataFrame:
+    """All Gold rows with income and predicted PD: what weekly logs are compared with."""
     rows = gold.select("user_id", "monthly_volume", "session_regularity")
     if rows.isEmpty():
-        if not simulate_if_empty:
-            raise ValueError("the Gold target table holds no baseline rows")
-        rows = simulated_baseline(gold.sparkSession, seed=seed)
-    rows = with_income(rows, seed)
-    if model is None:
-        if not dummy_if_missing:
-            raise ValueError("no model to predict baseline probabilities with")
-        model = dummy_model(rows, seed)
-    return predict(model, rows).drop("prediction")
+        raise ValueError("the Gold target table holds no baseline rows")
+    return predict(model, with_income(rows, seed)).drop("prediction")

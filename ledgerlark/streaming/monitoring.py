@@ -20,19 +20,12 @@ def stream_predictions(
     requests: DataFrame,
     model: PipelineModel | None,
     checkpoint: str,
-    delay: str = "1 hour",
 ) -> StreamingQuery:
-    """Answer requests as they arrive and log each prediction id once.
+    """Answer requests as they arrive, however late, and log each prediction id once.
 
-    Repeats within the watermark are dropped by the stream; later ones, and repeated
-    micro-batches, by the log itself.
+    Repeats and repeated micro-batches are kept out by the log itself.
     """
-    fresh = (
-        requests.withColumn("_at", utc_instant(F.col("timestamp")))
-        .withWatermark("_at", delay)
-        .dropDuplicatesWithinWatermark(["prediction_id"])
-    )
-    answers = score(valid_requests(fresh), model)
+    answers = score(valid_requests(requests), model)
 
     def append(batch: DataFrame, number: int) -> None:
         log_predictions(lake, batch)
@@ -76,8 +69,8 @@ def weekly_bin_counts(
 ) -> DataFrame:
     """(week, variable, bin, actual) from a stream of log rows and the baseline's edges.
 
-    ``edges`` has one row per monitored variable and is broadcast; the state kept is one
-    count per week, variable and bin.
+    ``edges`` has one row per monitored variable; the state kept is one count per week,
+    variable and bin.
     """
     pairs = F.explode(
         F.array(
@@ -87,7 +80,7 @@ def weekly_bin_counts(
             ]
         )
     ).alias("pair")
-    inner = F.broadcast(edges.select("variable", inner_edges(F.col("edges")).alias("inner")))
+    inner = edges.select("variable", inner_edges(F.col("edges")).alias("inner"))
     return (
         logs.select(utc_instant(F.col(ts)).alias("_at"), *variables)
         .withWatermark("_at", delay)
@@ -105,6 +98,17 @@ def weekly_bin_counts(
     )
 
 
+def with_open_windows(
+    emitted: DataFrame, whole: DataFrame, keys: list[str]
+) -> DataFrame:
+    """What a finished stream has emitted, and the windows still open at its end.
+
+    ``whole`` is the same aggregation over the stored input, as a batch; bound it to where
+    open windows can start. Run once the source is used up.
+    """
+    return emitted.unionByName(whole.join(emitted.select(*keys), keys, "left_anti"))
+
+
 def weekly_psi(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """(week, variable, psi) from finished weeks and the baseline's (variable, bin, expected).
 

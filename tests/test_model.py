@@ -42,16 +42,32 @@ def test_known_metrics(spark, labels, scores, auc, ks):
     assert (m.roc_auc, m.gini_index, m.ks_statistic) == (auc, 2 * auc - 1, ks)
 
 
-@pytest.mark.parametrize("rows_per_slice", [10**6, 40, 1])
-def test_metrics_in_slices_match_brute_force(spark, rows_per_slice):
+@pytest.fixture(params=[1, 3, 40])
+def partitions(spark, request):
+    """Shuffle partitions, and with them the slices that running totals use."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_metrics_in_slices_match_brute_force(spark, partitions):
     rng = random.Random(5)
     labels = [int(rng.random() < 0.3) for _ in range(600)]
     # A third of all rows share one score, the rest is spread very unevenly.
     scores = [0.25 if i % 3 == 0 else round(rng.random() ** 4 * 0.98 + 0.01, 3) for i in range(600)]
-    got = model_metrics(scored(spark, labels, scores), rows_per_slice=rows_per_slice).first()
+    got = model_metrics(scored(spark, labels, scores)).drop("unscored_rows").first()
     assert list(got) == pytest.approx(list(brute_metrics(labels, scores)), abs=1e-12)
 
 
+def test_rows_without_score_are_counted(spark):
+    rows = [(0, 0.1), (1, 0.9), (1, 0.8), (0, None), (1, float("nan"))]
+    df = spark.createDataFrame(rows, "label int, probability double")
+    m = model_metrics(df).first()
+    assert (m.roc_auc, m.accuracy, m.unscored_rows) == (1.0, 1.0, 2)
+    assert model_metrics(df.where("label > 5")).first().unscored_rows == 0
+
+
 def test_metrics_with_one_class(spark):
     m = model_metrics(scored(spark, [1, 1], [0.2, 1.0])).first()
     assert m.roc_auc is None and m.gini_index is None and m.ks_statistic == 0.0
@@ -64,10 +80,10 @@ def test_hard_accuracy(spark):
     assert accuracy(df, "y", "p").first().accuracy == 0.75
 
 
-def test_running_totals_per_group_in_many_slices(spark):
+def test_running_totals_per_group_in_many_slices(spark, partitions):
     rows = [(g, float(v), v % 5 + 1) for g in ("a", "b") for v in range(0, 300, 1 if g == "a" else 7)]
     df = spark.createDataFrame(rows, "g string, v double, n int").repartition(5)
-    got = {(r.g, r.v): (r.n_cum, r.n_total) for r in running_totals(df, "v", ["n"], "g", 11).collect()}
+    got = {(r.g, r.v): (r.n_cum, r.n_total) for r in running_totals(df, "v", ["n"], "g").collect()}
     for g in ("a", "b"):
         total = 0
         mine = sorted((v, n) for h, v, n in rows if h == g)
@@ -76,8 +92,7 @@ def test_running_totals_per_group_in_many_slices(spark):
             assert got[(g, v)] == (total, sum(n for _, n in mine))
 
 
-@pytest.mark.parametrize("rows_per_slice", [10**6, 9])
-def test_quantiles_match_numpy(spark, rows_per_slice):
+def test_quantiles_match_numpy(spark, partitions):
     rng = np.random.default_rng(3)
     data = {"x": rng.exponential(50, 211), "y": np.repeat([1.0, 2.0, 9.0], [80, 5, 2]), "z": np.array([4.5])}
     df = spark.createDataFrame(
@@ -85,7 +100,7 @@ def test_quantiles_match_numpy(spark, rows_per_slice):
         "variable string, value double",
     )
     steps = [i / 10 for i in range(11)]
-    got = {r.variable: r.quantiles for r in exact_quantiles(df, "value", steps, "variable", rows_per_slice).collect()}
+    got = {r.variable: r.quantiles for r in exact_quantiles(df, "value", steps, "variable").collect()}
     for k, vs in data.items():
         assert got[k] == pytest.approx(list(np.percentile(vs, [s * 100 for s in steps])), rel=1e-15)
 
@@ -143,22 +158,22 @@ def gold_rows(spark, rows):
 
 
 def test_good_model_passes_is_saved_and_tracked(spark, lake, tmp_path):
-    lake.merge_gold(gold_rows(spark, [(f"g{i}", "2023-07-01", 1500.0 * i + 10, i % 31, int(i < 15)) for i in range(60)]))
+    lake.merge_gold(gold_rows(spark, [(f"g{i}", "2023-07-01", 1500.0 * i + 10, i % 31, int(i < 75)) for i in range(300)]), "2023-07-01")
     path = str(tmp_path / "model")
-    metrics = training.train_pipeline(lake, "2023-07-01", path, run_id="r1", maxIter=8)
+    metrics = training.train_pipeline(lake, "2023-07-01", path, run_id="r1", maxIter=20)
     assert metrics["gini_index"] >= 0.65 and metrics["ks_statistic"] >= 0.45
     tracked = {r.name: r for r in lake.read("gold", "run_metrics").collect()}
-    assert tracked["roc_auc"].number == metrics["roc_auc"] and tracked["maxIter"].value == "8"
+    assert tracked["roc_auc"].number == metrics["roc_auc"] and tracked["maxIter"].value == "20"
     model = training.load_model(path)
     rows = training.baseline_rows(lake.read("gold", "target_construction"), model)
     again = training.baseline_rows(lake.read("gold", "target_construction"), training.load_model(path))
-    assert sorted(rows.collect()) == sorted(again.collect()) and rows.count() == 60
+    assert sorted(rows.collect()) == sorted(again.collect()) and rows.count() == 300
 
 
 def test_noise_fails_the_gate_and_leaves_nothing(spark, lake, tmp_path):
     rng = random.Random(1)
     rows = [(f"n{i}", "2023-07-01", rng.random() * 1e4, rng.randrange(31), i % 2) for i in range(120)]
-    lake.merge_gold(gold_rows(spark, rows))
+    lake.merge_gold(gold_rows(spark, rows), "2023-07-01")
     with pytest.raises(training.ModelRejected):
         training.train_pipeline(lake, "2023-07-01", str(tmp_path / "model"), maxIter=5)
     assert not (tmp_path / "model").exists()
@@ -167,7 +182,7 @@ def test_noise_fails_the_gate_and_leaves_nothing(spark, lake, tmp_path):
 
 def test_training_preconditions(spark, lake, tmp_path):
     def train(rows):
-        lake.merge_gold(gold_rows(spark, rows))
+        lake.merge_gold(gold_rows(spark, rows), rows[0][1])
         training.train_pipeline(lake, rows[0][1], str(tmp_path / "model"))
 
     with pytest.raises(ValueError, match="no data"):
@@ -194,12 +209,6 @@ def test_class_weight(spark):
     assert training.class_weight(df.where("target_default_30d = 0")).first()[0] == 1.0
 
 
-def test_baseline_stand_ins_are_opt_in(spark, lake):
-    empty = lake.read("gold", "target_construction")
-    with pytest.raises(ValueError):
-        training.baseline_rows(empty)
+def test_an_empty_gold_table_is_no_baseline(lake):
     with pytest.raises(ValueError):
-        training.baseline_rows(empty, simulate_if_empty=True)
-    rows = training.baseline_rows(empty, simulate_if_empty=True, dummy_if_missing=True)
-    stats = rows.agg(F.count("*"), F.avg("monthly_volume"), F.max("session_regularity"), F.min("income")).first()
-    assert stats[0] == 1000 and stats[1] == pytest.approx(5000, rel=0.15) and stats[2] == 30 and stats[3] >= 15000
+        training.baseline_rows(lake.read("gold", "target_construction"), None)

@@ -1,13 +1,15 @@
 """Physical plans: what must be pushed down, and what must never appear."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import registered
 from ledgerlark.operators.newest import newest_per_key
+from ledgerlark.operators.running import running_totals
 from ledgerlark.plans import gold, training
 from ledgerlark.plans.silver import to_silver
 from ledgerlark.sources import demo
-from ledgerlark.sources.logs import in_week, log_predictions
+from ledgerlark.sources.logs import in_week, known_ids, log_predictions, prediction_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -34,7 +36,7 @@ def test_cohort_read_prunes_partitions(spark, lake):
     users = to_silver(demo.bronze_users(spark, SF_DIR), "users").select("user_id")
     lake.merge_gold(users.selectExpr("user_id", "DATE'2023-07-01' AS observation_date",
                                      "0D AS monthly_volume", "0 AS session_regularity",
-                                     "0 AS target_default_30d"))
+                                     "0 AS target_default_30d"), "2023-07-01")
     text = plan(training.training_rows(lake.read("gold", "target_construction"), "2023-07-01"))
     assert "PartitionFilters: [isnotnull(observation_date" in text
 
@@ -45,6 +47,26 @@ def test_week_read_prunes_partitions(spark, lake):
     assert "log_date" in text.split("PartitionFilters:")[1].split("]")[0]
 
 
+def test_log_lookup_reads_the_days_of_the_batch_only(spark, lake):
+    log_predictions(lake, demo.prediction_logs(spark, SF_DIR))
+    batch = prediction_rows(demo.scored_requests(spark, SF_DIR).limit(3).withColumn("credit_limit", F.lit(0.0)).withColumn("decision", F.lit("")).withColumn("status", F.lit("")))
+    batch = batch.withColumn("log_date", F.to_date("timestamp"))
+    text = plan(known_ids(lake, "prediction_logs", "prediction_id", batch))
+    assert "log_date" in text.split("PartitionFilters:")[1].split("]")[0]
+    assert "income" not in text
+
+
+@pytest.mark.parametrize("partitions", [2, 60])
+def test_running_totals_have_one_plan(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        text = plan(running_totals(spark.range(100).selectExpr("double(id) AS v", "1 AS n"), "v", ["n"]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert text.count("Window") >= 2 and "_slice" in text and "ArrayFilter" not in text
+
+
 @pytest.mark.parametrize(
     "name",
     ["gold_features", "cohort_alerts", "audit_counts", "model_evaluation", "psi_by_variable",

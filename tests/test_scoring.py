@@ -79,12 +79,17 @@ def test_log_is_idempotent(spark, lake):
 
 
 def test_score_batch_logs_valid_and_returns_rejected(spark, lake):
-    rows = [("ok", 1.0, 2, 3.0), ("ok", 1.0, 2, 4.0), ("bad", -1.0, 2, 3.0)]
-    rejected = scoring.score_batch(lake, spark.createDataFrame(rows, REQUESTS), None)
-    assert [(r.user_id, r.rejection_reasons) for r in rejected.collect()] == [("bad", ["monthly_volume"])]
+    rows = [("p1", 9.0, "ok", 1.0, 2, 3.0), ("p2", 9.0, "ok", 1.0, 2, 3.0), ("p3", 9.0, "bad", -1.0, 2, 3.0), (None, 9.0, "ok", 1.0, 2, 3.0)]
+    requests = spark.createDataFrame(rows, "prediction_id string, latency_ms double, user_id string, monthly_volume double, session_regularity int, income double")
+    answers, rejected = scoring.score_batch(lake, requests, None)
+    assert sorted((r.prediction_id, r.decision) for r in answers.collect()) == [("p1", "FALLBACK_APPROVE"), ("p2", "FALLBACK_APPROVE")]
+    got = {r.prediction_id: r.rejection_reasons for r in rejected.collect()}
+    assert got == {"p3": ["monthly_volume"], None: ["prediction_id"]}
     logged = lake.read("gold", "prediction_logs").collect()
-    assert len(logged) == 2 and {r.decision for r in logged} == {"FALLBACK_APPROVE"}
-    assert all(r.is_anomaly for r in logged)  # no latency was given
+    assert len(logged) == 2 and not any(r.is_anomaly for r in logged)
+    for column in ("prediction_id", "latency_ms"):
+        with pytest.raises(ValueError, match=column):
+            scoring.score_batch(lake, requests.drop(column), None)
 
 
 def test_missing_model_is_none(spark, tmp_path):
