@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import threading
 import uuid
@@ -48,7 +50,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_scratch:
-        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="ledgerlark-")
+        made = tempfile.mkdtemp(prefix="ledgerlark-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _local_scratch[context.applicationId] = made
     return _local_scratch[context.applicationId]
 
 
@@ -83,12 +87,16 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
 
 
 def written(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lineage ends there."""
+    """``df`` written once to the shared folder and read back: lineage ends there.
+
+    Compressed well, as the folder is shared by all that runs.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     if stack := getattr(_scopes, "stack", None):
         stack[-1].append(path)
-    writer = df.write.partitionBy(partition) if partition else df.write
+    writer = df.write.option("compression", "zstd")
+    writer = writer.partitionBy(partition) if partition else writer
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

