@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from ledgerlark.operators.audit import audit_warnings
 from ledgerlark.plans.cohorts import ALERT_RATE, cohort_default_rates, cohort_report
 from ledgerlark.plans.gold import gold_rows
-from ledgerlark.plans.silver import all_silver
+from ledgerlark.plans.silver import to_silver
+from ledgerlark.schemas import RAW_TABLES
 from ledgerlark.session import written
 from ledgerlark.sources.lake import Lake
 from ledgerlark.sources.raw import load_bronze
@@ -19,8 +20,19 @@ log = logging.getLogger(__name__)
 
 
 def refresh_silver(lake: Lake) -> dict[str, int]:
-    """Clean all of Bronze and replace by key into Silver; returns Silver row counts."""
-    lake.upsert_silver(all_silver(lake.layer("bronze")))
+    """Clean the Bronze loads that Silver has not taken in yet and merge them by key.
+
+    A load is a part of Bronze, so a stored row that is newer than the incoming one stays.
+    Loads are marked once all tables are published; a run that dies before repeats them
+    without harm. Returns Silver row counts.
+    """
+    new = {t: lake.loads(t) - lake.merged_loads(t) for t in RAW_TABLES}
+    lake.upsert_silver(
+        {t: to_silver(lake.read_loads(t, loads), t) for t, loads in new.items() if loads},
+        keep_newer=True,
+    )
+    for table, loads in new.items():
+        lake.mark_merged(table, loads)
     return {r["table"]: r["rows"] for r in lake.row_counts(["silver"]).collect()}
 
 

@@ -41,6 +41,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def _names_in(spark: SparkSession, path: str, prefix: str) -> set[str]:
+    """What follows ``prefix`` in the names of the folders at ``path``."""
+    files, folder = located(spark, path)
+    if not files.exists(folder):
+        return set()
+    names = (status.getPath().getName() for status in files.listStatus(folder))
+    return {n.removeprefix(prefix) for n in names if n.startswith(prefix)}
+
+
 class Lake:
     """Tables under one root folder.
 
@@ -107,6 +116,11 @@ class Lake:
         df = self._stored(layer, table)
         return df.drop("load", "bucket") if layer in ("bronze", "silver") else df
 
+    def read_loads(self, table: str, loads: Iterable[str]) -> DataFrame:
+        """The given loads of a Bronze table; the folders of others are not read."""
+        rows = self._stored("bronze", table)
+        return rows.where(F.col("load").isin(sorted(loads))).drop("load")
+
     def layer(self, layer: str) -> dict[str, DataFrame]:
         return {t: self.read(layer, t) for t in schemas.RAW_TABLES}
 
@@ -133,6 +147,19 @@ class Lake:
         rows = df.select(*schemas.BRONZE[table].fieldNames())
         rows.write.mode("overwrite").parquet(f"{self.path('bronze', table)}/load={load}")
 
+    def loads(self, table: str) -> set[str]:
+        """Names of the loads in Bronze, from its folders."""
+        return _names_in(self.spark, self.path("bronze", table), "load=")
+
+    def merged_loads(self, table: str) -> set[str]:
+        """Loads that Silver has taken in."""
+        return _names_in(self.spark, f"{self.root}/merged/{table}", "load=")
+
+    def mark_merged(self, table: str, loads: Iterable[str]) -> None:
+        for load in loads:
+            files, mark = located(self.spark, f"{self.root}/merged/{table}/load={load}")
+            files.mkdirs(mark)
+
     def append(self, layer: str, table: str, df: DataFrame) -> None:
         columns = self.schema(layer, table).fieldNames()
         writer = df.select(*columns).write.mode("append")

@@ -7,6 +7,7 @@ import registered
 from ledgerlark.operators.newest import newest_per_key
 from ledgerlark.operators.running import running_totals
 from ledgerlark.plans import gold, training
+from ledgerlark.plans.medallion import refresh_silver
 from ledgerlark.plans.silver import to_silver
 from ledgerlark.sources import demo
 from ledgerlark.sources.logs import in_week, known_ids, log_predictions, prediction_rows
@@ -85,3 +86,17 @@ def test_hot_key_sends_one_row_per_task(spark):
     newest = newest_per_key(rows, "k", ["v"])
     assert newest.count() == 20001
     assert newest.where("k = 'hot'").first().v == 29997
+
+
+def test_silver_takes_in_new_loads_only(spark, lake):
+    users = demo.bronze_users(spark, SF_DIR)
+    lake.add_load("users", users.where("country < 'NATION_2'"), "one")
+    refresh_silver(lake)
+    lake.add_load("users", users.where("country >= 'NATION_2' OR country IS NULL"), "two")
+    assert lake.loads("users") - lake.merged_loads("users") == {"two"}
+    text = plan(lake.read_loads("users", ["two"]))
+    assert "load" in text.split("PartitionFilters:")[1].split("]")[0]
+    refresh_silver(lake)
+    assert lake.loads("users") == lake.merged_loads("users")
+    whole = to_silver(users, "users")
+    assert sorted(lake.read("silver", "users").collect()) == sorted(whole.collect())
