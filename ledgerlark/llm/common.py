@@ -12,6 +12,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_BYTES = 4 << 20
@@ -121,3 +123,8 @@ def list_column(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa
 def with_longs(schema: T.StructType, *names: str) -> T.StructType:
     """A copy of the schema with more long columns."""
     return T.StructType([*schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
+
+
+def text_key(text_col: str) -> Column:
+    """The MD5 of a text, null as empty: copies share it."""
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))

@@ -16,10 +16,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import FOLDED_VALUES, blocks, list_column, mix, sequence_hashes, word_hashes, word_spans
+from ledgerlark.llm.common import (
+    FOLDED_VALUES,
+    blocks,
+    list_column,
+    mix,
+    sequence_hashes,
+    text_key,
+    word_hashes,
+    word_spans,
+)
 from ledgerlark.llm.links import components
 from ledgerlark.session import written
 
@@ -218,10 +227,6 @@ def join_block(percent: int):
     return run
 
 
-def text_key(text_col: str) -> Column:
-    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-
-
 def linked_documents(
     docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

@@ -13,7 +13,6 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
