@@ -14,10 +14,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import blocks, sequence_hashes, with_longs, word_hashes, word_spans
+from ledgerlark.llm.common import blocks, sequence_hashes, text_key, with_longs, word_hashes, word_spans
 from ledgerlark.session import written
 
 WINDOW = 35
@@ -162,10 +162,6 @@ def window_rows(strings: DataFrame, window: int) -> DataFrame:
     return strings.mapInArrow(run, "sid binary, bit int, copies long, text binary")
 
 
-def text_key(text_col: str) -> Column:
-    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-
-
 def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(key, marks): for each different text, by MD5, its repeated windows as (start, mask) pairs."""
     texts = docs.select(text_key(text_col).alias("key"), F.col(text_col).alias("text"))
@@ -187,7 +183,9 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
     strings = written(strings, "substring-distinct")
     buckets = max(1, -(-strings.count() // BUCKET_STRINGS))
     heavy = strings.groupBy("minimiser").agg(F.count("*").alias("n")).where(F.col("n") > HEAVY_STRINGS)
-    light = strings.join(heavy.select("minimiser"), "minimiser", "left_anti")
+    # Written, so that Spark sees its size and need not shuffle the strings to look up a few minimisers.
+    heavy = written(heavy.select("minimiser"), "substring-heavy")
+    light = strings.join(heavy, "minimiser", "left_anti")
     counted = (
         light.select("sid", "packed", "windows", "copies", F.pmod(F.xxhash64("minimiser"), F.lit(buckets)).alias("bucket"))
         .groupBy("bucket")
@@ -195,7 +193,7 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
     )
     single = written(
         window_rows(
-            strings.join(heavy.select("minimiser"), "minimiser", "left_semi").select("sid", "packed", "windows", "copies"), window
+            strings.join(heavy, "minimiser", "left_semi").select("sid", "packed", "windows", "copies"), window
         ),
         "substring-windows",
     )
