@@ -247,7 +247,9 @@ def linked_documents(
     # Copies of a text are combined before the shuffle.
     different = texts.groupBy("key").agg(F.first("text").alias("text"))
     sets = set_rows(different.join(wanted, "key").select("component", "cid", "text"), k)
+    # Written, like the names below: a join with a shuffle of its own on either side can be split.
     sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    sizes = written(sizes, "jaccard-sizes")
     dealt = (
         sets.join(sizes, "component")
         .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
@@ -258,6 +260,7 @@ def linked_documents(
     joined = written(components(links, "jaccard-links"), "jaccard-components")
     rows = rows.drop("runs").join(joined.withColumnsRenamed({"id": "cid"}), "cid", "left").withColumn("label", F.coalesce("component", "cid"))
     names = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    names = written(names, "jaccard-names")
     return rows.join(names, "label", "left").select(
         "doc_id", "key", "n_shingles",
         F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

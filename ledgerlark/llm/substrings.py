@@ -166,7 +166,10 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
     """(key, marks): for each different text, by MD5, its repeated windows as (start, mask) pairs."""
     texts = docs.select(text_key(text_col).alias("key"), F.col(text_col).alias("text"))
     spans = written(span_rows(texts, window, gram), "substring-spans")
+    # Tables that hot keys are looked up in are written: then the join has a shuffle of its own on
+    # either side, or none, and Spark can split a hot partition.
     shared = spans.groupBy("minimiser").agg(F.count("*").alias("n")).where("n > 1").select("minimiser")
+    shared = written(shared, "substring-shared")
     wanted = (
         spans.join(shared, "minimiser", "left_semi")
         .groupBy("key")
@@ -203,12 +206,14 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
         .groupBy("sid")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
     )
-    return (
+    repeated = written(counted.unionByName(spread), "substring-masks")
+    marks = (
         placed.select("key", "start", "sid")
-        .join(counted.unionByName(spread), "sid")
+        .join(repeated, "sid")
         .groupBy("key")
         .agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
     )
+    return written(marks, "substring-marks")
 
 
 def covered_words(before: np.ndarray, marks: list, window: int) -> np.ndarray:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlark.session import written
+
 REVISIT_MIN_BYTES = 1000
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
@@ -46,7 +48,8 @@ def write_archive(
         F.length("payload").cast("long").alias("payload_bytes"),
     )
     # Hot payloads are combined before the shuffle: one row per task and digest.
-    groups = light.groupBy("digest").agg(F.max("page_id").alias("newest"))
+    # Written, so that the join has a shuffle of its own on either side and a hot payload can be split.
+    groups = written(light.groupBy("digest").agg(F.max("page_id").alias("newest")), "warc-groups")
     http = crlf(
         F.lit("HTTP/1.1 200 OK"),
         F.lit("Content-Type: text/html; charset=utf-8"),
