@@ -41,7 +41,8 @@ def stratified_split(
 
     A class may hold most rows, so it is never ranked as a whole. Rows are counted per hash
     prefix; only the one prefix bucket where the class's test quota ends is ranked, which
-    gives one cut-off hash per class. The split is then a comparison on each row.
+    gives one cut-off hash per class. The split is then a comparison on each row. The ranked
+    bucket holds about one in 65,536 of a class's rows.
     """
     order = F.concat_ws("|", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key))), F.col(key))
     keyed = df.select(label, order.alias("_order")).withColumn(
@@ -65,14 +66,14 @@ def stratified_split(
         .select(label, "_bucket", (F.col("n_test") - F.col("_seen") + F.col("_n")).alias("_take"))
     )
     cutoffs = (
-        keyed.join(F.broadcast(last), [label, "_bucket"])
+        keyed.join(last, [label, "_bucket"])
         .withColumn("_rn", F.row_number().over(Window.partitionBy(label).orderBy("_order")))
         .where(F.col("_rn") == F.col("_take"))
         .select(label, F.col("_order").alias("_cutoff"))
     )
     return (
         df.withColumn("_order", order)
-        .join(F.broadcast(cutoffs), label, "left")
+        .join(cutoffs, label, "left")
         .withColumn("is_test", F.coalesce(F.col("_order") <= F.col("_cutoff"), F.lit(False)))
         .drop("_order", "_cutoff")
         .select(*df.columns, "is_test")

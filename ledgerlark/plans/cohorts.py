@@ -30,7 +30,7 @@ def cohort_default_rates(
     cohort = gold.where(F.col("observation_date") == day(observation_date)).select(
         "user_id", "target_default_30d"
     )
-    month = F.substring(F.col("created_at").cast("string"), 1, 7)
+    month = F.substring_index(F.col("created_at").cast("string"), "-", 2)  # years can be longer
     months = users.select("user_id", month.alias("reg_month"))
     return (
         cohort.join(months, "user_id")
