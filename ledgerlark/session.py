@@ -76,14 +76,30 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
 
     No frame that reads them may be used afterwards.
     """
+    with noted_scratch() as paths:
+        try:
+            yield
+        finally:
+            delete_scratch(spark, paths)
+
+
+@contextmanager
+def noted_scratch() -> Iterator[list[str]]:
+    """The paths of the intermediate tables written inside, for ``delete_scratch`` later on."""
     stack = _scopes.__dict__.setdefault("stack", [])
     stack.append([])
+    paths = stack[-1]
     try:
-        yield
+        yield paths
     finally:
-        for path in stack.pop():
-            files, target = located(spark, path)
-            files.delete(target, True)
+        stack.pop()
+
+
+def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables that nothing reads any more."""
+    while paths:
+        files, target = located(spark, paths.pop())
+        files.delete(target, True)
 
 
 def written(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
