@@ -6,12 +6,15 @@ one's docs. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import jaccard, lines, packing, quality, substrings
-from ledgerlark.session import show_package, written
+from ledgerlark.llm.common import prepare
+from ledgerlark.session import delete_scratch, noted_scratch, written
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
@@ -24,22 +27,45 @@ def with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*[f"`{c}`" for c in columns])
 
 
+_read_before: list[str] = []
+
+
+def stage(fn):
+    """Before a stage starts, delete the intermediate tables of the one before, whose result is written."""
+
+    @wraps(fn)
+    def run_alone(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        delete_scratch(spark, _read_before)
+        with noted_scratch() as paths:
+            out = fn(spark, docs, sf_dir)
+        _read_before.extend(paths)
+        return out
+
+    return run_alone
+
+
+@stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@stage
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return with_length(lines.dedup_lines(docs), docs.columns)
 
 
+@stage
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard.keep_one(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
 
 
+@stage
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return with_length(substrings.dedup_substrings(docs), docs.columns)
 
 
+@stage
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
@@ -57,8 +83,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    show_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    for name, function in STAGES:
+        docs = written(function(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import blocks
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 CACHE_CHARS = 64
 DECODED_AT_ONCE = 1 << 20
 

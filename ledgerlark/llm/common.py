@@ -12,11 +12,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLOCK_BYTES = 4 << 20
+from ledgerlark.session import show_package
+
+BLOCK_BYTES = 2 << 20
+#: Rows of an Arrow batch in place of Spark's 10,000, which can be hundreds of MB of texts.
+BATCH_ROWS = 1_000
 ROOT = np.uint64(0x9E3779B97F4A7C15 | 1)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -113,11 +117,12 @@ def sequence_hashes(items: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def list_column(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """An Arrow list column from flat values and the length of each list."""
-    ends = np.zeros(len(counts) + 1, np.int64)
-    np.cumsum(counts, out=ends[1:])
-    return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(values, kind)).cast(pa.list_(kind))
+def prepare(spark: SparkSession) -> None:
+    """Workers that find the package, and Arrow batches of a size for texts unless one is set."""
+    show_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
 
 
 def with_longs(schema: T.StructType, *names: str) -> T.StructType:

@@ -1,15 +1,14 @@
 """Documents linked by the Jaccard similarity of their word n-gram sets: a prefix-tree join.
 
-Sets are ordered by their n-grams' hashes, one order for the whole corpus. Runs of that order which two
-similar sets must have in common bring candidates together; inside a group of candidates the sets are
-stored in a prefix tree, every set walks it once, shared beginnings are counted once, and a subtree is
+Sets are ordered by their n-grams' hashes, one order for the whole corpus. N-grams in the beginnings of
+two sets, without the commonest ones, bring candidates together; inside a group of candidates the sets
+are stored in a prefix tree, every set walks it once, shared beginnings are counted once, and a subtree is
 left as soon as the n-grams that remain cannot reach the threshold. Equal sets are one class throughout.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -22,8 +21,6 @@ from pyspark.sql import functions as F
 from ledgerlark.llm.common import (
     FOLDED_VALUES,
     blocks,
-    list_column,
-    mix,
     sequence_hashes,
     text_key,
     word_hashes,
@@ -32,8 +29,8 @@ from ledgerlark.llm.common import (
 from ledgerlark.llm.links import components
 from ledgerlark.session import written
 
-#: Sizes of one level differ by less than this factor; a level has its own number of runs.
-LEVEL = 1.5
+#: One in so many n-grams of a set is added to its prefix, so that the commonest can be left out.
+SPARE = 6
 #: Sets of one block of a large candidate group.
 BLOCK_SETS = 256
 RUN = 16
@@ -53,38 +50,22 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndar
             yield np.zeros(0, np.uint64)
 
 
-def level_of(size: int) -> int:
-    return int(math.log(size) / math.log(LEVEL) + 1e-9)
+def spare(size: int) -> int:
+    """N-grams of the prefix beyond the usual one, of which a set may leave out as many, less one."""
+    return 1 + size // SPARE
 
 
-def runs_of(level: int, percent: int) -> tuple[int, int]:
-    """Most differing n-grams of two linked sets up to the level's largest size, and the runs used there.
+def prefix_of(s: np.ndarray, percent: int) -> np.ndarray:
+    """The beginning of an ordered set that shares ``spare`` n-grams with any linked set's beginning.
 
-    One more run than differences is equal in both; a few more make sure that it is not an empty one.
+    ``spare`` is that of the smaller of the two.
     """
-    largest = math.ceil(LEVEL ** (level + 1))
-    differ = 2 * largest * (100 - percent) // (100 + percent)
-    return differ, differ + 2 + differ // 16 if differ else 1
-
-
-def run_signatures(s: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of the runs of a set: of its own level and, if a larger partner can be in the next, of that one."""
-    n, out = len(s), []
-    if not n:
-        return s
-    for level in {level_of(n), level_of(max(n, n * 100 // percent))}:
-        differ, runs = runs_of(level, percent)
-        if runs == 1:
-            continue  # only equal sets are linked
-        run = ((s >> np.uint64(32)) * np.uint64(runs)) >> np.uint64(32)
-        first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
-        sums = np.add.reduceat(mix(s), first)
-        names = run[first] + np.uint64(level << 32)
-        out.append(mix(sums + mix(names + np.uint64(1))))
-        if runs - len(first) >= runs - differ:  # so many empty runs that they could be the only equal ones
-            empty = np.setdiff1d(np.arange(runs, dtype=np.uint64), run[first])
-            out.append(mix(mix(empty + np.uint64(level << 32) + np.uint64(1))))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return s[: len(s) - -(-percent * len(s) // 100) + spare(len(s))]
+
+
+def left_out(size: int, percent: int) -> int:
+    """How many of its commonest prefix n-grams a set can do without: one fewer than any linked set shares."""
+    return spare(-(-percent * size // 100)) - 1
 
 
 def class_of(s: np.ndarray) -> int | None:
@@ -92,26 +73,64 @@ def class_of(s: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.sha256(s.tobytes()).digest()[:8], "little", signed=True) if len(s) else None
 
 
-def class_rows(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, key, n_shingles, cid, runs) of (doc_id, key, text) rows; cid is null for an empty set."""
-    kinds = [("doc_id", pa.int64()), ("key", pa.binary()), ("n_shingles", pa.int64()), ("cid", pa.int64()), ("runs", pa.list_(pa.int64()))]
+def class_rows(texts: DataFrame, k: int) -> DataFrame:
+    """(doc_id, key, n_shingles, cid) of (doc_id, key, text) rows; cid is null for an empty set."""
+    kinds = [("doc_id", pa.int64()), ("key", pa.binary()), ("n_shingles", pa.int64()), ("cid", pa.int64())]
     schema = pa.schema(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in blocks(batch.column(2)):
-                sizes, names, marks = [], [], []
-                for s in gram_sets(data, offsets, k):
-                    sizes.append(len(s))
-                    names.append(class_of(s))
-                    marks.append(run_signatures(s, percent).view(np.int64))
-                flat = np.concatenate(marks) if marks else np.zeros(0, np.int64)
-                lists = list_column(flat, np.array([len(m) for m in marks]), pa.int64())
-                n = len(sizes)
-                columns = [batch.column(0).slice(row, n).cast(pa.int64()), batch.column(1).slice(row, n).cast(pa.binary())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), lists], schema=schema)
+                found = [(len(s), class_of(s)) for s in gram_sets(data, offsets, k)]
+                sizes, names = zip(*found)
+                columns = [batch.column(0).slice(row, len(sizes)).cast(pa.int64()), batch.column(1).slice(row, len(sizes)).cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), pa.array(names, pa.int64())], schema=schema)
+
+    return texts.mapInArrow(run, "doc_id long, key binary, n_shingles long, cid long")
+
 
-    return texts.mapInArrow(run, "doc_id long, key binary, n_shingles long, cid long, runs array<long>")
+def prefix_rows(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(cid, gram) of (text) rows: the n-grams of each set's prefix, once for every copy."""
+    schema = pa.schema([("cid", pa.int64()), ("gram", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in blocks(batch.column(0)):
+                sets = [s for s in gram_sets(data, offsets, k) if len(s)]
+                if not sets:
+                    continue
+                prefixes = [prefix_of(s, percent) for s in sets]
+                names = np.repeat(np.array([class_of(s) for s in sets], np.int64), [len(x) for x in prefixes])
+                grams = np.concatenate(prefixes).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(grams)], schema=schema)
+
+    return texts.mapInArrow(run, "cid long, gram long")
+
+
+def candidate_groups(texts: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, component): classes that can be linked, directly or through others, share a component.
+
+    A set's prefix n-grams are ranked by how common they are; so many of the commonest are left out that
+    a linked set still shares one of the others. Frequent lines and passages fall away by that.
+    """
+    prefixes = prefix_rows(texts, k, percent)
+    common = prefixes.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    common = written(common, "jaccard-common")
+    sizes = rows.where("cid IS NOT NULL").groupBy("cid").agg(F.first("n_shingles").alias("size"))
+    skipped = F.floor(F.ceil(F.col("size") * percent / 100) / SPARE).cast("int")
+    kept = (
+        prefixes.join(common, "gram")
+        .groupBy("cid")
+        .agg(F.sort_array(F.collect_set(F.struct("n", "gram")), asc=False).alias("grams"))
+        .join(sizes, "cid")
+        .where(F.size("grams") > skipped)
+        .select("cid", F.explode(F.slice("grams", skipped + 1, F.size("grams"))).alias("g"))
+        .select("cid", F.col("g.gram").alias("gram"))
+    )
+    kept = written(kept, "jaccard-kept")
+    first = written(kept.groupBy("gram").agg(F.min("cid").alias("first")), "jaccard-first")
+    stars = kept.join(first, "gram").where("cid <> first").select(F.col("cid").alias("a"), F.col("first").alias("b"))
+    return components(stars, "jaccard-candidates")
 
 
 def set_rows(texts: DataFrame, k: int) -> DataFrame:
@@ -237,11 +256,8 @@ def linked_documents(
     nothing. Repeated rows belong together; a null id has no name of its own.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("key"), F.col(text_col).alias("text"))
-    rows = written(class_rows(texts, k, percent), "jaccard-classes")
-    runs = rows.select("cid", F.explode("runs").alias("run"))
-    first = runs.groupBy("run").agg(F.min("cid").alias("first"))
-    stars = runs.join(first, "run").where("cid <> first").select(F.col("cid").alias("a"), F.col("first").alias("b"))
-    groups = written(components(stars, "jaccard-candidates"), "jaccard-groups")
+    rows = written(class_rows(texts, k), "jaccard-classes")
+    groups = candidate_groups(texts.select("text"), rows, k, percent)
     chosen = rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min("key").alias("key"))
     wanted = chosen.join(groups.withColumnsRenamed({"id": "cid"}), "cid")
     # Copies of a text are combined before the shuffle.
@@ -257,8 +273,8 @@ def linked_documents(
         .select("component", "cid", "grams", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
     )
     links = dealt.groupBy("component", "first", "second").applyInPandas(join_block(percent), "a long, b long")
-    joined = written(components(links, "jaccard-links"), "jaccard-components")
-    rows = rows.drop("runs").join(joined.withColumnsRenamed({"id": "cid"}), "cid", "left").withColumn("label", F.coalesce("component", "cid"))
+    joined = components(links, "jaccard-links")
+    rows = rows.join(joined.withColumnsRenamed({"id": "cid"}), "cid", "left").withColumn("label", F.coalesce("component", "cid"))
     names = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     names = written(names, "jaccard-names")
     return rows.join(names, "label", "left").select(

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.session import written
+from ledgerlark.session import delete_scratch, noted_scratch, written
 
 
 def star_round(edges: DataFrame) -> DataFrame:
@@ -24,16 +24,24 @@ def star_round(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, label: str) -> DataFrame:
     """(id, component) of every id in undirected (a, b) edges; the component is its smallest id.
 
-    Loops and repeated edges do not matter; no edges give no rows.
+    Loops and repeated edges do not matter; no edges give no rows. The result is a written table; those
+    of the rounds are deleted.
     """
+    spark = edges.sparkSession
     state = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    state = written(state, label)
-    before = None
-    while True:
-        mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before or mark[0] == 0:
-            break
-        before = mark
-        state = written(star_round(state), label)
+    with noted_scratch() as rounds:
+        state = written(state, label)
+        before = None
+        while True:
+            mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            if mark == before or mark[0] == 0:
+                break
+            before = mark
+            state = written(star_round(state), label)
+            delete_scratch(spark, rounds[:-1])
+            del rounds[:-1]
     roots = state.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return state.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
+    found = state.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
+    found = written(found, f"{label}-found")
+    delete_scratch(spark, rounds)
+    return found

@@ -12,9 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlark.llm.common import blocks, mix, sequence_hashes, word_hashes, word_spans
 
@@ -253,46 +252,27 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: s
     return fit(sample[list(FEATURES)].to_numpy(float), sample["y"].to_numpy(float))
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1; a null text is an empty one."""
-    if name in docs.columns:
-        docs = docs.drop(name)
-    at = docs.columns.index(text_col)
-    kind = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+def score_of(model: Model, text_col: str) -> Column:
+    """The probability of label 1; a null text is an empty one. Only texts go to the workers."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = model.score(batch_features(batch.column(at)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], names=[*batch.schema.names, name])
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(model.score(batch_features(texts)))
 
-    return docs.mapInArrow(run, kind)
+    return run(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def predict(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row; the model sees texts only."""
     model = train(docs, labels, id_col=id_col, text_col=text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
-    scored = light_score(rows, model)
+    scored = docs.select(F.col(id_col).alias("doc_id"), score_of(model, text_col).alias("score"))
     return scored.select(
         "doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
 
 
-def light_score(rows: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of (doc_id, text): the texts do not come back from the workers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = model.score(batch_features(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["doc_id", "score"])
-
-    first = rows.schema[0]
-    return rows.mapInArrow(run, f"doc_id {first.dataType.simpleString()}, score double")
-
-
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model does not reject, with their own columns."""
     model = train(docs, labels, id_col=id_col, text_col=text_col)
-    scored = score(docs, model, text_col, "__score")
-    return scored.where(F.col("__score") >= 0.5).drop("__score")
+    return docs.where(score_of(model, text_col) >= 0.5)

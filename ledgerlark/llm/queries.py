@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import bpe, fingerprints, jaccard, lines, neighbours, packing, quality, sharding, substrings, warc
-from ledgerlark.session import scratch_path, show_package
+from ledgerlark.llm.common import prepare
+from ledgerlark.session import scratch_path
 
 SHARDS = 16
 PACKING_VOCABULARY = "word_bpe_49k.json"
@@ -22,7 +23,7 @@ SQL: dict[str, str] = {}
 def query(fn):
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        show_package(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run

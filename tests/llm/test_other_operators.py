@@ -71,17 +71,24 @@ def test_one_document_of_a_group_stays(spark):
     assert set(kept) == groups | empties
 
 
-def test_every_link_shares_a_run():
+def test_linked_sets_keep_a_common_gram():
     draw = np.random.default_rng(4)
-    for size in (10, 12, 19, 20, 33, 60, 150, 700):
+    for size in (3, 10, 12, 19, 20, 33, 60, 150, 700):
         for percent in (80, 90):
-            for _ in range(40):
-                a = np.unique(draw.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
-                most = size * (100 - percent) // (100 + percent)
-                b = np.unique(np.concatenate([a[most:], draw.integers(0, 1 << 63, most, dtype=np.uint64)]))
+            for _ in range(60):
+                a = np.unique(draw.integers(0, 1 << 63, size, dtype=np.uint64))
+                new = draw.integers(0, size * (100 - percent) // 100 + 2)
+                gone = draw.permutation(len(a))[: draw.integers(0, size * (100 - percent) // 100 + 2)]
+                b = np.unique(np.concatenate([np.delete(a, gone), draw.integers(0, 1 << 63, new, dtype=np.uint64)]))
                 common = len(np.intersect1d(a, b))
-                if 100 * common >= percent * (len(a) + len(b) - common) and common < len(a):
-                    assert set(jaccard.run_signatures(a, percent).tolist()) & set(jaccard.run_signatures(b, percent).tolist())
+                if not 100 * common >= percent * (len(a) + len(b) - common):
+                    continue
+                order = {g: r for r, g in enumerate(draw.permutation(np.union1d(a, b)).tolist())}
+                kept = []
+                for s in (a, b):
+                    ranked = sorted(jaccard.prefix_of(s, percent).tolist(), key=order.get)
+                    kept.append(set(ranked[jaccard.left_out(len(s), percent) :]))
+                assert kept[0] & kept[1]
 
 
 def test_prefix_tree_finds_every_partner():
