@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import jaccard, lines, packing, quality, substrings
+from ledgerlark.llm import jaccard, packing, passages, quality, substrings
 from ledgerlark.llm.common import prepare
 from ledgerlark.session import delete_scratch, noted_scratch, written
 
@@ -52,7 +52,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @stage
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return with_length(lines.dedup_lines(docs), docs.columns)
+    return with_length(passages.dedup_passages(docs), docs.columns)
 
 
 @stage

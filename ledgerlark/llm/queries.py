@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, fingerprints, jaccard, lines, neighbours, packing, quality, sharding, substrings, warc
+from ledgerlark.llm import bpe, fingerprints, jaccard, neighbours, packing, passages, quality, sharding, substrings, warc
 from ledgerlark.llm.common import prepare
 from ledgerlark.session import scratch_path
 
@@ -82,7 +82,7 @@ def op4_quality(spark, sf_dir):
 
 @query
 def op5_line_dedup(spark, sf_dir):
-    return lines.dedup_lines(table(spark, sf_dir, "documents"), digest_only=True)
+    return passages.dedup_passages(table(spark, sf_dir, "documents"), digest_only=True)
 
 
 @query
