@@ -1,10 +1,9 @@
 """Approximate nearest neighbours by a permutation index.
 
 A vector is represented by the order in which pivots are near to it. It is posted in the inverted files
-of its first few pivots; a query visits the files of its own first pivots, ranks their entries by the
-footrule distance of the two orders and reranks the best share by inner product. Vectors of different
-length get one more coordinate that makes them equally long, so the largest inner product is the
-smallest angle.
+of its first few pivots; a query visits the files of its own first pivots and compares itself with
+every entry by inner product. Vectors of different length get one more coordinate that makes them
+equally long, so the largest inner product is the smallest angle.
 """
 
 from __future__ import annotations
@@ -22,12 +21,13 @@ from ledgerlark.session import written
 PIVOTS = 256
 POSTED = 4
 VISITED = 64
-#: Share, and least number, of a file's entries that are reranked.
-RERANKED_SHARE = 0.15
-RERANKED_LEAST = 400
 #: Entries and queries of one task's block; larger files are split.
 BLOCK_ENTRIES = 20_000
 BLOCK_QUERIES = 5_000
+#: Queries compared with a block's entries at once.
+QUERIES_AT_ONCE = 128
+#: Part of the largest product by which a product summed in another order may differ, and more.
+ROUNDING = 1e-9
 
 
 def valid_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -62,7 +62,7 @@ def longer(vectors: np.ndarray, square: float) -> np.ndarray:
 
 
 def ordered_by_pivots(classes: DataFrame, pivots: np.ndarray, square: float, first: int, query: bool) -> DataFrame:
-    """(cid, vector, ids, places, pivot): a row for each of the first pivots."""
+    """(cid, vector, ids, pivot): a row for each of the first pivots."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:
@@ -75,11 +75,11 @@ def ordered_by_pivots(classes: DataFrame, pivots: np.ndarray, square: float, fir
             yield pd.DataFrame(
                 {
                     "cid": rows["cid"], "vector": rows["vector"], "ids": rows["ids"],
-                    "places": [p.tobytes() for p in where], "pivots": list(near.astype(np.int32)),
+                    "pivots": list(near.astype(np.int32)),
                 }
             )
 
-    kind = "cid long, vector array<float>, ids array<long>, places binary, pivots array<int>"
+    kind = "cid long, vector array<float>, ids array<long>, pivots array<int>"
     return classes.mapInPandas(run, kind).withColumn("pivot", F.explode("pivots")).drop("pivots")
 
 
@@ -90,19 +90,22 @@ def search_block(count: int):
         found = {"query": [], "cid": [], "score": [], "ids": []}
         if len(entries) and len(queries):
             x, q = np.stack(entries["vector"]).astype(float), np.stack(queries["vector"]).astype(float)
-            at = np.stack([np.frombuffer(p, np.uint8) for p in entries["places"]]).astype(np.int16)
-            mine = np.stack([np.frombuffer(p, np.uint8) for p in queries["places"]]).astype(np.int16)
             cid, ids = entries["cid"].to_numpy(), entries["ids"].to_numpy()
-            keep = min(len(x), max(RERANKED_LEAST, int(RERANKED_SHARE * len(x))))
-            for i, name in enumerate(queries["cid"]):
-                footrule = np.abs(at - mine[i]).sum(1, dtype=np.int32)
-                near = np.argpartition(footrule, keep - 1)[:keep]
-                score = (x[near] * q[i]).sum(1)
-                best = near[np.lexsort((cid[near], -score))[:count]]
-                found["query"] += [name] * len(best)
-                found["cid"] += cid[best].tolist()
-                found["score"] += (x[best] * q[i]).sum(1).tolist()
-                found["ids"] += ids[best].tolist()
+            least, names = max(len(x) - count, 0), queries["cid"].to_numpy()
+            longest = np.sqrt((x**2).sum(1).max())
+            for first in range(0, len(q), QUERIES_AT_ONCE):
+                asked = q[first : first + QUERIES_AT_ONCE]
+                for own, name, score in zip(asked, names[first:], asked @ x.T):
+                    margin = ROUNDING * longest * np.sqrt((own**2).sum())
+                    near = np.flatnonzero(score >= np.partition(score, least)[least] - margin)
+                    # The same sum for a pair in every block, so that ties are ties.
+                    exact = (x[near] * own).sum(1)
+                    order = np.lexsort((cid[near], -exact))[:count]
+                    best = near[order]
+                    found["query"] += [name] * len(best)
+                    found["cid"] += cid[best].tolist()
+                    found["score"] += exact[order].tolist()
+                    found["ids"] += ids[best].tolist()
         return pd.DataFrame(found)
 
     return run
