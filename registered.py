@@ -152,13 +152,23 @@ def json_ingest(spark, sf_dir):
     return lake.read("bronze", "loans")
 
 
+#: Records of an array file, about.
+ARRAY_ROWS = 1_000
+
+
+def write_arrays(df: DataFrame, path: str) -> None:
+    """A folder of JSON files, each with one array of records; the more rows, the more files."""
+    files = df.count() // ARRAY_ROWS + 1
+    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+    arrays = df.groupBy(bucket.alias("bucket")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
 @query
 def json_array_ingest(spark, sf_dir):
-    """One file that holds one array of records."""
+    """A folder of files that each hold one array of records."""
     lake, folder = lake_at(spark, "array"), scratch_path(spark, "array-files")
-    users = demo.bronze_users(spark, sf_dir)
-    array = users.agg(F.to_json(F.collect_list(F.struct(*users.columns))))
-    array.write.text(f"{folder}/users.json")
+    write_arrays(demo.bronze_users(spark, sf_dir), f"{folder}/users.json")
     load_bronze(lake, folder)
     return lake.read("bronze", "users")
 
