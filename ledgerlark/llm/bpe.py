@@ -103,7 +103,7 @@ class ByteBpe:
         self.lengths = np.array([len(t) for t in self.tokens], np.int64)
         self.places = np.cumsum(self.lengths) - self.lengths
         self.table = np.frombuffer(b"".join(self.tokens), np.uint8)
-        self.ambiguous = re.compile(r"\s \s")
+        self.ambiguous = re.compile(r"\s (?:\s|\Z)")
 
     def encode_plain(self, text: str) -> bytes:
         """Every match of the pattern is mapped and encoded by the model."""
