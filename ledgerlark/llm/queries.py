@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, fingerprints, jaccard, neighbours, packing, passages, quality, sharding, substrings, warc
+from ledgerlark.llm import (
+    bpe,
+    fingerprints,
+    jaccard,
+    neighbours,
+    packing,
+    passages,
+    quality,
+    secret_scans,
+    sharding,
+    substrings,
+    tries,
+    warc,
+    whitening,
+)
 from ledgerlark.llm.common import prepare
 from ledgerlark.session import scratch_path
 
@@ -138,3 +152,67 @@ SELECT page_id,
        CASE WHEN again THEN newest END AS refers_to
 FROM r
 """
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    return tries.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+#: The CRC-32 of a decimal number, byte by byte and bit by bit.
+CRC32 = """xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda crc, byte: list_reduce(
+        [1, 2, 3, 4, 5, 6, 7, 8],
+        lambda v, i: xor(CAST(v // 2 AS BIGINT), CAST(3988292384 * (v % 2) AS BIGINT)),
+        xor(CAST(crc AS BIGINT), CAST(byte AS BIGINT))),
+    CAST(4294967295 AS BIGINT)))"""
+
+SQL["op11_prefix_trie"] = f"""
+WITH said AS (
+       SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+       FROM conversations WHERE conv_id IS NOT NULL),
+     coded AS (
+       SELECT c, turn, octet_length(encode(text)) AS size,
+              sha256(concat(octet_length(encode(role)), ':', role, text)) AS t
+       FROM said),
+     placed AS (SELECT c, t, size, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, t) AS p FROM coded),
+     convs AS (SELECT c, c - c % 5 AS base, {CRC32} % 9 AS h FROM (SELECT DISTINCT c FROM placed)),
+     joined AS (
+       SELECT v.c, 0 AS part, p, t, size FROM convs v JOIN placed s ON s.c = v.base AND p <= h
+       UNION ALL SELECT v.c, 1, p, t, size FROM convs v JOIN placed s ON s.c = v.c AND p > h),
+     rebuilt AS (SELECT c, t, size, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d FROM joined),
+     lengths AS (SELECT v.c, count(d) AS length FROM convs v LEFT JOIN rebuilt USING (c) GROUP BY v.c),
+     paths AS (
+       SELECT c, d, size, string_agg(t, '') OVER (PARTITION BY c ORDER BY d) AS path FROM rebuilt
+       UNION ALL SELECT c, 0, 0, '' FROM convs),
+     members AS (SELECT p.*, length = d AS ends FROM paths p JOIN lengths USING (c)),
+     nodes AS (
+       SELECT path, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n, any_value(size) AS size,
+              sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+       FROM members GROUP BY path),
+     parents AS (
+       SELECT path, conv_id, left(path, greatest(length(path) - 64, 0)) AS above, depth FROM nodes),
+     children AS (SELECT above AS path, count(*) AS n_children FROM parents WHERE depth > 0 GROUP BY above),
+     sums AS (
+       SELECT up.path, sum(CASE WHEN k.n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n - 1) * n.size) AS saved
+       FROM (SELECT DISTINCT a.path, b.path AS below FROM members a JOIN members b ON a.c = b.c AND a.d <= b.d) up
+       JOIN nodes n ON n.path = up.below LEFT JOIN children k ON k.path = up.below
+       GROUP BY up.path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth,
+       CASE WHEN n.depth > 0 THEN a.conv_id END AS parent_conv_id,
+       n.n AS n_convs, coalesce(k.n_children, 0) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN parents p ON p.path = n.path JOIN nodes a ON a.path = p.above
+     LEFT JOIN children k ON k.path = n.path JOIN sums s ON s.path = n.path
+"""
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_secret_scans(spark, sf_dir):
+    return secret_scans.scan_secrets(table(spark, sf_dir, "documents"))
