@@ -131,5 +131,5 @@ def with_longs(schema: T.StructType, *names: str) -> T.StructType:
 
 
 def text_key(text_col: str) -> Column:
-    """The MD5 of a text, null as empty: copies share it."""
-    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    """The SHA-256 of a text, null as empty: copies share it."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))

@@ -249,7 +249,7 @@ def join_block(percent: int):
 def linked_documents(
     docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, key, n_shingles, component_id) for every row; key is the MD5 of the text.
+    """(doc_id, key, n_shingles, component_id) for every row; key is the SHA-256 of the text.
 
     Two documents are linked when their sets' intersection has at least ``percent`` hundredths of their
     union; a component is named by its smallest id. A null, empty or wordless text is linked with

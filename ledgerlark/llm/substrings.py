@@ -22,9 +22,12 @@ from ledgerlark.session import written
 
 WINDOW = 35
 GRAM = 6
-#: Strings in a bucket, about; and of one minimiser, before its windows are dealt one by one.
-BUCKET_STRINGS = 20_000
+#: Bytes of the strings in a bucket, about; strings of one minimiser before its windows are dealt one by one.
+BUCKET_BYTES = 2 << 20
 HEAVY_STRINGS = 2_000
+#: Places of a string in one row, and bytes of the strings that a task holds before it sends them.
+PLACES = 1_000
+STRING_BYTES = 8 << 20
 POSITION_BITS = np.uint64((1 << 24) - 1)
 PIECE_WORDS = 1 << 23
 
@@ -85,19 +88,29 @@ def span_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def string_rows(texts: DataFrame, window: int) -> DataFrame:
-    """(key, start, windows, minimiser, sid, copies, packed): words of each span, joined by one space.
+    """(sid, windows, minimiser, copies, packed, places): words of each span, joined by one space.
 
-    ``texts``: key, text, copies and spans as arrays.
+    ``texts``: key, text, copies and spans as arrays. Equal strings of a batch are one row with the places,
+    (key, start), where they stand; ``places`` has at most ``PLACES`` entries, more make another row.
     """
-    kinds = [("key", pa.binary()), ("start", pa.int32()), ("windows", pa.int32()), ("minimiser", pa.int64()), ("sid", pa.binary()), ("copies", pa.int64()), ("packed", pa.binary())]
+    place = pa.struct([("key", pa.binary()), ("start", pa.int32())])
+    kinds = [("sid", pa.binary()), ("windows", pa.int32()), ("minimiser", pa.int64()), ("copies", pa.int64()), ("packed", pa.binary()), ("places", pa.list_(place))]
     schema = pa.schema(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_rows, full, size = {}, [], 0
+
+        def sent() -> pa.RecordBatch:
+            nonlocal size
+            out, size = [*full, *open_rows.values()], 0
+            open_rows.clear()
+            full.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
+
         for batch in batches:
             keys, copies, spans = (batch.column(i).to_pylist() for i in (0, 2, 3))
             for row, data, offsets in blocks(batch.column(1)):
                 starts, ends, before = word_spans(data, offsets)
-                out = []
                 for i in range(len(offsets) - 1):
                     a, b = before[i], before[i + 1]
                     raw = data[offsets[i] : offsets[i + 1]].tobytes()
@@ -106,11 +119,22 @@ def string_rows(texts: DataFrame, window: int) -> DataFrame:
                         at, n = span["start"], span["windows"]
                         packed = raw[s[at] : e[at + n + window - 2]]
                         packed = b" ".join(packed.split())  # bytes split at the same six characters as words
-                        out.append((keys[row + i], at, n, span["minimiser"], hashlib.sha256(packed).digest(), copies[row + i], packed))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
-
-    return texts.mapInArrow(run, "key binary, start int, windows int, minimiser long, sid binary, copies long, packed binary")
+                        own = open_rows.get(packed)
+                        if own is None:
+                            own = open_rows[packed] = [hashlib.sha256(packed).digest(), n, span["minimiser"], 0, packed, []]
+                            size += len(packed)
+                        own[3] += copies[row + i]
+                        own[5].append((keys[row + i], at))
+                        size += 48
+                        if len(own[5]) == PLACES:
+                            full.append(open_rows.pop(packed))
+                    if size > STRING_BYTES:
+                        yield sent()
+        if size:
+            yield sent()
+
+    kind = "sid binary, windows int, minimiser long, copies long, packed binary, places array<struct<key:binary,start:int>>"
+    return texts.mapInArrow(run, kind)
 
 
 def ranks(codes: np.ndarray, window: int) -> np.ndarray:
@@ -163,7 +187,7 @@ def window_rows(strings: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(key, marks): for each different text, by MD5, its repeated windows as (start, mask) pairs."""
+    """(key, marks): for each different text, by SHA-256, its repeated windows as (start, mask) pairs."""
     texts = docs.select(text_key(text_col).alias("key"), F.col(text_col).alias("text"))
     spans = written(span_rows(texts, window, gram), "substring-spans")
     # Tables that hot keys are looked up in are written: then the join has a shuffle of its own on
@@ -184,7 +208,8 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
         F.first("minimiser").alias("minimiser"), F.sum("copies").alias("copies"),
     )
     strings = written(strings, "substring-distinct")
-    buckets = max(1, -(-strings.count() // BUCKET_STRINGS))
+    size = strings.agg(F.sum(F.octet_length("packed"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
     heavy = strings.groupBy("minimiser").agg(F.count("*").alias("n")).where(F.col("n") > HEAVY_STRINGS)
     # Written, so that Spark sees its size and need not shuffle the strings to look up a few minimisers.
     heavy = written(heavy.select("minimiser"), "substring-heavy")
@@ -207,9 +232,15 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
     )
     repeated = written(counted.unionByName(spread), "substring-masks")
+    # A string's places leave the join in rows of many. They are dealt anew before they become a row each.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marks = (
-        placed.select("key", "start", "sid")
+        placed.select("sid", "places")
         .join(repeated, "sid")
+        .select("places", "mask")
+        .repartition(parts)
+        .select(F.explode("places").alias("place"), "mask")
+        .select("place.key", "place.start", "mask")
         .groupBy("key")
         .agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
     )
