@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerlark.functions import policy
 from ledgerlark.functions.requests import rejection_reasons
 from ledgerlark.plans.training import predict
+from ledgerlark.session import written
 from ledgerlark.sources.lake import Lake
 from ledgerlark.sources.logs import log_predictions
 
@@ -64,7 +65,8 @@ def score_batch(
         F.concat(F.coalesce(no_id, F.array().cast("array<string>")), "rejection_reasons"),
     )
     ok = F.size("rejection_reasons") == 0
-    answers = score(checked.where(ok).drop("rejection_reasons"), model)
+    # Written once: what is returned is what was logged, and the model runs once.
+    answers = written(score(checked.where(ok).drop("rejection_reasons"), model), "answers")
     log_predictions(lake, answers)
     return answers, checked.where(~ok)
 

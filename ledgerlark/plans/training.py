@@ -208,8 +208,8 @@ def _train(lake, observation_date, model_path, seed, run_id, params) -> dict[str
     gate(metrics)
     spent = {**MODEL_PARAMS, **params, "seed": seed, "observation_date": observation_date}
     run_id = run_id or uuid.uuid4().hex
+    save_model(model, model_path)  # first: a tracked run has its model
     track(lake, run_id, run_rows(lake.spark, run_id, spent, metrics))
-    save_model(model, model_path)
     return metrics
 
 

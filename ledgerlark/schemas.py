@@ -107,6 +107,8 @@ DIALOGUE_LOGS = _struct(
     "fidelity_score double"
 )
 
+LOG_KEYS = _struct("id string, log_date date, bucket int")
+
 DRIFT_METRICS = _struct(
     "metric_id string!, timestamp timestamp, variable_name string!, psi_value double!, "
     "drift_status string!, alert_triggered boolean"

@@ -19,6 +19,9 @@ from ledgerlark import schemas
 from ledgerlark.operators.newest import newest_per_key, upsert
 from ledgerlark.session import located, scratch_scope, written
 
+# Ids of the logs with the day they were logged on, in hash buckets of the id.
+LOG_KEYS = ("prediction_log_keys", "dialogue_log_keys")
+
 # Tables with a folder per run, so a repeated run replaces itself.
 BY_RUN = {("gold", "run_metrics"): schemas.RUN_METRICS}
 
@@ -64,8 +67,8 @@ class Lake:
 
     # -- layout ---------------------------------------------------------------------
     def path(self, layer: str, table: str) -> str:
-        if layer == "silver":
-            return f"{self.root}/silver/{table}/of={self.buckets}"
+        if layer == "silver" or table in LOG_KEYS:
+            return f"{self.root}/{layer}/{table}/of={self.buckets}"
         return f"{self.root}/{layer}/{table}"
 
     def schema(self, layer: str, table: str) -> T.StructType:
@@ -77,6 +80,8 @@ class Lake:
             return T.StructType(
                 [*schemas.SILVER[table].fields, T.StructField("bucket", T.IntegerType())]
             )
+        if table in LOG_KEYS:
+            return schemas.LOG_KEYS
         if (layer, table) in DATED:
             return DATED[(layer, table)][0]
         return BY_RUN[(layer, table)]
@@ -86,11 +91,13 @@ class Lake:
         by_layer = {"bronze": "load", "silver": "bucket"}
         if (layer, table) in BY_RUN:
             return "run_id"
+        if table in LOG_KEYS:
+            return "bucket"
         return by_layer.get(layer) or DATED.get((layer, table), (None, None))[1]
 
     def tables(self) -> list[tuple[str, str]]:
         raw = [(layer, t) for layer in ("bronze", "silver") for t in schemas.RAW_TABLES]
-        return [*raw, *DATED, *BY_RUN]
+        return [*raw, *DATED, *BY_RUN, *[("gold", t) for t in LOG_KEYS]]
 
     def create(self) -> None:
         """Create every missing table, empty; existing ones stay as they are.
@@ -104,7 +111,7 @@ class Lake:
 
     def _refuse_other_bucketing(self, layer: str, table: str) -> None:
         folder = f"{self.root}/{layer}/{table}"
-        if layer == "silver" and path_exists(self.spark, folder):
+        if (layer == "silver" or table in LOG_KEYS) and path_exists(self.spark, folder):
             if not path_exists(self.spark, self.path(layer, table)):
                 raise ValueError(f"{folder} was created with another number of buckets")
 
@@ -175,12 +182,35 @@ class Lake:
             .parquet(self.path(layer, table))
         )
 
-    def _bucketed(self, table: str, df: DataFrame) -> DataFrame:
-        key = schemas.SILVER_RULES[table].key
+    def bucketed(self, df: DataFrame, key: str) -> DataFrame:
+        """``df`` with the hash bucket of its key."""
         return df.withColumn(
             "bucket", F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
         )
 
+    def compact(self, layer: str, table: str, most_files: int) -> list[str]:
+        """Rewrite the partitions that have more files than that; returns their folders' names.
+
+        Small appends leave small files. Contents stay as they are; nothing else may write the
+        table meanwhile.
+        """
+        files, folder = located(self.spark, self.path(layer, table))
+        partition = self.partition(layer, table)
+        full = []
+        for status in files.listStatus(folder) if files.exists(folder) else ():
+            name = status.getPath().getName()
+            if name.startswith(f"{partition}="):
+                parts = [f for f in files.listStatus(status.getPath()) if f.getPath().getName().startswith("part-")]
+                if len(parts) > most_files:
+                    full.append(name)
+        if full:
+            values = [name.removeprefix(f"{partition}=") for name in full]
+            rows = self._stored(layer, table).where(F.col(partition).cast("string").isin(values))
+            with scratch_scope(self.spark):
+                packed = written(rows.hint("rebalance", partition), f"compact-{table}", partition)
+                self._swap(layer, table, packed, partition)
+        return sorted(full)
+
     def stage_silver(
         self, table: str, incoming: DataFrame, keep_newer: bool = False
     ) -> DataFrame:
@@ -191,7 +221,7 @@ class Lake:
         one stays too: needed when ``incoming`` is not the whole of Bronze.
         """
         batch = written(
-            self._bucketed(table, incoming).hint("rebalance", "bucket"),
+            self.bucketed(incoming, schemas.SILVER_RULES[table].key).hint("rebalance", "bucket"),
             f"incoming-{table}",
             "bucket",
         )

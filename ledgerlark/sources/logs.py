@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from ledgerlark.functions.clock import utc_now
 from ledgerlark.functions.requests import incomplete
 from ledgerlark.operators.newest import newest_per_key
 from ledgerlark.schemas import DIALOGUE_LOGS, PREDICTION_LOGS
-from ledgerlark.session import scratch_scope, written
-from ledgerlark.sources.lake import Lake
+from ledgerlark.session import located, scratch_scope, written
+from ledgerlark.sources.lake import LOG_KEYS, Lake, path_exists
 
 UNKNOWN_USER = "UNKNOWN"
 WEEK_DAYS = 7
@@ -49,25 +50,76 @@ def dialogue_rows(df: DataFrame) -> DataFrame:
     return _filled(_all_columns(df, DIALOGUE_LOGS))
 
 
+def keys_table(table: str) -> str:
+    return table.removesuffix("s") + "_keys"
+
+
+def pending_folder(lake: Lake, table: str) -> str:
+    return f"{lake.root}/pending/{table}"
+
+
 def _append_new(lake: Lake, table: str, key: str, rows: DataFrame) -> None:
-    """Append rows whose id is not logged yet, so repeating a batch changes nothing.
+    """Append rows whose id is not logged yet, on whatever day: an id is logged once.
 
-    An id belongs to one request, which has one event time, so only the days of the batch
-    are looked up in the log, and only their id column.
+    Ids are looked up in a table of them, in the hash buckets that the batch has ids of. What is
+    new is put down as a pending batch first, then appended to the log and to the ids; if that
+    dies half-way, the next append finishes it before anything else. One writer at a time.
     """
     with scratch_scope(lake.spark):
+        finish_pending(lake, table, key)
         dated = newest_per_key(rows, key, ["timestamp"]).withColumn(
             "log_date", F.to_date("timestamp")
         )
-        batch = written(dated, f"batch-{table}")
-        fresh = batch.join(known_ids(lake, table, key, batch), [key, "log_date"], "left_anti")
-        lake.append("gold", table, fresh)
+        batch = written(lake.bucketed(dated, key), f"batch-{table}")
+        fresh = batch.join(known_ids(lake, table, batch).withColumnRenamed("id", key), key, "left_anti")
+        path = f"{pending_folder(lake, table)}/{uuid.uuid4().hex}"
+        fresh.write.parquet(path)
+        taken = lake.spark.read.schema(fresh.schema).parquet(path)
+        lake.append("gold", table, taken)
+        _append_ids(lake, table, key, taken)
+        _forget(lake, path)
+
+
+def known_ids(lake: Lake, table: str, batch: DataFrame) -> DataFrame:
+    """The logged ids of the buckets that ``batch`` has rows of; other buckets are not read."""
+    touched = [r.bucket for r in batch.select("bucket").distinct().collect()]
+    return lake.read("gold", keys_table(table)).where(F.col("bucket").isin(touched)).select("id")
 
 
-def known_ids(lake: Lake, table: str, key: str, batch: DataFrame) -> DataFrame:
-    """(id, day) of the log on the days that ``batch`` has rows of; other days are not read."""
-    days = [r.log_date for r in batch.select("log_date").distinct().collect()]
-    return lake.read("gold", table).where(F.col("log_date").isin(days)).select(key, "log_date")
+def _append_ids(lake: Lake, table: str, key: str, rows: DataFrame) -> None:
+    ids = rows.select(F.col(key).alias("id"), "log_date", "bucket")
+    lake.append("gold", keys_table(table), ids.hint("rebalance", "bucket"))
+
+
+def _forget(lake: Lake, path: str) -> None:
+    files, target = located(lake.spark, path)
+    files.delete(target, True)
+
+
+def finish_pending(lake: Lake, table: str, key: str) -> int:
+    """Append what batches that died half-way have not appended; returns how many there were.
+
+    A batch that was not put down as a whole has appended nothing and is given up: whoever sent
+    it sends it again.
+    """
+    files, folder = located(lake.spark, pending_folder(lake, table))
+    found = files.listStatus(folder) if files.exists(folder) else ()
+    for path in [status.getPath().toString() for status in found]:
+        if path_exists(lake.spark, f"{path}/_SUCCESS"):
+            rows = lake.spark.read.parquet(path)
+            days = [r.log_date for r in rows.select("log_date").distinct().collect()]
+            logged = lake.read("gold", table).where(F.col("log_date").isin(days)).select(key)
+            lake.append("gold", table, rows.join(logged, key, "left_anti"))
+            ids = known_ids(lake, table, rows).withColumnRenamed("id", key)
+            _append_ids(lake, table, key, rows.join(ids, key, "left_anti"))
+        _forget(lake, path)
+    return len(found)
+
+
+def compact_ids(lake: Lake, most_files: int = 64) -> None:
+    """Rewrite buckets of the id tables that many small appends have cut into many files."""
+    for table in LOG_KEYS:
+        lake.compact("gold", table, most_files)
 
 
 def log_predictions(lake: Lake, df: DataFrame) -> None:

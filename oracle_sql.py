@@ -847,6 +847,10 @@ SELECT 'p' || event_id AS prediction_id, ts AS timestamp, CAST(ts AS DATE) AS lo
        'FALLBACK' AS status
 FROM events
 """
+QUERIES["stream_repeated_ids"] = """
+SELECT 'p' || event_id AS prediction_id, sent AS timestamp, CAST(sent AS DATE) AS log_date, 'FALLBACK' AS status
+FROM (SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN ts ELSE ts + INTERVAL 2 DAY END AS sent FROM events)
+"""
 
 
 def all_sql() -> dict[str, str]:

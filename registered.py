@@ -681,6 +681,36 @@ def stream_late_requests(spark, sf_dir):
     return lake.read("gold", "prediction_logs").select("prediction_id", "timestamp", "log_date", "status")
 
 
+def _event_requests(events: DataFrame) -> DataFrame:
+    """A valid scoring request for each event."""
+    e = F.col("event_id")
+    return events.select(
+        F.concat(F.lit("p"), e.cast("string")).alias("prediction_id"),
+        F.col("ts").alias("timestamp"),
+        F.col("user_id").cast("string").alias("user_id"),
+        (F.col("value") * 40.0).alias("monthly_volume"),
+        (e * 7 % 31).cast("int").alias("session_regularity"),
+        (F.col("value") * 100.0).alias("income"),
+        F.col("value").alias("latency_ms"),
+    )
+
+
+@query
+def stream_repeated_ids(spark, sf_dir):
+    """Two thirds of the requests logged in batch, then all sent again, two days on, as a stream, and
+    once more, four days on, in batch: every id is logged once, on its first day."""
+    lake, folder = lake_at(spark, "repeated-ids"), scratch_path(spark, "repeated-files")
+    requests = _event_requests(demo.table(spark, sf_dir, "events"))
+    first = F.substring("prediction_id", 2, 20).cast("bigint") % 3 != 0
+    later = lambda days: requests.withColumn("timestamp", F.timestamp_add("DAY", F.lit(days), F.col("timestamp")))
+    scoring.score_batch(lake, requests.where(first), None)
+    later(2).write.parquet(folder)
+    stream = spark.readStream.schema(requests.schema).parquet(folder)
+    stream_predictions(lake, stream, None, f"{lake.root}/checkpoints/again").awaitTermination()
+    scoring.score_batch(lake, later(4), None)
+    return lake.read("gold", "prediction_logs").select("prediction_id", "timestamp", "log_date", "status")
+
+
 def _drained(spark, result: DataFrame, label: str) -> DataFrame:
     """All rows a stream appends until its source is used up."""
     path = scratch_path(spark, label)

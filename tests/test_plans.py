@@ -1,7 +1,6 @@
 """Physical plans: what must be pushed down, and what must never appear."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import registered
 from ledgerlark.operators.newest import newest_per_key
@@ -10,7 +9,7 @@ from ledgerlark.plans import gold, training
 from ledgerlark.plans.medallion import refresh_silver
 from ledgerlark.plans.silver import to_silver
 from ledgerlark.sources import demo
-from ledgerlark.sources.logs import in_week, known_ids, log_predictions, prediction_rows
+from ledgerlark.sources.logs import in_week, known_ids, log_predictions
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -48,13 +47,14 @@ def test_week_read_prunes_partitions(spark, lake):
     assert "log_date" in text.split("PartitionFilters:")[1].split("]")[0]
 
 
-def test_log_lookup_reads_the_days_of_the_batch_only(spark, lake):
+def test_log_lookup_reads_the_touched_buckets_only(spark, lake):
     log_predictions(lake, demo.prediction_logs(spark, SF_DIR))
-    batch = prediction_rows(demo.scored_requests(spark, SF_DIR).limit(3).withColumn("credit_limit", F.lit(0.0)).withColumn("decision", F.lit("")).withColumn("status", F.lit("")))
-    batch = batch.withColumn("log_date", F.to_date("timestamp"))
-    text = plan(known_ids(lake, "prediction_logs", "prediction_id", batch))
-    assert "log_date" in text.split("PartitionFilters:")[1].split("]")[0]
-    assert "income" not in text
+    batch = lake.bucketed(spark.createDataFrame([("p1",)], "prediction_id string"), "prediction_id")
+    ids = known_ids(lake, "prediction_logs", batch)
+    text = plan(ids)
+    assert "bucket" in text.split("PartitionFilters:")[1].split("]")[0]
+    assert "log_date" not in text.split("ReadSchema:")[1]
+    assert 0 < ids.count() < lake.read("gold", "prediction_logs").count() / 2
 
 
 @pytest.mark.parametrize("partitions", [2, 60])
