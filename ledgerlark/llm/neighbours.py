@@ -1,13 +1,16 @@
 """Approximate nearest neighbours by a permutation index.
 
-A vector is represented by the order in which pivots are near to it. It is posted in the inverted files
-of its first few pivots; a query visits the files of its own first pivots and compares itself with
-every entry by inner product. Vectors of different length get one more coordinate that makes them
-equally long, so the largest inner product is the smallest angle.
+Pivots lie far from each other; a vector is represented by its nearest pivots in their order. Rows are dealt
+into blocks, and in a block every pivot has an inverted file of the entries that list it, with the place it
+has there. A query visits the files of its own pivots and adds up, for every entry it meets, how well the
+places agree; that is the footrule distance of the two orders. The entries nearest by footrule, a share that
+falls as the table grows, are compared by inner product. Vectors of different length get one more
+coordinate that makes them equally long, so the largest inner product is the smallest angle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,100 +20,123 @@ from pyspark.sql import functions as F
 
 from ledgerlark.session import written
 
-#: Pivots: the vectors with the smallest hash of their id, at most 256 (a place fits into a byte).
-PIVOTS = 256
-POSTED = 4
-VISITED = 64
-#: Entries and queries of one task's block; larger files are split.
+#: Pivots: about the square root of the different vectors, within these bounds, picked farthest first from
+#: a sample of four times as many: the vectors with the smallest hash of their id.
+PIVOTS_LEAST = 64
+PIVOTS_MOST = 2_048
+SAMPLED = 4
+#: Pivots in a vector's list.
+LISTED = 64
+#: Entries compared with a query are this many times the square root of the different vectors.
+RERANKED = 12
+#: Entries and queries of one task's block.
 BLOCK_ENTRIES = 20_000
 BLOCK_QUERIES = 5_000
-#: Queries compared with a block's entries at once.
-QUERIES_AT_ONCE = 128
-#: Part of the largest product by which a product summed in another order may differ, and more.
-ROUNDING = 1e-9
 
 
 def valid_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, vector), one for each id, of the commonest dimension, finite and not zero.
-
-    Of several vectors for an id the smallest counts.
-    """
-    vector = F.col(vector_col).cast("array<float>")
+    """(vec_id, vector), one for each id, finite and not zero; of several for an id the smallest counts."""
+    vector = F.col(vector_col).cast("array<double>")
     rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), vector.alias("vector")).where(
         F.col("vec_id").isNotNull()
         & F.col("vector").isNotNull()
         & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("vector", lambda x: x != 0)
     )
-    size = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    rows = rows.where(F.size("vector") == (size["size"] if size else 0))
     return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
-def places(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """For each vector the place of every pivot in its order; ties go to the earlier pivot."""
-    order = np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")
-    out = np.empty(order.shape, np.uint8)
-    out[np.arange(len(order))[:, None], order] = np.arange(order.shape[1], dtype=np.uint8)
-    return out
-
-
 def longer(vectors: np.ndarray, square: float) -> np.ndarray:
     """One more coordinate, with which every vector has the squared length ``square``."""
     rest = np.maximum(square - (vectors**2).sum(1), 0)
     return np.column_stack([vectors, np.sqrt(rest)])
 
 
-def ordered_by_pivots(classes: DataFrame, pivots: np.ndarray, square: float, first: int, query: bool) -> DataFrame:
-    """(cid, vector, ids, pivot): a row for each of the first pivots."""
+def farthest_first(sample: np.ndarray, count: int) -> np.ndarray:
+    """``count`` rows of the sample, each the one with the smallest product with those before it."""
+    chosen, near = [0], sample @ sample[0]
+    while len(chosen) < min(count, len(sample)):
+        at = int(np.argmin(near))
+        chosen.append(at)
+        near = np.maximum(near, sample @ sample[at])
+    return sample[chosen]
+
+
+def listed_pivots(vectors: np.ndarray, pivots: np.ndarray, count: int) -> np.ndarray:
+    """For each vector its nearest pivots, nearest first."""
+    far = -(vectors @ pivots.T)
+    some = np.argpartition(far, count - 1, axis=1)[:, :count]
+    order = np.argsort(np.take_along_axis(far, some, 1), axis=1, kind="stable")
+    return np.take_along_axis(some, order, 1).astype(np.int32)
+
+
+def with_pivots(classes: DataFrame, pivots: np.ndarray, square: float, query: bool) -> DataFrame:
+    """(cid, vector, ids, pivots)."""
+    count = min(LISTED, len(pivots))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:
-            if not len(rows):
-                continue
-            x = np.stack(rows["vector"]).astype(float)
-            own = np.column_stack([x, np.zeros(len(x))]) if query else longer(x, square)
-            where = places(own, pivots)
-            near = np.argsort(where, axis=1, kind="stable")[:, :first]
-            yield pd.DataFrame(
-                {
-                    "cid": rows["cid"], "vector": rows["vector"], "ids": rows["ids"],
-                    "pivots": list(near.astype(np.int32)),
-                }
-            )
-
-    kind = "cid long, vector array<float>, ids array<long>, pivots array<int>"
-    return classes.mapInPandas(run, kind).withColumn("pivot", F.explode("pivots")).drop("pivots")
-
-
-def search_block(count: int):
-    """For cogrouped entries and queries of a block: the best ``count`` classes for each query."""
+            if len(rows):
+                x = np.stack(rows["vector"]).astype(float)
+                own = np.column_stack([x, np.zeros(len(x))]) if query else longer(x, square)
+                yield pd.DataFrame(
+                    {"cid": rows["cid"], "vector": rows["vector"], "ids": rows["ids"], "pivots": list(listed_pivots(own, pivots, count))}
+                )
+
+    return classes.mapInPandas(run, "cid long, vector array<double>, ids array<long>, pivots array<int>")
+
+
+class InvertedFiles:
+    """A block's entries by the pivots they list, with what their place there counts: more, the nearer."""
+
+    def __init__(self, lists: np.ndarray, pivots: int) -> None:
+        self.entries, self.listed = lists.shape
+        order = np.argsort(lists.ravel(), kind="stable")
+        self.entry, self.weight = order // self.listed, (self.listed - order % self.listed).astype(np.float64)
+        self.cuts = np.searchsorted(lists.ravel()[order], np.arange(pivots + 1))
+
+    def agreement(self, own: np.ndarray) -> np.ndarray:
+        """For each entry the sum over common pivots of the smaller count of the two places.
+
+        With k pivots listed and a place behind them for all others, the footrule distance of two lists is
+        k (k + 1) less twice this.
+        """
+        parts = [slice(self.cuts[p], self.cuts[p + 1]) for p in own]
+        most = np.repeat(np.arange(len(own), 0, -1.0), [s.stop - s.start for s in parts])
+        weights = np.minimum(np.concatenate([self.weight[s] for s in parts]), most)
+        return np.bincount(np.concatenate([self.entry[s] for s in parts]), weights, self.entries)
+
+
+def search_block(count: int, pivots: int, share: float):
+    """For cogrouped entries and queries of a block: the best ``count`` classes found for each query."""
 
     def run(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found = {"query": [], "cid": [], "score": [], "ids": []}
         if len(entries) and len(queries):
-            x, q = np.stack(entries["vector"]).astype(float), np.stack(queries["vector"]).astype(float)
-            cid, ids = entries["cid"].to_numpy(), entries["ids"].to_numpy()
-            least, names = max(len(x) - count, 0), queries["cid"].to_numpy()
-            longest = np.sqrt((x**2).sum(1).max())
-            for first in range(0, len(q), QUERIES_AT_ONCE):
-                asked = q[first : first + QUERIES_AT_ONCE]
-                for own, name, score in zip(asked, names[first:], asked @ x.T):
-                    margin = ROUNDING * longest * np.sqrt((own**2).sum())
-                    near = np.flatnonzero(score >= np.partition(score, least)[least] - margin)
-                    # The same sum for a pair in every block, so that ties are ties.
-                    exact = (x[near] * own).sum(1)
-                    order = np.lexsort((cid[near], -exact))[:count]
-                    best = near[order]
-                    found["query"] += [name] * len(best)
-                    found["cid"] += cid[best].tolist()
-                    found["score"] += exact[order].tolist()
-                    found["ids"] += ids[best].tolist()
+            entries = entries.sort_values("cid", kind="stable")
+            x, cid, ids = np.stack(entries["vector"]), entries["cid"].to_numpy(), entries["ids"].to_numpy()
+            files = InvertedFiles(np.stack(entries["pivots"]), pivots)
+            most = min(len(x), math.ceil(share * len(x)) + 2 * count)
+            for name, own, listed in zip(queries["cid"], queries["vector"], queries["pivots"]):
+                agreement = files.agreement(listed)
+                near = np.argpartition(-agreement, most - 1)[:most] if most < len(x) else np.arange(len(x))
+                score = (x[near] * own).sum(1)  # the same sum for a pair everywhere, so that ties are ties
+                order = np.lexsort((cid[near], -score))[:count]
+                best = near[order]
+                found["query"] += [name] * len(best)
+                found["cid"] += cid[best].tolist()
+                found["score"] += score[order].tolist()
+                found["ids"] += ids[best].tolist()
         return pd.DataFrame(found)
 
     return run
 
 
+def compared_share(different: int) -> float:
+    """The share of the different vectors that a query is compared with by inner product."""
+    return min(1.0, RERANKED / math.sqrt(max(1, different)))
+
+
 def nearest(
     rows: DataFrame, every: int, count: int = 20, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -118,10 +144,14 @@ def nearest(
 
     Columns query_id, rank (from 1), vec_id, score; ties go to the smaller id. Every other id is a
     candidate; equal vectors are searched for once and then stand for all their ids. Null, zero, and not
-    finite vectors, those of a rarer dimension, and rows without an id take no part. An empty table gives
-    an empty result.
+    finite vectors and rows without an id take no part; of several vectors for one id the smallest does.
+    Vectors of different lengths raise an error. Entries are taken as doubles. An empty table gives an
+    empty result.
     """
     vectors = written(valid_vectors(rows, id_col, vector_col), "ann-vectors")
+    sizes = vectors.agg(F.min(F.size("vector")), F.max(F.size("vector"))).first()
+    if sizes[0] != sizes[1]:
+        raise ValueError(f"vectors of {sizes[0]} to {sizes[1]} entries")
     wanted = count + 1  # one may be the query itself
     # The limit on the row number is applied before the shuffle too, so a hot vector sends few rows.
     numbered = vectors.selectExpr("*", "row_number() OVER (PARTITION BY vector ORDER BY vec_id) AS n")
@@ -135,33 +165,28 @@ def nearest(
     askers = vectors.where(F.col("vec_id") % every == 0)
     askers = written(askers.join(classes.select("vector", "cid"), "vector").select("vec_id", "cid"), "ann-queries")
     asked = classes.join(askers.select("cid").distinct(), "cid", "left_semi")
-    chosen = classes.orderBy(F.xxhash64("cid"), "cid").limit(PIVOTS).select("vector").collect()
-    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    square = classes.agg(F.max(squares)).first()[0]
-    if not chosen:
-        pivots = np.zeros((1, 1))
-    else:
-        pivots = longer(np.array([r["vector"] for r in chosen], float), square)
-    posts = ordered_by_pivots(classes, pivots, square, POSTED, False)
-    visits = ordered_by_pivots(asked, pivots, square, VISITED, True)
-    posts, visits = written(posts, "ann-posts"), written(visits, "ann-visits")
-
-    def blocks_of(frame: DataFrame, size: int, name: str) -> DataFrame:
-        counted = frame.groupBy("pivot").agg(F.count("*").alias("n"))
-        return counted.select("pivot", F.ceil(F.col("n") / size).cast("int").alias(name))
-
-    # A row per pivot, 256 at most.
-    split = F.broadcast(blocks_of(posts, BLOCK_ENTRIES, "e").join(blocks_of(visits, BLOCK_QUERIES, "q"), "pivot"))
-    salt = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
-    every_one = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    key = ["pivot", "entry_block", "query_block"]
-    posts = posts.join(split, "pivot").withColumn("entry_block", salt("e")).withColumn("query_block", every_one("q")).drop("e", "q")
-    visits = visits.join(split, "pivot").withColumn("query_block", salt("q")).withColumn("entry_block", every_one("e")).drop("e", "q")
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
+    different, square = classes.agg(F.count("*"), F.max(squares)).first()
+    wished = min(PIVOTS_MOST, max(PIVOTS_LEAST, math.isqrt(different)))
+    # At most 8,192 rows.
+    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLED * wished).select("vector").collect()
+    pivots = farthest_first(longer(np.array([r["vector"] for r in sample], float), square), wished) if sample else np.zeros((1, 1))
+    entries = written(with_pivots(classes, pivots, square, False), "ann-entries")
+    queries = written(with_pivots(asked, pivots, square, True), "ann-asked")
+    n_queries = queries.count()
+    blocks = {"entry_block": -(-different // BLOCK_ENTRIES) or 1, "query_block": -(-n_queries // BLOCK_QUERIES) or 1}
+
+    def dealt(frame: DataFrame, own: str, other: str) -> DataFrame:
+        """Every row in one of its own blocks, met with each of the other side's."""
+        every_one = F.explode(F.sequence(F.lit(0), F.lit(blocks[other] - 1)))
+        return frame.withColumns({own: F.pmod(F.xxhash64("cid"), F.lit(blocks[own])).cast("int"), other: every_one})
+
+    key = ["entry_block", "query_block"]
     found = (
-        posts.groupBy(*key)
-        .cogroup(visits.groupBy(*key))
-        .applyInPandas(search_block(wanted), "query long, cid long, score double, ids array<long>")
-    )
+        dealt(entries, "entry_block", "query_block").groupBy(*key)
+        .cogroup(dealt(queries, "query_block", "entry_block").groupBy(*key))
+        .applyInPandas(search_block(wanted, len(pivots), compared_share(different)), "query long, cid long, score double, ids array<long>")
+    )
     own = asked.select(F.col("cid").alias("query"), "cid", squares.alias("score"), "ids")
     ranked = (
         found.unionByName(own)
