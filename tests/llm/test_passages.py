@@ -37,6 +37,21 @@ def test_passages(spark):
     assert passages.dedup_passages(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_bytes_decide():
+    """A mark removes its lines only where they are what it says; pairs in a marked chunk need none of their own."""
+    raw, starts, ends = b"a\nb\ncc\nd", [0, 2, 4, 7], [1, 3, 6, 8]
+    assert passages.without(raw, starts, ends, [{"at": 1, "content": b"b\ncc"}]) == (b"a\nd", 2)
+    for other in (b"b\nc", b"b\ncx", b"a\nb", b"cc\nd\ne"):
+        assert passages.without(raw, starts, ends, [{"at": 1, "content": other}]) == (raw, 0)
+
+
+def test_only_pairs_outside_chunks_are_looked_at(spark):
+    place = [(i, 2, bytes([i])) for i in range(9)] + [(2, 4, b"x")]
+    rows = spark.createDataFrame([(1, 7, place)], "owner long, key long, places array<struct<at:int,lines:int,digest:binary>>")
+    left = sorted((r["at"], r["lines"]) for r in passages.uncovered(rows).collect())
+    assert left == [(0, 2), (1, 2), (2, 4), (5, 2), (6, 2), (7, 2), (8, 2)]
+
+
 @pytest.mark.parametrize("length", range(2, 11))
 def test_short_passages_in_other_surroundings_go(spark, tmp_path, length):
     """All of a passage is removed from each later document, and nothing else is."""
