@@ -42,7 +42,8 @@ Bins = list[list[int]]
 @lru_cache(maxsize=1)
 def chunk_ids(path: str) -> Chunks:
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    # Strings of added tokens in a text are these tokens; they hold no white space.
+    added = [token.content.lower() for token in tokenizer.get_added_tokens_decoder().values()]
 
     def encode(chunk: str) -> bytes:
         ids = tokenizer.encode(chunk, add_special_tokens=False).ids
@@ -59,6 +60,8 @@ def chunk_ids(path: str) -> Chunks:
         """Plain chunks go part by part to the tokenizer's model, with fewer distinct words to know."""
         if not (chunk.isascii() and chunk.isprintable()) and not PLAIN.fullmatch(chunk):
             return encode(chunk)
+        if any(content in chunk.lower() for content in added):
+            return encode(chunk)
         if chunk.isalpha():
             return words[chunk.lower()]
         if chunk[:-1].isalpha():

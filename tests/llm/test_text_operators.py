@@ -79,7 +79,6 @@ def test_fixed_capacity(spark):
 
 def test_packing(docs):
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     rows = packing.pack_documents(docs, VOCABULARY, with_ids=True).collect()
     want = []
     for i, text, *_ in corpus():
@@ -101,6 +100,12 @@ def test_packing(docs):
     assert len(sequences) <= -(-sum(w[3] for w in want) // 2048) + 1
 
 
+@pytest.mark.parametrize("text", ["a <|startoftext|> b", "a<|startoftext|>b", "<|STARTOFTEXT|> x", "x<|endoftext|>", " <|startoftext|>  <|endoftext|>y", "é<|endoftext|><|endoftext|>ü"])
+def test_strings_of_added_tokens_are_tokens(text):
+    want = Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.token_ids(text, packing.chunk_ids(VOCABULARY)), "<u4").tolist() == want
+
+
 def test_genetic_packing_keeps_every_item():
     draw = random.Random(3)
     sizes = [draw.randint(1, 700) for _ in range(300)]
