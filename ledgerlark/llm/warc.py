@@ -22,10 +22,38 @@ def crlf(*lines: Column) -> Column:
     return F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"))
 
 
+#: Characters that cannot stand in a header line.
+CONTROLS = [chr(c) for c in (*range(32), 127)]
+UNSAFE = r"[\x00-\x1F\x7F]"
+
+
+def escaped(value: Column) -> Column:
+    """Control characters, and percent signs before them, as percent and two hex digits; back by ``unescaped``."""
+    out = F.replace(value, F.lit("%"), F.lit("%25"))
+    for c in CONTROLS:
+        out = F.replace(out, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    return out
+
+
+def unescaped(value: Column) -> Column:
+    """Every percent sign of the text stands for an escape, so the order does not matter but for its own."""
+    for c in CONTROLS:
+        value = F.replace(value, F.lit(f"%{ord(c):02X}"), F.lit(c))
+    return F.replace(value, F.lit("%25"), F.lit("%"))
+
+
 def line(name: str, value: Column) -> Column:
-    """One header line; control characters of the value are escaped, a null value gives no line."""
-    safe = F.regexp_replace(value.cast("string"), r"\p{Cntrl}", "%00")
-    return F.concat(F.lit(f"{name}: "), safe)
+    """One header line; a null value gives none."""
+    return F.concat(F.lit(f"{name}: "), value.cast("string"))
+
+
+def uri_lines(url: Column) -> list[Column]:
+    """The address as it is; one with control characters is escaped, and a line more says so."""
+    unsafe = url.rlike(UNSAFE)
+    return [
+        line("WARC-Target-URI", F.when(unsafe, escaped(url)).otherwise(url)),
+        F.when(unsafe, F.lit("X-Target-URI-Escaped: yes")),
+    ]
 
 
 def write_archive(
@@ -60,7 +88,7 @@ def write_archive(
         F.lit("WARC/1.1"),
         F.when(revisit, F.lit("WARC-Type: revisit")).otherwise(F.lit("WARC-Type: response")),
         F.concat(F.lit(f"WARC-Record-ID: <{RECORD_ID}"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit(">")),
-        line("WARC-Target-URI", F.col("url")),
+        *uri_lines(F.col("url")),
         F.lit(f"WARC-Date: {DATE}"),
         F.lit("Content-Type: application/http;msgtype=response"),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
@@ -102,13 +130,17 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce("payload", F.raise_error(F.lit("a record's payload is missing")).cast("binary")),
     )
 
+    # Lines end in the two characters of the format only: others may stand in an address.
     def field(name: str, pattern: str) -> Column:
-        return F.nullif(F.regexp_extract("head", rf"(?m)^{name}: {pattern}$", 1), F.lit(""))
+        whole = rf"(?md)^{name}: {pattern}\r$"
+        return F.when(F.rlike("head", F.lit(whole)), F.regexp_extract("head", whole, 1))
+
+    url = field("WARC-Target-URI", r"(.*?)")
 
     parsed = joined.select(
         "page_id", "header", "payload",
         field("WARC-Type", r"(\w+)").alias("record_type"),
-        field("WARC-Target-URI", r"(.*)").alias("url"),
+        F.when(field("X-Target-URI-Escaped", r"(yes)").isNotNull(), unescaped(url)).otherwise(url).alias("url"),
         field("WARC-Refers-To", rf"<{RECORD_ID}(-?\d+)>").cast("long").alias("refers_to"),
         field("WARC-Payload-Digest", r"sha1:([0-9a-f]{40})").alias("payload_digest"),
     )

@@ -165,6 +165,16 @@ def test_warc(spark):
     assert stored.count() == len({html or "" for _, _, html in page_rows()})
 
 
+def test_warc_gives_every_address_back(spark):
+    urls = ["http://a\tb\x7f", "http://a%09b%7F", "http://a%b\n%25", "%\x00%00", "a\r\nX-Target-URI-Escaped: yes", "", None, "\u0085x\u2028y\x1f", "é%é", " x ", "$1\\\n"]
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    path = scratch_path(spark, "test-warc")
+    warc.write_archive(pages, path)
+    assert [r["url"] for r in warc.read_archive(spark, path).orderBy("page_id").collect()] == urls
+    warc.write_archive(pages.limit(0), f"{path}-none")
+    assert warc.read_archive(spark, f"{path}-none").collect() == []
+
+
 def test_warc_finds_damage(spark):
     path = scratch_path(spark, "test-warc")
     warc.write_archive(spark.createDataFrame([(1, "u", "a"), (2, "u", "b")], "page_id long, url string, html string"), path)
@@ -201,13 +211,17 @@ def test_neighbours(spark):
     draw = np.random.default_rng(2)
     rows = [(i, draw.normal(size=8).astype("f4").tolist()) for i in range(300)]
     rows += [(400 + i, rows[5][1]) for i in range(60)]
-    rows += [(500, None), (501, [0.0] * 8), (502, [None] + [1.0] * 7), (503, [float("nan")] * 8), (504, [float("inf")] + [1.0] * 7), (505, [1.0]), (None, rows[0][1]), (7, rows[7][1])]
+    rows += [(500, None), (501, [0.0] * 8), (502, [None] + [1.0] * 7), (503, [float("nan")] * 8), (504, [float("inf")] + [1.0] * 7), (None, rows[0][1]), (7, rows[7][1])]
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<float>, label int, cid string")
     got = neighbours.nearest(frame, 20, 20).collect()
     assert [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in sorted(got)] == nearest_brute(rows, 20, 20)
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 2.0])], "vec_id long, embedding array<float>")
     assert [(r["query_id"], r["vec_id"]) for r in neighbours.nearest(few, 20).collect()] == [(0, 1)]
     assert neighbours.nearest(few.limit(0), 20).collect() == []
+    doubles = spark.createDataFrame([(0, [0.1, 0.7]), (1, [0.3, 0.2])], "vec_id long, embedding array<double>")
+    assert [r["score"] for r in neighbours.nearest(doubles, 20).collect()] == [0.1 * 0.3 + 0.7 * 0.2]
+    with pytest.raises(ValueError):
+        neighbours.nearest(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>"), 20)
 
 
 def test_neighbours_recall(spark):
