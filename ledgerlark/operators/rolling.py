@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from ledgerlark.functions.clock import utc_instant
 
 
-def _totals(over=None) -> list[Column]:
-    """Sums of values, of how many there are and of requests, over a window or a group."""
-    sums = [F.sum(c) for c in ("_total", "_n", "_requests")]
-    return [s.over(over) if over is not None else s for s in sums]
+#: Sums of values, of how many there are and of requests.
+SUMS = ("_total", "_n", "_requests")
 
 
-def _parts(df: DataFrame, service: str, ts: str, over) -> DataFrame:
-    names = ("_total", "_n", "_requests")
-    return df.select(service, ts, "_probe", *[s.alias(c) for s, c in zip(_totals(over), names)])
+def _totals(over=None) -> list[Column]:
+    """The sums over a window or a group."""
+    sums = [F.sum(c) for c in SUMS]
+    return [s.over(over) if over is not None else s for s in sums]
 
 
 def rolling_mean(
@@ -56,34 +55,34 @@ def rolling_mean(
     one_second = Window.partitionBy(service, "_second").orderBy("_at", F.desc("_probe"))
     up_to = one_second.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     onward = one_second.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # One window for both ends: an instant takes what is up to it, a probe what follows it.
     both = rows.unionByName(probes).withColumn("_at", at)
-    last = _parts(rows.withColumn("_at", F.col(ts)), service, ts, up_to)
-    first = _parts(both, service, ts, onward).where("_probe")
+    ends = both.select(
+        service, ts, "_second", "_probe",
+        *[
+            F.when(F.col("_probe"), after).otherwise(before).alias(c)
+            for before, after, c in zip(_totals(up_to), _totals(onward), SUMS)
+        ],
+    )
 
-    totals = instants.groupBy(service, "_second").agg(
-        *[s.alias(c) for s, c in zip(_totals(), ("_total", "_n", "_requests"))]
-    )
+    totals = instants.groupBy(service, "_second").agg(*[s.alias(c) for s, c in zip(_totals(), SUMS)])
     block = F.floor(F.col("_second") / seconds)
     blocks = totals.withColumn("_block", F.explode(F.array(block, block + 1)))
     between = (
         Window.partitionBy(service, "_block").orderBy("_second").rangeBetween(1 - seconds, -1)
     )
     middle = blocks.select(
-        service, "_second", "_block",
-        *[
-            F.coalesce(s, F.lit(0)).alias(c)
-            for s, c in zip(_totals(between), ("_total", "_n", "_requests"))
-        ],
-    ).where(F.col("_block") == block)
-    own = instants.select(F.col(service).alias("_service"), ts, F.col("_second").alias("_own"))
-    same = own["_service"].eqNullSafe(middle[service]) & (own["_own"] == middle["_second"])
-    middle = middle.drop("_block").join(own, same)
+        F.col(service).alias("_service"), F.col("_second").alias("_own"), "_block",
+        *[F.coalesce(s, F.lit(0)).alias(f"{c}_between") for s, c in zip(_totals(between), SUMS)],
+    ).where(F.col("_block") == F.floor(F.col("_own") / seconds)).drop("_block")
+    # A second's middle meets its instants where the window has left them.
+    same = ends[service].eqNullSafe(middle["_service"]) & (ends["_second"] == middle["_own"])
+    lasts = ends.where(~F.col("_probe")).join(middle, same)
+    lasts = lasts.select(service, ts, *[(F.col(c) + F.col(f"{c}_between")).alias(c) for c in SUMS])
     whole = (
-        last.drop("_probe")
-        .unionByName(first.drop("_probe"))
-        .unionByName(middle.drop("_second", "_service", "_own"))
+        lasts.unionByName(ends.where("_probe").select(service, ts, *SUMS))
         .groupBy(service, ts)
-        .agg(*[s.alias(c) for s, c in zip(_totals(), ("_total", "_n", "_requests"))])
+        .agg(*[s.alias(c) for s, c in zip(_totals(), SUMS)])
     )
     return whole.select(
         service,

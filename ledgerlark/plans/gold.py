@@ -109,23 +109,25 @@ def gold_rows(
     silver: dict[str, DataFrame],
     observation_date: str | dt.date,
     as_of_date: str | dt.date | None = None,
+    features: DataFrame | None = None,
 ) -> DataFrame:
     """One row per Silver user: features and target in a single plan.
 
-    Every side is grouped by ``user_id`` before its join, so the three joins share one
+    ``features`` (user_id, monthly_volume, session_regularity) takes the place of those worked out
+    from Silver. Every side is grouped by ``user_id`` before its join, so the three joins share one
     partitioning and none of them can multiply rows.
     """
-    volume = monthly_volume(silver["loans"], observation_date)
-    regularity = session_regularity(silver["user_sessions"], observation_date)
+    if features is None:
+        volume = monthly_volume(silver["loans"], observation_date)
+        regularity = session_regularity(silver["user_sessions"], observation_date)
     late = defaulted_users(
         silver["loan_payments"], silver["loans"], observation_date, as_of_date
     )
+    users = silver["users"].select("user_id")
+    for side in [features] if features is not None else [volume, regularity]:
+        users = users.join(side, "user_id", "left")
     return (
-        silver["users"]
-        .select("user_id")
-        .join(volume, "user_id", "left")
-        .join(regularity, "user_id", "left")
-        .join(late, "user_id", "left")
+        users.join(late, "user_id", "left")
         .select(
             "user_id",
             day(observation_date).alias("observation_date"),

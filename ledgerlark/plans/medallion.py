@@ -7,9 +7,10 @@ import logging
 
 from pyspark.sql import DataFrame
 
-from ledgerlark.operators.audit import audit_warnings
 from ledgerlark.plans.cohorts import ALERT_RATE, cohort_default_rates, cohort_report
+from ledgerlark.plans.daily import refresh_daily, window_features
 from ledgerlark.plans.gold import gold_rows
+from ledgerlark.plans.quality import audit_new_loads, audit_totals, warnings_of
 from ledgerlark.plans.silver import to_silver
 from ledgerlark.schemas import RAW_TABLES
 from ledgerlark.session import written
@@ -37,8 +38,10 @@ def refresh_silver(lake: Lake) -> dict[str, int]:
 
 
 def run_audit(lake: Lake) -> dict[str, int]:
-    """Log one warning per failed check; returns the failed checks (14 at most)."""
-    failed = audit_warnings(lake.layer("bronze")).collect()
+    """Count the loads that are new, log one warning per failed check over all loads; returns the
+    failed checks (14 at most)."""
+    audit_new_loads(lake)
+    failed = warnings_of(audit_totals(lake)).collect()
     for r in failed:
         log.warning(r["warning"])
     return {r["check"]: r["anomalies"] for r in failed}
@@ -47,8 +50,11 @@ def run_audit(lake: Lake) -> dict[str, int]:
 def build_gold(
     lake: Lake, observation_date: str | dt.date, as_of_date: str | dt.date | None = None
 ) -> dict[str, int]:
+    """Features from the days of the window, of which only new or changed ones are read."""
     run_audit(lake)
-    rows = gold_rows(lake.layer("silver"), observation_date, as_of_date)
+    refresh_daily(lake, observation_date)
+    features = window_features(lake, observation_date)
+    rows = gold_rows(lake.layer("silver"), observation_date, as_of_date, features)
     return {"inserted_count": lake.merge_gold(rows, observation_date)}
 
 

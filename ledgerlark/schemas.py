@@ -19,6 +19,7 @@ def _struct(spec: str) -> T.StructType:
         "date": T.DateType(),
         "double": T.DoubleType(),
         "int": T.IntegerType(),
+        "long": T.LongType(),
         "boolean": T.BooleanType(),
     }
     fields = []
@@ -107,6 +108,12 @@ DIALOGUE_LOGS = _struct(
     "fidelity_score double"
 )
 
+DAILY_ACTIVITY = _struct("user_id string, volume double, active boolean")
+
+AUDIT_COUNTS = _struct("check string, anomalies long, table_name string, load string")
+
+AUDIT_KEYS = _struct("id string, load string, bucket int")
+
 LOG_KEYS = _struct("id string, log_date date, bucket int")
 
 DRIFT_METRICS = _struct(

@@ -9,6 +9,7 @@ job reads what it overwrites, and a run that dies half-way is repeated without h
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +23,12 @@ from ledgerlark.session import located, scratch_scope, written
 # Ids of the logs with the day they were logged on, in hash buckets of the id.
 LOG_KEYS = ("prediction_log_keys", "dialogue_log_keys")
 
+# Silver tables that features of days are made of, with the day of a row. Their files are in this order.
+DAY_TABLES = {
+    "loans": "disbursement_date",
+    "user_sessions": "CAST(session_timestamp AS DATE)",
+}
+
 # Tables with a folder per run, so a repeated run replaces itself.
 BY_RUN = {("gold", "run_metrics"): schemas.RUN_METRICS}
 
@@ -36,6 +43,7 @@ DATED = {
     ("gold", "prediction_logs"): (_dated(schemas.PREDICTION_LOGS, "log_date"), "log_date"),
     ("gold", "dialogue_logs"): (_dated(schemas.DIALOGUE_LOGS, "log_date"), "log_date"),
     ("gold", "drift_metrics"): (_dated(schemas.DRIFT_METRICS, "metric_date"), "metric_date"),
+    ("gold", "daily_activity"): (_dated(schemas.DAILY_ACTIVITY, "day"), "day"),
 }
 
 
@@ -123,10 +131,10 @@ class Lake:
         df = self._stored(layer, table)
         return df.drop("load", "bucket") if layer in ("bronze", "silver") else df
 
-    def read_loads(self, table: str, loads: Iterable[str]) -> DataFrame:
+    def read_loads(self, table: str, loads: Iterable[str], with_load: bool = False) -> DataFrame:
         """The given loads of a Bronze table; the folders of others are not read."""
-        rows = self._stored("bronze", table)
-        return rows.where(F.col("load").isin(sorted(loads))).drop("load")
+        rows = self._stored("bronze", table).where(F.col("load").isin(sorted(loads)))
+        return rows if with_load else rows.drop("load")
 
     def layer(self, layer: str) -> dict[str, DataFrame]:
         return {t: self.read(layer, t) for t in schemas.RAW_TABLES}
@@ -163,10 +171,92 @@ class Lake:
         return _names_in(self.spark, f"{self.root}/merged/{table}", "load=")
 
     def mark_merged(self, table: str, loads: Iterable[str]) -> None:
-        for load in loads:
-            files, mark = located(self.spark, f"{self.root}/merged/{table}/load={load}")
+        self._mark(f"{self.root}/merged/{table}", "load=", loads)
+
+    def _mark(self, folder: str, prefix: str, names: Iterable[object]) -> None:
+        for name in names:
+            files, mark = located(self.spark, f"{folder}/{prefix}{name}")
             files.mkdirs(mark)
 
+    def _delete(self, path: str) -> None:
+        files, target = located(self.spark, path)
+        files.delete(target, True)
+
+    # -- counts of loads (plans.quality) ------------------------------------------------
+    def audited_loads(self, table: str) -> set[str]:
+        """Loads whose quality counts are stored."""
+        return _names_in(self.spark, f"{self.root}/quality/counts/table_name={table}", "load=")
+
+    def audit_counts(self) -> DataFrame:
+        """(table_name, load, check, anomalies) of every counted load."""
+        files, folder = located(self.spark, f"{self.root}/quality/counts")
+        files.mkdirs(folder)
+        return self.spark.read.schema(schemas.AUDIT_COUNTS).parquet(f"{self.root}/quality/counts")
+
+    def replace_audit_counts(self, counts: DataFrame) -> None:
+        columns = [f.name for f in schemas.AUDIT_COUNTS.fields]
+        (
+            counts.select(*columns).coalesce(1).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("table_name", "load")
+            .parquet(f"{self.root}/quality/counts")
+        )
+
+    def _audit_keys_path(self, table: str) -> str:
+        return f"{self.root}/quality/keys/{table}/of={self.buckets}"
+
+    def audit_keys(self, table: str) -> DataFrame:
+        """(id, load, bucket): every key that a counted load has had, with the first such load."""
+        files, folder = located(self.spark, self._audit_keys_path(table))
+        files.mkdirs(folder)
+        return self.spark.read.schema(schemas.AUDIT_KEYS).parquet(self._audit_keys_path(table))
+
+    def append_audit_keys(self, table: str, rows: DataFrame) -> None:
+        writer = rows.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket")
+        writer.parquet(self._audit_keys_path(table))
+
+    # -- days that merges have changed (plans.daily) --------------------------------------
+    def changes(self, table: str) -> set[str]:
+        return _names_in(self.spark, f"{self.root}/changes/{table}", "change=")
+
+    def changed_days(self, table: str, changes: Iterable[str]) -> list[dt.date]:
+        paths = [f"{self.root}/changes/{table}/change={c}" for c in sorted(changes)]
+        rows = self.spark.read.schema("day date").parquet(*paths).where("day IS NOT NULL").distinct()
+        return [r.day for r in rows.collect()]  # one for each day of the calendar at most
+
+    def _note_days(self, table: str, *rows: DataFrame) -> None:
+        """Keep the days of rows that a merge is about to bring or to replace."""
+        days = None
+        for df in rows:
+            own = df.select(F.expr(DAY_TABLES[table]).alias("day")).distinct()
+            days = own if days is None else days.unionByName(own).distinct()
+        days.coalesce(1).write.parquet(f"{self.root}/changes/{table}/change={uuid.uuid4().hex}")
+
+    def seen_changes(self, table: str) -> set[str]:
+        """Changes that the rows of days have taken in."""
+        return _names_in(self.spark, f"{self.root}/seen/{table}", "change=")
+
+    def see_changes(self, table: str, changes: Iterable[str]) -> None:
+        self._mark(f"{self.root}/seen/{table}", "change=", changes)
+
+    def marked_days(self) -> set[dt.date]:
+        """Days whose rows are up to date but for changes not seen."""
+        return {dt.date.fromisoformat(d) for d in _names_in(self.spark, f"{self.root}/days", "day=")}
+
+    def mark_days(self, days: Iterable[dt.date]) -> None:
+        self._mark(f"{self.root}/days", "day=", days)
+
+    def unmark_days(self, days: Iterable[dt.date]) -> None:
+        for d in self.marked_days().intersection(days):
+            self._delete(f"{self.root}/days/day={d}")
+
+    def replace_days(self, rows: DataFrame, days: Iterable[dt.date]) -> None:
+        """Store the rows of the given days, which may have none, in place of what they had."""
+        for d in days:
+            self._delete(f"{self.path('gold', 'daily_activity')}/day={d}")
+        columns = self.schema("gold", "daily_activity").fieldNames()
+        self._swap("gold", "daily_activity", rows.select(*columns).hint("rebalance", "day"), "day")
+
     def append(self, layer: str, table: str, df: DataFrame) -> None:
         columns = self.schema(layer, table).fieldNames()
         writer = df.select(*columns).write.mode("append")
@@ -228,7 +318,11 @@ class Lake:
         touched = [r.bucket for r in batch.select("bucket").distinct().collect()]
         stored = self._stored("silver", table).where(F.col("bucket").isin(touched))
         rule = schemas.SILVER_RULES[table]
-        if stored.isEmpty():
+        fresh = stored.isEmpty()
+        if table in DAY_TABLES:
+            replaced = [] if fresh else [stored.join(batch.select("bucket", rule.key), ["bucket", rule.key], "left_semi")]
+            self._note_days(table, batch, *replaced)
+        if fresh:
             return batch
         if keep_newer:
             merged = newest_per_key(
@@ -240,7 +334,9 @@ class Lake:
 
     def publish_silver(self, table: str, staged: DataFrame) -> None:
         """Swap staged buckets in. Staged files hold one bucket each, so this is a plain
-        copy without a shuffle."""
+        copy without a shuffle; files of tables that are read by day are put in order of days."""
+        if table in DAY_TABLES:
+            staged = staged.sortWithinPartitions("bucket", F.expr(DAY_TABLES[table]))
         self._swap("silver", table, staged, "bucket")
 
     def upsert_silver(

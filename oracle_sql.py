@@ -620,6 +620,10 @@ for _name in DATED:
         _earlier = re.sub(rf"(FROM|JOIN) {_inner}\b", rf"\1 {_inner}_earlier", _earlier)
     CTES[f"{_name}_earlier"] = _earlier
 QUERIES["gold_merge_second_run"] = "SELECT * FROM gold UNION ALL SELECT * FROM gold_earlier"
+QUERIES["gold_daily_partials"] = QUERIES["gold_merge_second_run"]
+QUERIES["incremental_audit"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS \"check\", {n} AS anomalies FROM audit_{t}" for t, checks in AUDIT.items() for n in checks
+)
 QUERIES["pipeline_cohorts"] = QUERIES["cohort_default_rate"]
 QUERIES["cohort_report"] = """
 SELECT COUNT(*) AS alerting_cohorts, CASE WHEN COUNT(*) > 0 THEN
@@ -697,6 +701,12 @@ SELECT user_id, TRUE AS in_range, TRUE AS limit_fits, TRUE AS decision_fits,
        TRUE AS same_when_loaded, 'SUCCESS' AS status
 FROM gold
 """
+# The probabilities are a model's own: these three say what must hold of them, whatever they are.
+QUERIES["model_answers"] = """
+SELECT channel, user_id, TRUE AS same_as_model, TRUE AS limit_fits, TRUE AS decision_fits,
+       'SUCCESS' AS status, FALSE AS is_anomaly
+FROM gold, (SELECT unnest(['batch', 'stream']) AS channel)
+"""
 QUERIES["training_gate"] = f"""
 SELECT '2000-07-01' AS run_id, unnest(['roc_auc', 'gini_index', 'ks_statistic', 'accuracy', 'log_loss']) AS name,
        TRUE AS accepted
@@ -788,9 +798,10 @@ CTES["gold_base_psi"] = psi_rows("gold_base_bins")
 QUERIES["drift_on_gold_baseline"] = """
 SELECT variable AS variable_name, round(psi, 6) AS psi_value,
        CASE WHEN psi >= 0.25 THEN 'DRIFT' WHEN psi >= 0.1 THEN 'MODERATE' ELSE 'STABLE' END AS drift_status,
-       psi >= 0.25 AS alert_triggered, CAST(5 + 7 * 2 + 1 + 3 + 1 AS BIGINT) AS tracked_rows
+       psi >= 0.25 AS alert_triggered, TRUE AS class_fits, CAST(5 + 7 * 2 + 1 + 3 + 1 AS BIGINT) AS tracked_rows
 FROM gold_base_psi
-UNION ALL SELECT variable_name, round(psi_value, 6), drift_status, alert_triggered, 24
+UNION ALL SELECT 'probability_of_default', NULL, NULL, NULL, TRUE, 24
+UNION ALL SELECT variable_name, round(psi_value, 6), drift_status, alert_triggered, TRUE, 24
 FROM stable_week WHERE variable_name IN ('toxicity_score', 'prompt_injection_score', 'fidelity_score')
 """
 QUERIES["drift_overall_alert"] = """

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from ledgerlark.operators.ranking import class_curves, model_metrics
 from ledgerlark.plans import cohorts, drift, gold, scoring, telemetry, training
 from ledgerlark.plans.dialogue import safety_summary
 from ledgerlark.plans.medallion import build_gold, refresh_silver
+from ledgerlark.plans.quality import audit_new_loads, audit_totals
 from ledgerlark.plans.silver import all_silver, to_silver
 from ledgerlark.plans.tracking import drift_rows
 from ledgerlark.schemas import FEATURES
@@ -201,17 +201,23 @@ def audit_warning_lines(spark, sf_dir):
     return audit_warnings(demo.bronze(spark, sf_dir))
 
 
+@query
+def incremental_audit(spark, sf_dir):
+    """Two loads of every table, which share keys, counted one after the other."""
+    lake = lake_at(spark, "audit")
+    for part in (0, 1):
+        load_bronze(lake, {t: df.where(F.pmod(F.xxhash64(*df.columns), F.lit(2)) == part) for t, df in demo.bronze(spark, sf_dir).items()})
+        audit_new_loads(lake)
+    return audit_totals(lake)
+
+
 @query
 def layer_counts(spark, sf_dir):
-    bronze = demo.bronze(spark, sf_dir)
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "rows"
-        )
-        for layer, frames in (("bronze", bronze), ("silver", all_silver(bronze)))
-        for name, df in frames.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    """Rows of the stored layers after a load and a refresh."""
+    lake = lake_at(spark, "counts")
+    load_bronze(lake, demo.bronze(spark, sf_dir))
+    refresh_silver(lake)
+    return lake.row_counts().withColumnRenamed("table", "table_name")
 
 
 @query
@@ -235,6 +241,24 @@ def gold_merge_second_run(spark, sf_dir):
     return _r6(lake.read("gold", "target_construction"), "monthly_volume")
 
 
+@query
+def gold_daily_partials(spark, sf_dir):
+    """Two dates from the rows of days, half of the loans and sessions coming late: the first date is
+    built before and after them."""
+    lake = lake_at(spark, "daily")
+    bronze = demo.bronze(spark, sf_dir)
+    halves = {"loans": "loan_id", "user_sessions": "session_id"}
+    late = {t: F.pmod(F.xxhash64(F.coalesce(key, F.lit(""))), F.lit(2)) == 0 for t, key in halves.items()}
+    load_bronze(lake, {t: df.where(~late[t]) if t in halves else df for t, df in bronze.items()})
+    refresh_silver(lake)
+    build_gold(lake, "2000-06-01", AS_OF)
+    load_bronze(lake, {t: bronze[t].where(late[t]) for t in halves})
+    refresh_silver(lake)
+    for date in ("2000-06-01", OBS):
+        build_gold(lake, date, AS_OF)
+    return _r6(lake.read("gold", "target_construction"), "monthly_volume")
+
+
 @query
 def pipeline_cohorts(spark, sf_dir):
     """The whole flow through stored layers."""
@@ -354,6 +378,40 @@ def gbt_scores(spark, sf_dir):
     )
 
 
+@query
+def model_answers(spark, sf_dir):
+    """Every Gold user as a request, answered in batch and on a stream by a saved and loaded model.
+
+    Its probabilities are its own; what is certain is returned: the logged answer has the probability that
+    the model gives, and limit and decision follow the policy.
+    """
+    rows = written(training.training_rows(gold_frame(spark, sf_dir), OBS), "cohort")
+    path = scratch_path(spark, "model")
+    training.save_model(training.fit(rows), path)
+    model = training.load_model(path)
+    requests = rows.select(
+        "user_id", "monthly_volume", "session_regularity", "income",
+        F.lit(f"{OBS} 12:00:00").cast("timestamp_ntz").alias("timestamp"), F.lit(5.0).alias("latency_ms"),
+    )
+    lake, folder = lake_at(spark, "model-answers"), scratch_path(spark, "model-requests")
+    by = lambda channel: requests.withColumn("prediction_id", F.concat(F.lit(f"{channel}-"), F.col("user_id")))
+    scoring.score_batch(lake, by("batch"), model)
+    by("stream").write.parquet(folder)
+    stream = spark.readStream.schema(by("stream").schema).parquet(folder)
+    stream_predictions(lake, stream, model, f"{lake.root}/checkpoints/answers").awaitTermination()
+    own = training.predict(model, rows).select("user_id", F.col("probability_of_default").alias("own"))
+    pd = F.col("probability_of_default")
+    return lake.read("gold", "prediction_logs").join(own, "user_id").select(
+        F.substring_index("prediction_id", "-", 1).alias("channel"),
+        "user_id",
+        (pd == F.col("own")).alias("same_as_model"),
+        (F.col("credit_limit") == policy.credit_limit(pd, F.col("income"))).alias("limit_fits"),
+        (F.col("decision") == policy.credit_decision(pd)).alias("decision_fits"),
+        "status",
+        "is_anomaly",
+    )
+
+
 @query
 def training_gate(spark, sf_dir):
     """The training flow on two Gold dates: a label without pattern is turned away with nothing
@@ -370,7 +428,7 @@ def training_gate(spark, sf_dir):
         frame = frame.withColumn("observation_date", F.lit(date).cast("date"))
         lake.merge_gold(frame, date)
         try:
-            training.train_pipeline(lake, date, scratch_path(spark, "gated"), run_id=date, maxIter=3, maxDepth=3)
+            training.train_pipeline(lake, date, scratch_path(spark, "gated"), run_id=date)
             accepted.append(date)
         except training.ModelRejected:
             pass
@@ -560,29 +618,28 @@ def drift_week_comparison(spark, sf_dir):
 def drift_on_gold_baseline(spark, sf_dir):
     """A weekly run, twice, against all Gold rows with a model's probabilities.
 
-    The probabilities are the model's own, so the variables that do not depend on it are
-    returned, and how many rows the run has tracked.
+    The probabilities are the model's own: of that variable only what is certain is returned, that its PSI
+    is not negative and its class fits it. ``tracked_rows`` is how many rows the run has tracked.
     """
     lake = lake_at(spark, "gold-drift")
     lake.merge_gold(gold_frame(spark, sf_dir), OBS)
     stored = lake.read("gold", "target_construction")
-    model = training.fit(training.training_rows(stored, OBS), maxIter=2, maxDepth=2)
+    model = training.fit(training.training_rows(stored, OBS))
     profile = written(drift.baseline_profile(training.baseline_rows(stored, model)), "profile")
     log_predictions(lake, demo.prediction_logs(spark, sf_dir))
     log_dialogues(lake, demo.dialogue_logs(spark, sf_dir))
     for _ in range(2):
         drift.run_weekly_drift(lake, demo.STABLE_WEEK, profile)
     tracked = lake.read("gold", "run_metrics").agg(F.count(F.lit(1)).alias("tracked_rows"))
-    rows = lake.read("gold", "drift_metrics").where(
-        F.col("variable_name") != "probability_of_default"
-    )
-    return _r6(
-        rows.select(
-            "variable_name", "psi_value", "drift_status", "alert_triggered",
-            tracked.scalar().alias("tracked_rows"),
-        ),
-        "psi_value",
-    )
+    psi, known = F.col("psi_value"), F.col("variable_name") != "probability_of_default"
+    return lake.read("gold", "drift_metrics").select(
+        "variable_name",
+        F.when(known, F.round(psi, 6)).alias("psi_value"),
+        F.when(known, F.col("drift_status")).alias("drift_status"),
+        F.when(known, F.col("alert_triggered")).alias("alert_triggered"),
+        (known | (psi >= 0) & (F.col("drift_status") == policy.drift_status(psi)) & (F.col("alert_triggered") == policy.drift_alert(psi))).alias("class_fits"),
+        tracked.scalar().alias("tracked_rows"),
+    )
 
 
 @query
