@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from ledgerlark.functions.clock import utc_instant, utc_wall
 from ledgerlark.functions.policy import LATENCY_SLA_MS
@@ -52,7 +57,11 @@ def latency_windows(
         requests.select(service, latency, utc_instant(F.col(ts)).alias("_at"))
         .withWatermark("_at", delay)
         .groupBy(service, F.window("_at", length, slide).alias("w"))
-        .agg(F.count(F.lit(1)).alias("requests"), F.avg(latency).alias("mean_latency"))
+        .agg(
+            F.count(F.lit(1)).alias("requests"),
+            F.avg(latency).alias("mean_latency"),
+            F.max("_at").alias("last_at"),
+        )
         .select(
             service,
             utc_wall(F.col("w.start")).alias("window_start"),
@@ -60,10 +69,106 @@ def latency_windows(
             "requests",
             "mean_latency",
             (F.col("mean_latency") > LATENCY_SLA_MS).alias("sla_warning"),
+            F.to_date(utc_wall(F.col("w.start"))).alias("day"),
+            "last_at",
         )
     )
 
 
+TRAILING_STATE = "ids array<string>, at array<long>, latency array<double>, present array<boolean>"
+
+
+def trailing_latency(
+    requests: DataFrame, service: str, request_id: str, ts: str, latency: str, seconds: int = 60, delay: str = "2 minutes"
+) -> DataFrame:
+    """The exact mean over [ts - seconds, ts] at every instant of a service, as a stream in update mode.
+
+    A request counts once however often it is sent; one that comes later than ``delay`` behind the newest
+    event is left out. A row is sent again whenever a late request has changed it. A missing latency counts as
+    a request but not in the mean; a NaN makes the means it falls into NaN.
+
+    Time is cut into blocks as long as the range. A range is the end of one block and the beginning of the
+    next, so a running sum from the front of a block and one from the back of the block before give it, by
+    additions only. The state is one pair of blocks per service, dropped when the watermark has passed it: a
+    busy service is many small states, side by side.
+    """
+    span = seconds * 1_000_000
+    micros = F.unix_micros("_at")
+    block = F.expr(f"unix_micros(_at) DIV {span}")
+    rows = (
+        requests.where(F.col(ts).isNotNull())
+        .select(
+            F.col(service).cast("string").alias("service"),
+            F.col(request_id).cast("string").alias("id"),
+            utc_instant(F.col(ts)).alias("_at"),
+            F.coalesce(F.col(latency).cast("double"), F.lit(0.0)).alias("latency"),
+            F.col(latency).isNotNull().alias("present"),
+        )
+        .withWatermark("_at", delay)
+        .select("service", "id", "_at", micros.alias("at"), "latency", "present", F.explode(F.array(block, block + 1)).alias("block"))
+    )
+
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        name, own = key[0], int(key[1])
+        if state.hasTimedOut:
+            state.remove()
+            return
+        kept = [list(x) for x in state.get] if state.exists else [[], [], [], []]
+        known, changed = set(kept[0]), None
+        for frame in frames:
+            for row in zip(*(frame[c].tolist() for c in ("id", "at", "latency", "present"))):
+                if row[0] not in known:
+                    known.add(row[0])
+                    for values, value in zip(kept, row):
+                        values.append(value)
+                    changed = row[1] if changed is None else min(changed, row[1])
+        if changed is None:
+            return
+        state.update(tuple(kept))
+        # The watermark may be past the end already, when all of a block comes in its last batch.
+        state.setTimeoutTimestamp(max((own + 1) * span // 1000, state.getCurrentWatermarkMs() + 1))
+        _, at, latencies, present = kept
+        yield trailing_rows(name, own, span, np.array(at), np.array(latencies), np.array(present, bool), changed)
+
+    kind = "service string, at long, window_requests long, total double, n long, nan boolean"
+    found = rows.groupBy("service", "block").applyInPandasWithState(update, kind, TRAILING_STATE, "update", "EventTimeTimeout")
+    wall = utc_wall(F.timestamp_micros("at"))
+    # A NaN would leave pandas as a NULL.
+    mean = F.when(F.col("nan"), F.lit(float("nan"))).when(F.col("n") > 0, F.col("total") / F.col("n"))
+    return found.select(
+        F.col("service").alias(service),
+        wall.alias(ts),
+        "window_requests",
+        mean.alias("rolling_mean"),
+        (mean > LATENCY_SLA_MS).alias("sla_warning"),
+        F.to_date(wall).alias("day"),
+        F.timestamp_micros("at").alias("last_at"),
+    )
+
+
+def trailing_rows(
+    name: str, block: int, span: int, at: np.ndarray, value: np.ndarray, present: np.ndarray, changed: int
+) -> pd.DataFrame:
+    """Rows of the block's instants from ``changed`` on, from the requests of it and of the block before."""
+    order = np.argsort(at, kind="stable")
+    at, value, present = at[order], value[order], present[order]
+    split = int(np.searchsorted(at, block * span))
+    last = np.flatnonzero(np.append(at[1:] != at[:-1], True)[split:]) + split  # an instant's last request
+    last = last[at[last] >= changed]
+    first = np.searchsorted(at[:split], at[last] - span)
+    sums = []
+    for x in (value, present.astype(np.int64), np.ones(len(at), np.int64)):
+        front, back = np.cumsum(x[split:]), np.append(np.cumsum(x[:split][::-1])[::-1], x.dtype.type(0))
+        sums.append(front[last - split] + back[first])
+    nan = np.isnan(sums[0])
+    return pd.DataFrame(
+        {
+            "service": name, "at": at[last], "window_requests": sums[2],
+            "total": np.where(nan, 0.0, sums[0]), "n": sums[1], "nan": nan,
+        }
+    )
+
+
 def weekly_bin_counts(
     logs: DataFrame, edges: DataFrame, variables: list[str], ts: str, delay: str = "1 hour"
 ) -> DataFrame:
@@ -93,24 +198,16 @@ def weekly_bin_counts(
             "variable",
             bin_number(F.col("value"), F.col("inner")).alias("bin"),
         )
-        .agg(F.count(F.lit(1)).alias("actual"))
-        .select(utc_wall(F.col("w.start")).alias("week"), "variable", "bin", "actual")
+        .agg(F.count(F.lit(1)).alias("actual"), F.max("_at").alias("last_at"))
+        .select(
+            utc_wall(F.col("w.start")).alias("week"), "variable", "bin", "actual",
+            F.to_date(utc_wall(F.col("w.start"))).alias("day"), "last_at",
+        )
     )
 
 
-def with_open_windows(
-    emitted: DataFrame, whole: DataFrame, keys: list[str]
-) -> DataFrame:
-    """What a finished stream has emitted, and the windows still open at its end.
-
-    ``whole`` is the same aggregation over the stored input, as a batch; bound it to where
-    open windows can start. Run once the source is used up.
-    """
-    return emitted.unionByName(whole.join(emitted.select(*keys), keys, "left_anti"))
-
-
 def weekly_psi(actual: DataFrame, expected: DataFrame) -> DataFrame:
-    """(week, variable, psi) from finished weeks and the baseline's (variable, bin, expected).
+    """(week, variable, psi) from the weeks' counts and the baseline's (variable, bin, expected).
 
     Both sides are bin counts, so this is small whatever the traffic; each week and
     variable is spread over all bins of the baseline first.

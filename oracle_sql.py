@@ -849,6 +849,16 @@ FROM (SELECT event_type, value, time_bucket(INTERVAL 10 SECONDS, ts)
                - to_seconds(10 * CAST(unnest(range(6)) AS INTEGER)) AS start FROM events)
 GROUP BY event_type, start
 """
+QUERIES["stream_rolling_latency"] = QUERIES["rolling_latency"]
+QUERIES["stream_final_windows"] = """
+WITH w AS (
+       SELECT DISTINCT event_type, time_bucket(INTERVAL 10 SECONDS, ts)
+              - to_seconds(10 * CAST(unnest(range(6)) AS INTEGER)) + INTERVAL 60 SECONDS AS window_end FROM events),
+     f AS (SELECT *, window_end <= (SELECT MAX(ts) - INTERVAL 2 MINUTES FROM events) AS done FROM w)
+SELECT event_type, COUNT(*) FILTER (done) AS final_windows, COUNT(*) FILTER (NOT done) AS open_windows,
+       MAX(window_end) FILTER (done) AS last_final
+FROM f GROUP BY event_type
+"""
 QUERIES["stream_weekly_psi"] = """
 SELECT CAST(variable AS TIMESTAMP) AS week, 'value' AS variable, round(psi, 6) AS psi
 FROM event_week_psi

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +26,11 @@ from ledgerlark.streaming.layers import stream_to_bronze, stream_to_silver
 from ledgerlark.streaming.monitoring import (
     latency_windows,
     stream_predictions,
+    trailing_latency,
     weekly_bin_counts,
     weekly_psi,
-    with_open_windows,
 )
+from ledgerlark.streaming.tables import ReplacingTable, keep_current
 
 OBS = demo.OBSERVATION_DATE
 AS_OF = demo.AS_OF_DATE
@@ -768,36 +767,66 @@ def stream_repeated_ids(spark, sf_dir):
     return lake.read("gold", "prediction_logs").select("prediction_id", "timestamp", "log_date", "status")
 
 
-def _drained(spark, result: DataFrame, label: str) -> DataFrame:
-    """All rows a stream appends until its source is used up."""
+def _current(spark, result: DataFrame, keys: list[str], label: str) -> ReplacingTable:
+    """A stream of rows with ``day`` and ``last_at`` run into a table until its source is used up."""
     path = scratch_path(spark, label)
-    (
-        result.writeStream.format("parquet")
-        .option("path", f"{path}/rows")
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.schema(result.schema).parquet(f"{path}/rows")
+    table = ReplacingTable(spark, f"{path}/table", result.schema, keys)
+    keep_current(result, table, f"{path}/checkpoint").awaitTermination()
+    return table
+
+
+@query
+def stream_latency_windows(spark, sf_dir):
+    """All windows, from the stream alone: those still open at its end are not final."""
+    windows = latency_windows(_event_stream(spark, sf_dir), "event_type", "ts", "value")
+    table = _current(spark, windows, ["event_type", "window_start"], "latency")
+    return _r6(table.read(WINDOW_END, "2 MINUTES").drop("is_final"), "mean_latency")
 
 
-def _since(rows: DataFrame, emitted: DataFrame, column: str, seconds: int) -> DataFrame:
-    """Rows that open windows can hold: none older than ``seconds`` before the last one emitted."""
-    last = emitted.agg(F.max(column)).first()[0]
-    if last is None:
-        return rows
-    return rows.where(F.col("ts") >= F.lit(last - dt.timedelta(seconds=seconds)))
+#: The end of a latency window, and of a week, as instants.
+WINDOW_END = "to_timestamp(concat(CAST(window_end AS STRING), 'Z'))"
+WEEK_END = "to_timestamp(concat(CAST(week AS STRING), 'Z')) + INTERVAL 7 DAYS"
 
 
 @query
-def stream_latency_windows(spark, sf_dir):
-    """All windows: those the stream has finished, then those open at its end."""
+def stream_final_windows(spark, sf_dir):
+    """The windows that two minutes of lateness cannot change any more."""
     windows = latency_windows(_event_stream(spark, sf_dir), "event_type", "ts", "value")
-    emitted = _drained(spark, windows, "latency")
-    events = _since(demo.table(spark, sf_dir, "events"), emitted, "window_end", 60)
-    rest = latency_windows(events, "event_type", "ts", "value")
-    return _r6(with_open_windows(emitted, rest, ["event_type", "window_start"]), "mean_latency")
+    table = _current(spark, windows, ["event_type", "window_start"], "final")
+    rows = table.read(WINDOW_END, "2 MINUTES")
+    return rows.groupBy("event_type").agg(
+        F.count_if("is_final").alias("final_windows"),
+        F.count_if(~F.col("is_final")).alias("open_windows"),
+        F.max(F.when(F.col("is_final"), F.col("window_end"))).alias("last_final"),
+    )
+
+
+@query
+def stream_rolling_latency(spark, sf_dir):
+    """The trailing mean at every instant, from six rounds of files: a fifth of the last hour before a round's
+    end comes in the next one, and a seventh of its last half hour comes twice."""
+    path = scratch_path(spark, "trailing")
+    events = demo.table(spark, sf_dir, "events").withColumn("id", F.concat(F.lit("e"), F.monotonically_increasing_id()))
+    events = written(events, "trailing-events")
+    first = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = F.timestamp_diff("SECOND", first, F.col("ts"))
+    length = 5 * 86_400
+    left = F.lit(length) - F.pmod(seconds, F.lit(length))
+    e = F.col("event_id")
+    late = (left <= 3_600) & (e % 5 == 0)
+    twice = (left <= 1_800) & (e % 7 == 0) & ~late
+    own = F.floor(seconds / length)
+    rounds = F.when(late, F.array(own + 1)).when(twice, F.array(own, own + 1)).otherwise(F.array(own))
+    sent = events.select("*", F.explode(rounds).alias("round"))
+    numbers = sorted(r[0] for r in sent.select("round").distinct().collect())
+    stream = spark.readStream.schema(events.schema).parquet(f"{path}/files/*")
+    rows = trailing_latency(stream, "event_type", "id", "ts", "value", delay="2 hours")
+    table = ReplacingTable(spark, f"{path}/table", rows.schema, ["event_type", "ts"])
+    for number in numbers:
+        sent.where(F.col("round") == number).drop("round").write.parquet(f"{path}/files/{number}")
+        keep_current(rows, table, f"{path}/checkpoint").awaitTermination()
+    ends = "to_timestamp(concat(CAST(ts AS STRING), 'Z'))"
+    return _r6(table.read(ends, "2 HOURS").drop("is_final"), "rolling_mean")
 
 
 @query
@@ -808,10 +837,6 @@ def stream_weekly_psi(spark, sf_dir):
     baseline = long_form(events.where(F.col("ts") < until), ["value"])
     edges = written(bin_edges(baseline), "edges")
     counts = weekly_bin_counts(_event_stream(spark, sf_dir), edges, ["value"], "ts")
-    finished = _drained(spark, counts, "bins")
-    recent = _since(events, finished, "week", 0)
-    rest = weekly_bin_counts(recent, edges, ["value"], "ts")
-    # A week is open as a whole or not at all.
-    actual = finished.unionByName(rest.join(finished.select("week").distinct(), "week", "left_anti"))
+    table = _current(spark, counts, ["week", "variable", "bin"], "bins")
     expected = bin_counts(edges, expected=baseline)
-    return _r6(weekly_psi(actual, expected), "psi")
+    return _r6(weekly_psi(table.read(WEEK_END, "1 HOUR").drop("is_final"), expected), "psi")
