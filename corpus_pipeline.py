@@ -6,6 +6,7 @@ one's docs. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import threading
 from functools import wraps
 
 import public_tokenizers
@@ -27,7 +28,15 @@ def with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*[f"`{c}`" for c in columns])
 
 
-_read_before: list[str] = []
+def shortened(docs: DataFrame, operator, counts: list[str]) -> DataFrame:
+    """``docs`` with the texts that the operator leaves; columns named like its counts stay as they are."""
+    aside = {c: f"__own_{c}" for c in counts if c in docs.columns}
+    out = operator(docs.withColumnsRenamed(aside)).drop(*counts)
+    return with_length(out.withColumnsRenamed({v: k for k, v in aside.items()}), docs.columns)
+
+
+#: Intermediate tables of the stage before, by the input of the pipeline; each thread has its own.
+_read_before = threading.local()
 
 
 def stage(fn):
@@ -36,10 +45,11 @@ def stage(fn):
     @wraps(fn)
     def run_alone(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         prepare(spark)
-        delete_scratch(spark, _read_before)
+        mine = _read_before.__dict__.setdefault(sf_dir, [])
+        delete_scratch(spark, mine)
         with noted_scratch() as paths:
             out = fn(spark, docs, sf_dir)
-        _read_before.extend(paths)
+        mine.extend(paths)
         return out
 
     return run_alone
@@ -47,26 +57,34 @@ def stage(fn):
 
 @stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on ``labels``, holds for good; a null text is scored as an empty one.
+
+    Every row is judged by its text alone, so rows with null or repeated ids and copies are too.
+    """
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 @stage
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return with_length(passages.dedup_passages(docs), docs.columns)
+    """All rows, without passages of two or more lines that an earlier document has; null texts stay null."""
+    return shortened(docs, passages.dedup_passages, ["n_lines", "n_removed"])
 
 
 @stage
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group linked by five-word shingles at 0.8; texts without words are linked with none."""
     return jaccard.keep_one(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
 
 
 @stage
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return with_length(substrings.dedup_substrings(docs), docs.columns)
+    """All rows, without 35-word windows that start anywhere else too; shorter and null texts stay."""
+    return shortened(docs, substrings.dedup_substrings, ["n_words", "n_removed"])
 
 
 @stage
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of each document in sequences of 2,048 tokens; a null text is a closing 0."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -83,7 +101,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what the stages in between returned is deleted once it has been read."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = []
     for name, function in STAGES:
-        docs = written(function(spark, docs, sf_dir), f"stage-{name}")
+        with noted_scratch() as paths:
+            docs = written(function(spark, docs, sf_dir), f"stage-{name}")
+        delete_scratch(spark, before)
+        before = paths[-1:]
     return docs
