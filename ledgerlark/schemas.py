@@ -21,6 +21,7 @@ def _struct(spec: str) -> T.StructType:
         "int": T.IntegerType(),
         "long": T.LongType(),
         "boolean": T.BooleanType(),
+        "binary": T.BinaryType(),
     }
     fields = []
     for item in spec.split(","):
@@ -108,6 +109,8 @@ DIALOGUE_LOGS = _struct(
     "fidelity_score double"
 )
 
+DAILY_SKETCHES = _struct("variable string, n long, sketch binary")
+
 DAILY_ACTIVITY = _struct("user_id string, volume double, active boolean")
 
 AUDIT_COUNTS = _struct("check string, anomalies long, table_name string, load string")

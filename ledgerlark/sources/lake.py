@@ -43,6 +43,7 @@ DATED = {
     ("gold", "prediction_logs"): (_dated(schemas.PREDICTION_LOGS, "log_date"), "log_date"),
     ("gold", "dialogue_logs"): (_dated(schemas.DIALOGUE_LOGS, "log_date"), "log_date"),
     ("gold", "drift_metrics"): (_dated(schemas.DRIFT_METRICS, "metric_date"), "metric_date"),
+    ("gold", "daily_sketches"): (_dated(schemas.DAILY_SKETCHES, "log_date"), "log_date"),
     ("gold", "daily_activity"): (_dated(schemas.DAILY_ACTIVITY, "day"), "day"),
 }
 
@@ -389,6 +390,11 @@ class Lake:
         dated = metrics.withColumn("metric_date", F.to_date("timestamp")).select(*columns)
         self._swap("gold", "drift_metrics", dated.coalesce(1), "metric_date")
 
+    def replace_sketches(self, rows: DataFrame) -> None:
+        """Store the sketches of the days in ``rows`` (a few per day) in place of what they had."""
+        columns = self.schema("gold", "daily_sketches").fieldNames()
+        self._swap("gold", "daily_sketches", rows.select(*columns).hint("rebalance", "log_date"), "log_date")
+
     def replace_run(self, rows: DataFrame) -> None:
         """Store the rows of a run (a handful) in place of those under the same id."""
         columns = self.schema("gold", "run_metrics").fieldNames()

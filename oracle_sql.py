@@ -741,6 +741,9 @@ FROM events GROUP BY event_type
 QUERIES["telemetry_summary"] = """
 SELECT CAST(timestamp AS DATE) AS log_date, COUNT(*) AS requests,
        round(AVG(latency_ms), 6) AS mean_latency_ms,
+       round(quantile_cont(latency_ms, 0.5), 6) AS p50_latency_ms,
+       round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms,
+       round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency_ms,
        round(AVG(probability_of_default), 6) AS mean_pd,
        round(AVG(CASE WHEN status = 'FALLBACK' THEN 1.0 ELSE 0.0 END), 6) AS fallback_rate,
        round(AVG(CASE WHEN is_anomaly THEN 1.0 ELSE 0.0 END), 6) AS anomaly_rate
@@ -753,6 +756,15 @@ QUERIES["psi_by_variable"] = """
 SELECT variable_name, round(psi_value, 6) AS psi_value, drift_status, alert_triggered
 FROM drifted_week WHERE avg_value IS NULL
 """
+# Sketches draw lots: what they must keep to is compared, not their values.
+QUERIES["sketched_percentiles"] = """
+SELECT log_date, rank, TRUE AS within_rank_error
+FROM (SELECT DISTINCT CAST(timestamp AS DATE) AS log_date FROM prediction_logs WHERE latency_ms IS NOT NULL),
+     (SELECT unnest([CAST(0.5 AS DOUBLE), 0.95, 0.99]) AS rank)
+"""
+QUERIES["drift_sketched_baseline"] = """
+SELECT variable_name, drift_status, alert_triggered, TRUE AS near_exact FROM drifted_week WHERE avg_value IS NULL
+"""
 QUERIES["psi_bin_counts"] = (
     "SELECT variable, CAST(bin AS INTEGER) AS bin, e0 AS expected, a0 AS actual FROM drifted_bins"
 )

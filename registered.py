@@ -15,6 +15,7 @@ from ledgerlark.plans.dialogue import safety_summary
 from ledgerlark.plans.medallion import build_gold, refresh_silver
 from ledgerlark.plans.quality import audit_new_loads, audit_totals
 from ledgerlark.plans.silver import all_silver, to_silver
+from ledgerlark.plans.sketches import RANK_ERROR, latency_percentiles, refresh_sketches, sketched_profile
 from ledgerlark.plans.tracking import drift_rows
 from ledgerlark.schemas import FEATURES
 from ledgerlark.session import scratch_path, written
@@ -543,7 +544,46 @@ def latency_sla(spark, sf_dir):
 @query
 def telemetry_summary(spark, sf_dir):
     days = telemetry.daily_summary(demo.prediction_logs(spark, sf_dir))
-    return _r6(days, "mean_latency_ms", "mean_pd", "fallback_rate", "anomaly_rate")
+    return _r6(days, *[c for c, t in days.dtypes if t == "double"])
+
+
+def _sketched(spark, sf_dir, label: str) -> Lake:
+    """A lake whose prediction log came in two parts, each sketched as it came."""
+    lake = lake_at(spark, label)
+    logs = demo.prediction_logs(spark, sf_dir, drifted=True)
+    for part in (0, 1):
+        log_predictions(lake, logs.where(F.pmod(F.xxhash64("prediction_id"), F.lit(2)) == part))
+        refresh_sketches(lake)
+    return lake
+
+
+@query
+def sketched_percentiles(spark, sf_dir):
+    """Latency percentiles of every day from its sketch, held against the rank that they have."""
+    lake = _sketched(spark, sf_dir, "percentiles")
+    found = latency_percentiles(lake, [0.5, 0.95, 0.99])
+    logs = lake.read("gold", "prediction_logs").select("log_date", F.col("latency_ms").alias("own"))
+    ranks = found.join(logs, "log_date").groupBy("log_date", "rank", "latency_ms").agg(
+        F.avg((F.col("own") <= F.col("latency_ms")).cast("double")).alias("upto"),
+        F.avg((F.col("own") < F.col("latency_ms")).cast("double")).alias("below"),
+    )
+    rank = F.col("rank")
+    near = (F.col("below") <= rank + RANK_ERROR) & (F.col("upto") >= rank - RANK_ERROR)
+    return ranks.select("log_date", "rank", near.alias("within_rank_error"))
+
+
+@query
+def drift_sketched_baseline(spark, sf_dir):
+    """The PSI of the drifted week against two weeks of sketches, held against the exact one."""
+    lake = _sketched(spark, sf_dir, "sketched-baseline")
+    logs = lake.read("gold", "prediction_logs")
+    profile = written(sketched_profile(lake, "2000-01-01", "2024-01-14"), "sketched-profile")
+    week = in_week(logs, demo.DRIFTED_WEEK)
+    exact = drift.prediction_drift(week, written(drift.baseline_profile(_before(logs)), "exact-profile"))
+    exact = exact.select("variable_name", F.col("psi_value").alias("exact"))
+    psi = drift.prediction_drift(week, profile).join(exact, "variable_name")
+    near = F.abs(F.col("psi_value") - F.col("exact")) <= 0.02 + 0.05 * F.col("exact")
+    return psi.select("variable_name", "drift_status", "alert_triggered", near.alias("near_exact"))
 
 
 def _before(df: DataFrame) -> DataFrame:
