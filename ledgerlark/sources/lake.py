@@ -53,7 +53,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def _names_in(spark: SparkSession, path: str, prefix: str) -> set[str]:
+def names_in(spark: SparkSession, path: str, prefix: str) -> set[str]:
     """What follows ``prefix`` in the names of the folders at ``path``."""
     files, folder = located(spark, path)
     if not files.exists(folder):
@@ -165,11 +165,11 @@ class Lake:
 
     def loads(self, table: str) -> set[str]:
         """Names of the loads in Bronze, from its folders."""
-        return _names_in(self.spark, self.path("bronze", table), "load=")
+        return names_in(self.spark, self.path("bronze", table), "load=")
 
     def merged_loads(self, table: str) -> set[str]:
         """Loads that Silver has taken in."""
-        return _names_in(self.spark, f"{self.root}/merged/{table}", "load=")
+        return names_in(self.spark, f"{self.root}/merged/{table}", "load=")
 
     def mark_merged(self, table: str, loads: Iterable[str]) -> None:
         self._mark(f"{self.root}/merged/{table}", "load=", loads)
@@ -186,7 +186,7 @@ class Lake:
     # -- counts of loads (plans.quality) ------------------------------------------------
     def audited_loads(self, table: str) -> set[str]:
         """Loads whose quality counts are stored."""
-        return _names_in(self.spark, f"{self.root}/quality/counts/table_name={table}", "load=")
+        return names_in(self.spark, f"{self.root}/quality/counts/table_name={table}", "load=")
 
     def audit_counts(self) -> DataFrame:
         """(table_name, load, check, anomalies) of every counted load."""
@@ -218,7 +218,7 @@ class Lake:
 
     # -- days that merges have changed (plans.daily) --------------------------------------
     def changes(self, table: str) -> set[str]:
-        return _names_in(self.spark, f"{self.root}/changes/{table}", "change=")
+        return names_in(self.spark, f"{self.root}/changes/{table}", "change=")
 
     def changed_days(self, table: str, changes: Iterable[str]) -> list[dt.date]:
         paths = [f"{self.root}/changes/{table}/change={c}" for c in sorted(changes)]
@@ -235,14 +235,14 @@ class Lake:
 
     def seen_changes(self, table: str) -> set[str]:
         """Changes that the rows of days have taken in."""
-        return _names_in(self.spark, f"{self.root}/seen/{table}", "change=")
+        return names_in(self.spark, f"{self.root}/seen/{table}", "change=")
 
     def see_changes(self, table: str, changes: Iterable[str]) -> None:
         self._mark(f"{self.root}/seen/{table}", "change=", changes)
 
     def marked_days(self) -> set[dt.date]:
         """Days whose rows are up to date but for changes not seen."""
-        return {dt.date.fromisoformat(d) for d in _names_in(self.spark, f"{self.root}/days", "day=")}
+        return {dt.date.fromisoformat(d) for d in names_in(self.spark, f"{self.root}/days", "day=")}
 
     def mark_days(self, days: Iterable[dt.date]) -> None:
         self._mark(f"{self.root}/days", "day=", days)

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.schemas import BRONZE, RAW_TABLES
+from ledgerlark.session import scratch_scope
 from ledgerlark.sources.lake import Lake, path_exists
+from ledgerlark.sources.stitched import stitched_csv, stitched_json
 
 log = logging.getLogger(__name__)
 
@@ -43,10 +45,12 @@ def read_csv(
 ) -> DataFrame:
     """A CSV file, or a folder of them, with headers; columns bind by position.
 
-    Files are split over tasks. Set ``multi_line`` when quoted values may hold line breaks;
-    a file is then read by one task.
+    Files are split over tasks. Set ``multi_line`` when quoted values may hold line breaks: the lines of
+    a record are then put together first.
     """
     options = csv_options(spark, path, table, multi_line)
+    if multi_line:
+        return stitched_csv(spark, path, BRONZE[table], options["sep"])
     return spark.read.schema(BRONZE[table]).options(**options).csv(path)
 
 
@@ -54,7 +58,7 @@ def json_records(reader, path: str, table: str, form: str) -> DataFrame:
     """Records of a batch or stream reader; text that is not in the given form fails the read.
 
     ``lines``: one record per line, files are split over tasks. ``array``: each file is one
-    array of records, read by one task.
+    array of records, read by one task on a stream; in batch see ``read_json``.
     """
     schema = BRONZE[table]
     if form == "lines":
@@ -72,7 +76,9 @@ def json_records(reader, path: str, table: str, form: str) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str, table: str, form: str = "array") -> DataFrame:
-    """A JSON file, or a folder of them. Columns bind by name, missing ones are NULL."""
+    """A JSON file, or a folder of them, read by many tasks. Columns bind by name, missing ones are NULL."""
+    if form == "array":
+        return stitched_json(spark, path, BRONZE[table])
     return json_records(spark.read, path, table, form)
 
 
@@ -110,6 +116,11 @@ def load_bronze(
     ``multi_line`` reads CSV values with line breaks, ``json_form`` is ``array`` or ``lines``.
     Returns the rows added per table, counted while they are written.
     """
+    with scratch_scope(lake.spark):
+        return _load(lake, source, multi_line, json_form)
+
+
+def _load(lake, source, multi_line, json_form) -> dict[str, int]:
     spark = lake.spark
     if isinstance(source, str):
         if not path_exists(spark, source):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlark.operators.newest import upsert
 from ledgerlark.session import located, scratch_scope, written
+from ledgerlark.sources.lake import names_in
 
 
 class ReplacingTable:
@@ -30,26 +31,30 @@ class ReplacingTable:
     def take(self, batch: DataFrame, number: int) -> None:
         """Take in a micro-batch; the same one again changes nothing."""
         with scratch_scope(self.spark):
-            incoming = written(batch.select(*self.schema.fieldNames()), "stream-rows")  # a stateful plan runs once
+            newest = Observation()
+            batch = batch.select(*self.schema.fieldNames()).observe(newest, F.max(F.unix_micros("last_at")).alias("reached"))
+            incoming = written(batch, "stream-rows")  # a stateful plan runs once
             days = [r.day for r in incoming.select("day").distinct().collect()]
             if not days:
                 return
             stored = self._rows().where(F.col("day").isin(days))
-            merged = written(upsert(stored, incoming, ["day", *self.keys]).hint("rebalance", "day"), "stream-merged", "day")
+            merged = incoming.hint("rebalance", "day")
+            if not stored.isEmpty():
+                # No job reads what it overwrites: the new days are put together elsewhere first.
+                merged = upsert(stored, incoming, ["day", *self.keys]).hint("rebalance", "day")
+                merged = written(merged, "stream-merged", "day")
             (
                 merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("day").parquet(f"{self.path}/rows")
             )
-            reached = incoming.agg(F.max("last_at").alias("reached"))
-            reached.write.mode("overwrite").parquet(f"{self.path}/reached/batch={number}")
+            files, mark = located(self.spark, f"{self.path}/reached/at={newest.get['reached']}")
+            files.mkdirs(mark)
 
     def read(self, ends_at: str, delay: str) -> DataFrame:
         """The rows, ``is_final`` where ``ends_at``, an instant, is behind the newest event by ``delay``."""
-        files, folder = located(self.spark, f"{self.path}/reached")
-        files.mkdirs(folder)
-        reached = self.spark.read.schema("reached timestamp, batch long").parquet(f"{self.path}/reached")
-        watermark = reached.agg((F.max("reached") - F.expr(f"INTERVAL {delay}")).alias("w"))
-        final = F.coalesce(F.expr(ends_at) <= watermark.scalar(), F.lit(False))
+        reached = max(map(int, names_in(self.spark, f"{self.path}/reached", "at=")), default=None)
+        watermark = F.timestamp_micros(F.lit(reached).cast("long")) - F.expr(f"INTERVAL {delay}")
+        final = F.coalesce(F.expr(ends_at) <= watermark, F.lit(False))
         return self._rows().withColumn("is_final", final).drop("day", "last_at")
 
 
