@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import policy
 from ledgerlark.functions.requests import rejection_reasons
-from ledgerlark.plans.training import predict
+from ledgerlark.plans.training import Model, predict
 from ledgerlark.session import written
 from ledgerlark.sources.lake import Lake
 from ledgerlark.sources.logs import log_predictions
@@ -48,7 +47,7 @@ def decide(scored: DataFrame) -> DataFrame:
 
 
 def score_batch(
-    lake: Lake, requests: DataFrame, model: PipelineModel | None
+    lake: Lake, requests: DataFrame, model: Model | None
 ) -> tuple[DataFrame, DataFrame]:
     """Answer and log the valid requests; returns the answers, and the rejected with reasons.
 
@@ -71,7 +70,7 @@ def score_batch(
     return answers, checked.where(~ok)
 
 
-def score(requests: DataFrame, model: PipelineModel | None) -> DataFrame:
+def score(requests: DataFrame, model: Model | None) -> DataFrame:
     """Answer valid requests, in batch or on a stream; without a model all fall back."""
     if model is None:
         scored = requests.withColumn("probability_of_default", F.lit(None).cast("double"))

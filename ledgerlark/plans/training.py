@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.features import bounded, synthetic_income
+from ledgerlark.operators.boosting import BoostedTrees, fit_boosted_trees
 from ledgerlark.operators.psi import long_form
 from ledgerlark.operators.quantiles import exact_quantiles
 from ledgerlark.operators.ranking import model_metrics
@@ -44,6 +45,10 @@ MODEL_PARAMS = {
     # Two of the three features, drawn for each node.
     "featureSubsetStrategy": "2",
 }
+# The same fit by second-order splits, with its own draw of columns for each tree.
+SECOND_ORDER_PARAMS = {"trees": 100, "depth": 5, "step": 0.05, "row_share": 0.8, "column_share": 0.8}
+
+Model = PipelineModel | BoostedTrees
 
 
 class ModelRejected(Exception):
@@ -143,11 +148,30 @@ def fit(train: DataFrame, seed: int = 42, label: str = LABEL, **params) -> Pipel
     )
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def fit_second_order(
+    train: DataFrame, seed: int = 42, label: str = LABEL, key: str = "user_id", **params
+) -> BoostedTrees:
+    """The learner with gradient and hessian sums; positives are weighted up as in ``fit``."""
+    weight = class_weight(train.withColumn(LABEL, F.col(label))).scalar()
+    weighted = train.withColumn("_weight", F.when(F.col(label) == 1, weight).otherwise(F.lit(1.0)))
+    spent = {**SECOND_ORDER_PARAMS, **params}
+    return fit_boosted_trees(weighted, FEATURES, label, key, F.col("_weight"), seed=seed, **spent)
+
+
+#: How a model is fitted, and its fixed parameters.
+LEARNERS = {"gbt": (fit, MODEL_PARAMS), "second_order": (fit_second_order, SECOND_ORDER_PARAMS)}
+
+
+def predict(model: Model, rows: DataFrame) -> DataFrame:
     """Add ``probability_of_default`` and the hard ``prediction``; NULL features give NULL."""
     complete = F.lit(True)
     for f in FEATURES:
         complete = complete & F.col(f).isNotNull()
+    if isinstance(model, BoostedTrees):
+        pd = F.col("probability_of_default")
+        scored = model.with_probability(rows, "probability_of_default")
+        scored = scored.withColumn("probability_of_default", F.when(complete, pd))
+        return scored.withColumn("prediction", (pd > 0.5).cast("double"))
     return (
         model.transform(rows)
         .withColumn(
@@ -165,15 +189,20 @@ def gate(metrics: dict[str, float]) -> None:
         )
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: Model, path: str, spark: SparkSession | None = None) -> None:
+    """A table of trees for second-order models, else Spark's own form."""
+    if isinstance(model, BoostedTrees):
+        model.save(spark or SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> Model:
+    spark = SparkSession.active()
+    return PipelineModel.load(path) if path_exists(spark, f"{path}/metadata") else BoostedTrees.load(spark, path)
 
 
-def load_model_if_any(spark: SparkSession, path: str) -> PipelineModel | None:
+def load_model_if_any(spark: SparkSession, path: str) -> Model | None:
     """The model, or None where there is none: scoring then answers with the fallback."""
     if path_exists(spark, path):
         return load_model(path)
@@ -187,33 +216,35 @@ def train_pipeline(
     model_path: str,
     seed: int = 42,
     run_id: str | None = None,
+    learner: str = "gbt",
     **params,
 ) -> dict[str, float]:
     """Train on one cohort; save and track the model only if it passes the gate."""
     with scratch_scope(lake.spark):
-        return _train(lake, observation_date, model_path, seed, run_id, params)
+        return _train(lake, observation_date, model_path, seed, run_id, learner, params)
 
 
-def _train(lake, observation_date, model_path, seed, run_id, params) -> dict[str, float]:
+def _train(lake, observation_date, model_path, seed, run_id, learner, params) -> dict[str, float]:
+    fit_model, fixed = LEARNERS[learner]
     rows = written(
         training_rows(lake.read("gold", "target_construction"), observation_date, seed), "cohort"
     )
     check_trainable(rows)
     prepared = impute(written(split_rows(rows, TEST_SHARE, seed), "split"))
-    model = fit(prepared.where(~F.col("is_test")), seed, **params)
+    model = fit_model(prepared.where(~F.col("is_test")), seed, **params)
     scored = predict(model, prepared.where("is_test"))
     metrics = model_metrics(scored, LABEL, "probability_of_default").first().asDict()
     if unscored := metrics.pop("unscored_rows"):
         raise ValueError(f"{unscored} test rows have no probability")
     gate(metrics)
-    spent = {**MODEL_PARAMS, **params, "seed": seed, "observation_date": observation_date}
+    spent = {**fixed, **params, "learner": learner, "seed": seed, "observation_date": observation_date}
     run_id = run_id or uuid.uuid4().hex
-    save_model(model, model_path)  # first: a tracked run has its model
+    save_model(model, model_path, lake.spark)  # first: a tracked run has its model
     track(lake, run_id, run_rows(lake.spark, run_id, spent, metrics))
     return metrics
 
 
-def baseline_rows(gold: DataFrame, model: PipelineModel, seed: int = 42) -> DataFrame:
+def baseline_rows(gold: DataFrame, model: Model, seed: int = 42) -> DataFrame:
     """All Gold rows with income and predicted PD: what weekly logs are compared with."""
     rows = gold.select("user_id", "monthly_volume", "session_regularity")
     if rows.isEmpty():

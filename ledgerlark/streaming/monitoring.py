@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +15,7 @@ from ledgerlark.functions.clock import utc_instant, utc_wall
 from ledgerlark.functions.policy import LATENCY_SLA_MS
 from ledgerlark.operators.psi import bin_number, inner_edges, psi_of_counts
 from ledgerlark.plans.scoring import score, valid_requests
+from ledgerlark.plans.training import Model
 from ledgerlark.sources.lake import Lake
 from ledgerlark.sources.logs import log_predictions
 
@@ -23,7 +23,7 @@ from ledgerlark.sources.logs import log_predictions
 def stream_predictions(
     lake: Lake,
     requests: DataFrame,
-    model: PipelineModel | None,
+    model: Model | None,
     checkpoint: str,
 ) -> StreamingQuery:
     """Answer requests as they arrive, however late, and log each prediction id once.

@@ -701,7 +701,42 @@ SELECT user_id, TRUE AS in_range, TRUE AS limit_fits, TRUE AS decision_fits,
        TRUE AS same_when_loaded, 'SUCCESS' AS status
 FROM gold
 """
-# The probabilities are a model's own: these three say what must hold of them, whatever they are.
+# At most 256 cuts a feature, the smallest values of runs of nearly equal counts.
+CTES["train_part"] = """
+SELECT target_default_30d AS y, coalesce(monthly_volume, mv) AS monthly_volume,
+       CAST(coalesce(session_regularity, sr) AS DOUBLE) AS session_regularity, coalesce(income, inc) AS income
+FROM parts, medians WHERE NOT is_test
+"""
+CTES["train_values"] = " UNION ALL ".join(
+    f"SELECT '{f}' AS variable, {f} AS x, y FROM train_part" for f in ("monthly_volume", "session_regularity", "income")
+)
+CTES["train_cuts"] = """
+SELECT variable, MIN(x) AS cut FROM (
+  SELECT variable, x, ((SUM(n) OVER (PARTITION BY variable ORDER BY x) - n) * 256) // SUM(n) OVER (PARTITION BY variable) AS part
+  FROM (SELECT variable, x, COUNT(*) AS n FROM train_values GROUP BY ALL))
+GROUP BY variable, part
+"""
+QUERIES["boosting_cuts"] = "SELECT variable, round(cut, 6) AS cut FROM train_cuts"
+# At a margin of 0 the gradient is (1/2 - y) w and the hessian w/4; w makes both classes weigh the same.
+QUERIES["boosted_stump"] = """
+SELECT variable, round(cut, 6) AS cut, round(-0.05 * gl / (hl + 1), 6) AS below, round(-0.05 * gr / (hr + 1), 6) AS above
+FROM (
+  SELECT variable, cut, SUM(g) FILTER (x < cut) AS gl, SUM(h) FILTER (x < cut) AS hl,
+         SUM(g) FILTER (x >= cut) AS gr, SUM(h) FILTER (x >= cut) AS hr
+  FROM train_cuts JOIN (
+    SELECT variable, x, (0.5 - y) * w AS g, 0.25 * w AS h
+    FROM (SELECT *, CASE WHEN y = 1 THEN (SELECT CAST(COUNT(*) - SUM(y) AS DOUBLE) / SUM(y) FROM train_part)
+                         ELSE CAST(1 AS DOUBLE) END AS w FROM train_values)) USING (variable)
+  GROUP BY variable, cut)
+WHERE hl >= 1 AND hr >= 1
+ORDER BY gl * gl / (hl + 1) + gr * gr / (hr + 1) DESC LIMIT 1
+"""
+QUERIES["second_order_scores"] = """
+SELECT user_id, TRUE AS in_range, TRUE AS limit_fits, TRUE AS decision_fits,
+       TRUE AS same_when_loaded, 'SUCCESS' AS status
+FROM gold
+"""
+# The probabilities are a model's own: these say what must hold of them, whatever they are.
 QUERIES["model_answers"] = """
 SELECT channel, user_id, TRUE AS same_as_model, TRUE AS limit_fits, TRUE AS decision_fits,
        'SUCCESS' AS status, FALSE AS is_anomaly
@@ -835,6 +870,21 @@ SELECT 'drifted-week' AS run_id, 'metric' AS kind, name, CAST(NULL AS VARCHAR) A
 QUERIES["dialogue_scores"] = (
     "SELECT * REPLACE (round(toxicity_score, 6) AS toxicity_score) FROM dialogue_logs"
 )
+CTES["long_lexicon"] = """
+SELECT DISTINCT word FROM (SELECT unnest(string_split(lower(text), ' ')) AS word FROM documents)
+WHERE length(word) BETWEEN 4 AND 20
+"""
+QUERIES["large_lexicon_toxicity"] = """
+SELECT conv_id, turn, round(CASE WHEN coalesce(text, '') = '' THEN 0.0 ELSE least(n / 3.0, 1.0) END, 6) AS toxicity_score
+FROM (SELECT conv_id, turn, any_value(text) AS text, CAST(COUNT(word) AS DOUBLE) AS n
+      FROM conversations LEFT JOIN long_lexicon ON contains(lower(text), word)
+      GROUP BY conv_id, turn)
+"""
+QUERIES["lexicon_words_found"] = """
+SELECT word, COUNT(DISTINCT (conv_id, turn)) AS turns
+FROM conversations JOIN long_lexicon ON contains(lower(text), word)
+GROUP BY word
+"""
 QUERIES["dialogue_safety_summary"] = """
 SELECT variable_name, CAST(0 AS DOUBLE) AS psi_value, round(v, 6) AS avg_value, round(r, 6) AS rate_value,
        'STABLE' AS drift_status, alert AS alert_triggered FROM (

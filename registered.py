@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ledgerlark.functions import policy
 from ledgerlark.functions.features import uniform
 from ledgerlark.operators.audit import audit_warnings, audit_wide
+from ledgerlark.operators.boosting import feature_cuts
+from ledgerlark.operators.lexicon import lexicon_matches, with_toxicity
 from ledgerlark.operators.psi import bin_counts, bin_edges, long_form
 from ledgerlark.operators.ranking import class_curves, model_metrics
 from ledgerlark.plans import cohorts, drift, gold, scoring, telemetry, training
@@ -378,6 +380,50 @@ def gbt_scores(spark, sf_dir):
     )
 
 
+def _training_part(spark, sf_dir) -> DataFrame:
+    prepared = training.impute(written(_split(spark, sf_dir), "split"))
+    return written(prepared.where(~F.col("is_test")), "training-part")
+
+
+@query
+def boosting_cuts(spark, sf_dir):
+    """Where the second-order learner may split each feature of the training part."""
+    cuts = feature_cuts(_training_part(spark, sf_dir), FEATURES)
+    rows = [(f, float(c)) for f in FEATURES for c in cuts[f]]
+    return _r6(spark.createDataFrame(rows, "variable string, cut double"), "cut")
+
+
+@query
+def boosted_stump(spark, sf_dir):
+    """One tree of one split over all rows and columns: its feature, cut and the margins of both sides."""
+    train = _training_part(spark, sf_dir)
+    model = training.fit_second_order(train, trees=1, depth=1, row_share=1.0, column_share=1.0)
+    root = model.trees[0]
+    rows = [(root.feature, root.cut, root.left.value, root.right.value)]
+    stump = spark.createDataFrame(rows, "variable string, cut double, below double, above double")
+    return _r6(stump, "cut", "below", "above")
+
+
+@query
+def second_order_scores(spark, sf_dir):
+    """As ``gbt_scores``, by second-order trees with the fixed parameters, saved as a table of trees."""
+    rows = written(training.training_rows(gold_frame(spark, sf_dir), OBS), "cohort")
+    prepared = written(training.impute(written(training.split_rows(rows), "split")), "prepared")
+    model = training.fit_second_order(prepared.where(~F.col("is_test")))
+    path = scratch_path(spark, "trees")
+    training.save_model(model, path, spark)
+    pd = F.col("probability_of_default")
+    again = written(training.predict(training.load_model(path), prepared).select("user_id", pd.alias("again")), "again")
+    return written(scoring.score(prepared, model), "scored").join(again, "user_id").select(
+        "user_id",
+        pd.between(0.0, 1.0).alias("in_range"),
+        (F.col("credit_limit") == policy.credit_limit(pd, F.col("income"))).alias("limit_fits"),
+        (F.col("decision") == policy.credit_decision(pd)).alias("decision_fits"),
+        (pd == F.col("again")).alias("same_when_loaded"),
+        "status",
+    )
+
+
 @query
 def model_answers(spark, sf_dir):
     """Every Gold user as a request, answered in batch and on a stream by a saved and loaded model.
@@ -699,6 +745,25 @@ def dialogue_scores(spark, sf_dir):
     return _r6(lake.read("gold", "dialogue_logs").drop("log_date"), "toxicity_score")
 
 
+@query
+def large_lexicon_toxicity(spark, sf_dir):
+    """Every turn of every conversation against a lexicon of all words of 4 to 20 characters of the documents."""
+    word = F.explode(F.split(F.lower("text"), " ")).alias("word")
+    words = demo.table(spark, sf_dir, "documents").select(word).where(F.length("word").between(4, 20))
+    scored = with_toxicity(demo.table(spark, sf_dir, "conversations"), ["conv_id", "turn"], "text", words)
+    return _r6(scored.select("conv_id", "turn", "toxicity_score"), "toxicity_score")
+
+
+@query
+def lexicon_words_found(spark, sf_dir):
+    """How many conversation turns hold each word of the documents that any holds."""
+    word = F.explode(F.split(F.lower("text"), " ")).alias("word")
+    words = demo.table(spark, sf_dir, "documents").select(word).where(F.length("word").between(4, 20))
+    turns = demo.table(spark, sf_dir, "conversations")
+    found = lexicon_matches(turns, ["conv_id", "turn"], "text", words)
+    return found.groupBy("word").agg(F.count(F.lit(1)).alias("turns"))
+
+
 @query
 def dialogue_safety_summary(spark, sf_dir):
     return _r6(safety_summary(demo.dialogue_logs(spark, sf_dir)), "avg_value", "rate_value")
