@@ -1,55 +1,38 @@
-"""Which words of a large lexicon occur in which texts, by an index of short pieces.
+"""Which words of a large lexicon occur in which texts, by looking up the texts' pieces.
 
-A word occurs in a text only if all its pieces of three characters do. Each word is posted under the one of
-its pieces that the fewest texts have; texts look up the pieces they hold, and a word that comes up is then
-searched for in the text itself. Plans are the same for ten words and for ten million.
+A text is cut into its substrings of the lengths that the lexicon has, and these are looked up among the words:
+the work grows with the characters of the texts, not with how often pieces of words come up. Words longer than
+a piece are looked up by their beginning, and one that comes up is searched for in the text itself. Plans are
+the same for ten words and for ten million.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.session import written
 
-PIECE = 3
-
-
-def pieces(text: Column, length: Column) -> Column:
-    """The different substrings of a length, none if the text is shorter."""
-    last = F.length(text) - length + 1
-    every = F.transform(F.sequence(F.lit(1), last), lambda at: F.substring(text, at, length))
-    return F.when(last > 0, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
+#: Characters of the longest pieces.
+PIECE = 32
+#: Characters of a text in which the pieces of a row begin.
+STRETCH = 128
 
 
 def text_pieces(texts: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
-    """(keys, piece) of lower-cased texts in ``_text``, each piece once for a text."""
-    all_lengths = [pieces(F.col("_text"), F.lit(n)) for n in lengths]
-    return texts.select(*keys, F.explode(F.concat(*all_lengths)).alias("piece"))
+    """(keys, piece): the substrings of lower-cased texts in ``_text``, as often as they stand there.
 
-
-def postings(words: DataFrame, texts: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
-    """(piece, word): every word that can occur, under its piece that the fewest texts have."""
-    own = pieces(F.col("word"), F.least(F.length("word"), F.lit(PIECE)))
-    of_words = words.select("word", F.size(own).alias("all"), F.explode(own).alias("piece"))
-    wanted = of_words.select("piece").distinct()
-    texts_with = (
-        text_pieces(texts, keys, lengths)
-        .join(wanted, "piece", "left_semi")
-        .groupBy("piece")
-        .agg(F.count(F.lit(1)).alias("texts"))
-    )
-    return (
-        of_words.join(texts_with, "piece")
-        .groupBy("word")
-        .agg(
-            F.min(F.struct("texts", "piece"))["piece"].alias("piece"),
-            F.count(F.lit(1)).alias("found"),
-            F.first("all").alias("all"),
-        )
-        .where("found = all")
-        .select("piece", "word")
-    )
+    Stretches overlap, so that every piece is whole in the one that it begins in. They are dealt over the
+    session's shuffle partitions, as few files with much text are few tasks else.
+    """
+    starts = F.sequence(F.lit(1), F.length("_text"), F.lit(STRETCH))
+    stretches = F.transform(starts, lambda at: F.substring("_text", at, F.lit(STRETCH + PIECE - 1)))
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = texts.select(*keys, F.explode(stretches).alias("_stretch")).repartition(parts)
+    last = F.least(F.length("_stretch") - F.col("_length") + 1, F.lit(STRETCH))
+    cut = cut.select("*", F.explode(F.array(*map(F.lit, lengths))).alias("_length")).where(last > 0)
+    cut = cut.select("*", F.explode(F.sequence(F.lit(1), last)).alias("_at"))
+    return cut.select(*keys, F.substring("_stretch", F.col("_at"), F.col("_length")).alias("piece"))
 
 
 def lexicon_matches(
@@ -62,16 +45,21 @@ def lexicon_matches(
     searched, and a word that several have comes out once.
     """
     listed = words.select(F.col(word).alias("word")).where(F.length("word") > 0).distinct()
-    listed = written(listed, "lexicon")
-    lengths = [r[0] for r in listed.select(F.least(F.length("word"), F.lit(PIECE))).distinct().collect()]
+    listed = written(listed.select("word", F.substring("word", 1, PIECE).alias("piece")), "lexicon")
+    found_lengths = [r[0] for r in listed.select(F.least(F.length("word"), F.lit(PIECE + 1))).distinct().collect()]
     own = texts.where(F.length(text) > 0).select(*keys, F.lower(text).alias("_text"))
-    if not lengths:
+    if not found_lengths:
         return own.select(*keys, F.lit(None).cast("string").alias("word")).where(F.lit(False))
-    posted = written(postings(listed, own, keys, lengths), "lexicon-postings")
-    # Texts travel once, by their keys; what is looked up are keys and pieces.
-    likely = text_pieces(own, keys, lengths).join(posted, "piece").select(*keys, "word").distinct()
-    found = own.join(likely, keys).where(F.contains("_text", F.col("word")))
-    return found.select(*keys, "word").distinct()
+    lengths = sorted({min(n, PIECE) for n in found_lengths})
+    # A semi join: of an inner one Spark might broadcast the pieces, as it takes them for no more than the texts.
+    held = text_pieces(own, keys, lengths).join(listed.select("piece"), "piece", "left_semi").select(*keys, "piece")
+    held = held.distinct()
+    if max(found_lengths) <= PIECE:
+        return held.withColumnRenamed("piece", "word")
+    likely = written(written(held, "lexicon-pieces").join(listed, "piece").select(*keys, "word"), "lexicon-likely")
+    # Texts travel once, by their keys, to the words that only the beginning is known of.
+    begun = own.join(likely.where(F.length("word") > PIECE), keys).where(F.contains("_text", F.col("word")))
+    return likely.where(F.length("word") <= PIECE).unionByName(begun.select(*keys, "word").distinct())
 
 
 def with_toxicity(

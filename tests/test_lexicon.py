@@ -1,8 +1,10 @@
+import itertools
 import random
 
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.text import toxicity_score
+from ledgerlark.operators import lexicon
 from ledgerlark.operators.lexicon import lexicon_matches, with_toxicity
 
 
@@ -44,3 +46,26 @@ def test_plan_does_not_grow_with_the_words(spark):
         plan = lexicon_matches(df, ["id"], "said", lexicon)._jdf.queryExecution().executedPlan().toString()
         sizes.append(plan.count("\n"))
     assert sizes[0] == sizes[1]
+
+
+def test_words_longer_than_a_piece_and_texts_longer_than_a_stretch(spark):
+    edge = lexicon.STRETCH - 3
+    long = "l" * lexicon.PIECE
+    texts = ["." * edge + "crossing" + "." * 300, long + "yes and no", long, "é" * 255 + long + "yes", "𝒳y" * 200 + "Crossing"]
+    words = ["crossing", long, long + "yes", long + "no", "𝒳y𝒳", long * 3, "y" * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, said string")
+    listed = spark.createDataFrame([(w,) for w in words], "word string")
+    got = {(r.id, r.word) for r in lexicon_matches(df, ["id"], "said", listed).collect()}
+    assert got == {(i, w) for i, t in enumerate(texts) for w in words if w in t.lower()}
+
+
+def test_what_is_looked_up_grows_with_the_text_alone(spark):
+    """Words made of the commonest pieces are not each searched for in every text that holds such pieces."""
+    text = "".join(f"{a}{b}" for a in "abcd" for b in "abcd") * 4
+    df = spark.createDataFrame([(i, text) for i in range(20)], "id int, said string")
+    words = ["".join(w) for w in itertools.product("abcd", repeat=6)]
+    listed = spark.createDataFrame([(w,) for w in words], "word string")
+    plan = lexicon_matches(df, ["id"], "said", listed)
+    assert {(r.id, r.word) for r in plan.collect()} == {(i, w) for i in range(20) for w in words if w in text}
+    assert "Contains" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert lexicon.text_pieces(df.withColumnRenamed("said", "_text"), ["id"], [6]).count() <= 20 * len(text)
