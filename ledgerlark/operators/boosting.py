@@ -1,7 +1,8 @@
 """Boosted trees by second-order histogram splits: binary logistic loss, columns drawn for each tree.
 
-Every feature is binned once at cuts of nearly equal counts. A level of a tree is one aggregate: the sums of
-gradients and hessians by node, feature and bin, combined map-side. The driver sees these sums only, at most
+Every feature is binned once at cuts of nearly equal counts. A tree whose features have few bins together is one
+aggregate: the sums of gradients and hessians by cell, a bin of each feature, combined map-side. Other trees are
+an aggregate for each level, by node, feature and bin. The driver sees these sums only, at most ``CELLS`` or
 nodes x features x bins rows whatever the table, and chooses the splits. Sums are taken over whole numbers
 (gradients in units that no sum of the table can overflow), so trees do not depend on how rows are dealt.
 """
@@ -11,10 +12,11 @@ from __future__ import annotations
 import json
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ LAMBDA = 1.0
 MIN_HESSIAN = 1.0
 
 BINS = 256
+#: Most cells whose sums the driver takes for a whole tree.
+CELLS = 1 << 17
 #: Margins are written after this many trees; in between they are worked out from the trees since.
 TREES_PER_TABLE = 5
 
@@ -51,12 +55,6 @@ class Node:
         return f"CASE WHEN {test(self)} THEN {self.left.sql(test)} ELSE {self.right.sql(test)} END"
 
 
-def raw_test(node: Node) -> str:
-    below = f"`{node.feature}` < {node.cut!r}D"
-    missing = f"`{node.feature}` IS NULL OR isnan(`{node.feature}`)"
-    return f"({missing} OR {below})" if node.missing_left else below
-
-
 def binned_test(node: Node) -> str:
     """Bins count the cuts at or below a value; a missing value has bin -1."""
     bin_of = f"`_bin_{node.feature}`"
@@ -73,10 +71,11 @@ class BoostedTrees:
     def with_probability(self, rows: DataFrame, name: str = "probability") -> DataFrame:
         """Add the probability of the class 1, from the feature columns as doubles.
 
-        A hundred trees are too long for one whole-stage method: Spark reports that and compiles them as a
-        projection of many small methods instead.
+        Trees are walked as arrays in the tasks: as expressions, a hundred of them take longer to plan than
+        most tables to score.
         """
-        return rows.withColumn(name, _logistic(F.expr(_summed([t.sql(raw_test) for t in self.trees]))))
+        margin = F.pandas_udf(_walk([_flat(t, self.features) for t in self.trees]), "double")
+        return rows.withColumn(name, _logistic(margin(*[F.col(f).cast("double") for f in self.features])))
 
     def save(self, spark: SparkSession, path: str) -> None:
         """One row per tree, in place of what is there."""
@@ -102,6 +101,37 @@ def _unnested(stored: dict) -> Node:
     return Node(**{**stored, **sides})
 
 
+def _flat(tree: Node, features: Sequence[str]) -> tuple[np.ndarray, ...]:
+    """Feature number (-1 in a leaf), cut, missing goes left, places of both sides and value of each node."""
+    nodes, sides = [tree], {}
+    for at, node in enumerate(nodes):  # grows while it is walked
+        if node.feature is not None:
+            sides[at] = (len(nodes), len(nodes) + 1)
+            nodes += [node.left, node.right]
+    number = [-1 if n.feature is None else list(features).index(n.feature) for n in nodes]
+    left, right = zip(*(sides.get(at, (at, at)) for at in range(len(nodes))))
+    columns = (number, [n.cut for n in nodes], [n.missing_left for n in nodes], left, right, [n.value for n in nodes])
+    return tuple(np.array(c) for c in columns)
+
+
+def _walk(trees: list[tuple[np.ndarray, ...]]) -> Callable[..., pd.Series]:
+    """The sum of the leaves that rows fall into."""
+
+    def margin(*columns: pd.Series) -> pd.Series:
+        x = np.column_stack([c.to_numpy(np.float64, na_value=np.nan) for c in columns])
+        total, rows = np.zeros(len(x)), np.arange(len(x))
+        for number, cut, missing_left, left, right, value in trees:
+            at = np.zeros(len(x), np.int64)
+            while (number[at] >= 0).any():
+                own = x[rows, number[at]]
+                goes_left = (own < cut[at]) | (missing_left[at] & np.isnan(own))
+                at = np.where(goes_left, left[at], right[at])  # a leaf is on both its sides
+            total += value[at]
+        return pd.Series(total)
+
+    return margin
+
+
 def _summed(terms: Sequence[str]) -> str:
     """A balanced sum, so that the expression is not as deep as there are trees."""
     if not terms:
@@ -194,7 +224,8 @@ def fit_boosted_trees(
     kept = rows.where(F.col(label).isNotNull()).select(
         F.col(key).cast("string").alias("_key"), F.col(label).cast("double").alias("_y"), factor.alias("_w"), *doubles
     )
-    kept = written(kept, "boosting-rows")
+    # Every tree reads all rows: they are dealt over the cores, as a small table would be one file and one task.
+    kept = written(kept.repartition(kept.sparkSession.sparkContext.defaultParallelism), "boosting-rows")
     size = kept.agg(F.count(F.lit(1)).alias("n"), F.sum("_w").alias("w")).first()
     if not size["n"]:
         raise ValueError("no labelled rows to fit trees on")
@@ -214,7 +245,8 @@ def fit_boosted_trees(
             whole((p - F.col("_y")) * F.col("_w")).alias("_g"),
             whole(p * (F.lit(1.0) - p) * F.col("_w")).alias("_h"),
         )
-        grown = _grow(seen, drawn, cuts, depth, step, unit)
+        few = math.prod(len(cuts[f]) + 2 for f in drawn) <= CELLS
+        grown = _grow(_cell_sums(seen, drawn, cuts, unit) if few else _level_sums(seen, drawn, unit), drawn, cuts, depth, step)
         made.append(grown)
         since.append(grown)
         if len(since) == TREES_PER_TABLE:
@@ -228,14 +260,17 @@ def with_margins(rows: DataFrame, trees: Sequence[Node]) -> DataFrame:
     return rows.withColumn("_margin", F.expr(_summed(["_margin", *[t.sql(binned_test) for t in trees]])))
 
 
-def _grow(seen: DataFrame, drawn: list[str], cuts: dict, depth: int, step: float, unit: float) -> Node:
+#: From the splits so far and the open nodes: {(number of the node, feature): [(bin, gradient, hessian)]}.
+Sums = Callable[[dict[str, Node], list[str]], dict]
+
+
+def _grow(sums_of: Sums, drawn: list[str], cuts: dict, depth: int, step: float) -> Node:
     """One tree, level by level. While it grows a node is named by its path of L and R."""
     splits: dict[str, Node] = {}
     values: dict[str, float] = {}
     open_nodes = [""]
     for _ in range(depth):
-        where = _numbered("", splits, {path: i for i, path in enumerate(open_nodes)})
-        sums = _histogram(seen, where, drawn, unit)
+        sums = sums_of(splits, open_nodes)
         following = []
         for i, path in enumerate(open_nodes):
             best = None
@@ -284,8 +319,18 @@ def _numbered(path: str, splits: dict[str, Node], numbers: dict[str, int]) -> st
     return f"CASE WHEN {binned_test(splits[path])} THEN {left} ELSE {right} END"
 
 
-def _histogram(seen: DataFrame, where: str, drawn: list[str], unit: float) -> dict:
-    """{(node, feature): [(bin, gradient, hessian)]}."""
+def _level_sums(seen: DataFrame, drawn: list[str], unit: float) -> Sums:
+    """An aggregate over the rows for each level."""
+
+    def sums_of(splits: dict[str, Node], open_nodes: list[str]) -> dict:
+        where = _numbered("", splits, {path: i for i, path in enumerate(open_nodes)})
+        return _histogram(seen, where, drawn, unit)
+
+    return sums_of
+
+
+def _histogram(seen: DataFrame, where: str, drawn: list[str], unit: float | None) -> dict:
+    """{(node, feature): [(bin, gradient, hessian)]}, the sums as whole numbers without a unit."""
     names = ", ".join(f"{i}, `_bin_{f}`" for i, f in enumerate(drawn))
     rows = (
         seen.withColumn("_node", F.expr(where))
@@ -296,5 +341,42 @@ def _histogram(seen: DataFrame, where: str, drawn: list[str], unit: float) -> di
     )
     sums: dict = {}
     for r in rows.collect():
-        sums.setdefault((r["_node"], drawn[r["_f"]]), []).append((r["_b"], r["g"] / unit, r["h"] / unit))
+        g, h = (r["g"] / unit, r["h"] / unit) if unit else (r["g"], r["h"])
+        sums.setdefault((r["_node"], drawn[r["_f"]]), []).append((r["_b"], g, h))
     return sums
+
+
+def _cell_sums(seen: DataFrame, drawn: list[str], cuts: dict, unit: float) -> Sums:
+    """One aggregate over the rows, by the number of their cell; levels add up cells."""
+    sizes = [len(cuts[f]) + 2 for f in drawn]
+    number = "0"
+    for f, size in zip(drawn, sizes):
+        number = f"({number} * {size} + `_bin_{f}` + 1)"
+    found = _histogram(seen.selectExpr(f"{number} AS `_bin__cell`", "_g", "_h"), "0", ["_cell"], None)
+    cell, g_of, h_of = (np.array(c, np.int64) for c in zip(*sorted(found.get((0, "_cell"), [(0, 0, 0)]))))
+    bins = {f: b - 1 for f, b in zip(drawn, np.unravel_index(cell, sizes))}
+
+    def inside(path: str, splits: dict[str, Node]) -> np.ndarray:
+        """The cells of a node."""
+        if path == "":
+            return np.arange(len(cell))
+        own, node = inside(path[:-1], splits), splits[path[:-1]]
+        bin_of = bins[node.feature][own]
+        left = bin_of < node.place
+        if not node.missing_left:
+            left &= bin_of >= 0
+        return own[left if path[-1] == "L" else ~left]
+
+    def sums_of(splits: dict[str, Node], open_nodes: list[str]) -> dict:
+        sums = {}
+        for i, path in enumerate(open_nodes):
+            own = inside(path, splits)
+            for f in drawn:
+                values, place = np.unique(bins[f][own], return_inverse=True)
+                g, h = np.zeros(len(values), np.int64), np.zeros(len(values), np.int64)
+                np.add.at(g, place, g_of[own])
+                np.add.at(h, place, h_of[own])
+                sums[(i, f)] = list(zip(values.tolist(), (g / unit).tolist(), (h / unit).tolist()))
+        return sums
+
+    return sums_of

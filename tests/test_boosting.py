@@ -122,3 +122,17 @@ def test_full_parameters_reach_the_gate(spark, lake, tmp_path):
     assert isinstance(model, BoostedTrees) and len(model.trees) == 100
     scored = training.baseline_rows(lake.read("gold", "target_construction"), model)
     assert scored.where("probability_of_default between 0 and 1").count() == 300
+
+
+def test_few_cells_are_one_aggregate_a_tree_with_the_same_trees(spark, monkeypatch):
+    df, _, _ = made_up(spark, 400)
+    taken = []
+    for name in ("_cell_sums", "_level_sums"):
+        plain = getattr(boosting, name)
+        monkeypatch.setattr(boosting, name, lambda *a, plain=plain, name=name: (taken.append(name), plain(*a))[1])
+    fit = lambda: fit_boosted_trees(df, NAMES, "y", "k", trees=4, depth=4, bins=32)
+    by_cells = fit()
+    assert taken == ["_cell_sums"] * 4
+    monkeypatch.setattr(boosting, "CELLS", 10)
+    assert fit() == by_cells
+    assert taken[4:] == ["_level_sums"] * 4
