@@ -143,9 +143,10 @@ def fit(train: DataFrame, seed: int = 42, label: str = LABEL, **params) -> Pipel
     assemble = VectorAssembler(
         inputCols=list(FEATURES), outputCol="features", handleInvalid="keep"
     )
-    return Pipeline(stages=[assemble, trees]).fit(
-        written(weighted.select(*FEATURES, F.col(label).cast("double").alias(label), "_w"), "train")
-    )
+    rows = weighted.select(*FEATURES, F.col(label).cast("double").alias(label), "_w")
+    # Every level of every tree reads all rows: they are dealt over the cores, else a few files are a few tasks.
+    rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    return Pipeline(stages=[assemble, trees]).fit(written(rows, "train"))
 
 
 def fit_second_order(

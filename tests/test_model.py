@@ -212,3 +212,19 @@ def test_class_weight(spark):
 def test_an_empty_gold_table_is_no_baseline(lake):
     with pytest.raises(ValueError):
         training.baseline_rows(lake.read("gold", "target_construction"), None)
+
+
+def test_rows_are_dealt_over_the_cores_before_the_trees_are_fitted(spark, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    def noted(df, label):
+        raise Stop(df.rdd.getNumPartitions())
+
+    monkeypatch.setattr(training, "written", noted)
+    rows = spark.range(0, 100, 1, 1).selectExpr(
+        "id * 1D AS monthly_volume", "id % 31 AS session_regularity", "id * 2D AS income", f"id % 2 AS {training.LABEL}"
+    )
+    with pytest.raises(Stop) as stopped:
+        training.fit(rows)
+    assert stopped.value.args[0] == spark.sparkContext.defaultParallelism > 1
