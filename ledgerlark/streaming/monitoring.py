@@ -79,8 +79,9 @@ TRAILING_STATE = "ids array<string>, at array<long>, latency array<double>, pres
 
 
 def trailing_latency(
-    requests: DataFrame, service: str, request_id: str, ts: str, latency: str, seconds: int = 60, delay: str = "2 minutes"
-) -> DataFrame:
+    requests: DataFrame, service: str, request_id: str, ts: str, latency: str, seconds: int = 60, delay: str = "2 minutes",
+    blocks: int = 10,
+) -> DataFrame:
     """The exact mean over [ts - seconds, ts] at every instant of a service, as a stream in update mode.
 
     A request counts once however often it is sent; one that comes later than ``delay`` behind the newest
@@ -89,12 +90,16 @@ def trailing_latency(
 
     Time is cut into blocks as long as the range. A range is the end of one block and the beginning of the
     next, so a running sum from the front of a block and one from the back of the block before give it, by
-    additions only. The state is one pair of blocks per service, dropped when the watermark has passed it: a
-    busy service is many small states, side by side.
+    additions only. The state of a service is cut into periods of ``blocks`` blocks, each with the block before
+    it, and dropped when the watermark has passed it. A state costs Python a call of its own, so many quiet
+    services want long periods; a busy service is many states, side by side, and wants short ones.
     """
     span = seconds * 1_000_000
-    micros = F.unix_micros("_at")
-    block = F.expr(f"unix_micros(_at) DIV {span}")
+    at = F.col("at")
+    block = F.expr(f"(at - pmod(at, {span}L)) DIV {span}L")
+    period = F.expr(f"(block - pmod(block, {blocks}L)) DIV {blocks}L")
+    # The last block of a period is also the one before the next period.
+    periods = F.when(F.pmod(F.col("block"), F.lit(blocks)) == blocks - 1, F.array(period, period + 1)).otherwise(F.array(period))
     rows = (
         requests.where(F.col(ts).isNotNull())
         .select(
@@ -105,7 +110,9 @@ def trailing_latency(
             F.col(latency).isNotNull().alias("present"),
         )
         .withWatermark("_at", delay)
-        .select("service", "id", "_at", micros.alias("at"), "latency", "present", F.explode(F.array(block, block + 1)).alias("block"))
+        .withColumn("at", F.unix_micros("_at"))
+        .withColumn("block", block)
+        .select("service", "id", "_at", "at", "latency", "present", F.explode(periods).alias("period"))
     )
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -114,25 +121,29 @@ def trailing_latency(
             state.remove()
             return
         kept = [list(x) for x in state.get] if state.exists else [[], [], [], []]
-        known, changed = set(kept[0]), None
+        known, changed = set(kept[0]), []
         for frame in frames:
             for row in zip(*(frame[c].tolist() for c in ("id", "at", "latency", "present"))):
                 if row[0] not in known:
                     known.add(row[0])
                     for values, value in zip(kept, row):
                         values.append(value)
-                    changed = row[1] if changed is None else min(changed, row[1])
-        if changed is None:
+                    changed.append(row[1])
+        if not changed:
             return
         state.update(tuple(kept))
-        # The watermark may be past the end already, when all of a block comes in its last batch.
-        state.setTimeoutTimestamp(max((own + 1) * span // 1000, state.getCurrentWatermarkMs() + 1))
+        # The watermark may be past the end already, when all of a period comes in its last batch.
+        state.setTimeoutTimestamp(max((own + 1) * blocks * span // 1000, state.getCurrentWatermarkMs() + 1))
         _, at, latencies, present = kept
-        yield trailing_rows(name, own, span, np.array(at), np.array(latencies), np.array(present, bool), changed)
+        found = trailing_rows(
+            name, own * blocks, span, np.array(at), np.array(latencies), np.array(present, bool), np.array(changed)
+        )
+        if len(found):
+            yield found
 
     kind = "service string, at long, window_requests long, total double, n long, nan boolean"
-    found = rows.groupBy("service", "block").applyInPandasWithState(update, kind, TRAILING_STATE, "update", "EventTimeTimeout")
-    wall = utc_wall(F.timestamp_micros("at"))
+    found = rows.groupBy("service", "period").applyInPandasWithState(update, kind, TRAILING_STATE, "update", "EventTimeTimeout")
+    wall = utc_wall(F.timestamp_micros(at))
     # A NaN would leave pandas as a NULL.
     mean = F.when(F.col("nan"), F.lit(float("nan"))).when(F.col("n") > 0, F.col("total") / F.col("n"))
     return found.select(
@@ -142,24 +153,35 @@ def trailing_latency(
         mean.alias("rolling_mean"),
         (mean > LATENCY_SLA_MS).alias("sla_warning"),
         F.to_date(wall).alias("day"),
-        F.timestamp_micros("at").alias("last_at"),
+        F.timestamp_micros(at).alias("last_at"),
     )
 
 
 def trailing_rows(
-    name: str, block: int, span: int, at: np.ndarray, value: np.ndarray, present: np.ndarray, changed: int
+    name: str, block: int, span: int, at: np.ndarray, value: np.ndarray, present: np.ndarray, changed: int | np.ndarray
 ) -> pd.DataFrame:
-    """Rows of the block's instants from ``changed`` on, from the requests of it and of the block before."""
+    """Rows of the instants from ``block`` on that a request at one of the ``changed`` instants falls into.
+
+    ``at``: the requests of these blocks and of the one before.
+    """
     order = np.argsort(at, kind="stable")
     at, value, present = at[order], value[order], present[order]
-    split = int(np.searchsorted(at, block * span))
-    last = np.flatnonzero(np.append(at[1:] != at[:-1], True)[split:]) + split  # an instant's last request
-    last = last[at[last] >= changed]
-    first = np.searchsorted(at[:split], at[last] - span)
+    own = at // span
+    last = np.flatnonzero(np.append(at[1:] != at[:-1], True))  # an instant's last request
+    last = last[own[last] >= block]
+    fresh = np.sort(np.atleast_1d(changed))
+    newest = np.searchsorted(fresh, at[last], "right") - 1
+    last = last[(newest >= 0) & (fresh[newest] >= at[last] - span)]
+    first = np.searchsorted(at, at[last] - span)
+    reaches = own[first] < own[last]
+    edges = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(at)]
     sums = []
     for x in (value, present.astype(np.int64), np.ones(len(at), np.int64)):
-        front, back = np.cumsum(x[split:]), np.append(np.cumsum(x[:split][::-1])[::-1], x.dtype.type(0))
-        sums.append(front[last - split] + back[first])
+        front, back = np.empty_like(x), np.empty_like(x)
+        for a, b in zip(edges, edges[1:]):
+            np.cumsum(x[a:b], out=front[a:b])
+            np.cumsum(x[a:b][::-1], out=back[a:b][::-1])
+        sums.append(front[last] + np.where(reaches, back[first], x.dtype.type(0)))
     nan = np.isnan(sums[0])
     return pd.DataFrame(
         {

@@ -925,7 +925,7 @@ def stream_rolling_latency(spark, sf_dir):
     sent = events.select("*", F.explode(rounds).alias("round"))
     numbers = sorted(r[0] for r in sent.select("round").distinct().collect())
     stream = spark.readStream.schema(events.schema).parquet(f"{path}/files/*")
-    rows = trailing_latency(stream, "event_type", "id", "ts", "value", delay="2 hours")
+    rows = trailing_latency(stream, "event_type", "id", "ts", "value", delay="2 hours", blocks=60)
     table = ReplacingTable(spark, f"{path}/table", rows.schema, ["event_type", "ts"])
     for number in numbers:
         sent.where(F.col("round") == number).drop("round").write.parquet(f"{path}/files/{number}")

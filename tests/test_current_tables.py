@@ -44,6 +44,35 @@ def test_rows_of_a_block():
         assert same(float("nan") if nan else total / count if count else None, float(np.mean(value[own & present])) if (own & present).any() else None)
 
 
+def test_rows_of_many_blocks():
+    draw = random.Random(3)
+    at = np.array([draw.randrange(-60, 240) * 500_000 for _ in range(150)])
+    value = np.array([draw.random() for _ in at])
+    present = np.array([draw.random() < 0.8 for _ in at])
+    value[7] = float("nan")
+    changed = at[[3, 40, 77]]
+    got = trailing_rows("s", 0, 30_000_000, at, value * present, present, changed)
+    want = {int(t) for t in at if t >= 0 and any(0 <= t - c <= 30_000_000 for c in changed)}
+    assert got["at"].tolist() == sorted(want)
+    for t, n, total, count, nan in got[["at", "window_requests", "total", "n", "nan"]].itertuples(index=False):
+        own = (at >= t - 30_000_000) & (at <= t)
+        assert n == own.sum()
+        assert same(float("nan") if nan else total / count if count else None, float(np.mean(value[own & present])) if (own & present).any() else None)
+
+
+def test_states_are_periods_not_minutes(spark, tmp_path):
+    events = [(f"e{i}", "a", START + dt.timedelta(seconds=30 * i), float(i)) for i in range(80)]
+    spark.createDataFrame(events, KIND).write.parquet(f"{tmp_path}/in/0")
+    stream = spark.readStream.schema(KIND).parquet(f"{tmp_path}/in/*")
+    rows = trailing_latency(stream, "service", "id", "ts", "latency", delay="2 hours")
+    table = ReplacingTable(spark, f"{tmp_path}/table", rows.schema, ["service", "ts"])
+    run = keep_current(rows, table, f"{tmp_path}/checkpoint")
+    run.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in run.recentProgress) == 5  # 40 minutes, and the one to come
+    got = {(r["service"], r["ts"]): (r["window_requests"], r["rolling_mean"]) for r in table.read(ENDS, "2 HOURS").collect()}
+    assert got == brute(events)
+
+
 def test_late_repeated_and_missing_requests(spark, tmp_path):
     def event(i, second, latency, service="a"):
         return (f"e{i}", service, START + dt.timedelta(seconds=second), latency)
