@@ -32,9 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table with its rows dealt over the session's cores: each is one file that one task reads."""
-    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A test table with its rows dealt out by a key: each is one file that one task reads.
+
+    By a hash there is no sort of whole rows as in dealing round-robin, and a join on the key needs no other
+    shuffle: that takes as many parts as the session's shuffles have.
+    """
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return table(spark, sf_dir, name).repartition(parts, key)
 
 
 def _plus_days(ts: Column, days: Column) -> Column:
@@ -95,7 +100,7 @@ def bronze_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id")
     text = _iso(_plus_days(F.col("ts"), F.lit(-SESSION_SHIFT_DAYS)))
-    return dealt(spark, sf_dir, "events").select(
+    return dealt(spark, sf_dir, "events", "event_id").select(
         _null_if(e % 101 == 0, e.cast("string")).alias("session_id"),
         _null_if(e % 103 == 0, F.col("user_id").cast("string")).alias("user_id"),
         F.when(e % 107 == 0, "invalid-date")
@@ -111,7 +116,7 @@ def bronze_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = F.when(k % 12 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     stamp = _iso(_plus_days(F.col("o_orderdate"), F.col("version")))
     return (
-        dealt(spark, sf_dir, "orders")
+        dealt(spark, sf_dir, "orders", "o_orderkey")
         .withColumn("version", F.explode(versions))
         .select(
             _null_if(k % 199 == 0, k.cast("string")).alias("loan_id"),
@@ -144,7 +149,7 @@ def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         return d.cast("string")
 
     return (
-        dealt(spark, sf_dir, "lineitem")
+        dealt(spark, sf_dir, "lineitem", "l_orderkey")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             _null_if(

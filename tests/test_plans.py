@@ -100,3 +100,14 @@ def test_silver_takes_in_new_loads_only(spark, lake):
     assert lake.loads("users") == lake.merged_loads("users")
     whole = to_silver(users, "users")
     assert sorted(lake.read("silver", "users").collect()) == sorted(whole.collect())
+
+
+def test_raw_rows_are_dealt_by_the_key_of_their_join(spark):
+    """No sort of whole rows to deal them, and no second shuffle of the payments before they meet loans."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        own = plan(demo.bronze_payments(spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "RoundRobin" not in own
+    assert own.count("Exchange hashpartitioning(l_orderkey") == 1 and own.count("Exchange hashpartitioning") == 2
