@@ -14,6 +14,14 @@ FEATURE_WINDOW_DAYS = 30
 PERFORMANCE_WINDOW_MONTHS = 12
 DEFAULT_DAYS_PAST_DUE = 30
 
+# Silver columns that ``gold_rows`` reads.
+READS = {
+    "users": ("user_id",),
+    "user_sessions": ("user_id", "session_timestamp"),
+    "loans": ("loan_id", "user_id", "disbursement_date", "amount"),
+    "loan_payments": ("loan_id", "due_date", "payment_date"),
+}
+
 
 def day(value: str | dt.date) -> Column:
     return F.lit(str(value)).cast("date")

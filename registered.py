@@ -49,6 +49,21 @@ def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return all_silver(demo.bronze(spark, sf_dir))
 
 
+def stored_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Silver worked out once, in the columns that Gold reads."""
+    return {t: written(df.select(*gold.READS[t]), t) for t, df in silver(spark, sf_dir).items()}
+
+
+def stored_halves(bronze: dict[str, DataFrame], keys: dict[str, list[str]]) -> dict[str, list[DataFrame]]:
+    """Each of the named tables worked out once and stored as two halves, told apart by a hash of the keys."""
+    halves = {}
+    for t, columns in keys.items():
+        half = F.pmod(F.xxhash64(*[F.coalesce(c, F.lit("")) for c in columns]), F.lit(2)).cast("int")
+        rows = written(bronze[t].withColumn("half", half), f"half-{t}", "half")
+        halves[t] = [rows.where(F.col("half") == n).select(*bronze[t].columns) for n in (0, 1)]
+    return halves
+
+
 def gold_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.gold_rows(silver(spark, sf_dir), OBS, AS_OF)
 
@@ -206,9 +221,10 @@ def audit_warning_lines(spark, sf_dir):
 @query
 def incremental_audit(spark, sf_dir):
     """Two loads of every table, which share keys, counted one after the other."""
-    lake = lake_at(spark, "audit")
+    lake, bronze = lake_at(spark, "audit"), demo.bronze(spark, sf_dir)
+    halves = stored_halves(bronze, {t: df.columns for t, df in bronze.items()})
     for part in (0, 1):
-        load_bronze(lake, {t: df.where(F.pmod(F.xxhash64(*df.columns), F.lit(2)) == part) for t, df in demo.bronze(spark, sf_dir).items()})
+        load_bronze(lake, {t: own[part] for t, own in halves.items()})
         audit_new_loads(lake)
     return audit_totals(lake)
 
@@ -236,7 +252,7 @@ def silver_upsert(spark, sf_dir):
 @query
 def gold_merge_second_run(spark, sf_dir):
     """Two observation dates merged into Gold, the second one twice."""
-    layer = {t: written(df, t) for t, df in silver(spark, sf_dir).items()}
+    layer = stored_silver(spark, sf_dir)
     lake = lake_at(spark, "gold")
     for date in ("2000-06-01", OBS, OBS):
         lake.merge_gold(gold.gold_rows(layer, date, AS_OF), date)
@@ -249,12 +265,12 @@ def gold_daily_partials(spark, sf_dir):
     built before and after them."""
     lake = lake_at(spark, "daily")
     bronze = demo.bronze(spark, sf_dir)
-    halves = {"loans": "loan_id", "user_sessions": "session_id"}
-    late = {t: F.pmod(F.xxhash64(F.coalesce(key, F.lit(""))), F.lit(2)) == 0 for t, key in halves.items()}
-    load_bronze(lake, {t: df.where(~late[t]) if t in halves else df for t, df in bronze.items()})
+    halves = stored_halves(bronze, {"loans": ["loan_id"], "user_sessions": ["session_id"]})
+    late, early = ({t: own[n] for t, own in halves.items()} for n in (0, 1))
+    load_bronze(lake, {**bronze, **early})
     refresh_silver(lake)
     build_gold(lake, "2000-06-01", AS_OF)
-    load_bronze(lake, {t: bronze[t].where(late[t]) for t in halves})
+    load_bronze(lake, late)
     refresh_silver(lake)
     for date in ("2000-06-01", OBS):
         build_gold(lake, date, AS_OF)
@@ -285,7 +301,7 @@ def cohort_report(spark, sf_dir):
 @query
 def training_cohort(spark, sf_dir):
     """One cohort read back from a Gold table that holds two."""
-    layer = {t: written(df, t) for t, df in silver(spark, sf_dir).items()}
+    layer = stored_silver(spark, sf_dir)
     lake = lake_at(spark, "cohorts")
     for date in ("2000-06-01", OBS):
         lake.merge_gold(gold.gold_rows(layer, date, AS_OF), date)

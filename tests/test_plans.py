@@ -111,3 +111,20 @@ def test_raw_rows_are_dealt_by_the_key_of_their_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "RoundRobin" not in own
     assert own.count("Exchange hashpartitioning(l_orderkey") == 1 and own.count("Exchange hashpartitioning") == 2
+
+
+def test_halves_of_a_load_are_worked_out_once(spark):
+    loans = demo.bronze_loans(spark, SF_DIR)
+    halves = registered.stored_halves({"loans": loans}, {"loans": ["loan_id"]})["loans"]
+    assert all("orders.parquet" not in plan(h) for h in halves) and all(h.count() for h in halves)
+    got = halves[0].unionByName(halves[1])
+    assert got.columns == loans.columns and got.exceptAll(loans).isEmpty() and loans.exceptAll(got).isEmpty()
+    assert halves[0].join(halves[1], "loan_id").isEmpty()
+
+
+def test_stored_silver_has_what_gold_reads(spark):
+    stored = registered.stored_silver(spark, SF_DIR)
+    assert {t: tuple(df.columns) for t, df in stored.items()} == gold.READS
+    want, got = registered.gold_frame(spark, SF_DIR), gold.gold_rows(stored, registered.OBS, registered.AS_OF)
+    got, want = ({(r.user_id, r.session_regularity, r.target_default_30d, round(r.monthly_volume, 6)) for r in df.collect()} for df in (got, want))
+    assert got == want and got
