@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,21 +89,24 @@ def span_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def string_rows(texts: DataFrame, window: int) -> DataFrame:
-    """(sid, windows, minimiser, copies, packed, places): words of each span, joined by one space.
+    """(sid, windows, minimiser, copies, packed, places, lot): words of each span, joined by one space.
 
-    ``texts``: key, text, copies and spans as arrays. Equal strings of a batch are one row with the places,
-    (key, start), where they stand; ``places`` has at most ``PLACES`` entries, more make another row.
+    ``texts``: key, text, copies and spans as arrays. A lot is consecutive texts of a task, named by the key of
+    its first one; it holds all strings of these texts, about ``STRING_BYTES`` together. Equal strings of a lot are
+    one row with the places, (key, start), where they stand; ``places`` has at most ``PLACES`` entries, more make
+    another row.
     """
     place = pa.struct([("key", pa.binary()), ("start", pa.int32())])
-    kinds = [("sid", pa.binary()), ("windows", pa.int32()), ("minimiser", pa.int64()), ("copies", pa.int64()), ("packed", pa.binary()), ("places", pa.list_(place))]
+    kinds = [("sid", pa.binary()), ("windows", pa.int32()), ("minimiser", pa.int64()), ("copies", pa.int64()), ("packed", pa.binary()), ("places", pa.list_(place)), ("lot", pa.binary())]
     schema = pa.schema(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_rows, full, size = {}, [], 0
+        open_rows, full, size, lot = {}, [], 0, None
 
         def sent() -> pa.RecordBatch:
-            nonlocal size
-            out, size = [*full, *open_rows.values()], 0
+            nonlocal size, lot
+            out = [(*row, lot) for row in (*full, *open_rows.values())]
+            size, lot = 0, None
             open_rows.clear()
             full.clear()
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
@@ -115,6 +119,7 @@ def string_rows(texts: DataFrame, window: int) -> DataFrame:
                     a, b = before[i], before[i + 1]
                     raw = data[offsets[i] : offsets[i + 1]].tobytes()
                     s, e = (starts[a:b] - offsets[i]).tolist(), (ends[a:b] - offsets[i]).tolist()
+                    lot = keys[row + i] if lot is None else lot
                     for span in spans[row + i]:
                         at, n = span["start"], span["windows"]
                         packed = raw[s[at] : e[at + n + window - 2]]
@@ -133,7 +138,7 @@ def string_rows(texts: DataFrame, window: int) -> DataFrame:
         if size:
             yield sent()
 
-    kind = "sid binary, windows int, minimiser long, copies long, packed binary, places array<struct<key:binary,start:int>>"
+    kind = "sid binary, windows int, minimiser long, copies long, packed binary, places array<struct<key:binary,start:int>>, lot binary"
     return texts.mapInArrow(run, kind)
 
 
@@ -186,6 +191,23 @@ def window_rows(strings: DataFrame, window: int) -> DataFrame:
     return strings.mapInArrow(run, "sid binary, bit int, copies long, text binary")
 
 
+def marks_of_lot(rows: pa.Table) -> pa.Table:
+    """For applyInArrow: (key, marks) of the lot's texts, from the places and the mask of each string."""
+    places = rows["places"].combine_chunks()
+    place = pc.list_flatten(places)
+    own = pa.table({
+        "key": pc.struct_field(place, "key"),
+        "start": pc.struct_field(place, "start"),
+        "mask": rows["mask"].combine_chunks().take(pc.list_parent_indices(places)),
+    })
+    # Without threads, so that both lists are in the same order.
+    by_key = own.group_by("key", use_threads=False).aggregate([("start", "list"), ("mask", "list")]).combine_chunks()
+    starts, masks = by_key["start_list"].combine_chunks(), by_key["mask_list"].combine_chunks()
+    marks = pa.StructArray.from_arrays([starts.flatten(), masks.flatten()], names=["start", "mask"])
+    ends = np.append(0, np.cumsum(pc.list_value_length(starts).to_numpy(zero_copy_only=False)))
+    return pa.table({"key": by_key["key"], "marks": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), marks)})
+
+
 def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(key, marks): for each different text, by SHA-256, its repeated windows as (start, mask) pairs."""
     texts = docs.select(text_key(text_col).alias("key"), F.col(text_col).alias("text"))
@@ -232,17 +254,13 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
     )
     repeated = written(counted.unionByName(spread), "substring-masks")
-    # A string's places leave the join in rows of many. They are dealt anew before they become a row each.
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A lot has whole texts, so its strings give all marks of a text: places are never a row each.
     marks = (
-        placed.select("sid", "places")
+        placed.select("sid", "places", "lot")
         .join(repeated, "sid")
-        .select("places", "mask")
-        .repartition(parts)
-        .select(F.explode("places").alias("place"), "mask")
-        .select("place.key", "place.start", "mask")
-        .groupBy("key")
-        .agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
+        .select("lot", "places", "mask")
+        .groupBy("lot")
+        .applyInArrow(marks_of_lot, "key binary, marks array<struct<start:int,mask:bigint>>")
     )
     return written(marks, "substring-marks")
 

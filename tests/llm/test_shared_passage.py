@@ -12,3 +12,20 @@ def test_one_passage_in_every_text(spark):
     got = substrings.dedup_substrings(spark.createDataFrame(rows, DOCS).coalesce(1), digest_only=True).collect()
     assert by_row(got, ["doc_id", "n_words", "n_removed", "kept_sha256"]) == repeated(rows, 35)
     assert sum(r["n_removed"] >= 45 for r in got) == count + 50
+
+
+def test_places_are_never_a_row_each(spark, monkeypatch):
+    """Near copies in many tasks: a text's marks come from its lot, one row for each text."""
+    plans, inner = {}, substrings.written
+
+    def noted(df, label, *more):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return inner(df, label, *more)
+
+    monkeypatch.setattr(substrings, "written", noted)
+    base = prose(5, 200).split()
+    rows = [(i, " ".join([*base[: 20 + i], f"own{i}", *base[20 + i :]]), "", "", "", 0, 0) for i in range(120)]
+    rows += [(120, prose(6, 90), "", "", "", 0, 0), (121, None, "", "", "", 0, 0), (122, rows[0][1], "", "", "", 0, 0)]
+    got = substrings.dedup_substrings(spark.createDataFrame(rows, DOCS).repartition(5), digest_only=True).collect()
+    assert by_row(got, ["doc_id", "n_words", "n_removed", "kept_sha256"]) == repeated(rows, 35)
+    assert "Generate" not in plans["substring-marks"] and "FlatMapGroupsInArrow" in plans["substring-marks"]
