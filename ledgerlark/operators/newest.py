@@ -13,8 +13,12 @@ def newest_per_key(df: DataFrame, key: str, newest: Sequence[str]) -> DataFrame:
 
     All other columns break full ties, so the result does not depend on how the input
     is partitioned. Spark turns ``rn = 1`` into a group limit that runs before the
-    shuffle too: each task sends one row per key at most, however hot the key.
+    shuffle too: each task sends one row per key at most, however hot the key. Columns of
+    ``newest`` that ``df`` does not have are left out; rows of nothing but keys are distinct ones.
     """
+    newest = [c for c in newest if c in df.columns]
+    if df.columns == [key]:
+        return df.distinct()
     ties = [c for c in df.columns if c != key and c not in newest]
     order = [F.col(c).desc_nulls_last() for c in (*newest, *ties)]
     versions = Window.partitionBy(key).orderBy(*order)

@@ -45,13 +45,14 @@ def query(fn):
     return fn
 
 
-def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return all_silver(demo.bronze(spark, sf_dir))
+def silver(spark: SparkSession, sf_dir: str, **reads: tuple[str, ...]) -> dict[str, DataFrame]:
+    """Silver in the columns that Gold reads, or those given for a table."""
+    return all_silver(demo.bronze(spark, sf_dir), gold.READS | reads)
 
 
 def stored_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Silver worked out once, in the columns that Gold reads."""
-    return {t: written(df.select(*gold.READS[t]), t) for t, df in silver(spark, sf_dir).items()}
+    return {t: written(df, t) for t, df in silver(spark, sf_dir).items()}
 
 
 def stored_halves(bronze: dict[str, DataFrame], keys: dict[str, list[str]]) -> dict[str, list[DataFrame]]:
@@ -127,7 +128,7 @@ def gold_features(spark, sf_dir):
 
 
 def _rates(spark, sf_dir):
-    layer = silver(spark, sf_dir)
+    layer = silver(spark, sf_dir, users=("user_id", "created_at"))
     return cohorts.cohort_default_rates(
         gold.gold_rows(layer, OBS, AS_OF), layer["users"], OBS
     )
