@@ -12,12 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CLOCK = r"[ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?\s*"
-YEAR_FIRST = rf"^\d{{4,6}}-\d{{1,2}}-\d{{1,2}}({CLOCK})?$"
-SHORT_YEAR_FIRST = rf"^\d{{1,3}}-\d{{1,2}}-\d{{1,2}}({CLOCK})?$"
-DAY_FIRST = r"^\s*(\d{1,2})-(\d{1,2})-(\d{4})\s*$"
-DAY_FIRST_TIME = r"^\s*(\d{1,2})-(\d{1,2})-(\d{4})\s+(\d{1,2}:\d{1,2}:\d{1,2})\s*$"
-NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+# Patterns take slashes for dashes. The usual spelling comes first, without loops or choices: most values take
+# this way, and the general one, which it is a part of, is the slow one.
+DASH = "[-/]"
+CLOCK = rf"[ T]\d{{1,2}}:\d{{1,2}}(?::\d{{1,2}}(?:\.\d+)?)?(?:Z|[+/-]\d{{2}}:?\d{{2}})?\s*"
+USUAL = rf"\d\d\d\d{DASH}\d\d{DASH}\d\d(?: \d\d:\d\d:\d\d)?"
+YEAR_FIRST = rf"^(?:{USUAL}|\d{{4,6}}{DASH}\d{{1,2}}{DASH}\d{{1,2}}(?:{CLOCK})?)$"
+SHORT_YEAR_FIRST = rf"^\d{{1,3}}{DASH}\d{{1,2}}{DASH}\d{{1,2}}(?:{CLOCK})?$"
+DAY_FIRST = r"\s*(\d{1,2})-(\d{1,2})-(\d{4})\s*"
+DAY_FIRST_TIME = r"\s*(\d{1,2})-(\d{1,2})-(\d{4})\s+(\d{1,2}:\d{1,2}:\d{1,2})\s*"
+NUMBER = r"(?i)^(?:\d+\.\d+|\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity|nan)\s*)$"
 
 
 def dashed(c: Column) -> Column:
@@ -26,30 +30,32 @@ def dashed(c: Column) -> Column:
 
 
 def _year_first(text: Column) -> Column:
-    """The text if it is year first. A year of one to three digits is taken as it stands."""
-    return F.when(text.rlike(YEAR_FIRST), text).when(
-        text.rlike(SHORT_YEAR_FIRST), F.concat(F.lit("000"), text)
+    """The text with dashes if it is year first. A year of one to three digits is taken as it stands."""
+    return F.when(text.rlike(YEAR_FIRST), dashed(text)).when(
+        text.rlike(SHORT_YEAR_FIRST), F.concat(F.lit("000"), dashed(text))
     )
 
 
+def _swapped(c: Column, day_first: str, parts: str) -> Column:
+    """Day-first text put year first. Of any other text dashes are left, which are no date."""
+    return F.regexp_replace(c, rf"(?s)^(?:{day_first}$|.*)", parts)
+
+
 def iso_timestamp(c: Column) -> Column:
     """Year-first text to a timestamp."""
-    return _year_first(dashed(c)).try_cast("timestamp_ntz")
+    return _year_first(c).try_cast("timestamp_ntz")
 
 
 def parse_timestamp(c: Column) -> Column:
     """Year-first or day-first text (the latter with a time) to a timestamp."""
-    swapped = F.regexp_replace(c, DAY_FIRST_TIME, "$3-$2-$1 $4")
-    return _year_first(dashed(c)).when(c.rlike(DAY_FIRST_TIME), swapped).try_cast("timestamp_ntz")
+    swapped = _swapped(c, DAY_FIRST_TIME, "$3-$2-$1 $4")
+    return _year_first(c).otherwise(swapped).try_cast("timestamp_ntz")
 
 
 def parse_date(c: Column) -> Column:
     """Year-first text, with or without a time, or day-first text without one, to a date."""
-    swapped = F.regexp_replace(c, DAY_FIRST, "$3-$2-$1")
-    text = F.trim(dashed(c))
-    return (
-        _year_first(text).when(c.rlike(DAY_FIRST), swapped).try_cast("timestamp_ntz").cast("date")
-    )
+    swapped = _swapped(c, DAY_FIRST, "$3-$2-$1")
+    return _year_first(F.trim(c)).otherwise(swapped).try_cast("timestamp_ntz").cast("date")
 
 
 def parse_double(c: Column) -> Column:

@@ -62,3 +62,18 @@ def test_slashes_only_year_first(spark):
     df = spark.createDataFrame([("15/05/2024 10:00:00", "2024/05/15 10:00:00")], "a string, b string")
     row = df.select(*[parsing.parse_timestamp(F.col(c)) for c in "ab"]).first()
     assert row[0] is None and str(row[1]) == "2024-05-15 10:00:00"
+
+
+def test_usual_spellings_meet_two_patterns_at_most(spark):
+    """One pattern tells and swaps a day-first text; the usual spelling alone is part of the general one."""
+    text = spark.createDataFrame([("x",)], "c string").select(parsing.parse_timestamp(F.col("c")).alias("t"))
+    own = text._jdf.queryExecution().analyzed().toString()
+    assert own.count("RLIKE") == 2 and own.count("regexp_replace") == 1
+
+
+@pytest.mark.parametrize(
+    "text", ["--", "- ", "1--2", "2024-12", "x\n20-12-2024", "20-12-2024 1:2:3\n20-12-2024 1:2:3", "", "\n", "$1-$2"]
+)
+def test_what_is_not_day_first_is_no_date(spark, text):
+    df = spark.createDataFrame([(text,)], "c string")
+    assert df.select(*[p(F.col("c")) for p in (parsing.parse_timestamp, parsing.parse_date)]).first()[:] == (None, None)
