@@ -102,13 +102,13 @@ def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
         files.delete(target, True)
 
 
-def written(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
+def written(df: DataFrame, label: str, partition: str | None = None, path: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage ends there.
 
-    Compressed well, as the folder is shared by all that runs.
+    Compressed well, as the folder is shared by all that runs. ``path`` is a ``scratch_path`` taken before.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     if stack := getattr(_scopes, "stack", None):
         stack[-1].append(path)
     writer = df.write.option("compression", "zstd")

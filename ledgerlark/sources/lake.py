@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ledgerlark import schemas
 from ledgerlark.operators.newest import newest_per_key, upsert
-from ledgerlark.session import located, scratch_scope, written
+from ledgerlark.session import located, scratch_path, scratch_scope, written
 
 # Ids of the logs with the day they were logged on, in hash buckets of the id.
 LOG_KEYS = ("prediction_log_keys", "dialogue_log_keys")
@@ -304,18 +304,17 @@ class Lake:
 
     def stage_silver(
         self, table: str, incoming: DataFrame, keep_newer: bool = False
-    ) -> DataFrame:
-        """The new contents of the buckets ``incoming`` touches, written to scratch.
+    ) -> tuple[DataFrame, str | None]:
+        """The new contents of the buckets ``incoming`` touches, written to scratch, and their folder if
+        these buckets have no rows yet: it can be moved in as it is.
 
         ``incoming`` holds each key once; its rows replace stored ones, the other rows of
         the bucket stay. With ``keep_newer`` a stored row that is newer than the incoming
         one stays too: needed when ``incoming`` is not the whole of Bronze.
         """
-        batch = written(
-            self.bucketed(incoming, schemas.SILVER_RULES[table].key).hint("rebalance", "bucket"),
-            f"incoming-{table}",
-            "bucket",
-        )
+        rows = self.bucketed(incoming, schemas.SILVER_RULES[table].key).hint("rebalance", "bucket")
+        folder = scratch_path(self.spark, f"incoming-{table}")
+        batch = written(self._by_day(table, rows), f"incoming-{table}", "bucket", folder)
         touched = [r.bucket for r in batch.select("bucket").distinct().collect()]
         stored = self._stored("silver", table).where(F.col("bucket").isin(touched))
         rule = schemas.SILVER_RULES[table]
@@ -324,21 +323,42 @@ class Lake:
             replaced = [] if fresh else [stored.join(batch.select("bucket", rule.key), ["bucket", rule.key], "left_semi")]
             self._note_days(table, batch, *replaced)
         if fresh:
-            return batch
+            return batch, folder
         if keep_newer:
             merged = newest_per_key(
                 stored.select(*batch.columns).unionByName(batch), rule.key, rule.newest
             )
         else:
             merged = upsert(stored, batch, ["bucket", rule.key])
-        return written(merged.hint("rebalance", "bucket"), f"silver-{table}", "bucket")
+        return written(merged.hint("rebalance", "bucket"), f"silver-{table}", "bucket"), None
+
+    def _by_day(self, table: str, rows: DataFrame) -> DataFrame:
+        """Files of tables that are read by day are in order of days."""
+        if table not in DAY_TABLES:
+            return rows
+        return rows.sortWithinPartitions("bucket", F.expr(DAY_TABLES[table]))
 
-    def publish_silver(self, table: str, staged: DataFrame) -> None:
+    def publish_silver(self, table: str, staged: DataFrame, folder: str | None = None) -> None:
         """Swap staged buckets in. Staged files hold one bucket each, so this is a plain
-        copy without a shuffle; files of tables that are read by day are put in order of days."""
-        if table in DAY_TABLES:
-            staged = staged.sortWithinPartitions("bucket", F.expr(DAY_TABLES[table]))
-        self._swap("silver", table, staged, "bucket")
+        copy without a shuffle; buckets that are new are moved."""
+        if not folder or not self._moved_in("silver", table, folder, "bucket"):
+            self._swap("silver", table, self._by_day(table, staged), "bucket")
+
+    def _moved_in(self, layer: str, table: str, folder: str, partition: str) -> bool:
+        """Move the partitions of a scratch folder into a table. Nothing is moved if it has a folder for one
+        of them or is on another file system."""
+        path = self.path(layer, table)
+        files, _ = located(self.spark, folder)
+        own, _ = located(self.spark, path)
+        names = names_in(self.spark, folder, f"{partition}=")
+        if files.getUri().toString() != own.getUri().toString() or names & names_in(self.spark, path, f"{partition}="):
+            return False
+        for name in sorted(names):
+            _, source = located(self.spark, f"{folder}/{partition}={name}")
+            _, target = located(self.spark, f"{path}/{partition}={name}")
+            if not files.rename(source, target):
+                raise OSError(f"{folder}/{partition}={name} could not be moved to {path}")
+        return True
 
     def upsert_silver(
         self, batches: dict[str, DataFrame], keep_newer: bool = False
@@ -350,8 +370,8 @@ class Lake:
         """
         with scratch_scope(self.spark):
             staged = {t: self.stage_silver(t, df, keep_newer) for t, df in batches.items()}
-            for table, df in staged.items():
-                self.publish_silver(table, df)
+            for table, (df, folder) in staged.items():
+                self.publish_silver(table, df, folder)
 
     def merge_gold(self, incoming: DataFrame, observation_date: str | dt.date) -> int:
         """Replace-by-key into one date of the Gold target table; returns the incoming rows.

@@ -235,3 +235,21 @@ def test_tiny_amounts_are_not_cut(spark):
     loans = loans.withColumn("disbursement_date", F.lit(OBSERVED).cast("date"))
     got = {r.user_id: r.monthly_volume for r in gold.monthly_volume(loans, OBSERVED).collect()}
     assert got == {"u": 8e-9, "v": 1e25}
+
+
+def test_first_load_is_moved_and_others_are_swapped_in(spark, lake, monkeypatch):
+    """New buckets are not copied; a load for stored buckets is, also where their rows are gone."""
+    swaps, swap = [], lake._swap
+    monkeypatch.setattr(lake, "_swap", lambda layer, table, *rest: (swaps.append(table), swap(layer, table, *rest)))
+
+    def load(names, updated):
+        rows = [dict(RAW["loans"][0], loan_id=n, updated_at=f"2023-06-{updated} 00:00:00") for n in names]
+        lake.upsert_silver({"loans": to_silver(from_records(spark, rows, "loans"), "loans")}, keep_newer=True)
+        return sorted(r.loan_id for r in lake.read("silver", "loans").collect())
+
+    names = [f"l{i:02}" for i in range(40)]
+    assert load(names, "01") == names and swaps == []
+    assert load([*names, "new"], "02") == [*names, "new"] and swaps == ["loans"]
+    swap("silver", "loans", lake._stored("silver", "loans").limit(0), "bucket")
+    lake._stored("silver", "loans").limit(0).write.mode("overwrite").parquet(lake.path("silver", "loans") + "/bucket=0")
+    assert load(["x", "y", "z"], "03")[-3:] == ["x", "y", "z"]
