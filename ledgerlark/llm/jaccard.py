@@ -1,7 +1,9 @@
 """Documents linked by the Jaccard similarity of their word n-gram sets: a prefix-tree join.
 
-Sets are ordered by their n-grams' hashes, one order for the whole corpus. N-grams in the beginnings of
-two sets, without the commonest ones, bring candidates together; inside a group of candidates the sets
+Sets are ordered by their n-grams' hashes, one order for the whole corpus. Pairs of neighbours in that order
+bring candidates together: very similar sets have most of them in common, while sets that only share n-grams
+here and there, as all texts of a large corpus do, have hardly any. For lower thresholds, at which even linked
+sets have few pairs in common, single n-grams do. Inside a group of candidates the sets
 are stored in a prefix tree, every set walks it once, shared beginnings are counted once, and a subtree is
 left as soon as the n-grams that remain cannot reach the threshold. Equal sets are one class throughout.
 """
@@ -31,6 +33,8 @@ from ledgerlark.session import written
 
 #: One in so many n-grams of a set is added to its prefix, so that the commonest can be left out.
 SPARE = 6
+#: Pairs are what candidates meet by if linked sets share so many hundredths of them.
+PAIRED = 75
 #: Sets of one block of a large candidate group.
 BLOCK_SETS = 256
 RUN = 16
@@ -50,6 +54,30 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndar
             yield np.zeros(0, np.uint64)
 
 
+def pair_percent(percent: int) -> int:
+    """Hundredths of a set's pairs of neighbours that any linked, different set has at least.
+
+    Sets that share o n-grams and differ by d have o - 1 - d pairs in common or more, as an n-gram that is not
+    shared parts one pair at most. Either has at most o + d - 1 pairs, and d * percent <= o * (100 - percent):
+    the share is least for d = 1.
+    """
+    return (300 * percent - 20_000) // percent
+
+
+def paired(percent: int) -> bool:
+    return pair_percent(percent) >= PAIRED
+
+
+def keys_of(s: np.ndarray, percent: int) -> np.ndarray:
+    """What candidates meet by, ordered: hashes of an ordered set's pairs of neighbours, or its n-grams."""
+    return np.unique(sequence_hashes(s, 2)) if paired(percent) else s
+
+
+def shared_percent(percent: int) -> int:
+    """Hundredths of a set's keys that any linked, different set has at least."""
+    return pair_percent(percent) if paired(percent) else percent
+
+
 def spare(size: int) -> int:
     """N-grams of the prefix beyond the usual one, of which a set may leave out as many, less one."""
     return 1 + size // SPARE
@@ -90,8 +118,9 @@ def class_rows(texts: DataFrame, k: int) -> DataFrame:
 
 
 def prefix_rows(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(cid, gram) of (text) rows: the n-grams of each set's prefix, once for every copy."""
+    """(cid, gram) of (text) rows: the prefix of each set's keys, once for every copy."""
     schema = pa.schema([("cid", pa.int64()), ("gram", pa.int64())])
+    shared = shared_percent(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +128,7 @@ def prefix_rows(texts: DataFrame, k: int, percent: int) -> DataFrame:
                 sets = [s for s in gram_sets(data, offsets, k) if len(s)]
                 if not sets:
                     continue
-                prefixes = [prefix_of(s, percent) for s in sets]
+                prefixes = [prefix_of(keys_of(s, percent), shared) for s in sets]
                 names = np.repeat(np.array([class_of(s) for s in sets], np.int64), [len(x) for x in prefixes])
                 grams = np.concatenate(prefixes).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(grams)], schema=schema)
@@ -110,14 +139,16 @@ def prefix_rows(texts: DataFrame, k: int, percent: int) -> DataFrame:
 def candidate_groups(texts: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
     """(id, component): classes that can be linked, directly or through others, share a component.
 
-    A set's prefix n-grams are ranked by how common they are; so many of the commonest are left out that
+    The keys of a set's prefix are ranked by how common they are; so many of the commonest are left out that
     a linked set still shares one of the others. Frequent lines and passages fall away by that.
     """
     prefixes = prefix_rows(texts, k, percent)
     common = prefixes.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     common = written(common, "jaccard-common")
-    sizes = rows.where("cid IS NOT NULL").groupBy("cid").agg(F.first("n_shingles").alias("size"))
-    skipped = F.floor(F.ceil(F.col("size") * percent / 100) / SPARE).cast("int")
+    shared = shared_percent(percent)
+    keys = F.first("n_shingles") - int(paired(percent))
+    sizes = rows.where("cid IS NOT NULL").groupBy("cid").agg(keys.alias("size"))
+    skipped = F.floor(F.ceil(F.col("size") * shared / 100) / SPARE).cast("int")
     kept = (
         prefixes.join(common, "gram")
         .groupBy("cid")
