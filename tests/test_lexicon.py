@@ -69,3 +69,19 @@ def test_what_is_looked_up_grows_with_the_text_alone(spark):
     assert {(r.id, r.word) for r in plan.collect()} == {(i, w) for i in range(20) for w in words if w in text}
     assert "Contains" not in plan._jdf.queryExecution().optimizedPlan().toString()
     assert lexicon.text_pieces(df.withColumnRenamed("said", "_text"), ["id"], [6]).count() <= 20 * len(text)
+
+
+def test_few_pieces_travel_that_are_no_words(spark, monkeypatch):
+    """Neither a lexicon's many lengths nor long texts make a row of every substring."""
+    rng = random.Random(3)
+    texts = [random_text(rng, 400) + "日本 Word" for _ in range(50)]
+    words = {"".join(rng.choice("vwxyz") for _ in range(rng.randrange(4, 21))) for _ in range(3_000)}
+    words |= {"日本", "word", "本 word", *(t[50:70].lower() for t in texts)}
+    df = spark.createDataFrame(list(enumerate(texts)) + [(0, "word"), (None, "word")], "id int, said string")
+    listed = spark.createDataFrame([(w,) for w in words], "word string")
+    made, cut = [], lexicon.text_pieces
+    monkeypatch.setattr(lexicon, "text_pieces", lambda *a: made.append(cut(*a)) or made[-1])
+    got = [tuple(r) for r in lexicon_matches(df, ["id"], "said", listed).collect()]
+    want = {(i, w) for i, t in enumerate(texts) for w in words if w in t.lower()} | {(None, "word")}
+    assert set(got) == want and len(got) == len(want)
+    assert made[0].count() < sum(map(len, texts)) // 10
