@@ -35,8 +35,9 @@ from ledgerlark.session import written
 SPARE = 6
 #: Pairs are what candidates meet by if linked sets share so many hundredths of them.
 PAIRED = 75
-#: Sets of one block of a large candidate group.
+#: Sets of one block of a large candidate group; up to four times as many if they have no more n-grams than this.
 BLOCK_SETS = 256
+BLOCK_GRAMS = 1 << 18
 RUN = 16
 
 
@@ -289,13 +290,15 @@ def linked_documents(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("key"), F.col(text_col).alias("text"))
     rows = written(class_rows(texts, k), "jaccard-classes")
     groups = candidate_groups(texts.select("text"), rows, k, percent)
-    chosen = rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min("key").alias("key"))
+    chosen = rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min("key").alias("key"), F.first("n_shingles").alias("size"))
     wanted = chosen.join(groups.withColumnsRenamed({"id": "cid"}), "cid")
     # Copies of a text are combined before the shuffle.
     different = texts.groupBy("key").agg(F.first("text").alias("text"))
     sets = set_rows(different.join(wanted, "key").select("component", "cid", "text"), k)
     # Written, like the names below: a join with a shuffle of its own on either side can be split.
-    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    most = F.ceil(F.count("*") / BLOCK_SETS)
+    least = F.greatest(F.ceil(F.count("*") / (4 * BLOCK_SETS)), F.ceil(F.sum("size") / BLOCK_GRAMS))
+    sizes = wanted.groupBy("component").agg(F.least(most, least).cast("int").alias("blocks"))
     sizes = written(sizes, "jaccard-sizes")
     dealt = (
         sets.join(sizes, "component")
